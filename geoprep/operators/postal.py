@@ -7,13 +7,13 @@ records, which several branches of the plan read.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoprep.functions import geometry as G
 from geoprep.functions.text import underscore
-from geoprep.operators.spatial import first_match, spatial_join
+from geoprep.operators import spatial as S
+from geoprep.operators.stage import stage
 from geoprep.spec import POSTAL_COLUMNS, POSTAL_COUNTRIES
 
 
@@ -56,7 +56,7 @@ def city_polygons(adm2: DataFrame) -> DataFrame:
 
 def enrich_postal(spr: DataFrame, geojson: DataFrame, adm1: DataFrame, adm2: DataFrame, *,
                   countries=POSTAL_COUNTRIES, crs: str = G.WGS84, boundary_crs: str = G.WGS84,
-                  cache_parsed: bool = True, level_step: int = 1, edges_per_band: int = 32) -> DataFrame:
+                  stage_mode: str | None = "checkpoint", level_step: int = 1, edges_per_band: int = 32) -> DataFrame:
     """The postal table: country, state, city, postal_code, lat, lon, wkt_geometry.
 
     * every place meets the states its geometry intersects (closed test): a place on a
@@ -65,18 +65,21 @@ def enrich_postal(spr: DataFrame, geojson: DataFrame, adm1: DataFrame, adm2: Dat
       geometry meets -- one per distinct geometry, the first by (name, nulls last; then
       polygon id);
     * spaces in country, state and city become ``_``.
+
+    The parsed records are staged once (``stage_mode``); the state and city matches are
+    both computed on their distinct geometries and joined back to them.
     """
     parsed = parse_records(gazetteer_records(spr, geojson, countries))
     if crs.upper() != boundary_crs.upper():
         parsed = parsed.withColumn("geometry", G.to_crs(F.col("geometry"), crs, boundary_crs))
-    if cache_parsed:
-        parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-    with_state = spatial_join(parsed, state_polygons(adm1), how="left",
-                              level_step=level_step, edges_per_band=edges_per_band)
-    with_city = first_match(with_state, city_polygons(adm2),
-                            [F.isnull("__gadm_city"), F.col("__gadm_city"), F.col("__city_id")],
-                            how="left", level_step=level_step, edges_per_band=edges_per_band)
-    out = with_city.withColumns({
+    parsed = stage(parsed, stage_mode)
+    kw = dict(level_step=level_step, edges_per_band=edges_per_band, stage_mode=stage_mode)
+    states = S.match_table(parsed, state_polygons(adm1), **kw)
+    cities = S.first_match_table(parsed, city_polygons(adm2),
+                                 [F.isnull("__gadm_city"), F.col("__gadm_city"), F.col("__city_id")], **kw)
+    keyed = S.with_match_keys(parsed)
+    out = S.join_matches(S.join_matches(keyed, states), cities)
+    out = out.withColumns({
         "city": F.coalesce(F.col("city"), F.col("__gadm_city")),
         "wkt_geometry": G.to_wkt(F.col("geometry")),
     })

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoprep.functions import geometry as G
+from geoprep.operators.stage import stage
 
 E_MIN, E_MAX = -30, 40
 _EDGE_ARRAY = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
@@ -255,13 +256,15 @@ def _reverse_hits(pairs: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
 
 def intersecting_pairs(left: DataFrame, right: DataFrame, *, left_geom: str = "geometry",
                        right_geom: str = "geometry", right_id: str = "__rid", level_step: int = 1,
-                       edges_per_band: int = 32):
+                       edges_per_band: int = 32, stage_mode: str | None = "checkpoint"):
     """Matches between the distinct geometries of ``left`` and the polygons of ``right``.
 
     Returns (point_pairs, shape_pairs): point_pairs(px, py, rid) for left points and
-    shape_pairs(gk, rid) for other left geometries (gk = the geometry itself).
+    shape_pairs(gk, rid) for other left geometries (gk = the geometry itself).  The
+    prepared polygons are staged once (they feed the level list and four joins).
     """
-    polys = prepare_polygons(right, right_geom, right_id, level_step=level_step, edges_per_band=edges_per_band)
+    polys = stage(prepare_polygons(right, right_geom, right_id, level_step=level_step,
+                                   edges_per_band=edges_per_band), stage_mode)
     b_levels = _levels(polys)
     g = F.col(left_geom)
     pts = left.where(g.isNotNull() & (g["kind"] == G.POINT)).select(
@@ -294,11 +297,11 @@ def _match_keys(left: DataFrame, left_geom: str) -> DataFrame:
         "__gk": F.when(g.isNotNull() & ~is_pt, g)})
 
 
-def _pairs(left, right, left_geom, right_geom, level_step, edges_per_band) -> DataFrame:
+def _pairs(left, right, left_geom, right_geom, level_step, edges_per_band, stage_mode="checkpoint") -> DataFrame:
     """(__qx, __qy, __qg, __mrid): one row per (distinct left geometry, right polygon) hit."""
     point_pairs, shape_pairs = intersecting_pairs(left, right, left_geom=left_geom, right_geom=right_geom,
                                                   right_id="__rid", level_step=level_step,
-                                                  edges_per_band=edges_per_band)
+                                                  edges_per_band=edges_per_band, stage_mode=stage_mode)
     pairs = point_pairs.select(F.col("px").alias("__qx"), F.col("py").alias("__qy"),
                                F.lit(None).cast(G.GEOM).alias("__qg"), F.col("rid").alias("__mrid"))
     return pairs.unionByName(shape_pairs.select(
@@ -324,17 +327,20 @@ def _check(left, right, right_geom, how, predicate):
 
 def spatial_join(left: DataFrame, right: DataFrame, *, how: str = "left", predicate: str = "intersects",
                  left_geom: str = "geometry", right_geom: str = "geometry", right_id: str | None = None,
-                 level_step: int = 1, edges_per_band: int = 32) -> DataFrame:
+                 level_step: int = 1, edges_per_band: int = 32, stage_mode: str | None = "checkpoint") -> DataFrame:
     """``left`` rows with the columns of every ``right`` row whose polygon meets their geometry.
 
     A left row meeting n right rows gives n rows; with ``how="left"`` a row meeting none
     (or with a null geometry) is kept once with nulls on the right.  The right geometry
     column is not returned.  ``right_id`` names a unique key of ``right``; without one, a
     SHA-256 of the whole right row is used, so identical right rows each match.
+    The left side feeds three branches (points, other shapes, the join back), so it is
+    staged once (``stage_mode``, see ``geoprep.operators.stage``).
     """
     _check(left, right, right_geom, how, predicate)
+    left = stage(left, stage_mode)
     right = _with_rid(right, right_id)
-    pairs = _pairs(left, right, left_geom, right_geom, level_step, edges_per_band)
+    pairs = _pairs(left, right, left_geom, right_geom, level_step, edges_per_band, stage_mode)
     joined = _join_back(_match_keys(left, left_geom), pairs, how)
     rcols = [c for c in right.columns if c not in (right_geom, "__rid")]
     rside = right.select(F.col("__rid").alias("__mrid"), *rcols)
@@ -344,7 +350,7 @@ def spatial_join(left: DataFrame, right: DataFrame, *, how: str = "left", predic
 
 def first_match(left: DataFrame, right: DataFrame, order, *, how: str = "left", left_geom: str = "geometry",
                 right_geom: str = "geometry", right_id: str | None = None, level_step: int = 1,
-                edges_per_band: int = 32) -> DataFrame:
+                edges_per_band: int = 32, stage_mode: str | None = "checkpoint") -> DataFrame:
     """``left`` rows with the columns of ONE matching ``right`` row per distinct geometry:
     the first by ``order`` (columns of ``right``, ascending, nulls first -- wrap a column
     in ``F.isnull`` first to put nulls last).  Left rows never multiply (A4 + J4).
@@ -353,11 +359,49 @@ def first_match(left: DataFrame, right: DataFrame, order, *, how: str = "left",
     map-side and does not sort a geometry's matches inside one task.
     """
     _check(left, right, right_geom, how, predicate="intersects")
+    left = stage(left, stage_mode)
     right = _with_rid(right, right_id)
-    pairs = _pairs(left, right, left_geom, right_geom, level_step, edges_per_band)
+    pairs = _pairs(left, right, left_geom, right_geom, level_step, edges_per_band, stage_mode)
     rcols = [c for c in right.columns if c not in (right_geom, "__rid")]
     rside = right.select(F.col("__rid").alias("__mrid"), F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)],
                                                                    F.struct(*rcols).alias("__row")).alias("__ord"))
     best = (pairs.join(rside, "__mrid").groupBy("__qx", "__qy", "__qg").agg(F.min("__ord").alias("__ord")))
     joined = _join_back(_match_keys(left, left_geom), best, how)
     return joined.select(*left.columns, *[F.col("__ord.__row")[c].alias(c) for c in rcols])
+
+
+def match_table(left: DataFrame, right: DataFrame, *, left_geom: str = "geometry", right_geom: str = "geometry",
+                right_id: str | None = None, level_step: int = 1, edges_per_band: int = 32,
+                stage_mode: str | None = "checkpoint") -> DataFrame:
+    """All (distinct left geometry, right row) hits as (__qx, __qy, __qg, <right columns>);
+    join it to ``with_match_keys(left)`` with ``join_matches``."""
+    right = _with_rid(right, right_id)
+    pairs = _pairs(left, right, left_geom, right_geom, level_step, edges_per_band, stage_mode)
+    rcols = [c for c in right.columns if c not in (right_geom, "__rid")]
+    rside = right.select(F.col("__rid").alias("__mrid"), *rcols)
+    return pairs.join(rside, "__mrid").drop("__mrid")
+
+
+def first_match_table(left: DataFrame, right: DataFrame, order, **kw) -> DataFrame:
+    """One right row per distinct left geometry, the first by ``order`` (see ``first_match``)."""
+    t = match_table(left, right, **kw)
+    rcols = [c for c in t.columns if c not in ("__qx", "__qy", "__qg")]
+    ordered = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], F.struct(*rcols).alias("__row"))
+    best = t.groupBy("__qx", "__qy", "__qg").agg(F.min(ordered).alias("__ord"))
+    return best.select("__qx", "__qy", "__qg", *[F.col("__ord.__row")[c].alias(c) for c in rcols])
+
+
+def with_match_keys(left: DataFrame, left_geom: str = "geometry") -> DataFrame:
+    return _match_keys(left, left_geom)
+
+
+def join_matches(keyed_left: DataFrame, table: DataFrame, how: str = "left") -> DataFrame:
+    """Join a match table back on the geometry keys; the keys of ``table`` are dropped,
+    those of ``keyed_left`` kept for further matches."""
+    cond = [keyed_left["__px"].eqNullSafe(table["__qx"]), keyed_left["__py"].eqNullSafe(table["__qy"]),
+            keyed_left["__gk"].eqNullSafe(table["__qg"])]
+    return keyed_left.join(table, cond, how).drop("__qx", "__qy", "__qg")
+
+
+def drop_match_keys(df: DataFrame) -> DataFrame:
+    return df.drop("__px", "__py", "__gk")

@@ -23,6 +23,7 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -49,14 +49,11 @@ def _group_code(k: Column) -> Column:
 
 
 def shape(kind: Column, x0: Column, y0: Column) -> Column:
-    """Geometry of a template shape at offset (x0, y0)."""
-    kind_name = None
-    parts = None
-    for k, (name, rings) in SHAPE_TEMPLATES.items():
-        t = G.translate(G.literal_parts(rings), x0, y0)
-        kind_name = F.when(kind == k, F.lit(name)) if kind_name is None else kind_name.when(kind == k, F.lit(name))
-        parts = F.when(kind == k, t) if parts is None else parts.when(kind == k, t)
-    return F.struct(kind_name.alias("kind"), parts.alias("parts"))
+    """Geometry of a template shape at offset (x0, y0): one map lookup and one shift."""
+    names = F.create_map(*[x for k, (name, _) in SHAPE_TEMPLATES.items() for x in (F.lit(k), F.lit(name))])
+    parts = F.create_map(*[x for k, (_, rings) in SHAPE_TEMPLATES.items() for x in (F.lit(k), G.literal_parts(rings))])
+    return F.struct(F.element_at(names, kind.cast("int")).alias("kind"),
+                    G.translate(F.element_at(parts, kind.cast("int")), x0, y0).alias("parts"))
 
 
 def _str(c: Column) -> Column:
