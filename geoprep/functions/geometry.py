@@ -129,17 +129,22 @@ def _valid_parts(parts: Column) -> Column:
                   parts)
 
 
+def _raw_parts(kind: Column, text: Column) -> Column:
+    branches = None
+    for k in _COORD_SCHEMA:
+        cond = kind == F.lit(k)
+        branches = F.when(cond, _parts_for(k, text)) if branches is None else branches.when(cond, _parts_for(k, text))
+    return branches
+
+
 def geometry_from_geojson(kind, coordinates_text) -> Column:
     """GeoJSON geometry (type + coordinates as JSON text) -> geometry; unknown type -> null.
 
-    Only the branch of the matching type is evaluated for a row.
+    Only the branch of the matching type is evaluated for a row.  (In a DataFrame prefer
+    ``parse_gazetteer``, which keeps each step in its own projection.)
     """
     kind, text = _col(kind), _col(coordinates_text)
-    branches = None
-    for k in _COORD_SCHEMA:
-        cond = kind == F.lit(k)
-        branches = F.when(cond, _parts_for(k, text)) if branches is None else branches.when(cond, _parts_for(k, text))
-    parts = _valid_parts(branches)
+    parts = _valid_parts(_raw_parts(kind, text))
     return F.when(parts.isNotNull(), F.struct(kind.alias("kind"), parts.alias("parts")))
 
 
@@ -147,13 +152,8 @@ GAZETTEER_BODY_SCHEMA = "geometry struct<type:string, coordinates:string>, prope
 
 
 def parse_gazetteer_body(body) -> Column:
-    """One JSON parse of a gazetteer body.
-
-    Returns struct<geometry, city, lat_text, lon_text>.  A body that is malformed, has no
-    ``geometry`` or no ``properties`` object, or whose geometry does not convert, gives an
-    all-null struct, as one failure for the whole record.  Property names contain ``:``,
-    so they are read as map keys.
-    """
+    """One JSON parse of a gazetteer body as a single Column (X6, X7, X13); see
+    ``parse_gazetteer`` for the DataFrame form used by the jobs."""
     p = F.from_json(_col(body), GAZETTEER_BODY_SCHEMA)
     geom = geometry_from_geojson(p["geometry"]["type"], p["geometry"]["coordinates"])
     ok = geom.isNotNull() & p["properties"].isNotNull()
@@ -168,6 +168,31 @@ def parse_gazetteer_body(body) -> Column:
         F.lit(None).cast("string").alias("lat_text"), F.lit(None).cast("string").alias("lon_text")))
 
 
+def parse_gazetteer(df, body_col: str):
+    """Adds ``geometry``, ``city``, ``lat_text``, ``lon_text`` parsed from a gazetteer body.
+
+    One JSON parse per row.  A body that is malformed, has no ``geometry`` or no
+    ``properties`` object, or whose geometry does not convert, fails as a whole record:
+    every added column is null.  Property names contain ``:``, so they are map keys.
+    Each step is its own projection, so no large expression is copied into several
+    places of the plan.
+    """
+    df = df.withColumn("__gz", F.from_json(F.col(body_col), GAZETTEER_BODY_SCHEMA))
+    df = df.withColumn("__gk", F.col("__gz.geometry.type"))
+    df = df.withColumn("__gp", _raw_parts(F.col("__gk"), F.col("__gz.geometry.coordinates")))
+    df = df.withColumn("__gp", _valid_parts(F.col("__gp")))
+    ok = F.col("__gp").isNotNull() & F.col("__gz.properties").isNotNull()
+    df = df.withColumn("__ok", ok)
+    props = F.col("__gz.properties")
+    df = df.withColumns({
+        "geometry": F.when(F.col("__ok"), F.struct(F.col("__gk").alias("kind"), F.col("__gp").alias("parts"))),
+        "city": F.when(F.col("__ok"), props.getItem("mz:postal_locality")),
+        "lat_text": F.when(F.col("__ok"), props.getItem("geom:latitude")),
+        "lon_text": F.when(F.col("__ok"), props.getItem("geom:longitude")),
+    })
+    return df.drop("__gz", "__gk", "__gp", "__ok")
+
+
 def to_float_or_nan(text) -> Column:
     """Text -> double; missing or not a number -> NaN."""
     return F.coalesce(_col(text).try_cast("double"), F.lit(float("nan")))

@@ -34,14 +34,9 @@ def parse_records(records: DataFrame, body_col: str = "geojson_data") -> DataFra
 
     A body that fails to parse gives a null geometry and city and NaN coordinates.
     """
-    p = G.parse_gazetteer_body(body_col)
-    out = records.withColumn("__p", p).withColumns({
-        "geometry": F.col("__p.geometry"),
-        "city": F.col("__p.city"),
-        "lat": G.to_float_or_nan(F.col("__p.lat_text")),
-        "lon": G.to_float_or_nan(F.col("__p.lon_text")),
-    })
-    return out.drop("__p", body_col)
+    out = G.parse_gazetteer(records, body_col)
+    out = out.withColumns({"lat": G.to_float_or_nan(F.col("lat_text")), "lon": G.to_float_or_nan(F.col("lon_text"))})
+    return out.drop("lat_text", "lon_text", body_col)
 
 
 def state_polygons(adm1: DataFrame) -> DataFrame:
@@ -69,7 +64,17 @@ def enrich_postal(spr: DataFrame, geojson: DataFrame, adm1: DataFrame, adm2: Dat
     The parsed records are staged once (``stage_mode``); the state and city matches are
     both computed on their distinct geometries and joined back to them.
     """
-    parsed = parse_records(gazetteer_records(spr, geojson, countries))
+    return enrich_records(gazetteer_records(spr, geojson, countries), adm1, adm2, crs=crs,
+                          boundary_crs=boundary_crs, stage_mode=stage_mode, level_step=level_step,
+                          edges_per_band=edges_per_band)
+
+
+def enrich_records(records: DataFrame, adm1: DataFrame, adm2: DataFrame, *, crs: str = G.WGS84,
+                   boundary_crs: str = G.WGS84, stage_mode: str | None = "checkpoint", level_step: int = 1,
+                   edges_per_band: int = 32) -> DataFrame:
+    """``enrich_postal`` from already joined records (id, country, postal_code,
+    geojson_data) -- the body of one chunk of the incremental load."""
+    parsed = parse_records(records)
     if crs.upper() != boundary_crs.upper():
         parsed = parsed.withColumn("geometry", G.to_crs(F.col("geometry"), crs, boundary_crs))
     parsed = stage(parsed, stage_mode)

@@ -14,7 +14,20 @@ from pyspark.sql import DataFrame
 from geoprep.session import ensure_checkpoint_dir
 
 
+def is_staged(df: DataFrame) -> bool:
+    """True when the frame is already a scan of checkpointed rows (no lineage to cut)."""
+    try:
+        plan = df._jdf.queryExecution().analyzed()
+        while plan.getClass().getSimpleName() in ("Project", "SubqueryAlias") and plan.children().size() == 1:
+            plan = plan.children().apply(0)
+        return plan.getClass().getSimpleName() in ("LogicalRDD", "InMemoryRelation")
+    except Exception:  # noqa: BLE001 - e.g. a Connect session: just stage
+        return False
+
+
 def stage(df: DataFrame, mode: str | None = "checkpoint") -> DataFrame:
+    if mode in ("checkpoint", "persist") and is_staged(df):
+        return df
     if mode == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
