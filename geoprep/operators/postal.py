@@ -51,7 +51,7 @@ def city_polygons(adm2: DataFrame) -> DataFrame:
 
 def enrich_postal(spr: DataFrame, geojson: DataFrame, adm1: DataFrame, adm2: DataFrame, *,
                   countries=POSTAL_COUNTRIES, crs: str = G.WGS84, boundary_crs: str = G.WGS84,
-                  stage_mode: str | None = "checkpoint", level_step: int = 1, edges_per_band: int = 32) -> DataFrame:
+                  stage_mode: str | None = "checkpoint", level_step: int = 2, edges_per_band: int = 32) -> DataFrame:
     """The postal table: country, state, city, postal_code, lat, lon, wkt_geometry.
 
     * every place meets the states its geometry intersects (closed test): a place on a
@@ -70,15 +70,15 @@ def enrich_postal(spr: DataFrame, geojson: DataFrame, adm1: DataFrame, adm2: Dat
 
 
 def enrich_records(records: DataFrame, adm1: DataFrame, adm2: DataFrame, *, crs: str = G.WGS84,
-                   boundary_crs: str = G.WGS84, stage_mode: str | None = "checkpoint", level_step: int = 1,
+                   boundary_crs: str = G.WGS84, stage_mode: str | None = "checkpoint", level_step: int = 2,
                    edges_per_band: int = 32) -> DataFrame:
     """``enrich_postal`` from already joined records (id, country, postal_code,
     geojson_data) -- the body of one chunk of the incremental load."""
     parsed = parse_records(records)
     if crs.upper() != boundary_crs.upper():
         parsed = parsed.withColumn("geometry", G.to_crs(F.col("geometry"), crs, boundary_crs))
-    parsed = stage(parsed, stage_mode)
-    kw = dict(level_step=level_step, edges_per_band=edges_per_band, stage_mode=stage_mode)
+    parsed, has_shapes = S._stage_left(parsed, "geometry", stage_mode)
+    kw = dict(level_step=level_step, edges_per_band=edges_per_band, stage_mode=stage_mode, has_shapes=has_shapes)
     states = S.match_table(parsed, state_polygons(adm1), **kw)
     cities = S.first_match_table(parsed, city_polygons(adm2),
                                  [F.isnull("__gadm_city"), F.col("__gadm_city"), F.col("__city_id")], **kw)

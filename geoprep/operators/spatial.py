@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoprep.functions import geometry as G
-from geoprep.operators.stage import stage
+from geoprep.operators.stage import stage, stage_with_metrics
 
 E_MIN, E_MAX = -30, 40
 _EDGE_ARRAY = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
@@ -86,7 +86,7 @@ def _between(v, a, b) -> Column:
     return (v >= F.least(a, b)) & (v <= F.greatest(a, b))
 
 
-def prepare_polygons(right: DataFrame, geom_col: str, rid_col: str, *, level_step: int = 1,
+def prepare_polygons(right: DataFrame, geom_col: str, rid_col: str, *, level_step: int = 2,
                      edges_per_band: int = 32) -> DataFrame:
     """Areal geometries -> one row per polygon with box, level, band grid and edges."""
     g = F.col(geom_col)
@@ -255,20 +255,29 @@ def _reverse_hits(pairs: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def intersecting_pairs(left: DataFrame, right: DataFrame, *, left_geom: str = "geometry",
-                       right_geom: str = "geometry", right_id: str = "__rid", level_step: int = 1,
-                       edges_per_band: int = 32, stage_mode: str | None = "checkpoint"):
+                       right_geom: str = "geometry", right_id: str = "__rid", level_step: int = 2,
+                       edges_per_band: int = 32, stage_mode: str | None = "checkpoint",
+                       has_shapes: bool | None = None):
     """Matches between the distinct geometries of ``left`` and the polygons of ``right``.
 
     Returns (point_pairs, shape_pairs): point_pairs(px, py, rid) for left points and
-    shape_pairs(gk, rid) for other left geometries (gk = the geometry itself).  The
-    prepared polygons are staged once (they feed the level list and four joins).
+    shape_pairs(gk, rid) for other left geometries (gk = the geometry itself), or None
+    when the left side has no other geometries (``has_shapes``; found out when not
+    given).  The prepared polygons are staged once; their grid levels are gathered by
+    the staging job itself.
     """
-    polys = stage(prepare_polygons(right, right_geom, right_id, level_step=level_step,
-                                   edges_per_band=edges_per_band), stage_mode)
-    b_levels = _levels(polys)
+    polys, m = stage_with_metrics(
+        prepare_polygons(right, right_geom, right_id, level_step=level_step, edges_per_band=edges_per_band),
+        stage_mode, {"levels": F.collect_set("lvl")})
+    b_levels = sorted(m["levels"] or [])
     g = F.col(left_geom)
     pts = left.where(g.isNotNull() & (g["kind"] == G.POINT)).select(
         G.point_x(g).alias("px"), G.point_y(g).alias("py"))
+    if has_shapes is None:
+        has_shapes = not left.where(g.isNotNull() & (g["kind"] != G.POINT)).isEmpty()
+    if not has_shapes:
+        probes = pts.where(F.col("px").isNotNull() & F.col("py").isNotNull()).distinct()
+        return points_in_polygons(probes, polys, b_levels), None
     shapes = left.where(g.isNotNull() & (g["kind"] != G.POINT)).select(g.alias("gk")).distinct()
     a = _prepare_left_shapes(shapes, level_step, edges_per_band)
     reps = a.select("gk", F.explode(_rep_vertices(F.col("gk"))).alias("v")).select(
@@ -282,6 +291,17 @@ def intersecting_pairs(left: DataFrame, right: DataFrame, *, left_geom: str = "g
     return hits, shape_pairs
 
 
+_NON_POINT = "__non_point_geometries"
+
+
+def _stage_left(left: DataFrame, left_geom: str, stage_mode):
+    """Stage the left side; count its non-point geometries in the same pass."""
+    g = F.col(left_geom)
+    staged, m = stage_with_metrics(left, stage_mode,
+                                   {_NON_POINT: F.count(F.when(g.isNotNull() & (g["kind"] != G.POINT), 1))})
+    return staged, bool(m[_NON_POINT])
+
+
 def _with_rid(right: DataFrame, right_id: str | None) -> DataFrame:
     if right_id is None:
         return right.withColumn("__rid", F.sha2(F.to_json(F.struct(*[F.col(c) for c in right.columns])), 256))
@@ -297,13 +317,17 @@ def _match_keys(left: DataFrame, left_geom: str) -> DataFrame:
         "__gk": F.when(g.isNotNull() & ~is_pt, g)})
 
 
-def _pairs(left, right, left_geom, right_geom, level_step, edges_per_band, stage_mode="checkpoint") -> DataFrame:
+def _pairs(left, right, left_geom, right_geom, level_step, edges_per_band, stage_mode="checkpoint",
+           has_shapes=None) -> DataFrame:
     """(__qx, __qy, __qg, __mrid): one row per (distinct left geometry, right polygon) hit."""
     point_pairs, shape_pairs = intersecting_pairs(left, right, left_geom=left_geom, right_geom=right_geom,
                                                   right_id="__rid", level_step=level_step,
-                                                  edges_per_band=edges_per_band, stage_mode=stage_mode)
+                                                  edges_per_band=edges_per_band, stage_mode=stage_mode,
+                                                  has_shapes=has_shapes)
     pairs = point_pairs.select(F.col("px").alias("__qx"), F.col("py").alias("__qy"),
                                F.lit(None).cast(G.GEOM).alias("__qg"), F.col("rid").alias("__mrid"))
+    if shape_pairs is None:
+        return pairs
     return pairs.unionByName(shape_pairs.select(
         F.lit(None).cast("double").alias("__qx"), F.lit(None).cast("double").alias("__qy"),
         F.col("gk").alias("__qg"), F.col("rid").alias("__mrid")))
@@ -327,7 +351,7 @@ def _check(left, right, right_geom, how, predicate):
 
 def spatial_join(left: DataFrame, right: DataFrame, *, how: str = "left", predicate: str = "intersects",
                  left_geom: str = "geometry", right_geom: str = "geometry", right_id: str | None = None,
-                 level_step: int = 1, edges_per_band: int = 32, stage_mode: str | None = "checkpoint") -> DataFrame:
+                 level_step: int = 2, edges_per_band: int = 32, stage_mode: str | None = "checkpoint") -> DataFrame:
     """``left`` rows with the columns of every ``right`` row whose polygon meets their geometry.
 
     A left row meeting n right rows gives n rows; with ``how="left"`` a row meeting none
@@ -338,9 +362,9 @@ def spatial_join(left: DataFrame, right: DataFrame, *, how: str = "left", predic
     staged once (``stage_mode``, see ``geoprep.operators.stage``).
     """
     _check(left, right, right_geom, how, predicate)
-    left = stage(left, stage_mode)
+    left, shapes = _stage_left(left, left_geom, stage_mode)
     right = _with_rid(right, right_id)
-    pairs = _pairs(left, right, left_geom, right_geom, level_step, edges_per_band, stage_mode)
+    pairs = _pairs(left, right, left_geom, right_geom, level_step, edges_per_band, stage_mode, shapes)
     joined = _join_back(_match_keys(left, left_geom), pairs, how)
     rcols = [c for c in right.columns if c not in (right_geom, "__rid")]
     rside = right.select(F.col("__rid").alias("__mrid"), *rcols)
@@ -349,7 +373,7 @@ def spatial_join(left: DataFrame, right: DataFrame, *, how: str = "left", predic
 
 
 def first_match(left: DataFrame, right: DataFrame, order, *, how: str = "left", left_geom: str = "geometry",
-                right_geom: str = "geometry", right_id: str | None = None, level_step: int = 1,
+                right_geom: str = "geometry", right_id: str | None = None, level_step: int = 2,
                 edges_per_band: int = 32, stage_mode: str | None = "checkpoint") -> DataFrame:
     """``left`` rows with the columns of ONE matching ``right`` row per distinct geometry:
     the first by ``order`` (columns of ``right``, ascending, nulls first -- wrap a column
@@ -359,9 +383,9 @@ def first_match(left: DataFrame, right: DataFrame, order, *, how: str = "left",
     map-side and does not sort a geometry's matches inside one task.
     """
     _check(left, right, right_geom, how, predicate="intersects")
-    left = stage(left, stage_mode)
+    left, shapes = _stage_left(left, left_geom, stage_mode)
     right = _with_rid(right, right_id)
-    pairs = _pairs(left, right, left_geom, right_geom, level_step, edges_per_band, stage_mode)
+    pairs = _pairs(left, right, left_geom, right_geom, level_step, edges_per_band, stage_mode, shapes)
     rcols = [c for c in right.columns if c not in (right_geom, "__rid")]
     rside = right.select(F.col("__rid").alias("__mrid"), F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)],
                                                                    F.struct(*rcols).alias("__row")).alias("__ord"))
@@ -371,13 +395,16 @@ def first_match(left: DataFrame, right: DataFrame, order, *, how: str = "left",
 
 
 def match_table(left: DataFrame, right: DataFrame, *, left_geom: str = "geometry", right_geom: str = "geometry",
-                right_id: str | None = None, level_step: int = 1, edges_per_band: int = 32,
-                stage_mode: str | None = "checkpoint") -> DataFrame:
+                right_id: str | None = None, level_step: int = 2, edges_per_band: int = 32,
+                stage_mode: str | None = "checkpoint", has_shapes: bool | None = None) -> DataFrame:
     """All (distinct left geometry, right row) hits as (__qx, __qy, __qg, <right columns>);
     join it to ``with_match_keys(left)`` with ``join_matches``."""
-    left = stage(left, stage_mode)
+    if has_shapes is None:
+        left, shapes = _stage_left(left, left_geom, stage_mode)
+    else:
+        left, shapes = stage(left, stage_mode), has_shapes
     right = _with_rid(right, right_id)
-    pairs = _pairs(left, right, left_geom, right_geom, level_step, edges_per_band, stage_mode)
+    pairs = _pairs(left, right, left_geom, right_geom, level_step, edges_per_band, stage_mode, shapes)
     rcols = [c for c in right.columns if c not in (right_geom, "__rid")]
     rside = right.select(F.col("__rid").alias("__mrid"), *rcols)
     return pairs.join(rside, "__mrid").drop("__mrid")

@@ -36,3 +36,19 @@ def stage(df: DataFrame, mode: str | None = "checkpoint") -> DataFrame:
     if mode in (None, "none"):
         return df
     raise ValueError(f"unknown stage mode {mode!r}")
+
+
+def stage_with_metrics(df: DataFrame, mode: str | None, metrics: dict):
+    """Stage ``df`` and compute aggregate ``metrics`` (name -> Column) in the same pass,
+    through an observation on the staging job.  When nothing is staged (already staged,
+    or no staging), the metrics come from one aggregate over the frame.  Returns
+    (frame, {name: value})."""
+    from pyspark.sql import Observation
+
+    if mode == "checkpoint" and not is_staged(df):
+        obs = Observation("stage_metrics")
+        staged = stage(df.observe(obs, *[c.alias(n) for n, c in metrics.items()]), mode)
+        return staged, dict(obs.get)
+    staged = stage(df, mode)
+    row = staged.agg(*[c.alias(n) for n, c in metrics.items()]).collect()[0]
+    return staged, row.asDict()

@@ -475,6 +475,18 @@ def p5_drop_columns(spark, d):
     return _places(spark, d).drop("geometry")
 
 
+@register("p6_lazy_scan_projection", _sql(FIX, body="""
+SELECT shapeGroup AS country_code FROM adm1_raw WHERE shapeName IS NOT NULL"""))
+def p6_lazy_scan_projection(spark, d):
+    """Select on a lazy scan of a written, partitioned table: only the partition column is
+    read (ReadSchema is empty; the values come from the directory names)."""
+    from geoprep.sources.tables import read_table, write_table
+    gadm1 = B.prepare_level(FX.adm1(spark, d), "ADM1")
+    path = _scratch(spark, "gadm1-lazy")
+    write_table(gadm1, path, partition_by=["country_code"])
+    return read_table(spark, path, columns=["country_code"], schema=gadm1.schema)
+
+
 @register("p7_aliased_sql_projection", _sql(FIX, body="""
 SELECT spr.id, spr.country, spr.name AS postal_code, geo.body AS geojson_data
 FROM spr JOIN geojson AS geo ON spr.id = geo.id WHERE spr.country IN ('USA', 'US')"""))
