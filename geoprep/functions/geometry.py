@@ -213,29 +213,38 @@ def wkt_number(c) -> Column:
             .otherwise(plain))
 
 
-def _ring_text(ring: Column) -> Column:
-    return F.array_join(F.transform(ring, lambda v: F.concat(wkt_number(v["x"]), F.lit(" "), wkt_number(v["y"]))), ", ")
-
-
-def _rings_text(rings: Column) -> Column:
-    return F.array_join(F.transform(rings, lambda r: F.concat(F.lit("("), _ring_text(r), F.lit(")"))), ", ")
+_WKT_PREFIX = {POINT: "POINT ", LINESTRING: "LINESTRING ", POLYGON: "POLYGON ", MULTIPOINT: "MULTIPOINT ",
+               MULTILINESTRING: "MULTILINESTRING ", MULTIPOLYGON: "MULTIPOLYGON "}
+_WKT_CACHE: dict = {}
+
+
+def _wkt_expr(g: Column) -> Column:
+    # vertex texts are built once; the kinds only differ in how rings and parts are joined
+    rings = F.transform(g["parts"], lambda p: F.transform(p, lambda r: F.concat(
+        F.lit("("), F.array_join(F.transform(r, lambda v: F.concat(wkt_number(v["x"]), F.lit(" "),
+                                                                   wkt_number(v["y"]))), ", "), F.lit(")"))))
+    kind = g["kind"]
+    first_rings = F.transform(rings, lambda p: p[0])
+    polys = F.transform(rings, lambda p: F.concat(F.lit("("), F.array_join(p, ", "), F.lit(")")))
+    body = (F.when(kind.isin(POINT, LINESTRING), rings[0][0])
+            .when(kind == POLYGON, polys[0])
+            .when(kind.isin(MULTIPOINT, MULTILINESTRING), F.concat(F.lit("("), F.array_join(first_rings, ", "), F.lit(")")))
+            .when(kind == MULTIPOLYGON, F.concat(F.lit("("), F.array_join(polys, ", "), F.lit(")"))))
+    prefix = F.create_map(*[F.lit(x) for kv in _WKT_PREFIX.items() for x in kv])
+    return F.when(g.isNotNull(), F.concat(F.try_element_at(prefix, kind), body))
 
 
 def to_wkt(geom) -> Column:
     """Geometry -> WKT text; null geometry -> null."""
-    g = _col(geom)
-    parts, kind = g["parts"], g["kind"]
-    first = parts[0]
-    body = (F.when(kind == POINT, F.concat(F.lit("POINT ("), _ring_text(first[0]), F.lit(")")))
-            .when(kind == LINESTRING, F.concat(F.lit("LINESTRING ("), _ring_text(first[0]), F.lit(")")))
-            .when(kind == POLYGON, F.concat(F.lit("POLYGON ("), _rings_text(first), F.lit(")")))
-            .when(kind == MULTIPOINT, F.concat(F.lit("MULTIPOINT ("), F.array_join(
-                F.transform(parts, lambda p: F.concat(F.lit("("), _ring_text(p[0]), F.lit(")"))), ", "), F.lit(")")))
-            .when(kind == MULTILINESTRING, F.concat(F.lit("MULTILINESTRING ("), F.array_join(
-                F.transform(parts, lambda p: F.concat(F.lit("("), _ring_text(p[0]), F.lit(")"))), ", "), F.lit(")")))
-            .when(kind == MULTIPOLYGON, F.concat(F.lit("MULTIPOLYGON ("), F.array_join(
-                F.transform(parts, lambda p: F.concat(F.lit("("), _rings_text(p), F.lit(")"))), ", "), F.lit(")"))))
-    return F.when(g.isNotNull(), body)
+    if isinstance(geom, str):
+        from pyspark import SparkContext
+
+        sc = SparkContext._active_spark_context
+        hit = _WKT_CACHE.get(geom)
+        if hit is None or hit[0] is not sc:     # the entry holds its context, so ids are not reused
+            hit = _WKT_CACHE[geom] = (sc, _wkt_expr(F.col(geom)))
+        return hit[1]
+    return _wkt_expr(geom)
 
 
 # ---------------------------------------------------------------------------------------

@@ -48,10 +48,25 @@ def _group_code(k: Column) -> Column:
             .otherwise(F.lit(None).cast("string")))
 
 
+_MAPS: dict = {}
+
+
+def _template_maps():
+    from pyspark import SparkContext
+
+    sc = SparkContext._active_spark_context
+    hit = _MAPS.get("maps")
+    if hit is None or hit[0] is not sc:
+        names = F.create_map(*[x for k, (name, _) in SHAPE_TEMPLATES.items() for x in (F.lit(k), F.lit(name))])
+        parts = F.create_map(*[x for k, (_, rings) in SHAPE_TEMPLATES.items()
+                               for x in (F.lit(k), G.literal_parts(rings))])
+        hit = _MAPS["maps"] = (sc, names, parts)
+    return hit[1], hit[2]
+
+
 def shape(kind: Column, x0: Column, y0: Column) -> Column:
     """Geometry of a template shape at offset (x0, y0): one map lookup and one shift."""
-    names = F.create_map(*[x for k, (name, _) in SHAPE_TEMPLATES.items() for x in (F.lit(k), F.lit(name))])
-    parts = F.create_map(*[x for k, (_, rings) in SHAPE_TEMPLATES.items() for x in (F.lit(k), G.literal_parts(rings))])
+    names, parts = _template_maps()
     return F.struct(F.element_at(names, kind.cast("int")).alias("kind"),
                     G.translate(F.element_at(parts, kind.cast("int")), x0, y0).alias("parts"))
 

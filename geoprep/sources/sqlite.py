@@ -286,7 +286,10 @@ def write_feature_files(df: DataFrame, directory: str, table: str, geometry_col:
 
         os.makedirs(directory, exist_ok=True)
         pid = TaskContext.get().partitionId()
-        path = os.path.join(directory, f"part-{pid:05d}-{uuid.uuid4().hex[:8]}.gpkg")
+        # write under a temporary name, then rename to the partition's fixed name: a retried
+        # or speculative attempt replaces the file instead of leaving a second copy
+        final = os.path.join(directory, f"part-{pid:05d}.gpkg")
+        path = f"{final}.{uuid.uuid4().hex[:8]}.tmp"
         con = sqlite3.connect(path)
         cols_sql = ", ".join([f'"{n}" {sql_type(t)}' for n, t in attrs] + ([f'"{geometry_col}" BLOB'] if has_geom else []))
         data_type = "features" if has_geom else "attributes"
@@ -322,6 +325,7 @@ def write_feature_files(df: DataFrame, directory: str, table: str, geometry_col:
             n += len(rows)
         con.commit()
         con.close()
-        yield pd.DataFrame({"path": [path], "rows": [n]})
+        os.replace(path, final)
+        yield pd.DataFrame({"path": [final], "rows": [n]})
 
     return df.mapInPandas(write, "path string, rows long")

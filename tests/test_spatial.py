@@ -131,3 +131,29 @@ def test_plan_has_no_cartesian_or_nested_loop(spark):
     plan = spatial_join(left, right, right_id="pid")._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_fixture_state_join_agrees_with_jts(spark):
+    """Independent geometry oracle: JTS (shipped with Spark) on the driver, for a sample of
+    the fixture places against every fixture state polygon (tests only)."""
+    from conftest import SF01
+    from geoprep.operators import postal as P
+    from geoprep.sources import fixtures as FX
+
+    jvm = spark.sparkContext._jvm
+    reader = jvm.org.locationtech.jts.io.WKTReader()
+    places = P.parse_records(P.gazetteer_records(FX.spr(spark, SF01), FX.geojson(spark, SF01)))
+    places = places.where(F.col("geometry").isNotNull()).orderBy("id").limit(300)
+    states = FX.adm1(spark, SF01).select(F.col("shapeID").alias("sid"), "geometry")
+    got = {(r["id"], r["sid"]) for r in spatial_join(places.select("id", "geometry"), states, right_id="sid").collect()
+           if r["sid"]}
+    pw = [(r["id"], r["wkt"]) for r in places.select("id", G.to_wkt("geometry").alias("wkt")).collect()]
+    sw = [(r["sid"], r["wkt"]) for r in states.select("sid", G.to_wkt("geometry").alias("wkt")).collect()]
+    sg = [(sid, reader.read(w)) for sid, w in sw]
+    want = set()
+    for pid, w in pw:
+        g = reader.read(w)
+        for sid, s in sg:
+            if g.intersects(s):
+                want.add((pid, sid))
+    assert got == want and len(want) > 250
