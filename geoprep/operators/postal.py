@@ -98,6 +98,13 @@ def mismatches(postal: DataFrame) -> DataFrame:
         "country", "state", "city", "postal_code")
 
 
+def mismatch_counts(postal: DataFrame) -> DataFrame:
+    """Per country: places without a state, without a city (F7 summary)."""
+    m = mismatches(postal)
+    return m.groupBy("country").agg(F.count(F.when(F.col("state").isNull(), 1)).alias("no_state"),
+                                     F.count(F.when(F.col("city").isNull(), 1)).alias("no_city"))
+
+
 def drop_null_island(df: DataFrame, geom_col: str = "geometry") -> DataFrame:
     """Drop point geometries at exactly (0, 0); other rows stay."""
     g = F.col(geom_col)

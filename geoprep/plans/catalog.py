@@ -929,3 +929,34 @@ def w6_parallel_jobs(spark, d):
     a = spark.read.parquet(post).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("postal").alias("product"), "rows")
     b = spark.read.parquet(bnd).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("boundaries").alias("product"), "rows")
     return a.unionByName(b)
+
+
+# =======================================================================================
+# §8 variants
+
+@register("q3_dev_level_spec", _sql(FIX, O.polygon_ctes("w2", "adm2_raw"), body="""
+SELECT shapeGroup AS country_code, replace(shapeName, ' ', '_') AS city, shapeID, shapeType AS gadm_level,
+       w.wkt AS wkt_geometry_city
+FROM adm2_raw a LEFT JOIN w2_wkt w ON w.rid = a.shapeID"""))
+def q3_dev_level_spec(spark, d):
+    """Development variant: keeps the level's WKT column and has no name filter (Q3)."""
+    from geoprep.spec import DEV_LEVELS
+    return B.prepare_level(FX.adm2(spark, d), DEV_LEVELS["ADM2"])
+
+
+@register("q2_country_map_all_levels", _sql(FIX, O.polygon_ctes("lv", "adm1_raw"), body=f"""
+SELECT {ADM0_MAP_SQL.format(c='shapeGroup')} AS country_code, replace(shapeName, ' ', '_') AS state, a.shapeID,
+       shapeType AS gadm_level, w.wkt AS wkt_geometry_state
+FROM adm1_raw a LEFT JOIN lv_wkt w ON w.rid = a.shapeID WHERE shapeName IS NOT NULL"""))
+def q2_country_map_all_levels(spark, d):
+    """The country-code map applied beyond ADM0 (Q2, parameter ``normalize_country``)."""
+    return B.prepare_level(FX.adm1(spark, d), "ADM1", normalize_country=True)
+
+
+@register("f7b_mismatch_counts", POSTAL_CTES + """
+SELECT country, CAST(count(*) FILTER (WHERE state IS NULL) AS BIGINT) AS no_state,
+       CAST(count(*) FILTER (WHERE city IS NULL) AS BIGINT) AS no_city
+FROM postal WHERE state IS NULL OR city IS NULL GROUP BY country""")
+def f7b_mismatch_counts(spark, d):
+    """Mismatch report summarised per country."""
+    return P.mismatch_counts(_postal(spark, d))
