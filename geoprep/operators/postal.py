@@ -69,18 +69,30 @@ def enrich_postal(spr: DataFrame, geojson: DataFrame, adm1: DataFrame, adm2: Dat
                           edges_per_band=edges_per_band)
 
 
-def enrich_records(records: DataFrame, adm1: DataFrame, adm2: DataFrame, *, crs: str = G.WGS84,
-                   boundary_crs: str = G.WGS84, stage_mode: str | None = "checkpoint", level_step: int = 2,
-                   edges_per_band: int = 32) -> DataFrame:
+def boundary_indexes(adm1: DataFrame, adm2: DataFrame, *, level_step: int = 2, edges_per_band: int = 32,
+                     stage_mode: str | None = "checkpoint") -> tuple:
+    """(state index, city index): the boundary polygons prepared once for many matches."""
+    kw = dict(level_step=level_step, edges_per_band=edges_per_band, stage_mode=stage_mode)
+    return S.index_polygons(state_polygons(adm1), **kw), S.index_polygons(city_polygons(adm2), **kw)
+
+
+def enrich_records(records: DataFrame, adm1: DataFrame | None = None, adm2: DataFrame | None = None, *,
+                   crs: str = G.WGS84, boundary_crs: str = G.WGS84, stage_mode: str | None = "checkpoint",
+                   level_step: int = 2, edges_per_band: int = 32, indexes: tuple | None = None) -> DataFrame:
     """``enrich_postal`` from already joined records (id, country, postal_code,
-    geojson_data) -- the body of one chunk of the incremental load."""
+    geojson_data) -- the body of one chunk of the incremental load.  ``indexes`` (from
+    ``boundary_indexes``) reuses prepared boundaries instead of preparing them again."""
     parsed = parse_records(records)
     if crs.upper() != boundary_crs.upper():
         parsed = parsed.withColumn("geometry", G.to_crs(F.col("geometry"), crs, boundary_crs))
     parsed, has_shapes = S._stage_left(parsed, "geometry", stage_mode)
-    kw = dict(level_step=level_step, edges_per_band=edges_per_band, stage_mode=stage_mode, has_shapes=has_shapes)
-    states = S.match_table(parsed, state_polygons(adm1), **kw)
-    cities = S.first_match_table(parsed, city_polygons(adm2),
+    if indexes is None:
+        indexes = boundary_indexes(adm1, adm2, level_step=level_step, edges_per_band=edges_per_band,
+                                   stage_mode=stage_mode)
+    state_idx, city_idx = indexes
+    kw = dict(stage_mode=stage_mode, has_shapes=has_shapes)
+    states = S.match_table(parsed, state_idx, **kw)
+    cities = S.first_match_table(parsed, city_idx,
                                  [F.isnull("__gadm_city"), F.col("__gadm_city"), F.col("__city_id")], **kw)
     keyed = S.with_match_keys(parsed)
     out = S.join_matches(S.join_matches(keyed, states), cities)

@@ -27,6 +27,8 @@ order of AND operands is not promised).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -254,22 +256,53 @@ def _reverse_hits(pairs: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
 # The operator
 
 
-def intersecting_pairs(left: DataFrame, right: DataFrame, *, left_geom: str = "geometry",
-                       right_geom: str = "geometry", right_id: str = "__rid", level_step: int = 2,
-                       edges_per_band: int = 32, stage_mode: str | None = "checkpoint",
+@dataclass
+class PolygonIndex:
+    """A right side prepared for joins: polygons with box, level, bands and edges (staged),
+    the grid levels in use, and the right rows' other columns keyed by ``__mrid``
+    (staged).  Build it once with ``index_polygons`` and reuse it, e.g. for every chunk of
+    an incremental load."""
+
+    polys: DataFrame
+    levels: list
+    attrs: DataFrame
+    columns: list
+    level_step: int
+    edges_per_band: int
+
+
+def _with_rid(right: DataFrame, right_id: str | None) -> DataFrame:
+    if right_id is None:
+        return right.withColumn("__rid", F.sha2(F.to_json(F.struct(*[F.col(c) for c in right.columns])), 256))
+    return right.withColumn("__rid", F.col(right_id).cast("string"))
+
+
+def index_polygons(right: DataFrame, *, right_geom: str = "geometry", right_id: str | None = None,
+                   level_step: int = 2, edges_per_band: int = 32,
+                   stage_mode: str | None = "checkpoint") -> PolygonIndex:
+    """Prepare the polygon side once.  ``right_id`` names a unique key of ``right``;
+    without one a SHA-256 of the whole row is the key, identical rows share it (their
+    polygon is indexed once) and each of them still matches."""
+    r = _with_rid(right, right_id)
+    prepared = prepare_polygons(r, right_geom, "__rid", level_step=level_step, edges_per_band=edges_per_band)
+    if right_id is None:
+        prepared = prepared.dropDuplicates(["rid"])
+    polys, m = stage_with_metrics(prepared, stage_mode, {"levels": F.collect_set("lvl")})
+    cols = [c for c in right.columns if c != right_geom]
+    attrs = stage(r.select(F.col("__rid").alias("__mrid"), *cols), stage_mode)
+    return PolygonIndex(polys, sorted(m["levels"] or []), attrs, cols, level_step, edges_per_band)
+
+
+def intersecting_pairs(left: DataFrame, index: PolygonIndex, *, left_geom: str = "geometry",
                        has_shapes: bool | None = None):
-    """Matches between the distinct geometries of ``left`` and the polygons of ``right``.
+    """Matches between the distinct geometries of ``left`` and the indexed polygons.
 
     Returns (point_pairs, shape_pairs): point_pairs(px, py, rid) for left points and
     shape_pairs(gk, rid) for other left geometries (gk = the geometry itself), or None
     when the left side has no other geometries (``has_shapes``; found out when not
-    given).  The prepared polygons are staged once; their grid levels are gathered by
-    the staging job itself.
+    given).
     """
-    polys, m = stage_with_metrics(
-        prepare_polygons(right, right_geom, right_id, level_step=level_step, edges_per_band=edges_per_band),
-        stage_mode, {"levels": F.collect_set("lvl")})
-    b_levels = sorted(m["levels"] or [])
+    polys, b_levels = index.polys, index.levels
     g = F.col(left_geom)
     pts = left.where(g.isNotNull() & (g["kind"] == G.POINT)).select(
         G.point_x(g).alias("px"), G.point_y(g).alias("py"))
@@ -279,7 +312,7 @@ def intersecting_pairs(left: DataFrame, right: DataFrame, *, left_geom: str = "g
         probes = pts.where(F.col("px").isNotNull() & F.col("py").isNotNull()).distinct()
         return points_in_polygons(probes, polys, b_levels), None
     shapes = left.where(g.isNotNull() & (g["kind"] != G.POINT)).select(g.alias("gk")).distinct()
-    a = _prepare_left_shapes(shapes, level_step, edges_per_band)
+    a = _prepare_left_shapes(shapes, index.level_step, index.edges_per_band)
     reps = a.select("gk", F.explode(_rep_vertices(F.col("gk"))).alias("v")).select(
         "gk", F.col("v.x").alias("px"), F.col("v.y").alias("py"))
     probes = pts.unionByName(reps.select("px", "py")).where(F.col("px").isNotNull() & F.col("py").isNotNull()).distinct()
@@ -302,12 +335,6 @@ def _stage_left(left: DataFrame, left_geom: str, stage_mode):
     return staged, bool(m[_NON_POINT])
 
 
-def _with_rid(right: DataFrame, right_id: str | None) -> DataFrame:
-    if right_id is None:
-        return right.withColumn("__rid", F.sha2(F.to_json(F.struct(*[F.col(c) for c in right.columns])), 256))
-    return right.withColumn("__rid", F.col(right_id).cast("string"))
-
-
 def _match_keys(left: DataFrame, left_geom: str) -> DataFrame:
     """Left rows with their join keys: (__px, __py) for points, __gk for other geometries."""
     g = F.col(left_geom)
@@ -317,13 +344,9 @@ def _match_keys(left: DataFrame, left_geom: str) -> DataFrame:
         "__gk": F.when(g.isNotNull() & ~is_pt, g)})
 
 
-def _pairs(left, right, left_geom, right_geom, level_step, edges_per_band, stage_mode="checkpoint",
-           has_shapes=None) -> DataFrame:
-    """(__qx, __qy, __qg, __mrid): one row per (distinct left geometry, right polygon) hit."""
-    point_pairs, shape_pairs = intersecting_pairs(left, right, left_geom=left_geom, right_geom=right_geom,
-                                                  right_id="__rid", level_step=level_step,
-                                                  edges_per_band=edges_per_band, stage_mode=stage_mode,
-                                                  has_shapes=has_shapes)
+def _pairs(left: DataFrame, index: PolygonIndex, left_geom: str, has_shapes=None) -> DataFrame:
+    """(__qx, __qy, __qg, __mrid): one row per (distinct left geometry, polygon) hit."""
+    point_pairs, shape_pairs = intersecting_pairs(left, index, left_geom=left_geom, has_shapes=has_shapes)
     pairs = point_pairs.select(F.col("px").alias("__qx"), F.col("py").alias("__qy"),
                                F.lit(None).cast(G.GEOM).alias("__qg"), F.col("rid").alias("__mrid"))
     if shape_pairs is None:
@@ -339,40 +362,44 @@ def _join_back(lk: DataFrame, pairs: DataFrame, how: str) -> DataFrame:
     return lk.join(pairs, cond, how).drop("__px", "__py", "__gk", "__qx", "__qy", "__qg")
 
 
-def _check(left, right, right_geom, how, predicate):
+def _index_of(right, right_geom, right_id, level_step, edges_per_band, stage_mode) -> PolygonIndex:
+    if isinstance(right, PolygonIndex):
+        return right
+    return index_polygons(right, right_geom=right_geom, right_id=right_id, level_step=level_step,
+                          edges_per_band=edges_per_band, stage_mode=stage_mode)
+
+
+def _check(left, index: PolygonIndex, how, predicate):
     if predicate != "intersects":
         raise ValueError("only the 'intersects' predicate is supported")
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
-    clash = (set(right.columns) - {right_geom}) & set(left.columns)
+    clash = set(index.columns) & set(left.columns)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}; rename them first")
 
 
-def spatial_join(left: DataFrame, right: DataFrame, *, how: str = "left", predicate: str = "intersects",
+def spatial_join(left: DataFrame, right, *, how: str = "left", predicate: str = "intersects",
                  left_geom: str = "geometry", right_geom: str = "geometry", right_id: str | None = None,
                  level_step: int = 2, edges_per_band: int = 32, stage_mode: str | None = "checkpoint") -> DataFrame:
     """``left`` rows with the columns of every ``right`` row whose polygon meets their geometry.
 
     A left row meeting n right rows gives n rows; with ``how="left"`` a row meeting none
     (or with a null geometry) is kept once with nulls on the right.  The right geometry
-    column is not returned.  ``right_id`` names a unique key of ``right``; without one, a
-    SHA-256 of the whole right row is used, so identical right rows each match.
-    The left side feeds three branches (points, other shapes, the join back), so it is
-    staged once (``stage_mode``, see ``geoprep.operators.stage``).
+    column is not returned.  ``right`` is a DataFrame or a ``PolygonIndex``.  The left
+    side feeds three branches (points, other shapes, the join back), so it is staged once
+    (``stage_mode``, see ``geoprep.operators.stage``).
     """
-    _check(left, right, right_geom, how, predicate)
+    index = _index_of(right, right_geom, right_id, level_step, edges_per_band, stage_mode)
+    _check(left, index, how, predicate)
     left, shapes = _stage_left(left, left_geom, stage_mode)
-    right = _with_rid(right, right_id)
-    pairs = _pairs(left, right, left_geom, right_geom, level_step, edges_per_band, stage_mode, shapes)
+    pairs = _pairs(left, index, left_geom, shapes)
     joined = _join_back(_match_keys(left, left_geom), pairs, how)
-    rcols = [c for c in right.columns if c not in (right_geom, "__rid")]
-    rside = right.select(F.col("__rid").alias("__mrid"), *rcols)
-    out = joined.join(rside, "__mrid", "left" if how == "left" else "inner")
-    return out.select(*left.columns, *rcols)
+    out = joined.join(index.attrs, "__mrid", "left" if how == "left" else "inner")
+    return out.select(*left.columns, *index.columns)
 
 
-def first_match(left: DataFrame, right: DataFrame, order, *, how: str = "left", left_geom: str = "geometry",
+def first_match(left: DataFrame, right, order, *, how: str = "left", left_geom: str = "geometry",
                 right_geom: str = "geometry", right_id: str | None = None, level_step: int = 2,
                 edges_per_band: int = 32, stage_mode: str | None = "checkpoint") -> DataFrame:
     """``left`` rows with the columns of ONE matching ``right`` row per distinct geometry:
@@ -382,41 +409,40 @@ def first_match(left: DataFrame, right: DataFrame, order, *, how: str = "left",
     The pick is an aggregate (``min`` of a struct) per distinct geometry, so it combines
     map-side and does not sort a geometry's matches inside one task.
     """
-    _check(left, right, right_geom, how, predicate="intersects")
+    index = _index_of(right, right_geom, right_id, level_step, edges_per_band, stage_mode)
+    _check(left, index, how, "intersects")
     left, shapes = _stage_left(left, left_geom, stage_mode)
-    right = _with_rid(right, right_id)
-    pairs = _pairs(left, right, left_geom, right_geom, level_step, edges_per_band, stage_mode, shapes)
-    rcols = [c for c in right.columns if c not in (right_geom, "__rid")]
-    rside = right.select(F.col("__rid").alias("__mrid"), F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)],
-                                                                   F.struct(*rcols).alias("__row")).alias("__ord"))
-    best = (pairs.join(rside, "__mrid").groupBy("__qx", "__qy", "__qg").agg(F.min("__ord").alias("__ord")))
+    best = _best(_pairs(left, index, left_geom, shapes).join(index.attrs, "__mrid"), index.columns, order)
     joined = _join_back(_match_keys(left, left_geom), best, how)
-    return joined.select(*left.columns, *[F.col("__ord.__row")[c].alias(c) for c in rcols])
+    return joined.select(*left.columns, *index.columns)
 
 
-def match_table(left: DataFrame, right: DataFrame, *, left_geom: str = "geometry", right_geom: str = "geometry",
+def _best(table: DataFrame, rcols: list, order) -> DataFrame:
+    ordered = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], F.struct(*rcols).alias("__row"))
+    best = table.groupBy("__qx", "__qy", "__qg").agg(F.min(ordered).alias("__ord"))
+    return best.select("__qx", "__qy", "__qg", *[F.col("__ord.__row")[c].alias(c) for c in rcols])
+
+
+def match_table(left: DataFrame, right, *, left_geom: str = "geometry", right_geom: str = "geometry",
                 right_id: str | None = None, level_step: int = 2, edges_per_band: int = 32,
                 stage_mode: str | None = "checkpoint", has_shapes: bool | None = None) -> DataFrame:
     """All (distinct left geometry, right row) hits as (__qx, __qy, __qg, <right columns>);
-    join it to ``with_match_keys(left)`` with ``join_matches``."""
+    join it to ``with_match_keys(left)`` with ``join_matches``.  ``right`` is a DataFrame
+    or a ``PolygonIndex``; ``has_shapes`` says whether the left side has non-point
+    geometries (found out when not given)."""
+    index = _index_of(right, right_geom, right_id, level_step, edges_per_band, stage_mode)
     if has_shapes is None:
-        left, shapes = _stage_left(left, left_geom, stage_mode)
+        left, has_shapes = _stage_left(left, left_geom, stage_mode)
     else:
-        left, shapes = stage(left, stage_mode), has_shapes
-    right = _with_rid(right, right_id)
-    pairs = _pairs(left, right, left_geom, right_geom, level_step, edges_per_band, stage_mode, shapes)
-    rcols = [c for c in right.columns if c not in (right_geom, "__rid")]
-    rside = right.select(F.col("__rid").alias("__mrid"), *rcols)
-    return pairs.join(rside, "__mrid").drop("__mrid")
+        left = stage(left, stage_mode)
+    return _pairs(left, index, left_geom, has_shapes).join(index.attrs, "__mrid").drop("__mrid")
 
 
-def first_match_table(left: DataFrame, right: DataFrame, order, **kw) -> DataFrame:
+def first_match_table(left: DataFrame, right, order, **kw) -> DataFrame:
     """One right row per distinct left geometry, the first by ``order`` (see ``first_match``)."""
     t = match_table(left, right, **kw)
     rcols = [c for c in t.columns if c not in ("__qx", "__qy", "__qg")]
-    ordered = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], F.struct(*rcols).alias("__row"))
-    best = t.groupBy("__qx", "__qy", "__qg").agg(F.min(ordered).alias("__ord"))
-    return best.select("__qx", "__qy", "__qg", *[F.col("__ord.__row")[c].alias(c) for c in rcols])
+    return _best(t, rcols, order)
 
 
 def with_match_keys(left: DataFrame, left_geom: str = "geometry") -> DataFrame:

@@ -33,6 +33,9 @@ COUNTRY_CODE_MAP = {
 POSTAL_COUNTRIES = ("USA", "US")
 # Postal output columns, in order.
 POSTAL_COLUMNS = ("country", "state", "city", "postal_code", "lat", "lon", "wkt_geometry")
+# Types of the postal columns.
+POSTAL_SCHEMA = ("country string, state string, city string, postal_code string, lat double, lon double, "
+                 "wkt_geometry string")
 # Partition columns of the postal table.
 POSTAL_PARTITIONS = ("country", "state", "city")
 # Key of the postal serving table: partition key (country, state, city), clustering postal_code.

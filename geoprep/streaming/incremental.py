@@ -17,18 +17,21 @@ first empty chunk (or after the first in test mode).  Here:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from geoprep.operators.postal import enrich_records
+from geoprep.operators.postal import boundary_indexes, enrich_records
 from geoprep.session import scratch_dir
 from geoprep.sources.tables import write_table
 from geoprep.spec import POSTAL_CHUNK_ROWS, POSTAL_PARTITIONS
 
 
 def stage_records(records: DataFrame, path: str, chunk_rows: int = POSTAL_CHUNK_ROWS) -> str:
-    """Write the joined records in id order as files of at most ``chunk_rows`` rows."""
-    (records.repartitionByRange(max(1, records.sparkSession.sparkContext.defaultParallelism), "id")
+    """Write the joined records in id order as files of about ``chunk_rows`` rows (at most
+    that many): one range partition per chunk, sized from the record count."""
+    n = records.count()
+    parts = max(1, -(-n // chunk_rows))
+    (records.repartitionByRange(parts, "id")
             .sortWithinPartitions("id")
             .write.mode("overwrite").option("maxRecordsPerFile", chunk_rows).parquet(path))
     return path
@@ -42,18 +45,17 @@ def chunked_load(spark: SparkSession, records_path: str, adm1: DataFrame, adm2:
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_chunk)
               .parquet(records_path))
     stats = {"chunks": 0, "rows": 0}
+    indexes = boundary_indexes(adm1, adm2, stage_mode=stage_mode)   # static side: prepared once
 
     def per_chunk(batch: DataFrame, batch_id: int) -> None:
         if max_chunks is not None and stats["chunks"] >= max_chunks:
             return
-        out = enrich_records(batch, adm1, adm2, stage_mode=stage_mode)
-        out = out.persist()
-        n = out.count()
-        if n:
-            write_table(out, target, mode="append", partition_by=partition_by)
-        out.unpersist()
+        out = enrich_records(batch, stage_mode=stage_mode, indexes=indexes)
+        obs = Observation(f"chunk_{batch_id}")
+        write_table(out.observe(obs, F.count(F.lit(1)).alias("rows")), target, mode="append",
+                    partition_by=partition_by)
         stats["chunks"] += 1
-        stats["rows"] += n
+        stats["rows"] += int(obs.get["rows"])
 
     q = (stream.writeStream.foreachBatch(per_chunk)
          .option("checkpointLocation", checkpoint or scratch_dir(spark, "postal-load-ckpt"))
