@@ -157,3 +157,23 @@ def test_fixture_state_join_agrees_with_jts(spark):
             if g.intersects(s):
                 want.add((pid, sid))
     assert got == want and len(want) > 250
+
+
+def test_hot_point_copies_keep_exact_multiplicity(spark):
+    """A third of all rows are copies of one point (on the shared border of A and B, so
+    each copy matches twice); results stay exact and whole."""
+    rnd = random.Random(11)
+    hot = [(i, 4.0, 2.0) for i in range(1500)]
+    rest = [(10_000 + i, rnd.randint(-8, 100) / 4.0, rnd.randint(-8, 28) / 4.0) for i in range(3000)]
+    pts = hot + rest
+    left = spark.createDataFrame(pts, "id long, x double, y double").select("id", G.point("x", "y").alias("geometry"))
+    right = _poly_df(spark, POLYS)
+    got = spatial_join(left, right, right_id="pid").where(F.col("pid").isNotNull()).groupBy("pid").count()
+    got = {r["pid"]: r["count"] for r in got.collect()}
+    parts = {pid: p for pid, _, kind, p in POLYS}
+    want = {}
+    for _, x, y in pts:
+        for pid, p in parts.items():
+            if _brute(x, y, p):
+                want[pid] = want.get(pid, 0) + 1
+    assert got == want and got["A"] >= 1500 and got["B"] >= 1500
