@@ -112,11 +112,6 @@ def _cells(df: DataFrame, level: Column, xmin="xmin", ymin="ymin", xmax="xmax",
               .withColumn("cy", F.explode(F.sequence(_cell(F.col(ymin), level), _cell(F.col(ymax), level)))))
 
 
-def _levels(df: DataFrame, col: str = "lvl") -> list:
-    """The distinct grid levels of a side: a bounded list (at most E_MAX - E_MIN + 1)."""
-    return sorted(r[0] for r in df.select(col).distinct().collect())
-
-
 def _edge_bands(polys: DataFrame) -> DataFrame:
     """(rid, band, x1, y1, x2, y2): every edge in every band its y-range touches."""
     e = polys.select("rid", "ymin", "hb", "nb", F.explode("edges").alias("e")).select(

@@ -10,7 +10,6 @@ from __future__ import annotations
 import time
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import InheritableThread  # noqa: F401  (threads below inherit job properties)
 from pyspark.sql import DataFrame, SparkSession
 
 from geoprep.operators.boundary import prepare_level

@@ -66,3 +66,13 @@ def test_chunked_load_equals_one_shot(spark, tmp_dir):
     # a rerun resumes from the checkpoint: nothing new to append
     again = chunked_load(spark, recs, adm1, adm2, f"{tmp_dir}/postal", checkpoint=f"{tmp_dir}/ckpt")
     assert again["chunks"] == 0
+
+
+def test_lookup_prunes_partitions(spark, tmp_dir):
+    from geoprep.operators.profile import lookup
+    df = prepare_level(FX.adm2(spark, SF001), "ADM2")
+    write_table(df, f"{tmp_dir}/g2", partition_by=["country_code", "city"])
+    found = lookup(read_back(spark, f"{tmp_dir}/g2", df), "USA", city="City_5", country_col="country_code")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    assert found.count() == df.where("country_code = 'USA' AND city = 'City_5'").count()
