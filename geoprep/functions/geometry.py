@@ -168,6 +168,22 @@ def parse_gazetteer_body(body) -> Column:
         F.lit(None).cast("string").alias("lat_text"), F.lit(None).cast("string").alias("lon_text")))
 
 
+_PARSE_CACHE: dict = {}
+
+
+def _parse_exprs():
+    """The coordinate-conversion expressions over the fixed helper columns, built once per
+    Spark context (they are large; building them costs more than analysing them)."""
+    from pyspark import SparkContext
+
+    sc = SparkContext._active_spark_context
+    hit = _PARSE_CACHE.get("exprs")
+    if hit is None or hit[0] is not sc:
+        hit = _PARSE_CACHE["exprs"] = (sc, _raw_parts(F.col("__gk"), F.col("__gz.geometry.coordinates")),
+                                       _valid_parts(F.col("__gp")))
+    return hit[1], hit[2]
+
+
 def parse_gazetteer(df, body_col: str):
     """Adds ``geometry``, ``city``, ``lat_text``, ``lon_text`` parsed from a gazetteer body.
 
@@ -177,10 +193,11 @@ def parse_gazetteer(df, body_col: str):
     Each step is its own projection, so no large expression is copied into several
     places of the plan.
     """
+    raw, valid = _parse_exprs()
     df = df.withColumn("__gz", F.from_json(F.col(body_col), GAZETTEER_BODY_SCHEMA))
     df = df.withColumn("__gk", F.col("__gz.geometry.type"))
-    df = df.withColumn("__gp", _raw_parts(F.col("__gk"), F.col("__gz.geometry.coordinates")))
-    df = df.withColumn("__gp", _valid_parts(F.col("__gp")))
+    df = df.withColumn("__gp", raw)
+    df = df.withColumn("__gp", valid)
     ok = F.col("__gp").isNotNull() & F.col("__gz.properties").isNotNull()
     df = df.withColumn("__ok", ok)
     props = F.col("__gz.properties")

@@ -7,6 +7,8 @@ records, which several branches of the plan read.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,7 +75,10 @@ def boundary_indexes(adm1: DataFrame, adm2: DataFrame, *, level_step: int = 2, e
                      stage_mode: str | None = "checkpoint") -> tuple:
     """(state index, city index): the boundary polygons prepared once for many matches."""
     kw = dict(level_step=level_step, edges_per_band=edges_per_band, stage_mode=stage_mode)
-    return S.index_polygons(state_polygons(adm1), **kw), S.index_polygons(city_polygons(adm2), **kw)
+    with ThreadPoolExecutor(2) as pool:      # two independent staging jobs, run side by side
+        states = pool.submit(S.index_polygons, state_polygons(adm1), **kw)
+        cities = pool.submit(S.index_polygons, city_polygons(adm2), **kw)
+        return states.result(), cities.result()
 
 
 def enrich_records(records: DataFrame, adm1: DataFrame | None = None, adm2: DataFrame | None = None, *,
@@ -85,10 +90,12 @@ def enrich_records(records: DataFrame, adm1: DataFrame | None = None, adm2: Data
     parsed = parse_records(records)
     if crs.upper() != boundary_crs.upper():
         parsed = parsed.withColumn("geometry", G.to_crs(F.col("geometry"), crs, boundary_crs))
-    parsed, has_shapes = S._stage_left(parsed, "geometry", stage_mode)
-    if indexes is None:
-        indexes = boundary_indexes(adm1, adm2, level_step=level_step, edges_per_band=edges_per_band,
-                                   stage_mode=stage_mode)
+    with ThreadPoolExecutor(2) as pool:      # gazetteer staging and boundary indexing are independent
+        staged = pool.submit(S._stage_left, parsed, "geometry", stage_mode)
+        if indexes is None:
+            indexes = pool.submit(boundary_indexes, adm1, adm2, level_step=level_step,
+                                  edges_per_band=edges_per_band, stage_mode=stage_mode).result()
+        parsed, has_shapes = staged.result()
     state_idx, city_idx = indexes
     kw = dict(stage_mode=stage_mode, has_shapes=has_shapes)
     states = S.match_table(parsed, state_idx, **kw)

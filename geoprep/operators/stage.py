@@ -46,7 +46,9 @@ def stage_with_metrics(df: DataFrame, mode: str | None, metrics: dict):
     from pyspark.sql import Observation
 
     if mode == "checkpoint" and not is_staged(df):
-        obs = Observation("stage_metrics")
+        import uuid
+
+        obs = Observation(f"stage_metrics_{uuid.uuid4().hex[:12]}")   # unique: jobs may run concurrently
         staged = stage(df.observe(obs, *[c.alias(n) for n, c in metrics.items()]), mode)
         return staged, dict(obs.get)
     staged = stage(df, mode)
