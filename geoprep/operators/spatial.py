@@ -166,7 +166,7 @@ def _prepare_left_shapes(shapes: DataFrame, level_step: int, edges_per_band: int
               .withColumn("areal", F.col("gk")["kind"].isin(*G.AREAL)))
 
 
-def _candidate_pairs(a: DataFrame, b: DataFrame, b_levels: list) -> DataFrame:
+def _candidate_pairs(a: DataFrame, b: DataFrame, b_levels: list, level_step: int = 1) -> DataFrame:
     """Box-overlap pairs (gk, rid) between left shapes ``a`` and polygons ``b``.
 
     A pair is found at exactly one level, max(level a, level b), in two equi joins:
@@ -188,7 +188,9 @@ def _candidate_pairs(a: DataFrame, b: DataFrame, b_levels: list) -> DataFrame:
     b_own = cells(bb, "b", F.col("lb"))
     j1 = a_up.join(b_own, ["L", "cx", "cy"])
     a_own = cells(ab, "a", F.col("la"))
-    b_up = cells(bb.withColumn("__L", F.explode(F.sequence(F.col("lb"), F.lit(E_MAX)))), "b", F.col("__L")).drop("__L")
+    top = level_step * -(-E_MAX // level_step)          # levels are multiples of level_step
+    b_up = cells(bb.withColumn("__L", F.explode(F.sequence(F.col("lb"), F.lit(top), F.lit(level_step)))),
+                 "b", F.col("__L")).drop("__L")
     j2 = a_own.join(b_up, ["L", "cx", "cy"])
     j = j1.unionByName(j2)
     j = j.where((F.col("axmin") <= F.col("bxmax")) & (F.col("bxmin") <= F.col("axmax")) &
@@ -313,7 +315,7 @@ def intersecting_pairs(left: DataFrame, index: PolygonIndex, *, left_geom: str =
     probes = pts.unionByName(reps.select("px", "py")).where(F.col("px").isNotNull() & F.col("py").isNotNull()).distinct()
     hits = points_in_polygons(probes, polys, b_levels)
     rep_pairs = reps.join(hits, ["px", "py"]).select("gk", "rid")
-    cand = _candidate_pairs(a, polys, b_levels)
+    cand = _candidate_pairs(a, polys, b_levels, index.level_step)
     shape_pairs = (rep_pairs.unionByName(_edge_hits(cand, a, polys))
                    .unionByName(_reverse_hits(cand, a, polys)).distinct())
     return hits, shape_pairs
