@@ -960,3 +960,20 @@ FROM postal WHERE state IS NULL OR city IS NULL GROUP BY country""")
 def f7b_mismatch_counts(spark, d):
     """Mismatch report summarised per country."""
     return P.mismatch_counts(_postal(spark, d))
+
+
+@register("k5b_upsert_state_table", _sql(FIX, O.polygon_ctes("lv", "adm1_raw"), body="""
+SELECT country_code, state, shapeID, gadm_level, wkt_geometry_state FROM (
+  SELECT shapeGroup AS country_code, replace(shapeName, ' ', '_') AS state, a.shapeID, shapeType AS gadm_level,
+         w.wkt AS wkt_geometry_state,
+         row_number() OVER (PARTITION BY shapeGroup, replace(shapeName, ' ', '_') ORDER BY a.shapeID DESC) AS rn
+  FROM adm1_raw a LEFT JOIN lv_wkt w ON w.rid = a.shapeID
+  WHERE shapeName IS NOT NULL AND shapeGroup IS NOT NULL) WHERE rn = 1"""))
+def k5b_upsert_state_table(spark, d):
+    """The shipped job's store step: ADM1 rows upserted into the state table keyed
+    (country_code, state), the row last by shapeID winning; null-key rows are rejected."""
+    from geoprep.operators.keyed import upsert
+    from geoprep.spec import LEVELS
+    rows = B.prepare_level(FX.adm1(spark, d), "ADM1")
+    table, _ = upsert(rows.limit(0), rows, list(LEVELS["ADM1"].key), ["shapeID"])
+    return table
