@@ -69,3 +69,23 @@ def test_reprojection_round_trip(spark):
     assert abs(rows[0]["mx"] - 1113194.9079327357) < 1e-6
     assert abs(rows[0]["my"] - 5621521.486192066) < 1e-6
     assert abs(rows[1]["bx"] + 120.25) < 1e-9 and abs(rows[1]["by"] + 33.5) < 1e-9
+
+
+def test_gpkg_geometry_codec():
+    import struct
+
+    from geoprep.sources.sqlite import decode_gpkg_geometry, encode_gpkg_geometry
+
+    shapes = [("Point", [[[(1.5, -2.0)]]]),
+              ("LineString", [[[(0.0, 0.0), (1.0, 2.0)]]]),
+              ("Polygon", [[[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 0.0)], [(1.0, 1.0), (2.0, 1.0), (1.0, 2.0), (1.0, 1.0)]]]),
+              ("MultiPoint", [[[(0.0, 0.0)]], [[(1.0, 1.0)]]]),
+              ("MultiPolygon", [[[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 0.0)]], [[(5.0, 5.0), (6.0, 5.0), (6.0, 6.0), (5.0, 5.0)]]])]
+    for kind, parts in shapes:
+        assert decode_gpkg_geometry(encode_gpkg_geometry(kind, parts)) == (kind, parts)
+    # big-endian ISO WKB point Z (1001) behind a header with an xy envelope (flags: envelope 1, LE header)
+    wkb = struct.pack(">BIddd", 0, 1001, 3.0, 4.0, 9.0)
+    blob = b"GP" + bytes([0, 0b00000011]) + struct.pack("<i", 4326) + struct.pack("<dddd", 3, 3, 4, 4) + wkb
+    assert decode_gpkg_geometry(blob) == ("Point", [[[(3.0, 4.0)]]])
+    empty = b"GP" + bytes([0, 0b00010001]) + struct.pack("<i", 4326) + struct.pack("<BIdd", 1, 1, 0.0, 0.0)
+    assert decode_gpkg_geometry(empty) is None and decode_gpkg_geometry(None) is None
