@@ -116,24 +116,111 @@ def insert_absent(target: DataFrame, new: DataFrame, keys, order_by=None) -> Dat
 def sequence_within(df: DataFrame, keys, order_by, *, partitions: int | None = None,
                     stage_mode: str | None = "checkpoint") -> DataFrame:
     """Adds ``seq`` = 1, 2, ... per key in ``order_by`` order, exact, without putting a
-    whole key into one task.
-
-    Rows are range-partitioned on (keys, order), so a large key is cut across several
-    partitions; a row's number is its rank inside its (key, partition) slice plus the row
-    counts of the key's earlier slices.  The partitioned rows are staged once so both
-    uses see the same cut.  ``keys`` + ``order_by`` should identify a row.
+    whole key into one task and without a shuffle after the sort.
+
+    1. Rows are range-partitioned on (keys, order) and sorted inside each partition, so a
+       large key is cut across several partitions; the result is staged so every later
+       read sees the same cut.
+    2. One pass per partition gives its first and last key with their row counts: a
+       summary of one row per partition (bounded by the partition count, not the data).
+       Only a partition's first key can continue from earlier partitions, so the carried
+       offsets come from that summary.
+    3. A second pass numbers rows in order inside each partition (``mapInPandas`` over
+       the sorted rows) and adds the carried offset to the partition's first key.
+    ``keys`` + ``order_by`` should identify a row (ties are numbered in stored order).
     """
     keys = list(keys)
     order = _cols(order_by)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = stage(df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
-                  .withColumn("__pid", F.spark_partition_id()), stage_mode)
-    local = cut.withColumn("__lrn", F.row_number().over(Window.partitionBy(*keys, "__pid").orderBy(*order)))
-    counts = cut.groupBy(*keys, "__pid").agg(F.count(F.lit(1)).alias("__cnt"))
-    w = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(w), F.lit(0)))
-    out = _join_null_safe(local, offsets.select(*keys, "__pid", "__off"), [*keys, "__pid"])
-    return out.withColumn("seq", (F.col("__off") + F.col("__lrn")).cast("long")).drop("__pid", "__lrn", "__off")
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kj = F.to_json(F.struct(*[F.col(k) for k in keys])) if keys else F.lit("{}")
+    packed, unpack = _pack_nested(df)
+    cut = stage(packed.withColumn("__kj", kj)
+                .repartitionByRange(n, *[F.col(k) for k in keys], *order)
+                .sortWithinPartitions(*[F.col(k) for k in keys], *order)
+                .withColumn("__pid", F.spark_partition_id()), stage_mode)
+    summary = cut.select("__pid", "__kj").mapInPandas(
+        _partition_summary, "pid int, first_key string, first_count long, last_key string, last_count long")
+    rows = sorted(summary.collect(), key=lambda r: r["pid"])
+    offsets, running_key, running = {}, None, 0
+    for r in rows:
+        offsets[r["pid"]] = (r["first_key"], running if r["first_key"] == running_key else 0)
+        if r["first_key"] == r["last_key"] and r["first_key"] == running_key:
+            running += r["last_count"]                 # the key fills this partition and continues
+        else:
+            running_key, running = r["last_key"], r["last_count"]
+    schema = T.StructType([f for f in cut.schema.fields if f.name not in ("__pid", "__kj")]
+                          + [T.StructField("seq", T.LongType())])
+    numbered = cut.mapInPandas(_number_rows(offsets), schema)
+    return unpack(numbered)
+
+
+def _pack_nested(df: DataFrame):
+    """Nested columns travel as JSON text through the pandas passes (ragged arrays do not
+    convert); returns (packed frame, function restoring the types)."""
+    nested = {f.name: f.dataType for f in df.schema.fields
+              if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))}
+    if not nested:
+        return df, (lambda out: out)
+    packed = df.withColumns({c: F.to_json(F.col(c)) for c in nested})
+    return packed, (lambda out: out.withColumns({c: F.from_json(F.col(c), t) for c, t in nested.items()}))
+
+
+def _leading_run(k: pd.Series, key) -> int:
+    ne = k.ne(key).to_numpy()
+    return int(ne.argmax()) if ne.any() else len(k)
+
+
+def _partition_summary(batches):
+    """One row per partition: first key and the length of its leading run, last key and
+    the length of its trailing run (vectorised per Arrow batch)."""
+    pid = first_key = last_key = None
+    first_count = last_count = 0
+    in_first = True
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        pid = int(pdf["__pid"].iloc[0])
+        k = pdf["__kj"]
+        if first_key is None:
+            first_key = k.iloc[0]
+        if in_first:
+            run = _leading_run(k, first_key)
+            first_count += run
+            in_first = run == len(k)
+        tail_key = k.iloc[-1]
+        tail = _leading_run(k.iloc[::-1], tail_key)
+        if tail == len(k) and tail_key == last_key:
+            last_count += tail
+        else:
+            last_key, last_count = tail_key, tail
+    if pid is not None:
+        yield pd.DataFrame({"pid": [pid], "first_key": [first_key], "first_count": [first_count],
+                            "last_key": [last_key], "last_count": [last_count]})
+
+
+def _number_rows(offsets: dict):
+    """Position of each row inside its key's run, plus what runs before it carried (from
+    the previous batch, or for a partition's first key from earlier partitions)."""
+    def fn(batches):
+        prev_key, prev_seq = None, 0
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            pid = int(pdf["__pid"].iloc[0])
+            k = pdf["__kj"]
+            run = k.ne(k.shift()).cumsum()
+            seq = run.groupby(run).cumcount().to_numpy(dtype="int64") + 1
+            lead = _leading_run(k, k.iloc[0])
+            if prev_key is not None:
+                carry = prev_seq if k.iloc[0] == prev_key else 0
+            else:
+                first_key, carried = offsets.get(pid, (None, 0))
+                carry = carried if k.iloc[0] == first_key else 0
+            seq[:lead] += carry
+            prev_key, prev_seq = k.iloc[-1], int(seq[-1])
+            yield pdf.drop(columns=["__pid", "__kj"]).assign(seq=seq)
+    return fn
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys) -> DataFrame:

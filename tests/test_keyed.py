@@ -90,3 +90,19 @@ def test_align_adds_missing_columns(spark):
     df = spark.createDataFrame([("US", "x")], "country_code string, extra string")
     out = K.align(df, "country_code string, state string")
     assert out.columns == ["country_code", "state"] and out.collect()[0]["state"] is None
+
+
+def test_sequence_within_across_small_arrow_batches(spark):
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        rows = [("hot" if i % 4 else f"k{i % 5}", i) for i in range(2000)]
+        df = spark.createDataFrame(rows, "k string, id long")
+        got = {r["id"]: r["seq"] for r in K.sequence_within(df, ["k"], ["id"], partitions=5).collect()}
+        want, seen = {}, {}
+        for k, i in sorted(rows, key=lambda r: (r[0], r[1])):
+            seen[k] = seen.get(k, 0) + 1
+            want[i] = seen[k]
+        assert got == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
