@@ -6,8 +6,8 @@ shuffled or (when AQE measures a side as small) broadcast hash join.
 Point x polygon (the common case):
 
 1. Polygons are cut into edges; each polygon gets a bounding box and a grid *level*: the
-   smallest power of two (in steps of ``level_step``) not below its extent, so its box
-   spans at most 2x2 cells of that level.  A huge polygon therefore never explodes into
+   smallest power of two (exponents in steps of ``level_step``) not below its extent, so
+   its box spans at most 2x2 cells of that level.  A huge polygon therefore never explodes into
    many cells, and a tiny one never sits in a coarse cell.
 2. Points are keyed by their cell at every level that occurs (a handful of levels);
    equi join on (level, cx, cy), then the box test -> candidate (point, polygon) pairs.
@@ -21,6 +21,11 @@ vertex of a part of A lies in B, or an edge of A meets an edge of B, or (A areal
 representative vertex of a part of B lies in A.  The first test reuses the point path;
 the other two run on candidate pairs from the same grid, through the same bands.
 
+The polygon side is prepared once into a ``PolygonIndex`` (staged; its grid levels are
+gathered by the staging job) and can be reused across joins and chunks.  The left side is
+staged once too (it feeds several branches); a count of its non-point geometries, taken
+in the same job, lets point-only inputs skip the shape path entirely.
+
 All arithmetic is division-free where a sign decides (ANSI mode raises on x/0, and the
 order of AND operands is not promised).
 """
