@@ -13,16 +13,23 @@ first empty chunk (or after the first in test mode).  Here:
    cannot;
 3. ``foreachBatch`` enriches the chunk with the same code as the one-shot job and
    appends it (K3).  ``max_chunks`` limits the run to the first chunks (T2).
+4. ``foreachBatch`` is at-least-once: after a chunk's append commits, a marker
+   ``_chunks/<batch id>`` is written in the table folder, and a replayed batch whose
+   marker exists is skipped (the batch id deduplicates, as the Structured Streaming
+   guide suggests).  The remaining window is a failure between the append's job commit
+   and the marker write.  Readers ignore ``_``-prefixed folders.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from geoprep.operators.postal import boundary_indexes, enrich_records
 from geoprep.session import scratch_dir
-from geoprep.sources.tables import write_table
+from geoprep.sources.tables import path_exists, write_table
 from geoprep.spec import POSTAL_CHUNK_ROWS, POSTAL_PARTITIONS
 
 
@@ -50,12 +57,18 @@ def chunked_load(spark: SparkSession, records_path: str, adm1: DataFrame, adm2:
     def per_chunk(batch: DataFrame, batch_id: int) -> None:
         if max_chunks is not None and stats["chunks"] >= max_chunks:
             return
+        marker = f"{target.rstrip('/')}/_chunks/{batch_id}"
+        if path_exists(spark, marker):        # a replayed micro-batch that was already appended
+            return
         out = enrich_records(batch, stage_mode=stage_mode, indexes=indexes)
-        obs = Observation(f"chunk_{batch_id}")
+        obs = Observation(f"chunk_{batch_id}_{uuid.uuid4().hex[:8]}")
         write_table(out.observe(obs, F.count(F.lit(1)).alias("rows")), target, mode="append",
                     partition_by=partition_by)
+        rows = int(obs.get["rows"])
+        spark.createDataFrame([(batch_id, rows)], "batch_id long, rows long").coalesce(1) \
+            .write.mode("overwrite").json(marker)
         stats["chunks"] += 1
-        stats["rows"] += int(obs.get["rows"])
+        stats["rows"] += rows
 
     q = (stream.writeStream.foreachBatch(per_chunk)
          .option("checkpointLocation", checkpoint or scratch_dir(spark, "postal-load-ckpt"))
