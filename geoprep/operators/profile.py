@@ -53,6 +53,12 @@ def estimated_bytes(df: DataFrame):
     return F.sum(row_bytes(df))
 
 
+def profile_metrics(df: DataFrame) -> list:
+    """Row count and content bytes as observation metrics."""
+    from geoprep.operators.keyed import row_bytes
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")]
+
+
 def profile(df: DataFrame, name: str = "profile"):
     """(observed frame, Observation): attach row count and content bytes to the next action
     on the frame, e.g. its write, so profiling costs no second pass (A7).  After the

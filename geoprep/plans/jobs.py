@@ -8,13 +8,14 @@ an observation on the write, so it costs no second pass over the data.
 from __future__ import annotations
 
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from geoprep.operators.boundary import prepare_level
 from geoprep.operators.keyed import split_rejects, upsert
-from geoprep.operators.profile import load_report, profile
+from geoprep.operators.profile import load_report, profile_metrics
 from geoprep.sources.tables import read_table, write_table
 from geoprep.spec import LEVELS, POSTAL_COLUMNS, POSTAL_KEY
 
@@ -28,8 +29,11 @@ def run_level(spark: SparkSession, raw: DataFrame | None, level: str, out_root:
     if raw is None:
         return {"level": level, "table": spec.table, "path": path, "status": "skipped"}
     t = time.perf_counter()
-    df, obs = profile(prepare_level(raw, spec, **prepare_kw), f"profile_{level}")
-    write_table(df, path, mode="overwrite", partition_by=spec.partition_by, fmt=fmt)
+    df = prepare_level(raw, spec, **prepare_kw)
+    obs = Observation(f"profile_{level}_{uuid.uuid4().hex[:8]}")
+    # observed on the write itself (after its range partitioning): no second pass
+    write_table(df, path, mode="overwrite", partition_by=spec.partition_by, fmt=fmt,
+                observe=(obs, profile_metrics(df)))
     m = obs.get
     rep = load_report(level, m["rows"], m["bytes"], time.perf_counter() - t)
     rep.update({"table": spec.table, "path": path, "status": "written"})

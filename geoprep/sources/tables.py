@@ -71,17 +71,20 @@ def prepare_for_write(df: DataFrame, partition_by=(), *, partitions: int | None
 
 def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_by=(), fmt: str = "parquet",
                 skip_empty: bool = False, spread_by=(), partitions: int | None = None,
-                options: dict | None = None) -> bool:
+                options: dict | None = None, observe: tuple | None = None) -> bool:
     """Write a (partitioned) table (K1, K2, K3).  ``mode`` must be 'overwrite' or 'append'
     (anything else raises, as the studied writer does); overwrite replaces the table
     (static partition overwrite, Spark's default).  Errors are raised, not swallowed
     (Q21).  With ``skip_empty`` an empty frame writes nothing (K14).  Returns whether
-    anything was written."""
+    anything was written.  ``observe`` = (Observation, [metric columns]) is attached after
+    the range partitioning, so the partitioner's sampling pass is not counted."""
     if mode not in WRITE_MODES:
         raise ValueError("Invalid mode: choose either 'overwrite' or 'append'.")
     if skip_empty and df.isEmpty():
         return False
     out = prepare_for_write(df, partition_by, spread_by=spread_by, partitions=partitions)
+    if observe is not None:
+        out = out.observe(observe[0], *observe[1])
     w = out.write.format(fmt).mode(mode).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)

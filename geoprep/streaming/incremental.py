@@ -62,8 +62,8 @@ def chunked_load(spark: SparkSession, records_path: str, adm1: DataFrame, adm2:
             return
         out = enrich_records(batch, stage_mode=stage_mode, indexes=indexes)
         obs = Observation(f"chunk_{batch_id}_{uuid.uuid4().hex[:8]}")
-        write_table(out.observe(obs, F.count(F.lit(1)).alias("rows")), target, mode="append",
-                    partition_by=partition_by)
+        write_table(out, target, mode="append", partition_by=partition_by,
+                    observe=(obs, [F.count(F.lit(1)).alias("rows")]))
         rows = int(obs.get["rows"])
         spark.createDataFrame([(batch_id, rows)], "batch_id long, rows long").coalesce(1) \
             .write.mode("overwrite").json(marker)

@@ -90,3 +90,12 @@ def test_replayed_chunks_are_not_appended_twice(spark, tmp_dir):
     again = chunked_load(spark, recs, adm1, adm2, f"{tmp_dir}/postal", checkpoint=f"{tmp_dir}/ckpt2")
     assert first["chunks"] >= 2 and again["chunks"] == 0
     assert spark.read.parquet(f"{tmp_dir}/postal").count() == n == first["rows"]
+
+
+def test_level_job_reports_the_written_rows_once(spark, tmp_dir):
+    from geoprep.plans.jobs import run_level
+    rep = run_level(spark, FX.adm1(spark, SF001), "ADM1", tmp_dir)
+    written = spark.read.parquet(rep["path"]).count()
+    assert rep["status"] == "written" and rep["rows"] == written > 0 and rep["mb"] > 0
+    skipped = run_level(spark, None, "ADM2", tmp_dir)
+    assert skipped["status"] == "skipped"
