@@ -177,3 +177,30 @@ def test_hot_point_copies_keep_exact_multiplicity(spark):
             if _brute(x, y, p):
                 want[pid] = want.get(pid, 0) + 1
     assert got == want and got["A"] >= 1500 and got["B"] >= 1500
+
+
+def test_random_polygons_agree_with_jts(spark):
+    import json
+
+    rnd = random.Random(23)
+    shapes = []
+    for i in range(120):
+        x, y = rnd.randint(-4, 96) / 4.0, rnd.randint(-4, 28) / 4.0
+        w, h = rnd.randint(0, 12) / 4.0, rnd.randint(0, 12) / 4.0
+        if i % 2:
+            ring = [[x, y], [x + w, y], [x + w, y + h], [x, y + h], [x, y]]
+        else:
+            ring = [[x, y], [x + w, y], [x + w / 2, y + h], [x, y]]
+        shapes.append((f"r{i}", json.dumps({"type": "Polygon", "coordinates": [ring]})))
+    left = G.parse_gazetteer(spark.createDataFrame(shapes, "sid string, gj string").withColumn(
+        "body", F.concat(F.lit('{"geometry":'), "gj", F.lit(',"properties":{}}'))), "body").select("sid", "geometry")
+    right = _poly_df(spark, POLYS)
+    got = {(r["sid"], r["pid"]) for r in spatial_join(left, right, right_id="pid").collect() if r["pid"]}
+    reader = spark.sparkContext._jvm.org.locationtech.jts.io.WKTReader()
+    lw = [(r["sid"], reader.read(r["w"])) for r in left.select("sid", G.to_wkt("geometry").alias("w")).collect()]
+    rw = [(r["pid"], reader.read(r["w"])) for r in right.select("pid", G.to_wkt("geometry").alias("w")).collect()]
+    # a collapsed (zero-area, invalid) polygon is taken as the point set of its edges;
+    # JTS does not define intersects on invalid input, so compare those with its boundary
+    want = {(a, b) for a, ga in lw for b, gb in rw
+            if (ga.intersects(gb) if ga.isValid() else ga.getBoundary().intersects(gb))}
+    assert got == want and len(want) > 30
