@@ -977,3 +977,19 @@ def k5b_upsert_state_table(spark, d):
     rows = B.prepare_level(FX.adm1(spark, d), "ADM1")
     table, _ = upsert(rows.limit(0), rows, list(LEVELS["ADM1"].key), ["shapeID"])
     return table
+
+
+@register("w1_load_level_cached", ADM1_SQL)
+def w1_load_level_cached(spark, d):
+    """The boundary job's load step: GeoPackage files read through the cache (the second
+    load is a cache hit), then the level prepared."""
+    from geoprep.operators.cache import FrameCache
+    from geoprep.plans.jobs import load_boundaries
+    from geoprep.sources.sqlite import write_feature_files
+    folder = _scratch(spark, "adm1-gpkg")
+    write_feature_files(FX.adm1(spark, d), folder, "adm1").collect()
+    cache = FrameCache(ttl_minutes=15)
+    first = load_boundaries(spark, folder, table="adm1", cache=cache)
+    again = load_boundaries(spark, folder, table="adm1", cache=cache)
+    assert again is first and load_boundaries(spark, folder + "-missing", cache=cache) is None
+    return B.prepare_level(again, "ADM1")

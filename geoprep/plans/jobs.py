@@ -20,6 +20,37 @@ from geoprep.sources.tables import read_table, write_table
 from geoprep.spec import LEVELS, POSTAL_COLUMNS, POSTAL_KEY
 
 
+def load_boundaries(spark: SparkSession, path: str, *, table: str | None = None, cache=None,
+                    columns=None):
+    """Boundary features of one level (S1, S2, C1, C2): the cached frame when the cache
+    holds a fresh one under ``gadm_<path>``, else the file read (GeoPackage/SQLite through
+    the gpkg source, anything else through ``spark.read``) and stored in the cache; a
+    missing source gives None (the level is skipped)."""
+    from geoprep.sources.sqlite import read_features
+    from geoprep.sources.tables import path_exists
+
+    key = f"gadm_{path}"
+    if cache is not None:
+        hit = cache.get(key)
+        if hit is not None:
+            return hit
+    local = path[len("file:"):] if path.startswith("file:") else path
+    if not path_exists(spark, path):
+        return None
+    if local.endswith((".gpkg", ".sqlite", ".db")) or _has_feature_files(local):
+        df = read_features(spark, local, table=table, columns=columns)
+    else:
+        df = read_table(spark, path, columns=columns)
+    return cache.set(key, df) if cache is not None else df
+
+
+def _has_feature_files(path: str) -> bool:
+    import glob
+    import os
+
+    return os.path.isdir(path) and bool(glob.glob(os.path.join(path, "*.gpkg")))
+
+
 def run_level(spark: SparkSession, raw: DataFrame | None, level: str, out_root: str, *, fmt: str = "parquet",
               **prepare_kw) -> dict:
     """Prepare one level, write it partitioned per its spec, report rows/MB/seconds.
@@ -66,4 +97,4 @@ def run_parallel(jobs: dict, max_workers: int | None = None) -> dict:
         return {name: f.result() for name, f in futures.items()}
 
 
-__all__ = ["run_level", "run_all_levels", "serve_postal", "run_parallel", "split_rejects"]
+__all__ = ["load_boundaries", "run_level", "run_all_levels", "serve_postal", "run_parallel", "split_rejects"]
