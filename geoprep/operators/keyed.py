@@ -131,12 +131,13 @@ def sequence_within(df: DataFrame, keys, order_by, *, partitions: int | None = N
     """
     keys = list(keys)
     order = _cols(order_by)
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     kj = F.to_json(F.struct(*[F.col(k) for k in keys])) if keys else F.lit("{}")
     packed, unpack = _pack_nested(df)
-    cut = stage(packed.withColumn("__kj", kj)
-                .repartitionByRange(n, *[F.col(k) for k in keys], *order)
+    range_cols = [F.col(k) for k in keys] + order
+    cut_rows = packed.withColumn("__kj", kj)
+    cut_rows = (cut_rows.repartitionByRange(partitions, *range_cols) if partitions
+                else cut_rows.repartitionByRange(*range_cols))     # AQE may merge adjacent ranges
+    cut = stage(cut_rows
                 .sortWithinPartitions(*[F.col(k) for k in keys], *order)
                 .withColumn("__pid", F.spark_partition_id()), stage_mode)
     summary = cut.select("__pid", "__kj").mapInPandas(
@@ -327,6 +328,6 @@ def cluster_order(df: DataFrame, cluster_key, descending_col: str, partitions: i
     (K15, ``CLUSTERING ORDER BY (timestamp DESC)``).  Range partitioning on both columns
     cuts a hot key across partitions instead of loading it into one."""
     keys = [cluster_key] if isinstance(cluster_key, str) else list(cluster_key)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartitionByRange(n, *[F.col(k) for k in keys], F.col(descending_col).desc())
-              .sortWithinPartitions(*keys, F.col(descending_col).desc()))
+    cols = [F.col(k) for k in keys] + [F.col(descending_col).desc()]
+    laid = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    return laid.sortWithinPartitions(*keys, F.col(descending_col).desc())

@@ -61,12 +61,13 @@ def prepare_for_write(df: DataFrame, partition_by=(), *, partitions: int | None
     if not partition_by:
         return df
     df = df.withColumns({c: empty_to_null(c) for c in partition_by if dict(df.dtypes)[c] == "string"})
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Range bounds are key values, so a partition value holding a third of all rows would
     # stay in one task; a deterministic row hash after the partition columns cuts it into
-    # several ranges (and stays the same when a task is retried).
+    # several ranges (and stays the same when a task is retried).  Without an explicit
+    # count AQE may merge adjacent small ranges (no flood of tiny files on small data).
     spread = [F.col(c) for c in spread_by] or [F.xxhash64(*[F.col(c) for c in df.columns])]
-    return df.repartitionByRange(n, *[F.col(c) for c in partition_by], *spread)
+    cols = [F.col(c) for c in partition_by] + spread
+    return df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
 
 
 def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_by=(), fmt: str = "parquet",
