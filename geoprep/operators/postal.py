@@ -42,8 +42,12 @@ def parse_records(records: DataFrame, body_col: str = "geojson_data") -> DataFra
 
 
 def state_polygons(adm1: DataFrame) -> DataFrame:
-    """Only the name and the geometry of the state level, name as ``state``."""
-    return adm1.select(F.col("shapeName").alias("state"), "geometry")
+    """Only the name and the geometry of the state level, name as ``state`` (S6); the
+    feature id rides along (hidden) as the polygon key when the level has one."""
+    cols = [F.col("shapeName").alias("state"), "geometry"]
+    if "shapeID" in adm1.columns:
+        cols.append(F.col("shapeID").alias("__state_id"))
+    return adm1.select(*cols)
 
 
 def city_polygons(adm2: DataFrame) -> DataFrame:
@@ -75,9 +79,14 @@ def boundary_indexes(adm1: DataFrame, adm2: DataFrame, *, level_step: int = 2, e
                      stage_mode: str | None = "checkpoint") -> tuple:
     """(state index, city index): the boundary polygons prepared once for many matches."""
     kw = dict(level_step=level_step, edges_per_band=edges_per_band, stage_mode=stage_mode)
+    st, ct = state_polygons(adm1), city_polygons(adm2)
+    # the feature ids (unique per feature, like a row index) key the polygons; without
+    # them a hash of the whole row does
+    st_id = "__state_id" if "__state_id" in st.columns else None
+    ct_id = "__city_id" if "__city_id" in ct.columns and "shapeID" in adm2.columns else None
     with ThreadPoolExecutor(2) as pool:      # two independent staging jobs, run side by side
-        states = pool.submit(S.index_polygons, state_polygons(adm1), **kw)
-        cities = pool.submit(S.index_polygons, city_polygons(adm2), **kw)
+        states = pool.submit(S.index_polygons, st, right_id=st_id, **kw)
+        cities = pool.submit(S.index_polygons, ct, right_id=ct_id, **kw)
         return states.result(), cities.result()
 
 
