@@ -106,3 +106,14 @@ def test_sequence_within_across_small_arrow_batches(spark):
         assert got == want
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_sequence_within_keeps_nested_columns(spark):
+    from geoprep.sources import fixtures as FX
+    from conftest import SF001
+    adm1 = FX.adm1(spark, SF001)
+    out = K.sequence_within(adm1, ["shapeGroup"], ["shapeID"])
+    assert dict(out.dtypes)["geometry"] == dict(adm1.dtypes)["geometry"]
+    got = {r["shapeID"]: r["geometry"] for r in out.collect()}
+    want = {r["shapeID"]: r["geometry"] for r in adm1.collect()}
+    assert got == want
