@@ -347,9 +347,31 @@ def k8_fixed_count_batches(spark, d):
     return plan.select("o_orderkey", "o_custkey", "batch_no")
 
 
-@register("k9_byte_bounded_batches")
+_K9_SQL = _sql(FIX, O.polygon_ctes("lv", "adm1_raw"), body="""
+, rows_ AS (
+  SELECT shapeGroup AS country_code, replace(shapeName, ' ', '_') AS state, a.shapeID,
+         CAST(coalesce(strlen(shapeGroup), 0) + coalesce(strlen(replace(shapeName, ' ', '_')), 0)
+              + coalesce(strlen(a.shapeID), 0) + coalesce(strlen(shapeType), 0) + coalesce(strlen(w.wkt), 0)
+              AS BIGINT) AS b
+  FROM adm1_raw a LEFT JOIN lv_wkt w ON w.rid = a.shapeID WHERE shapeName IS NOT NULL),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY country_code ORDER BY state, shapeID) AS seq FROM rows_),
+greedy AS (
+  SELECT country_code, seq, CAST(0 AS BIGINT) AS batch, b AS used, b FROM ordered WHERE seq = 1
+  UNION ALL
+  SELECT o.country_code, o.seq,
+         CASE WHEN g.used + o.b > 1024 THEN g.batch + 1 ELSE g.batch END,
+         CASE WHEN g.used + o.b > 1024 THEN o.b ELSE g.used + o.b END, o.b
+  FROM greedy g JOIN ordered o ON o.country_code IS NOT DISTINCT FROM g.country_code AND o.seq = g.seq + 1)
+SELECT country_code, batch AS batch_no, CAST(count(*) AS BIGINT) AS rows, CAST(sum(b) AS BIGINT) AS bytes
+FROM greedy GROUP BY country_code, batch""")
+# DuckDB needs the RECURSIVE keyword on the WITH clause
+_K9_SQL = _K9_SQL.replace("WITH ", "WITH RECURSIVE ", 1).replace("\n\n, rows_ AS", ",\nrows_ AS")
+
+
+@register("k9_byte_bounded_batches", _K9_SQL)
 def k9_byte_bounded_batches(spark, d):
-    """No SQL oracle (greedy, sequential); checked against a brute force in tests."""
+    """Greedy byte-bounded batches of the state table (1 KB limit), per country code."""
     from geoprep.operators.keyed import batch_plan_bytes, batch_summary
     gadm1 = B.prepare_level(FX.adm1(spark, d), "ADM1")
     plan = batch_plan_bytes(gadm1, ["country_code"], ["state", "shapeID"], max_bytes=1024)
