@@ -25,8 +25,36 @@ def is_staged(df: DataFrame) -> bool:
         return False
 
 
+def is_plain_scan(df: DataFrame) -> bool:
+    """True when the frame only reads a table: filters and column selections/renames over
+    a file scan.  Re-reading it costs what reading a staged copy would, and its plan is
+    small, so staging it would only copy the input."""
+    try:
+        plan = df._jdf.queryExecution().analyzed()
+        while True:
+            name = plan.getClass().getSimpleName()
+            if name == "Project":
+                exprs = plan.projectList()
+                for i in range(exprs.size()):
+                    e = exprs.apply(i)
+                    kind = e.getClass().getSimpleName()
+                    if kind == "Alias":
+                        kind = e.child().getClass().getSimpleName()
+                    if kind != "AttributeReference":
+                        return False
+            elif name not in ("Filter", "SubqueryAlias"):
+                return name in ("LogicalRelation", "LogicalRDD", "InMemoryRelation")
+            if plan.children().size() != 1:
+                return False
+            plan = plan.children().apply(0)
+    except Exception:  # noqa: BLE001
+        return False
+
+
 def stage(df: DataFrame, mode: str | None = "checkpoint") -> DataFrame:
-    if mode in ("checkpoint", "persist") and is_staged(df):
+    """Materialise ``df`` once (see module doc); a frame that is already staged or only
+    reads a table is returned as it is."""
+    if mode in ("checkpoint", "persist") and (is_staged(df) or is_plain_scan(df)):
         return df
     if mode == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
@@ -45,7 +73,7 @@ def stage_with_metrics(df: DataFrame, mode: str | None, metrics: dict):
     (frame, {name: value})."""
     from pyspark.sql import Observation
 
-    if mode == "checkpoint" and not is_staged(df):
+    if mode == "checkpoint" and not is_staged(df) and not is_plain_scan(df):
         import uuid
 
         obs = Observation(f"stage_metrics_{uuid.uuid4().hex[:12]}")   # unique: jobs may run concurrently

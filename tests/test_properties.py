@@ -27,3 +27,16 @@ def test_entry_runs_with_a_stable_schema(spark):
     assert df.columns == ["country", "state", "city", "postal_code", "lat", "lon", "wkt_geometry"]
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_plain_table_reads_are_not_copied_by_staging(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from geoprep.operators.stage import is_plain_scan, stage
+    spark.range(10).write.parquet(f"{tmp_dir}/t")
+    scan = spark.read.parquet(f"{tmp_dir}/t").where("id > 2").select(F.col("id").alias("k"))
+    assert is_plain_scan(scan) and stage(scan) is scan
+    computed = scan.withColumn("j", F.col("k") * 2)
+    assert not is_plain_scan(computed)
+    staged = stage(computed)
+    assert staged is not computed and staged.count() == 7
