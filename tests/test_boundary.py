@@ -34,3 +34,9 @@ def test_combined_hierarchy_keeps_deepest_level(spark):
 def test_empty_input_gives_empty_output(spark):
     raw = FX.adm1(spark, SF001).where("false")
     assert prepare_level(raw, "ADM1").count() == 0
+
+
+def test_null_geometry_gives_null_wkt(spark):
+    raw = FX.adm1(spark, SF001).withColumn("geometry", F.when(F.col("shapeID") == "S1", F.lit(None)).otherwise(F.col("geometry")))
+    out = {r["shapeID"]: r["wkt_geometry_state"] for r in prepare_level(raw, "ADM1").collect()}
+    assert out["S1"] is None and out["S2"].startswith("MULTIPOLYGON")

@@ -117,3 +117,17 @@ def test_sequence_within_keeps_nested_columns(spark):
     got = {r["shapeID"]: r["geometry"] for r in out.collect()}
     want = {r["shapeID"]: r["geometry"] for r in adm1.collect()}
     assert got == want
+
+
+def test_upsert_with_an_empty_batch_keeps_the_table(spark):
+    target = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    merged, rejected = K.upsert(target, target.limit(0), ["k"], ["v"])
+    assert sorted(map(tuple, merged.collect())) == [("a", 1), ("b", 2)] and rejected.count() == 0
+
+
+def test_rows_exactly_filling_a_batch(spark):
+    # every payload is 10 bytes + 8 for the id: four rows make exactly 72 bytes
+    df = spark.createDataFrame([("k", i, "x" * 10) for i in range(8)], "k string, id long, p string")
+    plan = K.batch_plan_bytes(df.drop("k").withColumn("k", F.lit("")), ["k"], ["id"], max_bytes=72)
+    sizes = sorted((r["batch_no"], r["rows"], r["bytes"]) for r in K.batch_summary(plan, ["k"]).collect())
+    assert sizes == [(0, 4, 72), (1, 4, 72)]
