@@ -80,7 +80,7 @@ geojson AS (
          WHEN id % 50 = 31 THEN '{{"geometry":{{"type":"Point","coordinates":[' || CAST(lon AS VARCHAR) || ','
                                || CAST(lat AS VARCHAR) || ']}}}}'
          ELSE '{{"geometry":' ||
-              CASE WHEN id % 50 = 37 THEN
+              CASE WHEN id % 50 = 36 THEN
                 '{{"type":"Polygon","coordinates":[[' ||
                 '[' || CAST(lon AS VARCHAR) || ',' || CAST(lat AS VARCHAR) || '],' ||
                 '[' || CAST(lon + 0.5 AS VARCHAR) || ',' || CAST(lat AS VARCHAR) || '],' ||

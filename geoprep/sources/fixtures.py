@@ -141,7 +141,7 @@ def geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(",", *[F.concat(F.lit("["), _str(lon + dx), F.lit(","), _str(lat + dy), F.lit("]"))
                            for dx, dy in ((0, 0), (d, 0), (d, d), (0, d), (0, 0))]),
         F.lit("]]}"))
-    geom = F.when(c % 50 == 37, square).otherwise(point)
+    geom = F.when(c % 50 == 36, square).otherwise(point)
     loc = (F.when(c % 6 == 0, F.concat(F.lit('"mz:postal_locality":"Old  Town '), _str(c % 9), F.lit('",')))
            .when(c % 3 == 0, F.concat(F.lit('"mz:postal_locality":"Old Town '), _str(c % 9), F.lit('",')))
            .otherwise(F.lit("")))
