@@ -106,10 +106,22 @@ def enrich_records(records: DataFrame, adm1: DataFrame | None = None, adm2: Data
                                   edges_per_band=edges_per_band, stage_mode=stage_mode).result()
         parsed, has_shapes = staged.result()
     state_idx, city_idx = indexes
-    kw = dict(stage_mode=stage_mode, has_shapes=has_shapes)
-    states = S.match_table(parsed, state_idx, **kw)
+    # polygon places are prepared once per grid setting (once for both matches by default)
+    prepared = {}
+    if has_shapes:
+        for idx in (state_idx, city_idx):
+            grid = (idx.level_step, idx.edges_per_band)
+            if grid not in prepared:
+                prepared[grid] = S.prepare_left_shapes(parsed, level_step=grid[0], edges_per_band=grid[1],
+                                                       stage_mode=stage_mode)
+
+    def kw(idx):
+        return dict(stage_mode=stage_mode, has_shapes=has_shapes,
+                    left_shapes=prepared.get((idx.level_step, idx.edges_per_band)))
+
+    states = S.match_table(parsed, state_idx, **kw(state_idx))
     cities = S.first_match_table(parsed, city_idx,
-                                 [F.isnull("__gadm_city"), F.col("__gadm_city"), F.col("__city_id")], **kw)
+                                 [F.isnull("__gadm_city"), F.col("__gadm_city"), F.col("__city_id")], **kw(city_idx))
     keyed = S.with_match_keys(parsed)
     out = S.join_matches(S.join_matches(keyed, states), cities)
     out = out.withColumns({

@@ -295,8 +295,17 @@ def index_polygons(right: DataFrame, *, right_geom: str = "geometry", right_id:
     return PolygonIndex(polys, sorted(m["levels"] or []), attrs, cols, level_step, edges_per_band)
 
 
+def prepare_left_shapes(left: DataFrame, *, left_geom: str = "geometry", level_step: int = 2,
+                        edges_per_band: int = 32, stage_mode: str | None = "checkpoint") -> DataFrame:
+    """The distinct non-point geometries of ``left`` with box, level, bands and edges,
+    staged once; pass it as ``left_shapes`` to reuse it across several matches."""
+    g = F.col(left_geom)
+    shapes = left.where(g.isNotNull() & (g["kind"] != G.POINT)).select(g.alias("gk")).distinct()
+    return stage(_prepare_left_shapes(shapes, level_step, edges_per_band), stage_mode)
+
+
 def intersecting_pairs(left: DataFrame, index: PolygonIndex, *, left_geom: str = "geometry",
-                       has_shapes: bool | None = None):
+                       has_shapes: bool | None = None, left_shapes: DataFrame | None = None):
     """Matches between the distinct geometries of ``left`` and the indexed polygons.
 
     Returns (point_pairs, shape_pairs): point_pairs(px, py, rid) for left points and
@@ -313,8 +322,8 @@ def intersecting_pairs(left: DataFrame, index: PolygonIndex, *, left_geom: str =
     if not has_shapes:
         probes = pts.where(F.col("px").isNotNull() & F.col("py").isNotNull()).distinct()
         return points_in_polygons(probes, polys, b_levels), None
-    shapes = left.where(g.isNotNull() & (g["kind"] != G.POINT)).select(g.alias("gk")).distinct()
-    a = _prepare_left_shapes(shapes, index.level_step, index.edges_per_band)
+    a = left_shapes if left_shapes is not None else prepare_left_shapes(
+        left, left_geom=left_geom, level_step=index.level_step, edges_per_band=index.edges_per_band)
     reps = a.select("gk", F.explode(_rep_vertices(F.col("gk"))).alias("v")).select(
         "gk", F.col("v.x").alias("px"), F.col("v.y").alias("py"))
     probes = pts.unionByName(reps.select("px", "py")).where(F.col("px").isNotNull() & F.col("py").isNotNull()).distinct()
@@ -346,9 +355,10 @@ def _match_keys(left: DataFrame, left_geom: str) -> DataFrame:
         "__gk": F.when(g.isNotNull() & ~is_pt, g)})
 
 
-def _pairs(left: DataFrame, index: PolygonIndex, left_geom: str, has_shapes=None) -> DataFrame:
+def _pairs(left: DataFrame, index: PolygonIndex, left_geom: str, has_shapes=None, left_shapes=None) -> DataFrame:
     """(__qx, __qy, __qg, __mrid): one row per (distinct left geometry, polygon) hit."""
-    point_pairs, shape_pairs = intersecting_pairs(left, index, left_geom=left_geom, has_shapes=has_shapes)
+    point_pairs, shape_pairs = intersecting_pairs(left, index, left_geom=left_geom, has_shapes=has_shapes,
+                                                  left_shapes=left_shapes)
     pairs = point_pairs.select(F.col("px").alias("__qx"), F.col("py").alias("__qy"),
                                F.lit(None).cast(G.GEOM).alias("__qg"), F.col("rid").alias("__mrid"))
     if shape_pairs is None:
@@ -427,7 +437,8 @@ def _best(table: DataFrame, rcols: list, order) -> DataFrame:
 
 def match_table(left: DataFrame, right, *, left_geom: str = "geometry", right_geom: str = "geometry",
                 right_id: str | None = None, level_step: int = 2, edges_per_band: int = 32,
-                stage_mode: str | None = "checkpoint", has_shapes: bool | None = None) -> DataFrame:
+                stage_mode: str | None = "checkpoint", has_shapes: bool | None = None,
+                left_shapes: DataFrame | None = None) -> DataFrame:
     """All (distinct left geometry, right row) hits as (__qx, __qy, __qg, <right columns>);
     join it to ``with_match_keys(left)`` with ``join_matches``.  ``right`` is a DataFrame
     or a ``PolygonIndex``; ``has_shapes`` says whether the left side has non-point
@@ -437,7 +448,7 @@ def match_table(left: DataFrame, right, *, left_geom: str = "geometry", right_ge
         left, has_shapes = _stage_left(left, left_geom, stage_mode)
     else:
         left = stage(left, stage_mode)
-    return _pairs(left, index, left_geom, has_shapes).join(index.attrs, "__mrid").drop("__mrid")
+    return _pairs(left, index, left_geom, has_shapes, left_shapes).join(index.attrs, "__mrid").drop("__mrid")
 
 
 def first_match_table(left: DataFrame, right, order, **kw) -> DataFrame:
