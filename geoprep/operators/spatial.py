@@ -305,7 +305,8 @@ def prepare_left_shapes(left: DataFrame, *, left_geom: str = "geometry", level_s
 
 
 def intersecting_pairs(left: DataFrame, index: PolygonIndex, *, left_geom: str = "geometry",
-                       has_shapes: bool | None = None, left_shapes: DataFrame | None = None):
+                       has_shapes: bool | None = None, left_shapes: DataFrame | None = None,
+                       stage_mode: str | None = "checkpoint"):
     """Matches between the distinct geometries of ``left`` and the indexed polygons.
 
     Returns (point_pairs, shape_pairs): point_pairs(px, py, rid) for left points and
@@ -323,13 +324,14 @@ def intersecting_pairs(left: DataFrame, index: PolygonIndex, *, left_geom: str =
         probes = pts.where(F.col("px").isNotNull() & F.col("py").isNotNull()).distinct()
         return points_in_polygons(probes, polys, b_levels), None
     a = left_shapes if left_shapes is not None else prepare_left_shapes(
-        left, left_geom=left_geom, level_step=index.level_step, edges_per_band=index.edges_per_band)
+        left, left_geom=left_geom, level_step=index.level_step, edges_per_band=index.edges_per_band,
+        stage_mode=stage_mode)
     reps = a.select("gk", F.explode(_rep_vertices(F.col("gk"))).alias("v")).select(
         "gk", F.col("v.x").alias("px"), F.col("v.y").alias("py"))
     probes = pts.unionByName(reps.select("px", "py")).where(F.col("px").isNotNull() & F.col("py").isNotNull()).distinct()
     hits = points_in_polygons(probes, polys, b_levels)
     rep_pairs = reps.join(hits, ["px", "py"]).select("gk", "rid")
-    cand = _candidate_pairs(a, polys, b_levels, index.level_step)
+    cand = stage(_candidate_pairs(a, polys, b_levels, index.level_step), stage_mode)   # read by two tests
     shape_pairs = (rep_pairs.unionByName(_edge_hits(cand, a, polys))
                    .unionByName(_reverse_hits(cand, a, polys)).distinct())
     return hits, shape_pairs
@@ -355,10 +357,11 @@ def _match_keys(left: DataFrame, left_geom: str) -> DataFrame:
         "__gk": F.when(g.isNotNull() & ~is_pt, g)})
 
 
-def _pairs(left: DataFrame, index: PolygonIndex, left_geom: str, has_shapes=None, left_shapes=None) -> DataFrame:
+def _pairs(left: DataFrame, index: PolygonIndex, left_geom: str, has_shapes=None, left_shapes=None,
+           stage_mode="checkpoint") -> DataFrame:
     """(__qx, __qy, __qg, __mrid): one row per (distinct left geometry, polygon) hit."""
     point_pairs, shape_pairs = intersecting_pairs(left, index, left_geom=left_geom, has_shapes=has_shapes,
-                                                  left_shapes=left_shapes)
+                                                  left_shapes=left_shapes, stage_mode=stage_mode)
     pairs = point_pairs.select(F.col("px").alias("__qx"), F.col("py").alias("__qy"),
                                F.lit(None).cast(G.GEOM).alias("__qg"), F.col("rid").alias("__mrid"))
     if shape_pairs is None:
@@ -405,7 +408,7 @@ def spatial_join(left: DataFrame, right, *, how: str = "left", predicate: str =
     index = _index_of(right, right_geom, right_id, level_step, edges_per_band, stage_mode)
     _check(left, index, how, predicate)
     left, shapes = _stage_left(left, left_geom, stage_mode)
-    pairs = _pairs(left, index, left_geom, shapes)
+    pairs = _pairs(left, index, left_geom, shapes, stage_mode=stage_mode)
     joined = _join_back(_match_keys(left, left_geom), pairs, how)
     out = joined.join(index.attrs, "__mrid", "left" if how == "left" else "inner")
     return out.select(*left.columns, *index.columns)
@@ -424,7 +427,8 @@ def first_match(left: DataFrame, right, order, *, how: str = "left", left_geom:
     index = _index_of(right, right_geom, right_id, level_step, edges_per_band, stage_mode)
     _check(left, index, how, "intersects")
     left, shapes = _stage_left(left, left_geom, stage_mode)
-    best = _best(_pairs(left, index, left_geom, shapes).join(index.attrs, "__mrid"), index.columns, order)
+    best = _best(_pairs(left, index, left_geom, shapes, stage_mode=stage_mode).join(index.attrs, "__mrid"),
+                 index.columns, order)
     joined = _join_back(_match_keys(left, left_geom), best, how)
     return joined.select(*left.columns, *index.columns)
 
@@ -448,7 +452,8 @@ def match_table(left: DataFrame, right, *, left_geom: str = "geometry", right_ge
         left, has_shapes = _stage_left(left, left_geom, stage_mode)
     else:
         left = stage(left, stage_mode)
-    return _pairs(left, index, left_geom, has_shapes, left_shapes).join(index.attrs, "__mrid").drop("__mrid")
+    return (_pairs(left, index, left_geom, has_shapes, left_shapes, stage_mode)
+            .join(index.attrs, "__mrid").drop("__mrid"))
 
 
 def first_match_table(left: DataFrame, right, order, **kw) -> DataFrame:

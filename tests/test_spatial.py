@@ -204,3 +204,14 @@ def test_random_polygons_agree_with_jts(spark):
     want = {(a, b) for a, ga in lw for b, gb in rw
             if (ga.intersects(gb) if ga.isValid() else ga.getBoundary().intersects(gb))}
     assert got == want and len(want) > 30
+
+
+def test_without_staging_the_result_is_the_same(spark):
+    rows = [(1, "Polygon", [[[1, 1], [2, 1], [2, 2], [1, 1]]]), (2, "Point", [4, 2]), (3, "Point", [50, 50])]
+    import json
+    bodies = [(i, json.dumps({"geometry": {"type": k, "coordinates": c}, "properties": {}})) for i, k, c in rows]
+    left = G.parse_gazetteer(spark.createDataFrame(bodies, "id long, body string"), "body").select("id", "geometry")
+    right = _poly_df(spark, POLYS)
+    a = sorted(map(tuple, spatial_join(left, right, right_id="pid").select("id", "pid").collect()), key=str)
+    b = sorted(map(tuple, spatial_join(left, right, right_id="pid", stage_mode=None).select("id", "pid").collect()), key=str)
+    assert a == b and (2, "A") in a and (2, "B") in a and (3, None) in a
