@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from geoprep.functions import geometry as G
 from geoprep.functions.text import underscore
 from geoprep.operators import spatial as S
-from geoprep.operators.stage import stage
 from geoprep.spec import POSTAL_COLUMNS, POSTAL_COUNTRIES
 
 
