@@ -285,9 +285,11 @@ def to_crs(geom, source: str, target: str) -> Column:
         return g
     if (source, target) == (WGS84, WEB_MERCATOR):
         k = math.pi / 180.0
+        # Web Mercator is undefined outside [-90, 90] degrees of latitude: such a y is null
         return _map_vertices(
             g, lambda x, y: x * F.lit(EARTH_RADIUS * k),
-            lambda x, y: F.log(F.tan(F.lit(math.pi / 4) + y * F.lit(k / 2))) * F.lit(EARTH_RADIUS))
+            lambda x, y: F.when(F.abs(y) <= F.lit(90.0),
+                                F.log(F.tan(F.lit(math.pi / 4) + y * F.lit(k / 2))) * F.lit(EARTH_RADIUS)))
     if (source, target) == (WEB_MERCATOR, WGS84):
         return _map_vertices(
             g, lambda x, y: x / F.lit(EARTH_RADIUS) * F.lit(180.0 / math.pi),

@@ -801,8 +801,8 @@ def x11_point_lon_lat(spark, d):
 
 @register("x12_reproject", _sql(FIX, PLACES, body="""
 SELECT id, round(px * 6378137.0 * pi() / 180.0, 3) + 0.0 AS mx,
-       round(ln(tan(pi() / 4 + py * pi() / 360.0)) * 6378137.0, 3) + 0.0 AS my,
-       round(px, 6) + 0.0 AS bx, round(py, 6) + 0.0 AS by
+       CASE WHEN abs(py) <= 90 THEN round(ln(tan(pi() / 4 + py * pi() / 360.0)) * 6378137.0, 3) + 0.0 END AS my,
+       round(px, 6) + 0.0 AS bx, CASE WHEN abs(py) <= 90 THEN round(py, 6) + 0.0 END AS by
 FROM places WHERE px IS NOT NULL"""))
 def x12_reproject(spark, d):
     g = F.col("geometry")
