@@ -89,3 +89,10 @@ def test_gpkg_geometry_codec():
     assert decode_gpkg_geometry(blob) == ("Point", [[[(3.0, 4.0)]]])
     empty = b"GP" + bytes([0, 0b00010001]) + struct.pack("<i", 4326) + struct.pack("<BIdd", 1, 1, 0.0, 0.0)
     assert decode_gpkg_geometry(empty) is None and decode_gpkg_geometry(None) is None
+
+
+def test_mercator_domain(spark):
+    df = spark.createDataFrame([(10.0, 89.0), (10.0, 104.0), (10.0, -95.0)], "x double, y double")
+    m = G.to_crs(G.point("x", "y"), "EPSG:4326", "EPSG:3857")
+    ys = [r[0] for r in df.select(G.point_y(m)).collect()]
+    assert ys[0] is not None and ys[0] > 3e7 and ys[1] is None and ys[2] is None
