@@ -7,11 +7,15 @@ derives the columns of its result contract from the operator's output.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .hash_tree import default_tree, shard_documents
+from .html_text import extract_main_text
+from .quality import score_quality
 from .token_counts import count_tokens
 from .topk import top_k
+from .toxicity import score_toxicity
 from .unigram import round_trip
 
 PIECES = "piece_bpe_32k.model"
@@ -24,6 +28,19 @@ def tokenizer_path(name: str = PIECES) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = extract_main_text(table(spark, sf_dir, "pages"))
+    return out.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=5, query_step=50)
 
@@ -41,7 +58,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op6_exact_topk, op8_token_counts, op9_hash_tree_shards, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op2_main_text, op3_quality, op4_toxicity, op6_exact_topk, op8_token_counts, op9_hash_tree_shards, op10_sentencepiece)}
 
 #: The search in plain SQL: every query against every row, ranked.
 OP6_SQL = """
