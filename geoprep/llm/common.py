@@ -33,3 +33,14 @@ def slices(batches, column: str = "text", chars: int = 1 << 21):
             held += n
         if start < len(sizes):
             yield pdf.iloc[start:]
+
+
+#: Rows of a side that may be broadcast; beyond it the join shuffles.
+BROADCAST_ROWS = 50_000
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (staged, narrow rows) with a broadcast hint if it counts at most ``rows`` rows."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.count() <= rows else df

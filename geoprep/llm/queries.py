@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import pii
 from .common import table
 from .hash_tree import default_tree, shard_documents
 from .html_text import extract_main_text
+from .phrases import contamination
 from .quality import score_quality
 from .token_counts import count_tokens
 from .topk import top_k
@@ -28,6 +30,16 @@ def tokenizer_path(name: str = PIECES) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.extract(table(spark, sf_dir, "documents"))
+
+    def of_kind(i: int):
+        return F.size(F.filter("base", lambda x: x["k"] == i)).cast("long")
+
+    count = [of_kind(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
+    return out.select("doc_id", *count, F.sha2(pii.written("base"), 256).alias("base_sha256"), pii.written("spans").alias("spans"))
+
+
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = extract_main_text(table(spark, sf_dir, "pages"))
     return out.withColumn("n_chars", F.char_length("text").cast("long"))
@@ -45,6 +57,12 @@ def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=5, query_step=50)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -58,20 +76,44 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op2_main_text, op3_quality, op4_toxicity, op6_exact_topk, op8_token_counts, op9_hash_tree_shards, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_main_text, op3_quality, op4_toxicity, op6_exact_topk, op7_decontamination, op8_token_counts, op9_hash_tree_shards, op10_sentencepiece)}
 
 #: The search in plain SQL: every query against every row, ranked.
 OP6_SQL = """
 WITH v AS (SELECT row_number() OVER () AS uid, vec_id,
-                  list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
            FROM embeddings
            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-             AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+             AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
 s AS (SELECT q.uid, q.vec_id AS query_id, c.vec_id,
-             CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+             CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
       FROM v q JOIN v c ON q.uid <> c.uid AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLE = {"op6_exact_topk": OP6_SQL}
+#: Every run of as many words as a window has, looked up among the windows.
+OP7_SQL = r"""
+WITH iw AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(
+              translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+cut AS (SELECT item_id, w, CAST(unnest(range(1, greatest(len(w) - 8, 2))) AS BIGINT) AS i FROM iw WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS l, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') AS p
+        FROM cut),
+dw AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+lens AS (SELECT DISTINCT l FROM win),
+runs AS (SELECT rid, w, l, CAST(unnest(range(1, len(w) - l + 2)) AS BIGINT) AS i FROM dw, lens WHERE len(w) >= l),
+hit AS (SELECT DISTINCT rid, r.i, r.l, item_id FROM runs r
+        JOIN win ON win.l = r.l AND win.p = array_to_string(list_slice(r.w, r.i, r.i + r.l - 1), ' ')),
+pos AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + l)) AS p FROM hit) GROUP BY rid),
+it AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+       FROM (SELECT DISTINCT rid, item_id FROM hit) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN pos USING (rid) LEFT JOIN it USING (rid)
+"""
+
+ORACLE = {"op6_exact_topk": OP6_SQL, "op7_decontamination": OP7_SQL}
