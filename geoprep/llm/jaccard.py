@@ -349,7 +349,8 @@ def candidate_pairs(members: DataFrame, signed: DataFrame, percent: int) -> Data
 
 
 def similarity_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
-    """doc_id, h1, h2, n_shingles, component_id for every document."""
+    """doc_id, h1, h2, label (of the class; null for an empty set), n_shingles and component_id
+    for every document."""
     texts = docs.select("doc_id", "text")
     rows = keyed_sets(texts, words, percent)
     filled = rows.where("n > 0")
@@ -373,6 +374,34 @@ def similarity_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
     classes = reps.select("h1", "h2", "n", "doc", "rid").join(final, "rid", "left").select("h1", "h2", "n", "doc", label)
     classes = staged(classes, "jaccard-classes")
     named = classes.groupBy("label").agg(F.min("doc").alias("component"))
-    classes = staged(classes.join(named, "label").select("h1", "h2", "n", "component"), "jaccard-named")
+    classes = staged(classes.join(named, "label").select("h1", "h2", "n", "label", "component"), "jaccard-named")
     return rows.join(classes, ["h1", "h2", "n"], "left").select(
-        "doc_id", "h1", "h2", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+        "doc_id", "h1", "h2", "label", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def set_key(words: int):
+    """A column function: text -> struct<h1, h2, n>, the identity of its set."""
+    @F.pandas_udf("h1 long, h2 long, n long")
+    def key(text: pd.Series) -> pd.DataFrame:
+        rows = [(*_set_hash(s), len(s)) for pdf in slices([text.to_frame("text")]) for s in shingle_sets(pdf["text"], words)]
+        return pd.DataFrame(rows, columns=["h1", "h2", "n"]).astype("int64")
+
+    return key
+
+
+def one_of_each_class(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of every class: the one with the smallest doc_id (a null id
+    only if there is no other; of rows that repeat it, the one whose set hashes lowest; of
+    equal rows, any).  Rows with empty sets are linked with nothing and all stay."""
+    found = similarity_classes(docs, words, percent).where("n_shingles > 0")
+    found = staged(found.select("doc_id", "h1", "h2", "label"), "jaccard-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h1", "h2")
+    kept = staged(found.groupBy("label").agg(F.min(order).alias("f")).select(
+        F.col("f.doc_id").alias("__id"), F.col("f.h1").alias("__h1"), F.col("f.h2").alias("__h2")), "jaccard-kept")
+    repeated = found.groupBy("doc_id", "h1", "h2").count().where("count > 1").limit(1).count() > 0
+    rows = docs.withColumn("__k", set_key(words)("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__k.h1") == F.col("__h1")) & (F.col("__k.h2") == F.col("__h2"))
+    chosen = rows.where("__k.n > 0").join(kept, same, "left_semi")
+    if repeated:
+        chosen = chosen.withColumns({"__h1": F.col("__k.h1"), "__h2": F.col("__k.h2")}).dropDuplicates(["doc_id", "__h1", "__h2"])
+    return chosen.select(*docs.columns).unionByName(rows.where("__k.n = 0").select(*docs.columns))

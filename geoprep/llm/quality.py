@@ -152,3 +152,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, modulus: int = 3, rest: in
     model = fit_quality(docs, labels, modulus, rest)
     out = docs.select("doc_id", held_out(modulus, rest).alias("held_out"), quality_score(model)("text").alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """``docs`` without the rows that score below ``threshold``."""
+    return docs.where(quality_score(fit_quality(docs, labels))("text") >= threshold)

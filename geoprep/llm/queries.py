@@ -13,6 +13,7 @@ from . import pii
 from .common import table
 from .hash_tree import default_tree, shard_documents
 from .html_text import extract_main_text
+from .jaccard import similarity_classes
 from .phrases import contamination
 from .quality import score_quality
 from .token_counts import count_tokens
@@ -53,6 +54,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity_classes(table(spark, sf_dir, "documents"), words=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=5, query_step=50)
 
@@ -76,7 +81,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_main_text, op3_quality, op4_toxicity, op6_exact_topk, op7_decontamination, op8_token_counts, op9_hash_tree_shards, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_main_text, op3_quality, op4_toxicity, op5_jaccard_join, op6_exact_topk, op7_decontamination, op8_token_counts, op9_hash_tree_shards, op10_sentencepiece)}
 
 #: The search in plain SQL: every query against every row, ranked.
 OP6_SQL = """
