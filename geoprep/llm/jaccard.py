@@ -40,7 +40,8 @@ from .components import components
 BUCKETS = 1 << 16
 BLOCK = 2048                    # members of a block of a large tree
 FAN = 16                        # children of a node inside a task
-NEEDED_BITS = 1 << 25           # bits of the filter that names the sets to be compared
+GROUP = 512                     # partners compared with one set in one group
+FILTER_BITS = 1 << 27           # bits of a broadcast filter (16 MB whatever the input)
 PIECE = 1 << 22                 # bytes hashed at once
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
@@ -121,8 +122,8 @@ def bucket_counts(docs: DataFrame, words: int) -> np.ndarray:
     def count(batches):
         total = np.zeros(BUCKETS, np.int64)
         for pdf in slices(batches):
-            for s in shingle_sets(pdf["text"], words):
-                np.add.at(total, (s >> _U(48)).astype(np.int64), 1)
+            every = np.concatenate(shingle_sets(pdf["text"], words))
+            total += np.bincount((every >> _U(48)).astype(np.int64), minlength=BUCKETS)
         used = np.flatnonzero(total)
         yield pd.DataFrame({"bucket": used, "n": total[used]})
 
@@ -132,54 +133,105 @@ def bucket_counts(docs: DataFrame, words: int) -> np.ndarray:
     return out
 
 
-def keyed_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, h1, h2, n and prefix (the shingles whose trees the set joins) of every row."""
+def distinct_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """rid, h1, h2, n, doc (the smallest doc_id), prefix (the shingles whose trees the set
+    joins) and bits (its token bitmap): one row per different set that is not empty."""
     spark = docs.sparkSession
     rank = spark.sparkContext.broadcast(bucket_counts(docs, words))
 
     def sets(batches):
         load = rank.value
         for pdf in slices(batches):
-            found = shingle_sets(pdf["text"], words)
-            hashes = [_set_hash(s) for s in found]
-            prefix = []
-            for s in found:
-                p = len(s) - (percent * len(s) + 99) // 100 + 1 if len(s) else 0
-                order = np.argsort(load[(s >> _U(48)).astype(np.int64)], kind="stable")    # ties: by hash
-                prefix.append(s[order[:p]].view(np.int64))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "h1": [a for a, _ in hashes], "h2": [b for _, b in hashes],
-                                "n": [len(s) for s in found], "prefix": prefix})
+            rows = []
+            for doc, s in zip(pdf["doc_id"], shingle_sets(pdf["text"], words)):
+                if len(s):
+                    p = len(s) - (percent * len(s) + 99) // 100 + 1
+                    order = np.argsort(load[(s >> _U(48)).astype(np.int64)], kind="stable")    # ties: by hash
+                    rows.append((doc, *_set_hash(s), len(s), s[order[:p]].view(np.int64), _bitmap(s).tobytes()))
+            yield pd.DataFrame(rows, columns=["doc_id", "h1", "h2", "n", "prefix", "bits"])
 
     kind = dict(docs.select("doc_id").dtypes)["doc_id"]
-    out = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text") \
-        .mapInPandas(sets, "doc_id string, h1 long, h2 long, n long, prefix array<long>")
-    return staged(out.withColumn("doc_id", F.col("doc_id").cast(kind)), "jaccard-sets")
+    found = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text") \
+        .mapInPandas(sets, "doc_id string, h1 long, h2 long, n long, prefix array<long>, bits binary")
+    found = found.groupBy("h1", "h2", "n").agg(F.min(F.col("doc_id").cast(kind)).alias("doc"), F.first("prefix").alias("prefix"),
+                                               F.first("bits").alias("bits"))
+    return staged(found.withColumn("rid", F.monotonically_increasing_id()), "jaccard-reps")
 
 
-def shared_trees(reps: DataFrame) -> DataFrame:
-    """t, rid: the members of every tree of two or more sets, one tree for equal memberships."""
-    postings = reps.select("rid", F.explode("prefix").alias("t"))
-    stats = postings.groupBy("t").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("rid")).alias("x"),
-                                      F.bit_xor(F.xxhash64("rid", F.lit(3))).alias("y"), F.min("rid").alias("lo")).where("c > 1")
-    trees = stats.groupBy("c", "x", "y", "lo").agg(F.min("t").alias("t"))
-    return staged(postings.join(trees.select("t", "c", "lo"), "t"), "jaccard-trees")
-
-
-def _filter_bits(sets: DataFrame) -> bytes:
-    """A bitmap (``NEEDED_BITS`` bits) that holds h1 of every row of ``sets``."""
-    bit = F.pmod("h1", F.lit(NEEDED_BITS))
-    pages = sets.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / 32768).alias("page")) \
+def _filter_bits(rows: DataFrame, column: str) -> bytes:
+    """A bitmap (``FILTER_BITS`` bits, whatever the rows) with a bit for every value of ``column``."""
+    bit = F.pmod(F.col(column), F.lit(FILTER_BITS))
+    pages = rows.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / 32768).alias("page")) \
         .agg(F.bitmap_construct_agg(F.col("bit") % 32768).alias("bits")).collect()
-    out = np.zeros((NEEDED_BITS // 32768, 4096), np.uint8)
+    out = np.zeros((FILTER_BITS // 32768, 4096), np.uint8)
     for r in pages:
         out[r["page"]] = np.frombuffer(r["bits"], np.uint8)
     return out.tobytes()
 
 
-def tokens_of(docs: DataFrame, reps: DataFrame, members: DataFrame, words: int) -> DataFrame:
-    """rid, n, tokens (uint64 bytes, sorted) of the sets that share a tree."""
-    needed = staged(reps.select("rid", "h1", "h2", "n").join(members.select("rid").distinct(), "rid", "left_semi"), "jaccard-needed")
-    wanted = docs.sparkSession.sparkContext.broadcast(_filter_bits(needed))
+def _may_hold(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values % FILTER_BITS
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def shared_trees(reps: DataFrame) -> DataFrame:
+    """t, rid, c, lo: the members of every tree of two or more sets, one tree for equal memberships."""
+    stats = reps.select("rid", F.explode("prefix").alias("t")).groupBy("t").agg(
+        F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("rid")).alias("x"), F.bit_xor(F.xxhash64("rid", F.lit(3))).alias("y"),
+        F.min("rid").alias("lo")).where("c > 1")
+    trees = staged(stats.groupBy("c", "x", "y", "lo").agg(F.min("t").alias("t")).select("t", "c", "lo"), "jaccard-roots")
+    wanted = reps.sparkSession.sparkContext.broadcast(_filter_bits(trees, "t"))
+
+    def postings(batches):                           # only shingles that may root a tree are shuffled again
+        bits = np.frombuffer(wanted.value, np.uint8)
+        for pdf in batches:
+            t = np.concatenate([np.asarray(p, np.int64) for p in pdf["prefix"]] or [np.zeros(0, np.int64)])
+            rid = np.repeat(pdf["rid"].to_numpy(), [len(p) for p in pdf["prefix"]])
+            ok = _may_hold(bits, t)
+            yield pd.DataFrame({"t": t[ok], "rid": rid[ok]})
+
+    found = reps.select("rid", "prefix").mapInPandas(postings, "t long, rid long")
+    return staged(found.join(trees, "t").select("t", "rid", "c", "lo"), "jaccard-trees")
+
+
+def possible(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and bitmaps do not rule out."""
+    @F.pandas_udf("boolean")
+    def open_(n: pd.Series, m: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([_possible(*row, percent) for row in zip(n, m, x, y)], dtype=bool)
+
+    left, right = (signed.select(F.col("rid").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}")) for k in "ab")
+    return staged(pairs.join(right, "b").join(left, "a").where(open_("na", "nb", "bitsa", "bitsb")).select("a", "b"), "jaccard-possible")
+
+
+def _possible(n: int, m: int, x: bytes, y: bytes, percent: int) -> bool:
+    if 100 * min(n, m) < percent * max(n, m):
+        return False
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    if len(x) > len(y):
+        n, m, x, y = m, n, y, x
+    y = np.bitwise_or.reduce(y.reshape(-1, len(x)), axis=0)       # a token's bit is its hash modulo the width
+    common, lost = int(np.bitwise_count(x & y).sum()), n - int(np.bitwise_count(x).sum())
+    return min(n, m, common + lost) >= needed_overlap(n, m, percent)
+
+
+def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that are similar enough, by their whole sets.
+
+    The sets are hashed from the texts again (a fixed-size bitmap of the wanted ones drops
+    most others at once) and dealt to the pairs' groups: a, cut so that a group has at most
+    about ``GROUP`` partners.  A task streams a group: first a's shingles, then each partner.
+    """
+    if not pairs.limit(1).count():
+        return pairs
+    many = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("k"))
+    salts = F.ceil(F.col("k") / GROUP).cast("int")
+    first = many.select(F.col("a").alias("rid"), "a", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(0).alias("role"))
+    rest = pairs.join(many, "a").select(F.col("b").alias("rid"), "a", F.pmod(F.xxhash64("b"), salts).cast("int").alias("salt"),
+                                        F.lit(1).alias("role"))
+    places = first.unionByName(rest).join(reps.select("rid", "h1", "h2"), "rid")
+    places = staged(places, "jaccard-places")
+    wanted = docs.sparkSession.sparkContext.broadcast(_filter_bits(places, "h1"))
 
     def tokens(batches):
         bits = np.frombuffer(wanted.value, np.uint8)
@@ -188,41 +240,48 @@ def tokens_of(docs: DataFrame, reps: DataFrame, members: DataFrame, words: int)
             for s in shingle_sets(pdf["text"], words):
                 if len(s):
                     h1, h2 = _set_hash(s)
-                    b = h1 % NEEDED_BITS
-                    if bits[b >> 3] >> (b & 7) & 1:
+                    if _may_hold(bits, np.array([h1]))[0]:
                         rows.append((h1, h2, s.tobytes()))
             yield pd.DataFrame(rows, columns=["h1", "h2", "tokens"])
 
     found = docs.select("text").mapInPandas(tokens, "h1 long, h2 long, tokens binary")
     found = found.groupBy("h1", "h2").agg(F.first("tokens").alias("tokens"))
-    return staged(needed.join(found, ["h1", "h2"]).select("rid", "n", "tokens"), "jaccard-tokens")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = found.join(places, ["h1", "h2"]).select("a", "salt", "role", "rid", "tokens") \
+        .repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", "role")
+
+    def compare(batches):
+        now = base = None
+        for pdf in batches:
+            out = []
+            for a, salt, role, rid, raw in zip(pdf["a"], pdf["salt"], pdf["role"], pdf["rid"], pdf["tokens"]):
+                s = np.frombuffer(raw, np.uint64)
+                if role == 0:
+                    now, base = (a, salt), s
+                elif now == (a, salt) and similar(base, s, percent):
+                    out.append((a, rid))
+            yield pd.DataFrame(out, columns=["a", "b"])
 
+    return staged(dealt.mapInPandas(compare, "a long, b long"), "jaccard-links")
 
-def verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar enough, by their whole sets."""
-    @F.pandas_udf("boolean")
-    def similar(x: pd.Series, y: pd.Series) -> pd.Series:
-        out = []
-        for p, q in zip(x, y):
-            p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-            if len(p) > len(q):
-                p, q = q, p
-            if 100 * len(p) < percent * len(q):
-                out.append(False)
-                continue
-            at = np.searchsorted(q, p)
-            both = int((q[np.minimum(at, len(q) - 1)] == p).sum())
-            out.append(100 * both >= percent * (len(p) + len(q) - both))
-        return pd.Series(out, dtype=bool)
-
-    left = tokens.select(F.col("rid").alias("a"), F.col("tokens").alias("ta"))
-    right = tokens.select(F.col("rid").alias("b"), F.col("tokens").alias("tb"))
-    return staged(pairs.join(right, "b").join(left, "a").where(similar("ta", "tb")).select("a", "b"), "jaccard-links")
+
+def similar(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the similarity."""
+    if len(p) > len(q):
+        p, q = q, p
+    if 100 * len(p) < percent * len(q):
+        return False
+    both = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum())
+    return 100 * both >= percent * (len(p) + len(q) - both)
+
+
+def _width(n: int) -> int:
+    """Bits of the bitmap of n tokens: a power of two, at least four a token."""
+    return 1 << max(6, int(4 * n - 1).bit_length())
 
 
 def _bitmap(s: np.ndarray) -> np.ndarray:
-    """A bitmap of at least four bits a token, a power of two."""
-    width = 1 << max(6, int(4 * len(s) - 1).bit_length())
+    width = _width(len(s))
     bits = np.zeros(width, np.uint8)
     bits[(s & _U(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").view(np.uint64)
@@ -296,10 +355,11 @@ def _tree_pairs(rid, size, label, bits, side, percent: int):
                 yield rid[a[ok]], rid[b[ok]]
 
 
-def candidate_pairs(members: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+def candidate_pairs(members: DataFrame, signed: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """a, b: pairs of different classes within a tree that no bound of the traversal rules
-    out.  ``members``: t, rid, c; ``signed``: rid, n, label, bits."""
-    rows = members.select("t", "rid", "c").join(signed.select("rid", "n", "label"), "rid")
+    out.  ``members``: t, rid, c; ``signed``: rid, n, bits; ``known``: rid, label."""
+    sized = signed.select("rid", "n").join(known, "rid", "left").select("rid", "n", F.coalesce("label", "rid").alias("label"))
+    rows = staged(members.select("t", "rid", "c").join(sized, "rid"), "jaccard-labelled")
     mixed = rows.groupBy("t").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.max("c").alias("c")) \
         .where("l0 <> l1 AND c > 2").select("t")               # of two members, both were compared
     rows = staged(rows.join(mixed, "t", "left_semi"), "jaccard-mixed")
@@ -352,29 +412,21 @@ def similarity_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
     """doc_id, h1, h2, label (of the class; null for an empty set), n_shingles and component_id
     for every document."""
     texts = docs.select("doc_id", "text")
-    rows = keyed_sets(texts, words, percent)
-    filled = rows.where("n > 0")
-    reps = filled.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("doc"), F.first("prefix").alias("prefix"))
-    reps = staged(reps.withColumn("rid", F.monotonically_increasing_id()), "jaccard-reps")
+    reps = distinct_sets(texts, words, percent)
     members = shared_trees(reps)
-    tokens = tokens_of(texts, reps, members, words)
-
+    signed = reps.select("rid", "n", "bits")
     stars = members.where("rid <> lo").select(F.col("lo").alias("a"), F.col("rid").alias("b")).distinct()
-    links = verified(stars, tokens, percent)
+    links = verified(possible(stars, signed, percent), texts, reps, words, percent)
     label = F.coalesce("label", "rid").alias("label")
-
-    @F.pandas_udf("binary")
-    def bitmap(tok: pd.Series) -> pd.Series:
-        return pd.Series([_bitmap(np.frombuffer(x, np.uint64)).tobytes() for x in tok], dtype=object)
-
     known = components(links).withColumnRenamed("node", "rid")
-    signed = staged(tokens.join(known, "rid", "left").select("rid", "n", label, bitmap("tokens").alias("bits")), "jaccard-bits")
-    more = verified(candidate_pairs(members, signed, percent), tokens, percent)
-    final = components(links.unionByName(more)).withColumnRenamed("node", "rid")
-    classes = reps.select("h1", "h2", "n", "doc", "rid").join(final, "rid", "left").select("h1", "h2", "n", "doc", label)
-    classes = staged(classes, "jaccard-classes")
+    more = staged(candidate_pairs(members, signed, known, percent), "jaccard-candidates")
+    links = links.unionByName(verified(more, texts, reps, words, percent))
+    final = components(links).withColumnRenamed("node", "rid")
+    classes = staged(reps.select("h1", "h2", "n", "doc", "rid").join(final, "rid", "left").select("h1", "h2", "n", "doc", label),
+                     "jaccard-classes")
     named = classes.groupBy("label").agg(F.min("doc").alias("component"))
     classes = staged(classes.join(named, "label").select("h1", "h2", "n", "label", "component"), "jaccard-named")
+    rows = texts.select("doc_id", set_key(words)("text").alias("k")).select("doc_id", "k.*")
     return rows.join(classes, ["h1", "h2", "n"], "left").select(
         "doc_id", "h1", "h2", "label", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
