@@ -6,8 +6,8 @@ Sets are hashed shingles (64 bits).  Equal sets are one from the start.
    (65,536 counts), then by hash.  Two sets similar enough share one of the first
    ``n - ceil(t n) + 1`` shingles of their order, so each such shingle roots a tree over the
    sets that have it there; trees over the same sets are kept once.
-2. Stars.  Every member is compared with its tree's smallest member; the links found are
-   contracted to classes.  Trees whose members are all in one class are done: this settles
+2. Stars.  Every member is compared with its tree's most central member (the one in most
+   trees) and with its smallest; the links found are contracted to classes.  Trees whose members are all in one class are done: this settles
    groups of copies without forming their pairs.
 3. Dual traversal of the rest.  A node holds the OR of its members' token bitmaps, the range
    of their sizes, the most tokens any member loses to bitmap collisions, and the range of
@@ -194,6 +194,18 @@ def shared_trees(reps: DataFrame) -> DataFrame:
     return staged(found.join(trees, "t").select("t", "rid", "c", "lo"), "jaccard-trees")
 
 
+def stars(members: DataFrame) -> DataFrame:
+    """a, b: every member with two pivots of its tree.  An original among its altered copies
+    shares more shingles with them than they do with each other, so the member of most trees
+    is the best centre."""
+    degree = members.groupBy("rid").agg(F.count(F.lit(1)).alias("d"))
+    best = members.join(degree, "rid").groupBy("t").agg(F.max(F.struct("d", (-F.col("rid")).alias("r"))).alias("m")) \
+        .select("t", (-F.col("m.r")).alias("centre"))
+    both = members.join(best, "t").select("rid", F.explode(F.array("lo", "centre")).alias("a")).where("rid <> a")
+    return both.select(F.least("a", "rid").alias("x"), F.greatest("a", "rid").alias("y"), "a", "rid").groupBy("x", "y").agg(
+        F.min("a").alias("a"), F.min(F.struct("a", "rid"))["rid"].alias("b")).select("a", "b")
+
+
 def possible(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that sizes and bitmaps do not rule out."""
     @F.pandas_udf("boolean")
@@ -415,8 +427,7 @@ def similarity_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
     reps = distinct_sets(texts, words, percent)
     members = shared_trees(reps)
     signed = reps.select("rid", "n", "bits")
-    stars = members.where("rid <> lo").select(F.col("lo").alias("a"), F.col("rid").alias("b")).distinct()
-    links = verified(possible(stars, signed, percent), texts, reps, words, percent)
+    links = verified(possible(stars(members), signed, percent), texts, reps, words, percent)
     label = F.coalesce("label", "rid").alias("label")
     known = components(links).withColumnRenamed("node", "rid")
     more = staged(candidate_pairs(members, signed, known, percent), "jaccard-candidates")
