@@ -108,7 +108,7 @@ def train_dictionaries(sample: DataFrame) -> Compressors:
     seen = sample.where(F.col("text").isNotNull()).select(word, "y").groupBy("word").agg(
         F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
     seen = staged(seen, "toxic-words")
-    n = sample.agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")).first()
+    n = sample.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(k) for k, c in (("a", F.col("y")), ("b", 1 - F.col("y")))]).first()
     padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
     cuts = F.array_distinct(F.flatten(F.array(*[
         F.when(F.length(padded) >= k, F.transform(F.sequence(F.lit(1), F.length(padded) - (k - 1)), lambda i: F.substring(padded, i, F.lit(k))))
