@@ -25,6 +25,9 @@ def main(argv=None) -> None:
     for opt in ("adm0", "adm1", "adm2", "records", "bodies", "postal", "out", "table"):
         ap.add_argument(f"--{opt}")
     ap.add_argument("--chunk-rows", type=int, default=None)
+    ap.add_argument("--max-chunks", type=int, default=None)
+    ap.add_argument("--staged", help="folder of the staged records; an interrupted load resumes when it is given again")
+    ap.add_argument("--load-id", help="name of the load (default: derived from the staged files)")
     ap.add_argument("--format", default="parquet")
     a = ap.parse_args(argv)
 
@@ -32,7 +35,7 @@ def main(argv=None) -> None:
     spark = SparkSession.builder.appName(f"geoprep-{a.job}").getOrCreate()
     ensure_checkpoint_dir(spark)
     from geoprep.plans import jobs
-    from geoprep.sources.tables import read_table, write_table
+    from geoprep.sources.tables import path_exists, read_table, write_table
 
     def load(path):
         return jobs.load_boundaries(spark, path, table=a.table) if path else None
@@ -43,9 +46,12 @@ def main(argv=None) -> None:
         print(json.dumps(reports))
     elif a.job == "combined":
         from geoprep.operators.boundary import combine_levels
-        levels = {k: v for k, v in {"ADM0": load(a.adm0), "ADM1": load(a.adm1), "ADM2": load(a.adm2)}.items()
-                  if v is not None}
-        write_table(combine_levels(levels), a.out, fmt=a.format)
+        levels = {"ADM0": load(a.adm0), "ADM1": load(a.adm1), "ADM2": load(a.adm2)}
+        missing = [k for k, v in levels.items() if v is None]
+        if missing:
+            print(json.dumps({"job": "combined", "status": "skipped", "missing": missing}))
+        else:
+            write_table(combine_levels(levels), a.out, fmt=a.format)
     elif a.job == "postal":
         from geoprep.operators.postal import enrich_postal, gazetteer_records
         from geoprep.spec import POSTAL_PARTITIONS
@@ -54,14 +60,14 @@ def main(argv=None) -> None:
         if a.chunk_rows:
             from geoprep.session import scratch_dir
             from geoprep.streaming.incremental import chunked_load, stage_records
-            recs = stage_records(gazetteer_records(spr, bodies), scratch_dir(spark, "records"), a.chunk_rows)
-            print(json.dumps(chunked_load(spark, recs, adm1, adm2, a.out)))
+            recs = a.staged
+            if recs is None or not path_exists(spark, recs):
+                recs = stage_records(gazetteer_records(spr, bodies), recs or scratch_dir(spark, "records"), a.chunk_rows)
+            print(json.dumps(chunked_load(spark, recs, adm1, adm2, a.out, load_id=a.load_id, max_chunks=a.max_chunks)))
         else:
             write_table(enrich_postal(spr, bodies, adm1, adm2), a.out, mode="append", partition_by=POSTAL_PARTITIONS)
     elif a.job == "serve":
-        table, rejected = jobs.serve_postal(spark, a.postal)
-        write_table(table, f"{a.out}/wof_data", partition_by=("country",), fmt=a.format)
-        write_table(rejected, f"{a.out}/wof_data_rejects", fmt=a.format)
+        jobs.store_postal(spark, a.postal, a.out, fmt=a.format)
 
 
 if __name__ == "__main__":

@@ -74,8 +74,12 @@ def first_per_key(df: DataFrame, keys, order) -> DataFrame:
 def combine_levels(levels: dict, *, key=COMBINED_KEY) -> DataFrame:
     """Combined hierarchy (W3): ADM2, ADM1, ADM0 unioned by name, then one row per
     (shapeGroup, country, state, city), the deepest level first (O1, A5); equal levels are
-    decided by shapeID, then by name (our tie-break)."""
-    frames = [prepare_level(levels[lvl], COMBINED_LEVELS[lvl]) for lvl in ("ADM2", "ADM1", "ADM0") if lvl in levels]
+    decided by shapeID, then by name (our tie-break).  All three levels must be there: a
+    hierarchy without one would silently lose its rows."""
+    missing = [lvl for lvl in COMBINED_LEVELS if levels.get(lvl) is None]
+    if missing:
+        raise ValueError(f"combined hierarchy needs every level; missing: {', '.join(sorted(missing))}")
+    frames = [prepare_level(levels[lvl], COMBINED_LEVELS[lvl]) for lvl in ("ADM2", "ADM1", "ADM0")]
     u = union_levels(frames)
     for k in key:
         if k not in u.columns:

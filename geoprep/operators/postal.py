@@ -79,13 +79,10 @@ def boundary_indexes(adm1: DataFrame, adm2: DataFrame, *, level_step: int = 2, e
     """(state index, city index): the boundary polygons prepared once for many matches."""
     kw = dict(level_step=level_step, edges_per_band=edges_per_band, stage_mode=stage_mode)
     st, ct = state_polygons(adm1), city_polygons(adm2)
-    # the feature ids (unique per feature, like a row index) key the polygons; without
-    # them a hash of the whole row does
-    st_id = "__state_id" if "__state_id" in st.columns else None
-    ct_id = "__city_id" if "__city_id" in ct.columns and "shapeID" in adm2.columns else None
+    # feature ids may repeat or be null, so a hash of the whole row keys the polygons
     with ThreadPoolExecutor(2) as pool:      # two independent staging jobs, run side by side
-        states = pool.submit(S.index_polygons, st, right_id=st_id, **kw)
-        cities = pool.submit(S.index_polygons, ct, right_id=ct_id, **kw)
+        states = pool.submit(S.index_polygons, st, **kw)
+        cities = pool.submit(S.index_polygons, ct, **kw)
         return states.result(), cities.result()
 
 

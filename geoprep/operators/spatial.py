@@ -49,12 +49,15 @@ _EDGE_ARRAY = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 
 
 def _edges_of(geom: Column) -> Column:
-    """array<struct<x1,y1,x2,y2>> over every ring of every part; open rings are closed."""
+    """array<struct<x1,y1,x2,y2>> over every ring of every part; open rings of areal kinds
+    are closed, lines stay as they are, empty rings and parts have no edges."""
+    areal = geom["kind"].isin(*G.AREAL)
+
     def ring_edges(r):
         n = F.size(r)
         body = F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.struct(
             r[i]["x"].alias("x1"), r[i]["y"].alias("y1"), r[i + 1]["x"].alias("x2"), r[i + 1]["y"].alias("y2")))
-        closing = F.when((r[0]["x"] != r[n - 1]["x"]) | (r[0]["y"] != r[n - 1]["y"]), F.array(F.struct(
+        closing = F.when(areal & ((r[0]["x"] != r[n - 1]["x"]) | (r[0]["y"] != r[n - 1]["y"])), F.array(F.struct(
             r[n - 1]["x"].alias("x1"), r[n - 1]["y"].alias("y1"), r[0]["x"].alias("x2"), r[0]["y"].alias("y2"))))
         return F.when(n >= 2, F.concat(body, F.coalesce(closing, F.array().cast(_EDGE_ARRAY))))
     per_ring = F.transform(geom["parts"], lambda p: F.transform(p, ring_edges))
@@ -64,7 +67,7 @@ def _edges_of(geom: Column) -> Column:
 
 def _rep_vertices(geom: Column) -> Column:
     """First vertex of every part."""
-    return F.filter(F.transform(geom["parts"], lambda p: p[0][0]), lambda v: v.isNotNull())
+    return F.filter(F.transform(geom["parts"], lambda p: F.get(F.get(p, F.lit(0)), F.lit(0))), lambda v: v.isNotNull())
 
 
 def _exponent(ext: Column, level_step: int) -> Column:

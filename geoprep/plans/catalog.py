@@ -842,6 +842,32 @@ def t1_chunked_incremental_load(spark, d):
     return read_back(spark, target, spark.createDataFrame([], POSTAL_SCHEMA))
 
 
+@register("t1b_two_loads", POSTAL_CTES + "SELECT * FROM postal")
+def t1b_two_loads(spark, d):
+    """Two halves of the records loaded one after the other into one table."""
+    from geoprep.sources.tables import read_back
+    from geoprep.spec import POSTAL_SCHEMA
+    from geoprep.streaming.incremental import chunked_load, stage_records
+    target = _scratch(spark, "postal-two-loads")
+    recs = P.gazetteer_records(FX.spr(spark, d), FX.geojson(spark, d))
+    odd = F.pmod(F.xxhash64("id"), F.lit(2)) == 1
+    for half in (recs.where(odd), recs.where(~odd)):
+        chunked_load(spark, stage_records(half, _scratch(spark, "records"), 1000), FX.adm1(spark, d), FX.adm2(spark, d), target)
+    return read_back(spark, target, spark.createDataFrame([], POSTAL_SCHEMA))
+
+
+@register("t2b_limit_then_resume", POSTAL_CTES + "SELECT * FROM postal")
+def t2b_limit_then_resume(spark, d):
+    """One chunk, then the rest of the same load."""
+    from geoprep.sources.tables import read_back
+    from geoprep.spec import POSTAL_SCHEMA
+    from geoprep.streaming.incremental import chunked_load
+    target, recs = _scratch(spark, "postal-resumed"), _records_dir(spark, d)
+    for limit in (1, None):
+        chunked_load(spark, recs, FX.adm1(spark, d), FX.adm2(spark, d), target, max_chunks=limit)
+    return read_back(spark, target, spark.createDataFrame([], POSTAL_SCHEMA))
+
+
 _FIRST_CHUNK_SQL = POSTAL_CTES.replace(
     "WHERE s.country IN ('USA', 'US')),",
     "WHERE s.country IN ('USA', 'US') ORDER BY s.id LIMIT 500),") + "SELECT * FROM postal"

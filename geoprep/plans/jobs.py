@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from geoprep.operators.boundary import prepare_level
 from geoprep.operators.keyed import split_rejects, upsert
 from geoprep.operators.profile import load_report, profile_metrics
-from geoprep.sources.tables import read_table, write_table
+from geoprep.sources.tables import path_exists, read_back, read_table, replace_table, write_table
 from geoprep.spec import LEVELS, POSTAL_COLUMNS, POSTAL_KEY
 
 
@@ -27,7 +27,6 @@ def load_boundaries(spark: SparkSession, path: str, *, table: str | None = None,
     the gpkg source, anything else through ``spark.read``) and stored in the cache; a
     missing source gives None (the level is skipped)."""
     from geoprep.sources.sqlite import read_features
-    from geoprep.sources.tables import path_exists
 
     key = f"gadm_{path}"
     if cache is not None:
@@ -84,6 +83,17 @@ def serve_postal(spark: SparkSession, postal_path: str, target: DataFrame | None
     return upsert(base, rows, list(POSTAL_KEY), ["wkt_geometry", "lat", "lon"])
 
 
+def store_postal(spark: SparkSession, postal_path: str, out_root: str, *, fmt: str = "parquet") -> None:
+    """W5 on stored tables: the postal rows are upserted into ``wof_data`` as it stands (a
+    second batch adds to the first), the rejects are appended to ``wof_data_rejects``."""
+    path = f"{out_root.rstrip('/')}/wof_data"
+    like = read_table(spark, postal_path).select(*POSTAL_COLUMNS)
+    target = read_back(spark, path, like, fmt) if path_exists(spark, path) else None
+    table, rejected = serve_postal(spark, postal_path, target)
+    replace_table(spark, table, path, partition_by=("country",), fmt=fmt)
+    write_table(rejected, f"{path}_rejects", mode="append", fmt=fmt)
+
+
 def run_parallel(jobs: dict, max_workers: int | None = None) -> dict:
     """Independent Spark jobs submitted concurrently from one driver; the scheduler
     shares the executors between them.  Returns {name: seconds}; a failure is raised."""
@@ -97,4 +107,4 @@ def run_parallel(jobs: dict, max_workers: int | None = None) -> dict:
         return {name: f.result() for name, f in futures.items()}
 
 
-__all__ = ["load_boundaries", "run_level", "run_all_levels", "serve_postal", "run_parallel", "split_rejects"]
+__all__ = ["load_boundaries", "run_level", "run_all_levels", "serve_postal", "store_postal", "run_parallel", "split_rejects"]

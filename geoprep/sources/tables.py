@@ -80,7 +80,7 @@ def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_
     anything was written.  ``observe`` = (Observation, [metric columns]) is attached after
     the range partitioning, so the partitioner's sampling pass is not counted."""
     if mode not in WRITE_MODES:
-        raise ValueError("Invalid mode: choose either 'overwrite' or 'append'.")
+        raise ValueError(f"unknown write mode {mode!r}; known: {', '.join(sorted(WRITE_MODES))}")
     if skip_empty and df.isEmpty():
         return False
     out = prepare_for_write(df, partition_by, spread_by=spread_by, partitions=partitions)
@@ -102,3 +102,20 @@ def read_back(spark: SparkSession, path: str, like: DataFrame, fmt: str = "parqu
     """Read a written table with the writer's schema (partition columns keep their type
     instead of being inferred from directory names), columns in the writer's order."""
     return spark.read.format(fmt).schema(like.schema).load(path).select(*like.columns)
+
+
+def replace_table(spark: SparkSession, df: DataFrame, path: str, **kw) -> None:
+    """Write ``df``, which may read the table at ``path``, beside it, then swap the folders:
+    readers see the old table or the new one, and a failed write leaves the old one."""
+    import uuid
+
+    fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:8]}"
+    write_table(df, fresh, **kw)
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    new, now, old = (fs_path(p) for p in (fresh, path, fresh.replace(".new-", ".old-")))
+    fs = now.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(now) and not fs.rename(now, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new, now):
+        raise OSError(f"cannot move {fresh} into place")
+    fs.delete(old, True)

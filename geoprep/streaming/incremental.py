@@ -13,22 +13,28 @@ first empty chunk (or after the first in test mode).  Here:
    cannot;
 3. ``foreachBatch`` enriches the chunk with the same code as the one-shot job and
    appends it (K3).  ``max_chunks`` limits the run to the first chunks (T2).
-4. ``foreachBatch`` is at-least-once: after a chunk's append commits, a marker
-   ``_chunks/<batch id>`` is written in the table folder, and a replayed batch whose
-   marker exists is skipped (the batch id deduplicates, as the Structured Streaming
-   guide suggests).  The remaining window is a failure between the append's job commit
-   and the marker write.  Readers ignore ``_``-prefixed folders.
+4. ``foreachBatch`` is at-least-once: after a chunk's append commits, a marker with the
+   names of its files is written under ``_chunks/<load id>`` in the table folder, and files
+   that stand in a marker are not appended again.  The load id is derived from the staged
+   file names, which are new with every staging: another load into the same table has its
+   own markers and checkpoint, and the same load resumes.  The remaining window is a
+   failure between the append's job commit and the marker write.  Readers ignore
+   ``_``-prefixed folders.
+5. ``max_chunks`` stops the run by failing the next micro-batch before it is committed, so
+   a later run goes on with that chunk.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from geoprep.operators.postal import boundary_indexes, enrich_records
-from geoprep.session import scratch_dir
+from geoprep.session import ensure_checkpoint_dir
 from geoprep.sources.tables import path_exists, write_table
 from geoprep.spec import POSTAL_CHUNK_ROWS, POSTAL_PARTITIONS
 
@@ -44,10 +50,24 @@ def stage_records(records: DataFrame, path: str, chunk_rows: int = POSTAL_CHUNK_
     return path
 
 
+class _Enough(Exception):
+    """Raised inside a micro-batch to stop before it is committed."""
+
+
+def load_identity(spark: SparkSession, records_path: str) -> str:
+    """A name for the load of these staged files (their names hold the staging job's id)."""
+    names = sorted(f.rsplit("/", 1)[-1] for f in spark.read.parquet(records_path).inputFiles())
+    return hashlib.sha256("\n".join(names).encode()).hexdigest()[:16]
+
+
 def chunked_load(spark: SparkSession, records_path: str, adm1: DataFrame, adm2: DataFrame, target: str, *,
                  files_per_chunk: int = 1, max_chunks: int | None = None, checkpoint: str | None = None,
-                 partition_by=POSTAL_PARTITIONS, stage_mode: str | None = "checkpoint") -> dict:
+                 load_id: str | None = None, partition_by=POSTAL_PARTITIONS, stage_mode: str | None = "checkpoint") -> dict:
     """Run the incremental load; returns {'chunks': n, 'rows': appended rows}."""
+    load_id = load_id or load_identity(spark, records_path)
+    place = hashlib.sha256(f"{target.rstrip('/')}|{load_id}".encode()).hexdigest()[:16]
+    checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/postal-load-{place}"
+    markers = f"{target.rstrip('/')}/_chunks/{load_id}"
     schema = spark.read.parquet(records_path).schema
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_chunk)
               .parquet(records_path))
@@ -55,25 +75,31 @@ def chunked_load(spark: SparkSession, records_path: str, adm1: DataFrame, adm2:
     indexes = boundary_indexes(adm1, adm2, stage_mode=stage_mode)   # static side: prepared once
 
     def per_chunk(batch: DataFrame, batch_id: int) -> None:
-        if max_chunks is not None and stats["chunks"] >= max_chunks:
-            return
-        marker = f"{target.rstrip('/')}/_chunks/{batch_id}"
-        if path_exists(spark, marker):        # a replayed micro-batch that was already appended
+        named = batch.withColumn("__file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+        files = {r[0] for r in named.select("__file").distinct().collect()}     # files_per_chunk names
+        if path_exists(spark, markers):       # replayed files that were already appended
+            done = spark.read.schema("file string").json(f"{markers}/*").where(F.col("file").isin(*files))
+            files -= {r[0] for r in done.distinct().collect()}
+        if not files:
             return
-        out = enrich_records(batch, stage_mode=stage_mode, indexes=indexes)
+        if max_chunks is not None and stats["chunks"] >= max_chunks:
+            raise _Enough("max_chunks reached")
+        out = enrich_records(named.where(F.col("__file").isin(*files)).drop("__file"), stage_mode=stage_mode, indexes=indexes)
         obs = Observation(f"chunk_{batch_id}_{uuid.uuid4().hex[:8]}")
         write_table(out, target, mode="append", partition_by=partition_by,
                     observe=(obs, [F.count(F.lit(1)).alias("rows")]))
-        rows = int(obs.get["rows"])
-        spark.createDataFrame([(batch_id, rows)], "batch_id long, rows long").coalesce(1) \
-            .write.mode("overwrite").json(marker)
+        spark.createDataFrame([(f,) for f in sorted(files)], "file string").coalesce(1) \
+            .write.mode("overwrite").json(f"{markers}/{uuid.uuid4().hex}")
         stats["chunks"] += 1
-        stats["rows"] += rows
+        stats["rows"] += int(obs.get["rows"])
 
-    q = (stream.writeStream.foreachBatch(per_chunk)
-         .option("checkpointLocation", checkpoint or scratch_dir(spark, "postal-load-ckpt"))
+    q = (stream.writeStream.foreachBatch(per_chunk).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    q.awaitTermination()
+    try:
+        q.awaitTermination()
+    except StreamingQueryException as e:
+        if "_Enough" not in str(e):
+            raise
     return stats
 
 

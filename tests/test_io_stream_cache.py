@@ -99,3 +99,34 @@ def test_level_job_reports_the_written_rows_once(spark, tmp_dir):
     assert rep["status"] == "written" and rep["rows"] == written > 0 and rep["mb"] > 0
     skipped = run_level(spark, None, "ADM2", tmp_dir)
     assert skipped["status"] == "skipped"
+
+
+def test_second_load_and_resume_lose_no_rows(spark, tmp_dir):
+    from geoprep.operators.postal import gazetteer_records
+    from geoprep.streaming.incremental import chunked_load, stage_records
+    adm1, adm2 = FX.adm1(spark, SF001), FX.adm2(spark, SF001)
+    recs = gazetteer_records(FX.spr(spark, SF001), FX.geojson(spark, SF001))
+    one = recs.count()
+    staged = stage_records(recs, f"{tmp_dir}/a", chunk_rows=40)
+    limited = chunked_load(spark, staged, adm1, adm2, f"{tmp_dir}/t", max_chunks=1)
+    rest = chunked_load(spark, staged, adm1, adm2, f"{tmp_dir}/t")
+    assert limited["chunks"] == 1 and rest["chunks"] >= 1
+    n = spark.read.parquet(f"{tmp_dir}/t").count()
+    assert n == limited["rows"] + rest["rows"] >= one
+    chunked_load(spark, stage_records(recs, f"{tmp_dir}/b", chunk_rows=1000), adm1, adm2, f"{tmp_dir}/t")   # another load
+    assert spark.read.parquet(f"{tmp_dir}/t").count() == 2 * n
+
+
+def test_serving_twice_adds_up(spark, tmp_dir):
+    from geoprep.plans.jobs import store_postal
+    from geoprep.spec import POSTAL_SCHEMA
+    for code, lat in (("1", 1.0), ("2", 2.0), ("1", 3.0)):
+        spark.createDataFrame([("USA", "S", "C", code, lat, 0.0, "POINT (0 0)")], POSTAL_SCHEMA).write.mode("overwrite").parquet(f"{tmp_dir}/p")
+        store_postal(spark, f"{tmp_dir}/p", tmp_dir)
+    assert {(r["postal_code"], r["lat"]) for r in spark.read.parquet(f"{tmp_dir}/wof_data").collect()} == {("1", 3.0), ("2", 2.0)}
+
+
+def test_combined_needs_every_level(spark):
+    from geoprep.operators.boundary import combine_levels
+    with pytest.raises(ValueError, match="ADM0"):
+        combine_levels({"ADM1": FX.adm1(spark, SF001), "ADM2": FX.adm2(spark, SF001), "ADM0": None})

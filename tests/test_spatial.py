@@ -223,3 +223,17 @@ def test_without_staging_the_result_is_the_same(spark):
     b = sorted(map(tuple, spatial_join(left, right, right_id="pid", stage_mode=None).select("id", "pid").collect()),
                key=str)
     assert a == b == sorted([(1, "A"), (2, "A"), (2, "B"), (3, None)], key=str)
+
+
+def test_open_lines_empty_parts_and_repeated_ids(spark):
+    """A line is not closed into a ring, an empty part is no error, and polygons that share
+    an id keep their own edges."""
+    t = "struct<kind:string,parts:array<array<array<struct<x:double,y:double>>>>>"
+    square = [[(0.0, 0.0), (20.0, 0.0), (20.0, 20.0), (0.0, 20.0), (0.0, 0.0)]]
+    small = [[(4.0, 5.0), (5.0, 5.0), (5.0, 6.0), (4.0, 6.0), (4.0, 5.0)]]
+    right = spark.createDataFrame([("x", "big", ("MultiPolygon", [[], square])), ("x", "small", ("Polygon", [small])),
+                                   (None, "far", ("Polygon", [[[(x + 100, y) for x, y in small[0]]]]))], f"id string, name string, geometry {t}")
+    left = spark.createDataFrame([(1, ("LineString", [[[(0.0, 0.0), (10.0, 0.0), (10.0, 10.0)]]])), (2, ("Point", [[[(4.5, 5.5)]]])),
+                                  (3, ("Point", [[[(104.5, 5.5)]]]))], f"k int, geometry {t}")
+    got = {(r["k"], r["name"]) for r in spatial_join(left, right).select("k", "name").collect()}
+    assert got == {(1, "big"), (2, "big"), (2, "small"), (3, "far")}
