@@ -4,11 +4,13 @@
 2. The occurrences of every benchmark term in all training texts are counted, and each
    window gets its ``anchors`` rarest terms with their offsets.  A window whose rarest term
    never occurs cannot match.
-3. Index: the postings (term, text, position) of all anchor terms, stored as a table.  A
-   posting of a window's rarest term also keeps the words around it.
-4. Offset-adjusted lists are intersected: postings become (text, start, window) and a start
-   where all anchors agree is a candidate.  The kept words make the match exact.
-   ``proximity_matches`` lets the anchors stray by ``slop`` words instead.
+3. Index: the postings (term, text, position) of every window's rarest term, stored as a
+   table, each with the words around it.
+4. Each posting gives an offset-adjusted start for the windows it is the rarest term of.
+   The start is intersected with the places of the other anchors, rarest first: they are
+   looked up among the kept words, at their own offsets.  (Lists of their own for the
+   commoner anchors were tried: their offset-adjusted rows outgrew the disk.)  What agrees is
+   compared in full.  ``proximity_matches`` lets the anchors stray by ``slop`` words.
 
 Texts are named by two hashes of their content, so copies share postings and results and a
 text is never shuffled.  The benchmark side is broadcast only if it counts at most
@@ -73,46 +75,44 @@ def _matched(docs: DataFrame, terms: DataFrame, keep: list[Column], extra: list[
 
 
 def rarest_terms(docs: DataFrame, windows: DataFrame, anchors: int) -> DataFrame:
-    """wid, term, offset, rank (0: rarest): the terms to intersect for each window."""
+    """wid, ts (the terms to intersect, structs of n, term and offset, rarest first), first
+    (the rarest term): one row per window that can occur."""
     each = windows.select("wid", F.posexplode("words").alias("offset", "term"))
     terms = small_side(staged(each.select("term").distinct(), "terms"))
     counts = _matched(docs, terms, [], []).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     priced = each.join(staged(counts, "term-counts"), "term", "left").select(
         "wid", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term", "offset").alias("t"))
-    chosen = priced.groupBy("wid").agg(F.slice(F.sort_array(F.collect_list("t")), 1, anchors).alias("ts")) \
-        .where(F.col("ts")[0]["n"] > 0)
-    return staged(chosen.select("wid", F.size("ts").alias("of"), F.posexplode("ts").alias("rank", "t"))
-                  .select("wid", "of", "rank", "t.term", "t.offset"), "anchors")
+    chosen = priced.groupBy("wid").agg(F.slice(F.sort_array(F.collect_list("t")), 1, anchors).alias("ts"))
+    return staged(chosen.where(F.col("ts")[0]["n"] > 0).withColumn("first", F.col("ts")[0]["term"]), "anchors")
 
 
-def build_index(docs: DataFrame, rarest: DataFrame, size: int) -> DataFrame:
-    """The postings of the anchor terms: term, k1, k2, pos, around (words from ``size - 1``
-    before to ``size - 1`` after, for a term that is some window's rarest) and lead (how
-    many of them stand before)."""
-    terms = rarest.groupBy("term").agg(F.min("rank").alias("best"))
-    found = _matched(docs, small_side(staged(terms, "anchor-terms")), text_key(), ["k1", "k2", "best", "words"])
-    begin = F.greatest(F.col("pos") - (size - 1), F.lit(0))
-    return staged(found.select("term", "k1", "k2", "pos", F.when(F.col("best") == 0, F.slice(
-        "words", begin + 1, F.lit(2 * size - 1))).alias("around"), (F.col("pos") - begin).alias("lead")), "postings")
+def build_index(docs: DataFrame, rarest: DataFrame, reach: int) -> DataFrame:
+    """The postings of the windows' rarest terms: term, k1, k2, pos, around (the words from
+    ``reach`` before to ``reach`` after) and lead (how many of them stand before)."""
+    terms = staged(rarest.select(F.col("first").alias("term")).distinct(), "anchor-terms")
+    found = _matched(docs, small_side(terms), text_key(), ["k1", "k2", "words"])
+    begin = F.greatest(F.col("pos") - reach, F.lit(0))
+    around = F.slice("words", begin + 1, F.lit(2 * reach + 1))          # stays in generated code: no copy of the whole text
+    return staged(found.select("term", "k1", "k2", "pos", around.alias("around"), (F.col("pos") - begin).alias("lead")), "postings")
 
 
 def _starts(index: DataFrame, rarest: DataFrame) -> DataFrame:
-    start = F.col("pos") - F.col("offset")
-    return index.join(small_side(rarest), "term").select("k1", "k2", "wid", "of", "rank", start.alias("start"),
-                                                         "around", "lead", "offset").where("start >= 0")
+    """Every posting as a start of each window whose rarest term it is; base: the place of
+    the window's first word among the kept ones."""
+    offset = F.col("ts")[0]["offset"]
+    return index.join(small_side(rarest), F.col("term") == F.col("first")).select(
+        "k1", "k2", "wid", "ts", F.transform("around", lowered).alias("around"), (F.col("pos") - offset).alias("start"), (F.col("lead") - offset).alias("base"))
 
 
 def phrase_matches(docs: DataFrame, benchmark: DataFrame, size: int = 10, anchors: int = 3) -> DataFrame:
     """k1, k2, start, length, items: every occurrence of a window in a training text."""
     windows = item_windows(benchmark, size)
     rarest = rarest_terms(docs, windows, anchors)
-    lists = _starts(build_index(docs, rarest, size), rarest)
-    first = F.when(F.col("rank") == 0, F.struct("around", "lead", "offset"))
-    agreed = lists.groupBy("k1", "k2", "wid", "start", "of").agg(
-        F.count_distinct("rank").alias("agree"), F.first(first, ignorenulls=True).alias("f")).where("agree = of")
+    starts = _starts(build_index(docs, rarest, size - 1), rarest).where("base >= 0")
+    agreed = starts.where(F.forall("ts", lambda t: F.coalesce(
+        F.get("around", F.col("base") + t["offset"]) == t["term"], F.lit(False))))
     checked = agreed.join(small_side(windows), "wid")
-    here = F.slice(F.col("f.around"), F.col("f.lead") - F.col("f.offset") + 1, F.size("words"))
-    return checked.where(F.col("f").isNotNull() & (F.transform(here, lowered) == F.col("words"))).select(
+    return checked.where(F.slice("around", F.col("base") + 1, F.size("words")) == F.col("words")).select(
         "k1", "k2", "start", F.size("words").alias("length"), "items")
 
 
@@ -121,16 +121,14 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, size: int = 10, anc
     within ``slop`` words of its place."""
     windows = item_windows(benchmark, size)
     rarest = rarest_terms(docs, windows, anchors)
-    lists = build_index(docs, rarest, size).join(small_side(rarest), "term").select(
-        "k1", "k2", "wid", "of", "rank", (F.col("pos") - F.col("offset")).alias("start"))
-    bucket = F.floor(F.col("start") / (slop + 1))
-    first = lists.where("rank = 0").withColumn("bucket", bucket)
-    other = lists.where("rank > 0").select("k1", "k2", "wid", F.col("rank").alias("r"), F.col("start").alias("s"),
-                                           F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("bucket"))
-    near = first.join(other, ["k1", "k2", "wid", "bucket"], "left") \
-        .groupBy("k1", "k2", "wid", "start", "of").agg(
-            F.count_distinct(F.when(F.abs(F.col("s") - F.col("start")) <= slop, F.col("r"))).alias("agree"))
-    return near.where("agree = of - 1").join(small_side(windows), "wid").select("k1", "k2", "start", "items")
+    starts = _starts(build_index(docs, rarest, size - 1 + slop), rarest)
+
+    def near(t: Column) -> Column:
+        low = F.greatest(F.col("base") + t["offset"] - slop, F.lit(0))
+        high = F.col("base") + t["offset"] + slop
+        return F.when(high < 0, False).otherwise(F.array_contains(F.slice("around", low + 1, F.greatest(high - low + 1, F.lit(0))), t["term"]))
+
+    return starts.where(F.forall("ts", near)).join(small_side(windows), "wid").select("k1", "k2", "start", "items").distinct()
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, anchors: int = 3) -> DataFrame:
