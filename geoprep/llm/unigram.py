@@ -205,27 +205,33 @@ def decode_ids(ids, table: list[bytes]) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
-def encode_documents(docs: DataFrame, model: str, cache_size: int = 1 << 17) -> DataFrame:
-    """doc_id, text, ids (array<int>) for every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(load_model(model)[0])
+def encode_documents(docs: DataFrame, model: str, cache_size: int = 1 << 17, decode: bool = False) -> DataFrame:
+    """doc_id, text, ids (array<int>) for every document.  With ``decode``, the ids are also decoded
+    (column decoded) in the same pass, so a task needs one worker and ids and text cross over once."""
+    uni, *rest = load_model(model)
+    shared = docs.sparkSession.sparkContext.broadcast((uni, piece_bytes(*rest) if decode else None))
 
     def encode(batches):
-        uni = shared.value
+        uni, table = shared.value
         cache = _WORKER.setdefault(model, {})
-        for pdf in slices(batches, chars=1 << 22):
+        for pdf in slices(batches):
             if len(cache) > cache_size:
                 cache.clear()
             words = [pre_tokens(t) if isinstance(t, str) else [] for t in pdf["text"]]
             missing = [w for w in set(chain.from_iterable(words)) if w not in cache]
             known = cache if len(missing) <= cache_size else dict(cache)     # one huge run of rare words
             known.update(zip(missing, uni.segment([MARK + w.replace(" ", MARK) for w in missing])))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "text": pdf["text"], "ids": [
-                np.frombuffer(b"".join(map(known.__getitem__, ws)), "<i4") for ws in words]})
+            ids = [np.frombuffer(b"".join(map(known.__getitem__, ws)), "<i4") for ws in words]
+            out = {"doc_id": pdf["doc_id"], "text": pdf["text"], "ids": ids}
+            if decode:
+                out["decoded"] = [decode_ids(x.tolist(), table) for x in ids]
+            yield pd.DataFrame(out)
 
     kind = dict(docs.select("doc_id").dtypes)["doc_id"]
+    extra = ["decoded"] if decode else []
     return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text") \
-        .mapInPandas(encode, "doc_id string, text string, ids array<int>") \
-        .select(F.col("doc_id").cast(kind).alias("doc_id"), "text", "ids")
+        .mapInPandas(encode, ", ".join(["doc_id string, text string, ids array<int>"] + [f"{c} string" for c in extra])) \
+        .select(F.col("doc_id").cast(kind).alias("doc_id"), "text", "ids", *extra)
 
 
 def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
@@ -244,7 +250,7 @@ def round_trip(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, n_tokens, n_byte_tokens, ids_sha256 (of the comma-joined ids), round_trip."""
     byte_ids = sorted(load_model(model)[2])
     low, high = (byte_ids[0], byte_ids[-1]) if byte_ids else (1, 0)
-    done = decode_documents(encode_documents(docs, model), model)
+    done = encode_documents(docs, model, decode=True)
     return done.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.size(F.filter("ids", lambda i: i.between(low, high))).cast("long").alias("n_byte_tokens"),

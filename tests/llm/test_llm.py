@@ -97,6 +97,10 @@ def test_unigram_is_the_best_path_and_decodes(spark, documents):
     out = unigram.round_trip(docs_of(spark, EDGES), tokenizer_path()).collect()
     assert all(r["round_trip"] for r in out) and out[0]["n_tokens"] == out[1]["n_tokens"] == 0
     assert unigram.round_trip(documents.where("false"), tokenizer_path()).count() == 0
+    edges = docs_of(spark, EDGES)
+    apart = unigram.decode_documents(unigram.encode_documents(edges, tokenizer_path()), tokenizer_path())
+    at_once = unigram.encode_documents(edges, tokenizer_path(), decode=True)
+    assert sorted(map(repr, apart.collect())) == sorted(map(repr, at_once.collect()))
 
 
 def test_main_text(spark):
