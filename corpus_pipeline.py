@@ -13,7 +13,7 @@ from geoprep.llm.jaccard import one_of_each_class
 from geoprep.llm.phrases import decontaminate
 from geoprep.llm.quality import keep_good
 from geoprep.llm.queries import tokenizer_path
-from geoprep.llm.unigram import decode_documents, encode_documents
+from geoprep.llm.unigram import encode_documents
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +38,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids and whether they decode to the text."""
-    model = tokenizer_path()
-    done = decode_documents(encode_documents(docs, model), model)
+    done = encode_documents(docs, tokenizer_path(), decode=True)
     same = F.col("decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit("\u2581"), F.lit(" "))
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 
