@@ -94,7 +94,8 @@ def shingle_sets(texts, words: int) -> list[np.ndarray]:
     cut = np.searchsorted(start, begin)
     rolled = np.zeros(len(h), np.uint64)
     for k in range(words):
-        rolled[:len(h) - k] += h[k:] * _PLACE[k]
+        m = max(0, len(h) - k)                 # fewer words than k: nothing to add
+        rolled[:m] += h[k:k + m] * _PLACE[k]
     rolled = _mix(rolled)
     out = []
     for a, b in zip(cut, cut[1:]):

@@ -178,6 +178,13 @@ def test_jaccard_classes_equal_brute_force(spark, words, percent):
     assert jaccard.similarity_classes(docs_of(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("words", [4, 5])
+def test_shingles_of_a_slice_shorter_than_a_shingle(spark, words):
+    assert [len(s) for n in range(5) for s in jaccard.shingle_sets([" ".join("abcd"[:n])], words)] == [0, 1, 1, 1, 1]
+    for n in (1, 2, 3, 4):                             # a table of one row
+        assert jaccard.similarity_classes(docs_of(spark, [" ".join("abcd"[:n])]), words, 80).count() == 1
+
+
 def test_tree_blocks_and_bounds_lose_nothing():
     r = np.random.default_rng(5)
     sets = [np.unique(r.integers(0, 4000, r.integers(20, 300)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for _ in range(60)]
