@@ -9,7 +9,9 @@ one article, that article.  Siblings with a fair share of the winner's points ar
 
 Left out wherever they stand: scripts, styles, menus, page headers and footers, sidebars,
 notices, adverts, forms and reader comments, told by element, ``role``, ``hidden`` or a word
-of ``class`` or ``id``.  A header inside an article keeps its headings.  Inside the chosen
+of ``class`` or ``id``.  A form, or a block told by a word alone, stays (with fewer points) if
+it holds a ``main``, the page's only articles or most of the page's points; ``no-sidebar`` and
+the like say nothing.  A header inside an article keeps its headings.  Inside the chosen
 container, lists and boxes that are mostly links go, unless it is an article.
 
 A block's text has character references decoded, each run of white space (``br`` counts as
@@ -44,7 +46,7 @@ tfoot th thead tr ul""".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = {t: re.compile(rf"</{t}[\s/>]|\Z", re.I) for t in
        "script style textarea title noscript iframe xmp noembed noframes".split()}
-DROPPED = set("""aside button canvas datalist dialog footer form head iframe math menu nav noembed noframes noscript object
+DROPPED = set("""aside button canvas datalist dialog footer head iframe math menu nav noembed noframes noscript object
 script select style svg template textarea title""".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 UNLIKELY = set("""ad ads adv advert adverts advertisement advertisements advertising sponsor sponsors sponsored promo promos
@@ -59,28 +61,34 @@ CLOSES = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dd", {"dl"}), "dd": ("dt",
 START = {"article": 25.0, "main": 25.0, "div": 5.0, "section": 5.0, "blockquote": 3.0, "pre": 3.0, "td": 3.0,
          "ul": -3.0, "ol": -3.0, "dl": -3.0, "li": -3.0}
 LEVELS = 5              # ancestors a paragraph passes points to
-KEEP, DROP, HEADINGS_ONLY = 0, 1, 2
+KEEP, DROP, HEADINGS_ONLY, DOUBTFUL = 0, 1, 2, 3
+READERS = set("comment comments commentlist disqus respond reply replies".split())
+STATUS = re.compile(r"(?<!\S)(?:(?:no|has|with|without|hide)[-_]\S+|\S+[-_](?:closed|open|off|disabled))(?!\S)", re.I)
 
 
 def _judge(tag: str, attrs: str, known: dict) -> tuple[int, float]:
-    """(0 keep, 1 drop, 2 header-like; points the element starts with)."""
+    """(0 keep, 1 drop, 2 header-like, 3 dropped unless it holds the text; points the element starts with)."""
     got = known.get((tag, attrs))
     if got is not None:
         return got
     state, points = (DROP if tag in DROPPED else KEEP), START.get(tag, 0.0)
+    if tag == "form":
+        state = DOUBTFUL
     if tag == "header":
         state = HEADINGS_ONLY
     if attrs and not attrs.isspace() and tag not in ("html", "body"):
         values = {k.lower(): html.unescape(v.strip("\"'")) for k, v in _ATTR.findall(attrs)}
-        words = {w.lower() for k in ("class", "id") for w in _WORD.findall(values.get(k, ""))}
+        words = {w.lower() for k in ("class", "id") for w in _WORD.findall(STATUS.sub(" ", values.get(k, "")))}
+        whole = {w.lower() for k in ("class", "id") for w in values.get(k, "").split()}
         if "hidden" in values or values.get("aria-hidden") == "true" or values.get("role", "").lower() in ROLES \
                 or re.search(r"display\s*:\s*none", values.get("style", "")):
             state = DROP
         elif tag not in ("article", "main") or words & {"comment", "comments"}:
             if words & UNLIKELY:
-                state = DROP
+                sure = state == DROP or tag not in BLOCKS or tag in ("article", "main") or whole & READERS
+                state, points = DROP if sure else DOUBTFUL, points - 25.0
             elif words & HEADER_LIKE and tag not in HEADINGS:
-                state = max(state, HEADINGS_ONLY) if state != DROP else DROP
+                state = HEADINGS_ONLY if state in (KEEP, HEADINGS_ONLY) else state
         points += 25.0 if words & LIKELY else 0.0
     if len(known) < 100_000:
         known[tag, attrs] = state, points
@@ -94,6 +102,7 @@ class _Page:
         self.known = known
         self.parent, self.tag, self.state, self.points = [-1], ["#page"], [KEEP], [0.0]
         self.in_article = [False]
+        self.doubtful: list[int] = []
         self.stack = [0]
         self.blocks: list[tuple[int, str, int]] = []      # element, text, link characters
         self.buffer: list[str] = []
@@ -154,8 +163,11 @@ class _Page:
         article = self.in_article[up] or tag in ("article", "main")
         if state == HEADINGS_ONLY and not self.in_article[up]:
             state = DROP
-        if self.state[up] == DROP or state == DROP:
+        if self.state[up] == DROP or state == DROP or (state == DOUBTFUL and self.state[up] == HEADINGS_ONLY):
             state = DROP
+        elif state == DOUBTFUL:
+            self.doubtful.append(len(self.tag))
+            state = KEEP
         elif self.state[up] == HEADINGS_ONLY:
             state = KEEP if tag in HEADINGS else HEADINGS_ONLY
         self.parent.append(up)
@@ -198,12 +210,51 @@ class _Page:
         self.flush()
 
 
+def _worth(text: str, linked: int) -> float:
+    return (min(1.0, len(text) / 25) + text.count(",") + min(len(text) / 100, 3.0)) * (1 - linked / len(text))
+
+
+def _settle(p: _Page) -> None:
+    """Drop the doubtful elements, but for those that hold the page's text."""
+    n = len(p.tag)
+    held, holds = [0.0] * n, [0] * n                  # points; articles, or a main
+    doubted = [False] * n
+    for k in p.doubtful:
+        doubted[k] = True
+    under = list(doubted)
+    for k in range(1, n):
+        under[k] = under[k] or under[p.parent[k]]
+        if p.state[k] == KEEP and p.tag[k] in ("article", "main"):
+            holds[k] = 1
+    mains = [k for k in range(n) if holds[k] and p.tag[k] == "main"]
+    outside = any(holds[k] and not under[k] for k in range(n))
+    for node, text, linked in p.blocks:
+        if p.tag[node] not in HEADINGS:
+            held[node] += _worth(text, linked)
+    around = set()
+    for k in mains:
+        while k > 0 and k not in around:
+            around.add(k)
+            k = p.parent[k]
+    for k in range(n - 1, 0, -1):
+        held[p.parent[k]] += held[k]
+        holds[p.parent[k]] += holds[k]
+    for k in range(1, n):
+        if p.state[p.parent[k]] == DROP:
+            p.state[k] = DROP
+        elif doubted[k] and not (2 * held[k] > held[0] or k in around or (holds[k] and not outside and holds[k] == holds[0])):
+            p.state[k] = DROP
+    p.blocks = [b for b in p.blocks if p.state[b[0]] != DROP]
+
+
 def main_text(page: str | None, known: dict | None = None) -> str:
     """The main text of one page."""
     if not page:
         return ""
     p = _Page({} if known is None else known)
     p.read(page)
+    if p.doubtful:
+        _settle(p)
     blocks = p.blocks
     if not blocks:
         return ""
@@ -215,7 +266,7 @@ def main_text(page: str | None, known: dict | None = None) -> str:
         links[node] += linked
         if p.tag[node] in HEADINGS:
             continue
-        worth = (min(1.0, len(text) / 25) + text.count(",") + min(len(text) / 100, 3.0)) * (1 - linked / len(text))
+        worth = _worth(text, linked)
         up = p.parent[node] if p.tag[node] in ("p", "pre", "li", "td", "dd", "blockquote") else node
         for level in range(LEVELS):
             if up < 0:

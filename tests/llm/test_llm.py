@@ -124,6 +124,16 @@ def test_main_text(spark):
     assert html_text.extract_main_text(rows.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("wrap", ['<article><div class="elementor-widget theme-post-content">%s</div></article>', '<div id="content-sidebar-wrap">%s</div>',
+                                  '<div class="page no-sidebar">%s</div>', '<div class="post comments-closed">%s</div>', "<form>%s</form>",
+                                  '<div class="site-overlay"><main>%s</main></div>'])
+def test_main_text_in_a_wrapper_of_unlikely_words(wrap):
+    body = "".join(f"<p>Paragraph {i} of the text, with commas, and enough words to be the main text.</p>" for i in range(6))
+    aside = '<div class="sidebar"><p>Side text, with commas, and words.</p></div>'
+    page = f"<html><body>{wrap % (body + aside)}<div class=comments><p>{'A comment, longer than the text. ' * 60}</p></div></body></html>"
+    assert html_text.main_text(page) == "\n".join(re.findall("<p>(.*?)</p>", body))
+
+
 def test_classifiers_on_held_out_rows(spark, documents):
     big = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
