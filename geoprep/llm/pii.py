@@ -3,13 +3,15 @@
 1. Seeds: emails, IP addresses, card and phone numbers are found in every whole text by
    fixed expressions; spans come from the lengths of the matches and of the text between
    them.  Candidates are the other tokens of at least three digits.
-2. Every seed and candidate carries its lexical pattern: the two words before it, in lower
-   case and with digits masked.  (pattern, instance) pairs are counted over all documents.
+2. Every seed and candidate carries its lexical patterns, in lower case and with digits
+   masked: two words left, one left, one right, one on both sides, and two left of which
+   the nearer is masked to its shape.  (pattern, instance) pairs are counted over all documents.
 3. The graph is scored in ``rounds``: a pattern's confidence for a kind is the mean score
-   of its distinct instances (seeds score 1 for their kind), an instance's score is the
-   noisy-or of its confident patterns.  A pattern needs ``support`` distinct seeds.
-4. Occurrences of unseen instances behind a pattern of confidence ``confident`` or more
-   join the spans, under the pattern's kind.  Base spans always stay.
+   of its distinct instances (seeds score 1 for their kind; patterns of one exact word
+   count half an instance more), an instance's score is the noisy-or of its confident
+   patterns of kinds whose shape it has.  A pattern needs ``support`` distinct seeds.
+4. Occurrences of unseen instances beside a pattern of confidence ``confident`` or more
+   join the spans, under the pattern's kind; of nested ones the longest.  Base spans always stay.
 
 DataFrame functions only; the expressions are written so that they never rescan a run of
 characters.  A null text is an empty one.  Repeated rows get the same spans; instances are
@@ -52,11 +54,32 @@ def running_sums(xs: Column) -> Column:
         sums(ys), lambda s: s + F.when(b > 0, F.element_at(totals, F.greatest(b, F.lit(1)))).otherwise(0))))
 
 
-def _context(gap: Column) -> Column:
-    """The last two words before a match: lower case, digits masked; empty if there are none."""
-    tail = F.lower(F.substring(gap, -CONTEXT_CHARS, CONTEXT_CHARS))
-    words = F.regexp_extract(tail, r"(?:(\S+)\s++)?+(\S+)\s*$", 0)
-    return F.translate(F.trim(F.regexp_replace(words, r"\s+", " ")), "0123456789", "0" * 10)
+def _contexts(before: Column, after: Column) -> Column:
+    """The patterns of a match between ``before`` and ``after``, a sign for their form first."""
+    def masked(words: Column) -> Column:
+        return F.translate(F.trim(F.regexp_replace(words, r"\s+", " ")), "0123456789", "0" * 10)
+
+    tail = F.lower(F.substring(before, -CONTEXT_CHARS, CONTEXT_CHARS))
+    two = masked(F.regexp_extract(tail, r"(?:(\S+)\s++)?+(\S+)\s*$", 0))
+    right = masked(F.regexp_extract(F.lower(F.substring(after, 1, CONTEXT_CHARS)), r"^\S*+\s++(\S++)", 1))
+
+    def forms(x: Column) -> Column:
+        first, one = F.substring_index(x["two"], " ", 1), F.substring_index(x["two"], " ", -1)
+        shape = F.regexp_replace(F.regexp_replace(one, r"\p{L}+", "a"), "0+", "0")
+        return F.array(F.when(one != "", F.concat(F.lit("2 "), x["two"])), F.when(one != "", F.concat(F.lit("< "), one)),
+                       F.when(x["right"] != "", F.concat(F.lit("> "), x["right"])),
+                       F.when((one != "") & (x["right"] != ""), F.concat(F.lit("= "), one, F.lit(" "), x["right"])),
+                       F.when(x["two"].contains(" "), F.concat(F.lit("~ "), first, F.lit(" "), shape)))
+
+    once = F.transform(F.array(F.struct(two.alias("two"), right.alias("right"))), forms)    # words are taken out once
+    return F.array_compact(F.flatten(once))
+
+
+def _shaped(k: Column, inst: Column) -> Column:
+    """Whether an unseen instance may be of kind ``k`` by its characters."""
+    digits = F.length(F.regexp_replace(inst, "[^0-9]", ""))
+    return F.when(k == 0, inst.rlike(r"[@\p{L}]")).when(k == 1, inst.rlike(r"[.:][^.:]*+[.:]") & (digits >= 3)) \
+        .when(k == 2, (digits >= 8) & ~inst.contains("@")).otherwise(digits.between(3, 15) & ~inst.contains("@"))
 
 
 def _valid(kind: str, found: Column) -> Column:
@@ -76,13 +99,24 @@ def _valid(kind: str, found: Column) -> Column:
 
 
 def _spans(found: str, gaps: str, kind: int) -> Column:
-    """array<struct<k, s, e, ctx, inst>> of the matches in ``found``, ``gaps`` being the text around them."""
+    """array<struct<k, s, e, ctx, inst>> of the matches in ``found``, ``gaps`` being the text around
+    them; words of the neighbouring matches belong to the patterns in ``ctx``."""
     f, g = F.col(found), F.col(gaps)
     ends = running_sums(F.transform(f, lambda m, i: F.length(m) + F.length(F.get(g, i))))
+
+    def near(xs: Column, i: Column, chars: int) -> Column:
+        x = F.when(i >= 0, F.get(xs, i))
+        return F.coalesce(F.substring(x, -chars, chars) if chars > 0 else F.substring(x, 1, -chars), F.lit(""))
+
+    def around(i: Column) -> Column:
+        c = CONTEXT_CHARS
+        return _contexts(F.concat(near(f, i - 2, c), near(g, i - 1, c), near(f, i - 1, c), near(g, i, c)),
+                         F.concat(near(g, i + 1, -c), near(f, i + 1, -c), near(g, i + 2, -c)))
+
     each = F.transform(F.arrays_zip(f.alias("m"), ends.alias("e")), lambda x, i: F.struct(
         F.lit(kind).alias("k"), (x["e"] - F.length(x["m"])).alias("s"), x["e"].alias("e"),
-        _context(F.get(g, i)).alias("ctx"), x["m"].alias("inst")))
-    none = F.array().cast("array<struct<k:int,s:int,e:int,ctx:string,inst:string>>")
+        around(i).alias("ctx"), x["m"].alias("inst")))
+    none = F.array().cast("array<struct<k:int,s:int,e:int,ctx:array<string>,inst:string>>")
     return F.when(F.size(f) > 0, each).otherwise(none)
 
 
@@ -99,19 +133,21 @@ def base_and_candidates(rows: DataFrame, text: str = "text") -> DataFrame:
         return F.filter(_spans(f"m_{k}", f"g_{k}", i), lambda x: _valid(k, x["inst"]))
 
     valid = [valid_spans(i, k) for i, k in enumerate(KINDS)]
-    step = step.select(*rest, F.concat(*valid).alias("base"), _spans("m_cand", "g_cand", -1).alias("cands"))
+    step = step.select(*rest, F.concat(*valid).alias("base"),
+                       *[_spans(f"m_{k}", f"g_{k}", -1).alias(k) for k in ("cand",)])
 
-    def trimmed(x: Column) -> Column:
-        left = F.ltrim(x["inst"], F.lit(EDGES))
+    def trimmed(x: Column, edges: str) -> Column:
+        left = F.ltrim(x["inst"], F.lit(edges))
         both = F.rtrim(left, F.lit(EDGES))
         start = x["s"] + F.length(x["inst"]) - F.length(left)
         return F.struct(x["k"].alias("k"), start.alias("s"), (start + F.length(both)).alias("e"),
                         x["ctx"].alias("ctx"), both.alias("inst"))
 
-    def apart(x: Column) -> Column:
-        return (F.length(x["inst"]) >= 3) & (x["ctx"] != "") & ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
+    def apart(x: Column, others: str) -> Column:
+        return (F.length(x["inst"]) >= 3) & (F.size(x["ctx"]) > 0) & ~F.exists(others, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
 
-    return step.select(*rest, "base", F.filter(F.transform("cands", trimmed), apart).alias("cands"))
+    step = step.withColumn("cand", F.filter(F.transform("cand", lambda x: trimmed(x, EDGES)), lambda x: apart(x, "base")))
+    return step.select(*rest, "base", F.col("cand").alias("cands"))
 
 
 def score_graph(found: DataFrame, support: int = 3, confident: float = 0.75, rounds: int = 3) -> DataFrame:
@@ -119,19 +155,20 @@ def score_graph(found: DataFrame, support: int = 3, confident: float = 0.75, rou
     occurrences (ctx, k or -1, inst)."""
     edges = staged(found.groupBy("ctx", "inst", "k").agg(F.count(F.lit(1)).alias("n")), "pii-edges")
     seeds = edges.where("k >= 0").select("inst", "k").distinct().withColumn("score", F.lit(1.0))
-    kinds = edges.where("k >= 0 AND ctx <> ''").groupBy("ctx", "k").agg(F.count_distinct("inst").alias("seeds")) \
+    kinds = edges.where("k >= 0").groupBy("ctx", "k").agg(F.count_distinct("inst").alias("seeds")) \
         .where(F.col("seeds") >= support)                    # the patterns that seeds induce
     kinds = staged(kinds, "pii-patterns")
     members = staged(edges.select("ctx", "inst").distinct().join(kinds.select("ctx").distinct(), "ctx", "left_semi"), "pii-members")
     total = members.groupBy("ctx").agg(F.count(F.lit(1)).alias("total"))
+    general = F.when(F.substring("ctx", 1, 1).isin("<", ">", "~"), 0.5).otherwise(0.0)
     scores, learned = seeds, None
     for _ in range(rounds):
         got = members.join(scores, "inst").groupBy("ctx", "k").agg(F.sum("score").alias("mass"))
         patterns = kinds.join(got, ["ctx", "k"]).join(total, "ctx").select(
-            "ctx", "k", (F.col("mass") / F.col("total")).alias("conf")).where(F.col("conf") >= confident)
+            "ctx", "k", (F.col("mass") / (F.col("total") + general)).alias("conf")).where(F.col("conf") >= confident)
         # noisy-or over an instance's patterns; the logarithm keeps the product a sum
         miss = F.sum(F.log(F.lit(1.0) - F.least(F.col("conf"), F.lit(0.999999))))
-        learned = members.join(patterns, "ctx").groupBy("inst", "k").agg((F.lit(1.0) - F.exp(miss)).alias("score"))
+        learned = members.join(patterns, "ctx").where(_shaped(F.col("k"), F.col("inst"))).groupBy("inst", "k").agg((F.lit(1.0) - F.exp(miss)).alias("score"))
         learned = staged(learned.join(seeds.select("inst").distinct(), "inst", "left_anti"), "pii-scores")
         scores = seeds.unionByName(learned)
     best = learned.groupBy("inst").agg(F.max(F.struct("score", (-F.col("k")).alias("k"))).alias("b")) \
@@ -144,13 +181,15 @@ def extract(docs: DataFrame, *, support: int = 3, confident: float = 0.75, round
     the place in ``KINDS``) for every document."""
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("rid"), "text")
     rows = staged(base_and_candidates(rows), "pii-rows")
-    seeds = rows.select(F.explode("base").alias("x")).select("x.ctx", "x.k", "x.inst")
-    cands = rows.select("rid", F.explode("cands").alias("x"))
-    found = score_graph(seeds.unionByName(cands.select("x.ctx", "x.k", "x.inst")), support, confident, rounds)
-    new = cands.join(small_side(found), (F.col("x.ctx") == F.col("ctx")) & (F.col("x.inst") == F.col("inst"))) \
-        .select("rid", F.struct(F.col("k"), F.col("x.s").alias("s"), F.col("x.e").alias("e"), F.col("x.ctx").alias("ctx"),
-                                F.col("x.inst").alias("inst")).alias("x"))
-    new = new.groupBy("rid").agg(F.collect_set("x").alias("new"))
+    seeds = rows.select(F.explode("base").alias("x")).select(F.explode("x.ctx").alias("ctx"), "x.k", "x.inst")
+    cands = rows.select("rid", F.explode("cands").alias("x")).select("rid", "x", F.explode("x.ctx").alias("c"))
+    found = score_graph(seeds.unionByName(cands.select(F.col("c").alias("ctx"), "x.k", "x.inst")), support, confident, rounds)
+    new = cands.join(small_side(found), (F.col("c") == F.col("ctx")) & (F.col("x.inst") == F.col("inst"))) \
+        .groupBy("rid", F.col("k").alias("k"), F.col("x.s").alias("s"), F.col("x.e").alias("e")) \
+        .agg(F.min("x.ctx").alias("ctx"), F.min("x.inst").alias("inst"))
+    new = new.groupBy("rid").agg(F.collect_list(F.struct("k", "s", "e", "ctx", "inst")).alias("new"))
+    new = new.withColumn("new", F.filter("new", lambda x: ~F.exists("new", lambda y: (y["s"] <= x["s"]) & (
+        y["e"] >= x["e"]) & (y["e"] - y["s"] > x["e"] - x["s"]))))
     return rows.join(new, "rid", "left").select(
         "doc_id", F.array_sort("base").alias("base"),
         F.array_sort(F.when(F.col("new").isNull(), F.col("base")).otherwise(F.concat("base", "new"))).alias("spans"))
