@@ -2,7 +2,9 @@
 
 1. Seeds: emails, IP addresses, card and phone numbers are found in every whole text by
    fixed expressions; spans come from the lengths of the matches and of the text between
-   them.  Candidates are the other tokens of at least three digits.
+   them.  Candidates are the other tokens of at least three digits, runs of digit groups
+   (3 to 19 digits) joined by spaces, dots, hyphens or brackets, tokens with an @, and
+   addresses written with ``at`` and ``dot``.
 2. Every seed and candidate carries its lexical patterns, in lower case and with digits
    masked: two words left, one left, one right, one on both sides, and two left of which
    the nearer is masked to its shape.  (pattern, instance) pairs are counted over all documents.
@@ -35,6 +37,11 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 CANDIDATE = r"(?<!\S)[^\s0-9]*+[0-9][^\s0-9]*+[0-9][^\s0-9]*+[0-9]\S*+"
+ATOM = r"(?:\([0-9]++\)|[0-9]++)"
+RUN = rf"(?<![^\s\[{{\"'<*#:=(])(?=\S*+\x20[+(]?[0-9])\+?+{ATOM}(?:[\x20.-]{{0,2}}{ATOM})*+\S*+"
+AT, DOT = (rf"(?:\x20(?i:{w})\x20|\x20?[(\[](?i:{w})[)\]]\x20?)" for w in ("at", "dot"))
+MAIL = (r"(?<!\S)[^\s@]++(?:(?<![A-Za-z0-9._%+-])@|@(?![A-Za-z0-9-]++\.[A-Za-z0-9-]))\S++"
+        rf"|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++{AT}[A-Za-z0-9-]++(?:(?:{DOT}|\.)[A-Za-z0-9-]++)++(?<=[A-Za-z])")
 EDGES = "([{\"'<*#$%&!|.,:;?)]}>`~=_-/\\"
 PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 BLOCK = 256
@@ -124,7 +131,7 @@ def base_and_candidates(rows: DataFrame, text: str = "text") -> DataFrame:
     """``rows`` with ``base`` (valid base spans, by kind and start) and ``cands`` in place of ``text``."""
     rest = [c for c in rows.columns if c != text]
     step = rows.withColumn(text, F.coalesce(text, F.lit("")))
-    names = {k: PATTERNS[k] for k in KINDS} | {"cand": CANDIDATE}
+    names = {k: PATTERNS[k] for k in KINDS} | {"cand": CANDIDATE, "run": RUN, "mail": MAIL}
     step = step.select("*", *[F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias(f"m_{k}") for k, p in names.items()])
     step = step.select(*rest, *[f"m_{k}" for k in names], *[
         F.when(F.size(f"m_{k}") > 0, F.split(text, p, -1)).alias(f"g_{k}") for k, p in names.items()])
@@ -134,7 +141,7 @@ def base_and_candidates(rows: DataFrame, text: str = "text") -> DataFrame:
 
     valid = [valid_spans(i, k) for i, k in enumerate(KINDS)]
     step = step.select(*rest, F.concat(*valid).alias("base"),
-                       *[_spans(f"m_{k}", f"g_{k}", -1).alias(k) for k in ("cand",)])
+                       *[_spans(f"m_{k}", f"g_{k}", -1).alias(k) for k in ("cand", "run", "mail")])
 
     def trimmed(x: Column, edges: str) -> Column:
         left = F.ltrim(x["inst"], F.lit(edges))
@@ -146,8 +153,13 @@ def base_and_candidates(rows: DataFrame, text: str = "text") -> DataFrame:
     def apart(x: Column, others: str) -> Column:
         return (F.length(x["inst"]) >= 3) & (F.size(x["ctx"]) > 0) & ~F.exists(others, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
 
-    step = step.withColumn("cand", F.filter(F.transform("cand", lambda x: trimmed(x, EDGES)), lambda x: apart(x, "base")))
-    return step.select(*rest, "base", F.col("cand").alias("cands"))
+    def a_run(x: Column) -> Column:                     # longer ones are several numbers: their tokens stand alone
+        return x["inst"].contains(" ") & F.length(F.regexp_replace(x["inst"], "[^0-9]", "")).between(3, 19)
+
+    step = step.withColumn("run", F.filter(F.filter(F.transform("run", lambda x: trimmed(x, " ")), a_run), lambda x: apart(x, "base"))) \
+        .withColumn("mail", F.filter(F.transform("mail", lambda x: trimmed(x, EDGES)), lambda x: apart(x, "base"))) \
+        .withColumn("cand", F.filter(F.transform("cand", lambda x: trimmed(x, EDGES)), lambda x: apart(x, "base") & apart(x, "run")))
+    return step.select(*rest, "base", F.concat("cand", "run", "mail").alias("cands"))
 
 
 def score_graph(found: DataFrame, support: int = 3, confident: float = 0.75, rounds: int = 3) -> DataFrame:

@@ -276,6 +276,19 @@ def test_pii_base_spans_discovery_and_masking(spark, documents):
     assert all(r["h"] == hashlib.sha256(",".join(brute_spans(r["text"])).encode()).hexdigest() for r in real)
 
 
+def test_pii_general_patterns_and_whole_unseen_identifiers(spark):
+    ways = "red blue green black white grey".split()
+    texts = [f"call {w} me at +1 555 010 {1000 + i} now" for i, w in enumerate(ways)]
+    texts += [f"{w} mailto a{i}@b{i}.example.com {w}" for i, w in enumerate(ways)]
+    unseen = [("call me at 555 123 4567 or", "phone:11:23"), ("then mailto jane@localhost ok", "email:12:26"),
+              ("nothing near 555 123 4567 or", "")]
+    for tried in (unseen, [("pink mailto jane at example dot org ok", "email:12:35")]):
+        rows = pii.extract(docs_of(spark, [t for t, _ in tried] + texts)).select("doc_id", pii.written("spans").alias("s")).collect()
+        assert [r["s"] for r in sorted(rows)[:len(tried)]] == [w for _, w in tried]
+    masked = pii.redact(docs_of(spark, [unseen[0][0]] + texts)).collect()
+    assert {r["doc_id"]: r["text"] for r in masked}[0] == "call me at [PHONE] or"
+
+
 def test_pipeline(spark):
     import corpus_pipeline as C
     out = C.run(spark, SF)
