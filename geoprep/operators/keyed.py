@@ -11,16 +11,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geoprep.operators.stage import stage
-
-
-def _cols(cols) -> list:
-    return [F.col(c) if isinstance(c, str) else c for c in cols]
+from geoprep.operators.numbering import (_cols, batch_plan_bytes, batch_plan_rows, batch_summary,  # noqa: F401 - one entry point
+                                         row_bytes, sequence_within)
 
 
 # ---------------------------------------------------------------------------------------
@@ -109,207 +105,6 @@ def insert_absent(target: DataFrame, new: DataFrame, keys, order_by=None) -> Dat
     return first.join(target.select(*keys).distinct(), keys, "left_anti")
 
 
-# ---------------------------------------------------------------------------------------
-# K8, K9 batch plans
-
-
-def sequence_within(df: DataFrame, keys, order_by, *, partitions: int | None = None,
-                    stage_mode: str | None = "checkpoint") -> DataFrame:
-    """Adds ``seq`` = 1, 2, ... per key in ``order_by`` order, exact, without putting a
-    whole key into one task and without a shuffle after the sort.
-
-    1. Rows are range-partitioned on (keys, order) and sorted inside each partition, so a
-       large key is cut across several partitions; the result is staged so every later
-       read sees the same cut.
-    2. One pass per partition gives its first and last key with their row counts: a
-       summary of one row per partition (bounded by the partition count, not the data).
-       Only a partition's first key can continue from earlier partitions, so the carried
-       offsets come from that summary.
-    3. A second pass numbers rows in order inside each partition (``mapInPandas`` over
-       the sorted rows) and adds the carried offset to the partition's first key.
-    ``keys`` + ``order_by`` should identify a row (ties are numbered in stored order).
-    """
-    keys = list(keys)
-    order = _cols(order_by)
-    kj = F.to_json(F.struct(*[F.col(k) for k in keys])) if keys else F.lit("{}")
-    packed, unpack = _pack_nested(df)
-    range_cols = [F.col(k) for k in keys] + order
-    cut_rows = packed.withColumn("__kj", kj)
-    cut_rows = (cut_rows.repartitionByRange(partitions, *range_cols) if partitions
-                else cut_rows.repartitionByRange(*range_cols))     # AQE may merge adjacent ranges
-    cut = stage(cut_rows
-                .sortWithinPartitions(*[F.col(k) for k in keys], *order)
-                .withColumn("__pid", F.spark_partition_id()), stage_mode)
-    summary = cut.select("__pid", "__kj").mapInPandas(
-        _partition_summary, "pid int, first_key string, first_count long, last_key string, last_count long")
-    rows = sorted(summary.collect(), key=lambda r: r["pid"])
-    offsets, running_key, running = {}, None, 0
-    for r in rows:
-        offsets[r["pid"]] = (r["first_key"], running if r["first_key"] == running_key else 0)
-        if r["first_key"] == r["last_key"] and r["first_key"] == running_key:
-            running += r["last_count"]                 # the key fills this partition and continues
-        else:
-            running_key, running = r["last_key"], r["last_count"]
-    schema = T.StructType([f for f in cut.schema.fields if f.name not in ("__pid", "__kj")]
-                          + [T.StructField("seq", T.LongType())])
-    numbered = cut.mapInPandas(_number_rows(offsets), schema)
-    return unpack(numbered)
-
-
-def _pack_nested(df: DataFrame):
-    """Nested columns travel as JSON text through the pandas passes (ragged arrays do not
-    convert); returns (packed frame, function restoring the types)."""
-    nested = {f.name: f.dataType for f in df.schema.fields
-              if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))}
-    if not nested:
-        return df, (lambda out: out)
-    packed = df.withColumns({c: F.to_json(F.col(c)) for c in nested})
-    return packed, (lambda out: out.withColumns({c: F.from_json(F.col(c), t) for c, t in nested.items()}))
-
-
-def _leading_run(k: pd.Series, key) -> int:
-    ne = k.ne(key).to_numpy()
-    return int(ne.argmax()) if ne.any() else len(k)
-
-
-def _partition_summary(batches):
-    """One row per partition: first key and the length of its leading run, last key and
-    the length of its trailing run (vectorised per Arrow batch)."""
-    pid = first_key = last_key = None
-    first_count = last_count = 0
-    in_first = True
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        pid = int(pdf["__pid"].iloc[0])
-        k = pdf["__kj"]
-        if first_key is None:
-            first_key = k.iloc[0]
-        if in_first:
-            run = _leading_run(k, first_key)
-            first_count += run
-            in_first = run == len(k)
-        tail_key = k.iloc[-1]
-        tail = _leading_run(k.iloc[::-1], tail_key)
-        if tail == len(k) and tail_key == last_key:
-            last_count += tail
-        else:
-            last_key, last_count = tail_key, tail
-    if pid is not None:
-        yield pd.DataFrame({"pid": [pid], "first_key": [first_key], "first_count": [first_count],
-                            "last_key": [last_key], "last_count": [last_count]})
-
-
-def _number_rows(offsets: dict):
-    """Position of each row inside its key's run, plus what runs before it carried (from
-    the previous batch, or for a partition's first key from earlier partitions)."""
-    def fn(batches):
-        prev_key, prev_seq = None, 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pid = int(pdf["__pid"].iloc[0])
-            k = pdf["__kj"]
-            run = k.ne(k.shift()).cumsum()
-            seq = run.groupby(run).cumcount().to_numpy(dtype="int64") + 1
-            lead = _leading_run(k, k.iloc[0])
-            if prev_key is not None:
-                carry = prev_seq if k.iloc[0] == prev_key else 0
-            else:
-                first_key, carried = offsets.get(pid, (None, 0))
-                carry = carried if k.iloc[0] == first_key else 0
-            seq[:lead] += carry
-            prev_key, prev_seq = k.iloc[-1], int(seq[-1])
-            yield pdf.drop(columns=["__pid", "__kj"]).assign(seq=seq)
-    return fn
-
-
-def _join_null_safe(left: DataFrame, right: DataFrame, keys) -> DataFrame:
-    """Inner join on ``keys`` where a null key meets a null key (null keys are one group)."""
-    r = right.select(*[F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns])
-    cond = [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys]
-    return left.join(r, cond, "inner").drop(*[f"__r_{k}" for k in keys])
-
-
-def row_bytes(df: DataFrame, columns=None) -> Column:
-    """Content bytes of a row: UTF-8 length of strings, length of binaries, the fixed
-    width of other types; nulls count 0 (Q8: content, not interpreter object size)."""
-    widths = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8,
-              "date": 4, "timestamp": 8, "timestamp_ntz": 8}
-    terms = []
-    for name, dtype in df.dtypes:
-        if columns is not None and name not in columns:
-            continue
-        c = F.col(name)
-        if dtype == "string":
-            t = F.octet_length(c)
-        elif dtype == "binary":
-            t = F.length(c)
-        elif dtype in widths:
-            t = F.when(c.isNotNull(), F.lit(widths[dtype]))
-        elif dtype.startswith("decimal"):
-            t = F.when(c.isNotNull(), F.lit(16))
-        else:
-            t = F.octet_length(F.to_json(F.struct(c)))
-        terms.append(F.coalesce(t.cast("long"), F.lit(0).cast("long")))
-    return reduce(lambda a, b: a + b, terms, F.lit(0).cast("long"))
-
-
-def batch_plan_rows(df: DataFrame, keys, order_by, rows: int, **kw) -> DataFrame:
-    """Fixed-count batches per key (K8): ``batch_no`` = (seq - 1) div ``rows``, plus
-    ``row_bytes``.  Batches are cut per key in an explicit order (Q25)."""
-    if rows <= 0:
-        raise ValueError("rows must be positive")
-    s = sequence_within(df, keys, order_by, **kw)
-    return s.withColumns({"batch_no": ((F.col("seq") - 1) / F.lit(rows)).cast("long"),
-                          "row_bytes": row_bytes(df)})
-
-
-def _greedy(max_bytes: int, key_cols: list):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq", kind="stable")
-        sizes = pdf["row_bytes"].to_numpy()
-        out = []
-        batch, used = 0, 0
-        for i, size in enumerate(sizes):
-            if i > 0 and (used + size > max_bytes):
-                batch, used = batch + 1, 0
-            out.append(batch)
-            used += size
-        pdf = pdf.assign(sub_batch=pd.array(out, dtype="int64"))
-        return pdf
-    return fn
-
-
-def batch_plan_bytes(df: DataFrame, keys, order_by, max_bytes: int, *, segment_rows: int = 100_000,
-                     **kw) -> DataFrame:
-    """Byte-bounded batches per key (K9): rows in order; a batch closes when the next row
-    would pass ``max_bytes``; a row larger than the limit goes alone (Q8).
-
-    The greedy cut is sequential, so it runs per (key, segment of ``segment_rows`` rows)
-    in ``applyInPandas``: a group never holds more than ``segment_rows`` rows however
-    large the key, and a batch never spans two segments.  ``batch_no`` is
-    (segment, sub_batch) flattened to one number per key.
-    """
-    keys = list(keys)
-    s = sequence_within(df, keys, order_by, **kw).withColumn("row_bytes", row_bytes(df))
-    s = s.withColumn("segment", ((F.col("seq") - 1) / F.lit(segment_rows)).cast("long"))
-    schema = T.StructType(s.schema.fields + [T.StructField("sub_batch", T.LongType())])
-    planned = s.groupBy(*keys, "segment").applyInPandas(_greedy(max_bytes, keys), schema)
-    # number batches per key: segments are ordered, each contributes max(sub_batch)+1
-    per_seg = planned.groupBy(*keys, "segment").agg((F.max("sub_batch") + 1).alias("__nb"))
-    w = Window.partitionBy(*keys).orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    base = per_seg.withColumn("__base", F.coalesce(F.sum("__nb").over(w), F.lit(0)))
-    joined = _join_null_safe(planned, base.select(*keys, "segment", "__base"), [*keys, "segment"])
-    return joined.withColumn("batch_no", (F.col("__base") + F.col("sub_batch")).cast("long")).drop(
-        "__base", "sub_batch", "segment")
-
-
-def batch_summary(plan: DataFrame, keys) -> DataFrame:
-    """Rows and bytes per batch of a plan (the per-batch size log)."""
-    return plan.groupBy(*keys, "batch_no").agg(F.count(F.lit(1)).alias("rows"), F.sum("row_bytes").alias("bytes"))
-
-
 # ---------------------------------------------------------------------------------------
 # K11 write report, K15 clustering order
 

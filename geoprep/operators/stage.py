@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from geoprep.session import ensure_checkpoint_dir
+from geoprep.session import ensure_checkpoint_dir, scratch_dir
 
 
 def is_staged(df: DataFrame) -> bool:
@@ -82,3 +82,12 @@ def stage_with_metrics(df: DataFrame, mode: str | None, metrics: dict):
     staged = stage(df, mode)
     row = staged.agg(*[c.alias(n) for n, c in metrics.items()]).collect()[0]
     return staged, row.asDict()
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back: later
+    branches prune its columns and know its size, and what a row's partition or place was
+    when written stays so."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

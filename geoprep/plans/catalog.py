@@ -378,6 +378,37 @@ def k9_byte_bounded_batches(spark, d):
     return batch_summary(plan, ["country_code"])
 
 
+@register("k9b_hot_key_batches", """
+WITH RECURSIVE r AS (
+  SELECT lang, doc_id, 8 + coalesce(strlen(lang), 0) + coalesce(strlen(text), 0) AS b FROM documents),
+o AS (SELECT lang, b, row_number() OVER w AS seq, sum(b) OVER w AS cum FROM r WINDOW w AS (PARTITION BY lang ORDER BY doc_id)),
+n AS (SELECT a.lang, a.seq, CASE WHEN z.seq IS NOT NULL THEN greatest(a.seq + 1, z.seq) END AS nxt FROM o a
+      ASOF LEFT JOIN o z ON a.lang = z.lang AND a.cum - a.b + 65536 < z.cum),
+hop AS (SELECT lang, seq, nxt, CAST(0 AS BIGINT) AS batch_no FROM n WHERE seq = 1
+        UNION ALL SELECT n.lang, n.seq, n.nxt, h.batch_no + 1 FROM hop h JOIN n ON n.lang = h.lang AND n.seq = h.nxt)
+SELECT h.lang, h.batch_no, CAST(count(*) AS BIGINT) AS rows, CAST(sum(o.b) AS BIGINT) AS bytes
+FROM hop h JOIN o ON o.lang = h.lang AND o.seq >= h.seq AND o.seq < coalesce(h.nxt, 9223372036854775807) GROUP BY ALL""")
+def k9b_hot_key_batches(spark, d):
+    """Byte-bounded batches (64 KB) of the documents of each language: few keys hold
+    the whole table, and a batch depends on many segments of 64 rows before it."""
+    from geoprep.operators.keyed import batch_plan_bytes, batch_summary
+    rows = FX.read(spark, d, "documents").select("lang", "doc_id", "text")
+    return batch_summary(batch_plan_bytes(rows, ["lang"], ["doc_id"], max_bytes=65536, segment_rows=64, fan=8), ["lang"])
+
+
+@register("k8b_values_unchanged", """
+SELECT o_orderpriority AS k, CASE WHEN o_orderkey % 3 > 0 THEN 9007199254740993 + o_orderkey END AS v,
+       DATE '9999-12-31' AS until, CAST(floor((row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1) / 50) AS BIGINT) AS batch_no
+FROM orders""")
+def k8b_values_unchanged(spark, d):
+    """Fixed-count batches over few large keys, with longs beyond 2^53 beside nulls and the
+    last date: every value comes back as it was."""
+    from geoprep.operators.keyed import batch_plan_rows
+    rows = FX.read(spark, d, "orders").selectExpr("o_orderpriority AS k", "o_orderkey", "DATE'9999-12-31' AS until",
+                                                  "CASE WHEN o_orderkey % 3 > 0 THEN 9007199254740993 + o_orderkey END AS v")
+    return batch_plan_rows(rows, ["k"], ["o_orderkey"], 50).select("k", "v", "until", "batch_no")
+
+
 @register("k10_parallel_write", ADM2_SQL)
 def k10_parallel_write(spark, d):
     from geoprep.sources.tables import read_back

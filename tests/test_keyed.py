@@ -1,10 +1,15 @@
 """Keyed writes and batch plans: upsert, insert-if-absent, rejects, exact per-key
 sequences under skew, byte-bounded batches against a brute force."""
 import random
+from functools import reduce
 
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from geoprep.operators import keyed as K
+from geoprep.operators import numbering as N
 
 
 def test_upsert_last_write_wins_and_rejects(spark):
@@ -57,26 +62,38 @@ def _greedy(sizes, limit):
     return out
 
 
-def test_byte_batches_match_brute_force(spark):
+@pytest.mark.parametrize("segment_rows, fan", [(1, 2), (7, 2), (50, 3), (100_000, 32)])
+def test_byte_batches_match_brute_force(spark, segment_rows, fan):
     rnd = random.Random(5)
-    rows = [(f"k{i % 3}", i, "x" * rnd.randint(1, 40)) for i in range(600)] + [("k0", 999, "y" * 500)]
+    rows = [("k0" if i % 3 else None, i, "x" * rnd.choice([0, 1, 5, 40, 111, 112, 113])) for i in range(400)] + [("k0", 999, "y" * 500)]
     df = spark.createDataFrame(rows, "k string, id long, payload string")
-    plan = K.batch_plan_bytes(df, ["k"], ["id"], max_bytes=120, segment_rows=50)
+    plan = K.batch_plan_bytes(df, ["k"], ["id"], max_bytes=120, segment_rows=segment_rows, fan=fan, partitions=5)
     got = {r["id"]: (r["batch_no"], r["row_bytes"]) for r in plan.collect()}
-    for key in ("k0", "k1", "k2"):
+    for key in ("k0", None):
         ids = sorted(i for k, i, _ in rows if k == key)
-        sizes = [got[i][1] for i in ids]
-        want, base = [], 0
-        for s in range(0, len(ids), 50):      # batches never span a segment
-            seg = _greedy(sizes[s:s + 50], 120)
-            want += [base + b for b in seg]
-            base += max(seg) + 1
-        assert [got[i][0] for i in ids] == want
-        # every batch within the limit unless it is a single oversized row
-        per = {}
-        for i in ids:
-            per.setdefault(got[i][0], []).append(got[i][1])
-        assert all(sum(v) <= 120 or len(v) == 1 for v in per.values())
+        assert [got[i][0] for i in ids] == _greedy([got[i][1] for i in ids], 120)
+
+
+@given(st.lists(st.integers(0, 12), min_size=1, max_size=40), st.integers(1, 15), st.data())
+@settings(max_examples=200, deadline=None)
+def test_run_maps_compose_to_the_pass_over_all_rows(sizes, limit, data):
+    cuts = sorted(data.draw(st.sets(st.integers(1, max(1, len(sizes) - 1)), max_size=5)) & set(range(1, len(sizes))))
+    parts = [sizes[a:b] for a, b in zip([0, *cuts], [*cuts, len(sizes)])]
+    whole = reduce(N.run_compose, [N.run_map(p, limit) for p in parts])
+    for state in range(-1, limit + 14):
+        used, closed = (state, 0) if state >= 0 else (None, 0)
+        for s in sizes:
+            closed, used = (closed + 1, s) if used is not None and used + s > limit else (closed, (used or 0) + s)
+        assert N.run_apply(whole, state) == (closed, used)
+    assert list(N._batch_of_rows(sizes, limit, -1, 0)) == _greedy(sizes, limit)
+
+
+def test_numbering_leaves_values_as_they_are(spark):
+    import datetime
+    rows = [("a", i, 2 ** 53 + 1 + i if i % 2 else None, datetime.date(9999, 12, 31), [1, None]) for i in range(20)]
+    df = spark.createDataFrame(rows, "k string, id long, v long, d date, xs array<int>")
+    out = K.batch_plan_rows(df, ["k"], ["id"], 3).select(*df.columns)
+    assert sorted(map(tuple, out.collect())) == rows and out.schema == df.schema
 
 
 def test_fixed_count_batches_partition_the_input(spark):
