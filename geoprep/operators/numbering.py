@@ -170,50 +170,50 @@ def _batch_of_rows(sizes, limit: int, state: int, closed: int) -> np.ndarray:
     return closed + np.cumsum(cut)
 
 
-def _state_of_segments(sizes: DataFrame, keys: list, limit: int, fan: int) -> DataFrame:
-    """keys, __seg, __sizes, __state, __closed: the open bytes and batches each segment starts with."""
-    @F.pandas_udf(LONGS)
-    def maps(s: pd.Series) -> pd.Series:
-        return pd.Series([run_map(x, limit) for x in s])
-
+def states_along(runs: DataFrame, keys: list, start, compose, apply, fan: int = 32) -> DataFrame:
+    """keys, __seg, __state: the state in which each run of a key begins, when the first one
+    begins in ``start`` and a run's ``__map`` turns one state into the next.
+
+    ``runs``: keys, __seg (0, 1, ... per key), __map (longs).  ``compose(f, g)`` is the map of
+    f and then g, ``apply(f, state)`` the state after f, both on lists of longs.  Maps are
+    composed ``fan`` at a time, level by level, and states handed down the same levels: a
+    task holds ``fan`` maps whatever the key's length, and a level has 1/``fan`` of the rows.
+    """
     @F.pandas_udf(LONGS)
     def composed(ms: pd.Series) -> pd.Series:
-        return pd.Series([reduce(run_compose, list(x)) for x in ms])
+        return pd.Series([reduce(compose, list(x)) for x in ms])
 
-    @F.pandas_udf("array<struct<s:bigint,c:bigint>>")
-    def handed(ms: pd.Series, state: pd.Series, closed: pd.Series) -> pd.Series:
+    @F.pandas_udf("array<array<bigint>>")
+    def handed(ms: pd.Series, state: pd.Series) -> pd.Series:
         out = []
-        for x, s, c in zip(ms, state, closed):
+        for x, now in zip(ms, state):
             rows = []
             for m in x:
-                rows.append({"s": int(s), "c": int(c)})
-                more, s = run_apply(m, int(s))
-                c += more
+                rows.append(now)
+                now = apply(m, now)
             out.append(rows)
         return pd.Series(out)
 
-    sizes = stage_table(sizes.withColumn("__map", maps("__sizes")), "batch-runs")
-    levels = [sizes.select(*keys, "__seg", "__map")]
-    most = sizes.agg(F.max("__seg")).first()[0] or 0
-    grouped = []
+    most = runs.agg(F.max("__seg")).first()[0] or 0
+    level, grouped = runs.select(*keys, "__seg", "__map"), []
     while True:
-        up = levels[-1].withColumn("__up", F.expr(f"__seg div {fan}")).groupBy(*keys, "__up").agg(
+        up = level.withColumn("__up", F.expr(f"__seg div {fan}")).groupBy(*keys, "__up").agg(
             F.sort_array(F.collect_list(F.struct("__seg", "__map"))).alias("__in"))       # at most ``fan`` maps
         grouped.append(up)
         most //= fan
         if most == 0:
             break
-        levels.append(stage_table(up.select(*keys, F.col("__up").alias("__seg"), composed("__in.__map").alias("__map")), "batch-runs"))
+        level = stage_table(up.select(*keys, F.col("__up").alias("__seg"), composed("__in.__map").alias("__map")), "composed-runs")
     now = None
     for up in reversed(grouped):
         if now is None:
-            start = up.withColumns({"__state": F.lit(-1).cast("long"), "__closed": F.lit(0).cast("long")})
+            begun = up.withColumn("__state", F.array(*[F.lit(x).cast("long") for x in start]))
         else:
-            start = join_null_safe(up, now.select(*keys, F.col("__seg").alias("__up"), "__state", "__closed"), [*keys, "__up"])
-        got = start.withColumn("__out", handed("__in.__map", "__state", "__closed")).select(
+            begun = join_null_safe(up, now.withColumnRenamed("__seg", "__up"), [*keys, "__up"])
+        got = begun.withColumn("__out", handed("__in.__map", "__state")).select(
             *keys, F.explode(F.arrays_zip(F.col("__in.__seg").alias("g"), F.col("__out").alias("o"))).alias("z"))
-        now = got.select(*keys, F.col("z.g").alias("__seg"), F.col("z.o.s").alias("__state"), F.col("z.o.c").alias("__closed"))
-    return join_null_safe(sizes.drop("__map"), now, [*keys, "__seg"])
+        now = got.select(*keys, F.col("z.g").alias("__seg"), F.col("z.o").alias("__state"))
+    return now
 
 
 def batch_plan_bytes(df: DataFrame, keys, order_by, max_bytes: int, *, segment_rows: int = 4096, fan: int = 32,
@@ -230,10 +230,20 @@ def batch_plan_bytes(df: DataFrame, keys, order_by, max_bytes: int, *, segment_r
     sizes = s.groupBy(*keys, "__seg").agg(F.sort_array(F.collect_list(F.struct("seq", "row_bytes")))["row_bytes"].alias("__sizes"))
 
     @F.pandas_udf(LONGS)
-    def numbers(sizes: pd.Series, state: pd.Series, closed: pd.Series) -> pd.Series:
-        return pd.Series([_batch_of_rows(x, max_bytes, int(o), int(c)) for x, o, c in zip(sizes, state, closed)])
+    def maps(s: pd.Series) -> pd.Series:
+        return pd.Series([run_map(x, max_bytes) for x in s])
+
+    @F.pandas_udf(LONGS)
+    def numbers(sizes: pd.Series, state: pd.Series) -> pd.Series:
+        return pd.Series([_batch_of_rows(x, max_bytes, int(o), int(c)) for x, (o, c) in zip(sizes, state)])
 
-    runs = _state_of_segments(sizes, keys, max_bytes, fan).select(*keys, "__seg", numbers("__sizes", "__state", "__closed").alias("__b"))
+    def after(m, state):
+        closed, now = run_apply(m, int(state[0]))
+        return [now, int(state[1]) + closed]
+
+    sizes = stage_table(sizes.withColumn("__map", maps("__sizes")), "batch-runs")
+    states = states_along(sizes, keys, (-1, 0), run_compose, after, fan)
+    runs = join_null_safe(sizes.drop("__map"), states, [*keys, "__seg"]).select(*keys, "__seg", numbers("__sizes", "__state").alias("__b"))
     at = F.expr(f"cast((seq - 1) % {int(segment_rows)} as int)")
     return join_null_safe(s, runs, [*keys, "__seg"]).withColumn("batch_no", F.get("__b", at)).select(
         *df.columns, "seq", "row_bytes", "batch_no")
