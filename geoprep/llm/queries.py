@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from . import pii
 from .common import table
+from .conversations import damage, digests, repair, repaired_rows
 from .hash_tree import default_tree, shard_documents
 from .html_text import extract_main_text
 from .jaccard import similarity_classes
@@ -81,7 +82,20 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_main_text, op3_quality, op4_toxicity, op5_jaccard_join, op6_exact_topk, op7_decontamination, op8_token_counts, op9_hash_tree_shards, op10_sentencepiece)}
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = table(spark, sf_dir, "conversations")
+    edits, summary = repair(damage(talks))
+    hashed = digests(repaired_rows(edits)).withColumnRenamed("key", "__key")
+    none = F.lit(0).cast("long")
+    out = talks.select("conv_id").distinct().join(summary.withColumnRenamed("conv_id", "__id"), F.col("conv_id").eqNullSafe(F.col("__id")), "left")
+    out = out.join(hashed, F.col("conv_id").cast("string").eqNullSafe(F.col("__key")), "left")
+    return out.select("conv_id", *[F.coalesce(c, none).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+                      F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_pii, op2_main_text, op3_quality, op4_toxicity, op5_jaccard_join, op6_exact_topk, op7_decontamination, op8_token_counts,
+    op9_hash_tree_shards, op10_sentencepiece, op13_conversation_repair)}
 
 #: The search in plain SQL: every query against every row, ranked.
 OP6_SQL = """
@@ -121,4 +135,68 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM dw LEFT JOIN pos USING (rid) LEFT JOIN it USING (rid)
 """
 
-ORACLE = {"op6_exact_topk": OP6_SQL, "op7_decontamination": OP7_SQL}
+#: What can be done about one row (code: initial s, u, a, x; then . fine, t truncated, r refused), Inserts before it
+#: included, from one state of the pattern to another; and the Inserts after the last row.
+def _edits() -> tuple[str, str]:
+    turn = {"n": "u", "s": "u", "u": "a", "a": "u"}              # the next role, which is also the next state
+    rows, ends = [], []
+    for p in "nsua":
+        q, way = p, ""
+        for inserts in range(3):
+            if q in "na":
+                ends.append((p, 2 * inserts, way))
+            for initial in "suax":
+                for flag in ".tr":
+                    rows.append((p, initial + flag, q, 3 + 2 * inserts, way + "D."))
+                    if flag != "r":
+                        if initial == turn[q] or (q, initial) == ("n", "s"):
+                            rows.append((p, initial + flag, initial, (flag == "t") + 2 * inserts, way + "K."))
+                        rows.append((p, initial + flag, turn[q], 2 + (flag == "t") + 2 * inserts, way + "R" + turn[q]))
+            way, q = way + "I" + turn[q], turn[q]
+    return ",".join(f"('{p}','{c}','{q}',{n},'{w}')" for p, c, q, n, w in rows), ",".join(f"('{p}',{n},'{w}')" for p, n, w in ends)
+
+
+#: Cheapest edits by a row-by-row minimum over the four states of the pattern.
+OP13_SQL = r"""
+WITH RECURSIVE poly AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+crc AS (SELECT v, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(v, ''), lambda x: CAST(ord(x) AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS INTEGER) + 1])), 4294967295) % 20 AS k
+  FROM (SELECT DISTINCT coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS v FROM conversations), poly),
+raw AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+    CASE WHEN k = 1 THEN '' WHEN k = 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text, k
+  FROM conversations c JOIN crc ON v = coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') WHERE k <> 0),
+dmg AS (SELECT conv_id, turn, role, text FROM raw UNION ALL SELECT conv_id, turn, role, text FROM raw WHERE k = 3),
+num AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM dmg),
+flt AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS rep,
+    rtrim(text, E' \t\n\x0b\x0c\r') AS body, lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS nxt FROM num),
+one AS (SELECT *, CASE WHEN body = '' THEN 'b' WHEN rep > 1 THEN 'd' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '.' END AS f,
+    CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'x' END AS ini FROM flt),
+cod AS (SELECT *, ini || CASE WHEN f IN ('b', 'd') THEN 'r' ELSE f END AS code FROM one),
+way(p, code, q, n, w) AS (VALUES @WAYS@),
+fin(p, n, w) AS (VALUES @ENDS@),
+best AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, 'n' AS q, {'c': CAST(0 AS BIGINT), 'a': ''} AS b FROM cod GROUP BY conv_id
+  UNION ALL
+  SELECT o.conv_id, o.i, w.q, min({'c': b.b.c + w.n, 'a': b.b.a || w.w}) FROM best b
+  JOIN cod o ON o.conv_id IS NOT DISTINCT FROM b.conv_id AND o.i = b.i + 1 JOIN way w ON w.p = b.q AND w.code = o.code
+  GROUP BY o.conv_id, o.i, w.q),
+tot AS (SELECT conv_id, count(*) AS n, min(turn) AS lo, max(turn) AS hi, count(DISTINCT turn) AS d, count(*) FILTER (f = 'b') AS blank,
+    count(*) FILTER (f = 'd') AS dup, count(*) FILTER (f = 't') AS trunc,
+    count(*) FILTER (nxt IS NOT NULL AND left(role, 1) || nxt NOT IN ('su', 'ua', 'au')) AS illegal FROM one GROUP BY conv_id),
+win AS (SELECT t.conv_id, min({'c': b.b.c + e.n, 'a': b.b.a || e.w}) AS b FROM tot t
+  JOIN best b ON b.conv_id IS NOT DISTINCT FROM t.conv_id AND b.i = t.n JOIN fin e ON e.p = b.q GROUP BY t.conv_id),
+ops AS (SELECT conv_id, unnest(regexp_extract_all(b.a, '..')) AS op, unnest(range(len(b.a) // 2)) AS pos FROM win),
+row_of AS (SELECT *, count(*) FILTER (op[1] <> 'I') OVER (PARTITION BY conv_id ORDER BY pos) AS i FROM ops),
+txt AS (SELECT r.conv_id, string_agg(CASE WHEN op[1] = 'K' THEN o.role WHEN op[2] = 'u' THEN 'user' ELSE 'assistant' END || ':' ||
+    CASE WHEN op[1] = 'I' THEN '' ELSE o.text END, chr(10) ORDER BY pos) AS t
+  FROM row_of r LEFT JOIN cod o ON o.conv_id IS NOT DISTINCT FROM r.conv_id AND o.i = r.i WHERE op[1] <> 'D' GROUP BY r.conv_id)
+SELECT c.conv_id, CAST(coalesce(hi - lo + 1 - d, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+    CAST(coalesce(dup, 0) AS BIGINT) AS duplicate, CAST(coalesce(trunc, 0) AS BIGINT) AS truncated,
+    CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(w.b.c, 0) AS BIGINT) AS cost,
+    coalesce(regexp_replace(w.b.a, '(.).', '\1', 'g'), '') AS audit, sha256(coalesce(x.t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN tot ON tot.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN win w ON w.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN txt x ON x.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+OP13_SQL = OP13_SQL.replace("@WAYS@", _edits()[0]).replace("@ENDS@", _edits()[1])
+
+ORACLE = {"op6_exact_topk": OP6_SQL, "op7_decontamination": OP7_SQL, "op13_conversation_repair": OP13_SQL}
