@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from . import pii
 from .common import table
 from .conversations import damage, digests, repair, repaired_rows
+from .hard_negatives import mine
 from .hash_tree import default_tree, shard_documents
 from .html_text import extract_main_text
 from .jaccard import similarity_classes
@@ -82,6 +83,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine(table(spark, sf_dir, "embeddings"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     talks = table(spark, sf_dir, "conversations")
     edits, summary = repair(damage(talks))
@@ -95,7 +100,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_pii, op2_main_text, op3_quality, op4_toxicity, op5_jaccard_join, op6_exact_topk, op7_decontamination, op8_token_counts,
-    op9_hash_tree_shards, op10_sentencepiece, op13_conversation_repair)}
+    op9_hash_tree_shards, op10_sentencepiece, op11_hard_negatives, op13_conversation_repair)}
 
 #: The search in plain SQL: every query against every row, ranked.
 OP6_SQL = """
@@ -135,6 +140,23 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM dw LEFT JOIN pos USING (rid) LEFT JOIN it USING (rid)
 """
 
+#: Positives and negatives of every anchor, ranked over all rows.
+OP11_SQL = """
+WITH v AS (SELECT row_number() OVER () AS uid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+           FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT a.uid, a.vec_id AS anchor_id, c.uid AS other, c.vec_id, a.label = c.label AS same,
+             CAST(list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v a JOIN v c ON a.uid <> c.uid AND len(a.e) = len(c.e) WHERE a.vec_id % 50 = 0),
+pos AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id) <= 5),
+neg AS (SELECT p.anchor_id, p.uid, p.other, p.vec_id AS positive_id, p.score AS positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+               row_number() OVER (PARTITION BY p.uid, p.other ORDER BY n.score DESC, n.vec_id) AS rank
+        FROM pos p JOIN s n ON n.uid = p.uid AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 3
+"""
+
 #: What can be done about one row (code: initial s, u, a, x; then . fine, t truncated, r refused), Inserts before it
 #: included, from one state of the pattern to another; and the Inserts after the last row.
 def _edits() -> tuple[str, str]:
@@ -199,4 +221,4 @@ LEFT JOIN win w ON w.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN txt x ON x
 """
 OP13_SQL = OP13_SQL.replace("@WAYS@", _edits()[0]).replace("@ENDS@", _edits()[1])
 
-ORACLE = {"op6_exact_topk": OP6_SQL, "op7_decontamination": OP7_SQL, "op13_conversation_repair": OP13_SQL}
+ORACLE = {"op6_exact_topk": OP6_SQL, "op7_decontamination": OP7_SQL, "op11_hard_negatives": OP11_SQL, "op13_conversation_repair": OP13_SQL}
