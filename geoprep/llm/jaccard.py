@@ -76,8 +76,8 @@ def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
             word = np.cumsum(np.bincount(first, minlength=len(b))) - 1
             inside = np.arange(len(b)) - first[np.maximum(word, 0)]
             inside[blank] = 0
-            powers = np.cumprod(np.full(int(inside.max()) + 1, _BASE))
-            sums = np.add.reduceat(_VALUE[b] * powers[inside], first)
+            places = _mix(np.arange(1, int(inside.max()) + 2, dtype=np.uint64) * _BASE) | _U(1)       # of no common base
+            sums = np.add.reduceat(_VALUE[b] * places[inside], first)
             starts.append(first + at)
             hashes.append(_mix(sums))
         at = end

@@ -16,6 +16,7 @@ from .hard_negatives import mine
 from .hash_tree import default_tree, shard_documents
 from .html_text import extract_main_text
 from .jaccard import similarity_classes
+from .minhash import near_duplicate_classes
 from .phrases import contamination
 from .quality import score_quality
 from .token_counts import count_tokens
@@ -87,6 +88,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine(table(spark, sf_dir, "embeddings"))
 
 
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     talks = table(spark, sf_dir, "conversations")
     edits, summary = repair(damage(talks))
@@ -100,7 +105,8 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_pii, op2_main_text, op3_quality, op4_toxicity, op5_jaccard_join, op6_exact_topk, op7_decontamination, op8_token_counts,
-    op9_hash_tree_shards, op10_sentencepiece, op11_hard_negatives, op13_conversation_repair)}
+    op9_hash_tree_shards, op10_sentencepiece, op11_hard_negatives, op12_minhash_dedup,
+    op13_conversation_repair)}
 
 #: The search in plain SQL: every query against every row, ranked.
 OP6_SQL = """
@@ -140,6 +146,24 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM dw LEFT JOIN pos USING (rid) LEFT JOIN it USING (rid)
 """
 
+#: Shared shingles of all pairs, the links among them, and the smallest id that links reach.
+LINKS_SQL = r"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+sets AS (SELECT rid, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < @K@ THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - @K@ + 2), lambda i: array_to_string(list_slice(w, i, i + @K@ - 1), ' '))) END AS s FROM w),
+one AS (SELECT min(rid) AS rid, list_sort(s) AS s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY list_sort(s), len(s)),
+each AS (SELECT rid, n, unnest(s) AS t FROM one),
+links AS (SELECT a.rid AS a, b.rid AS b FROM each a JOIN each b ON a.t = b.t AND a.rid < b.rid AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+          GROUP BY a.rid, b.rid, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+both_ AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT rid AS a, rid AS b FROM one UNION SELECT r.a, e.b FROM reach r JOIN both_ e ON e.a = r.b),
+class AS (SELECT a AS rid, min(b) AS label FROM reach GROUP BY a),
+rows_ AS (SELECT sets.doc_id, len(sets.s) AS n, label FROM sets LEFT JOIN one ON one.s = list_sort(sets.s) LEFT JOIN class ON class.rid = one.rid),
+named AS (SELECT doc_id, n, CASE WHEN label IS NULL THEN doc_id ELSE min(doc_id) OVER (PARTITION BY label) END AS component_id FROM rows_)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id@MORE@ FROM named
+"""
+
 #: Positives and negatives of every anchor, ranked over all rows.
 OP11_SQL = """
 WITH v AS (SELECT row_number() OVER () AS uid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -221,4 +245,7 @@ LEFT JOIN win w ON w.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN txt x ON x
 """
 OP13_SQL = OP13_SQL.replace("@WAYS@", _edits()[0]).replace("@ENDS@", _edits()[1])
 
-ORACLE = {"op6_exact_topk": OP6_SQL, "op7_decontamination": OP7_SQL, "op11_hard_negatives": OP11_SQL, "op13_conversation_repair": OP13_SQL}
+ORACLE = {"op6_exact_topk": OP6_SQL, "op7_decontamination": OP7_SQL, "op11_hard_negatives": OP11_SQL,
+          "op5_jaccard_join": LINKS_SQL.replace("@K@", "4").replace("@MORE@", ""),
+          "op12_minhash_dedup": LINKS_SQL.replace("@K@", "3").replace("@MORE@", ", doc_id = component_id AS kept"),
+          "op13_conversation_repair": OP13_SQL}
