@@ -9,8 +9,10 @@
 3. Stars.  Each member goes to one centre only, the nearest by signature among the members
    that stand in most buckets; the links found, on full sets, are contracted to classes.
 4. Rest.  In buckets that still hold several classes, blocks of bounded size are compared by
-   signature inside a task; only pairs of different classes, within the reach and of fitting
-   sizes leave it, and are confirmed on full sets.
+   signature inside a task.  The pairs of different classes within the reach make groups (a
+   task hands on a spanning forest of its pairs); each group's sets are dealt once more in
+   blocks, where those pairs are confirmed on full sets, nearest first, until classes join.
+   No list of pairs is formed: what leaves a task is linear in the rows it holds.
 
 The join is exact for the signature distance.  A pair at similarity 0.85 is beyond the reach
 with probability 6.3e-7 (binomial, 64 symbols), less above; every link is confirmed exactly.
@@ -30,12 +32,13 @@ from pyspark.sql import functions as F
 
 from .common import slices, small_side, staged
 from .components import components
-from .jaccard import _filter_bits, _may_hold, _mix, _set_hash, shingle_sets, verified
+from .jaccard import _filter_bits, _may_hold, _mix, _set_hash, shingle_sets, similar, verified
 
 SYMBOLS = 64
 CHUNKS = 13
 REACH = 2 * CHUNKS - 1
 BLOCK = 1024                    # members of a bucket compared at once
+TOKENS = 1 << 19                # shingles of a group compared at once (4 MB)
 _U = np.uint64
 _TURN = np.random.default_rng(12).integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) * _U(2) + _U(1)
 _CUTS = [c.tolist() for c in np.array_split(np.arange(SYMBOLS), CHUNKS)]
@@ -125,55 +128,123 @@ def stars(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
         F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b"), "minhash-stars")
 
 
-def open_pairs(members: DataFrame, reps: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs of a bucket that are in different classes and within the reach."""
-    rows = members.join(reps.select("rid", "n").join(known, "rid", "left").select("rid", "n", F.coalesce("label", "rid").alias("label")), "rid")
-    rows = staged(rows, "minhash-labelled")
-    mixed = rows.groupBy("t").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("t")
-    rows = rows.join(mixed, "t", "left_semi")
-    # blocks of a large bucket hold neighbouring sizes, so that most pairs of blocks cannot fit
-    rows = rows.withColumn("block", F.when(F.col("c") <= BLOCK, F.lit(0).cast("long")).otherwise(
-        F.floor(F.log(F.col("n").cast("double")) * 16) * 4096 + F.pmod(F.xxhash64("rid"), F.least(F.ceil(F.col("c") / BLOCK), F.lit(4096)))))
-    rows = staged(rows.select("t", "rid", "n", "label", "block"), "minhash-mixed")
-    node = rows.groupBy("t", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("label").alias("l0"), F.max("label").alias("l1"))
-    other = node.select("t", *[F.col(c).alias(f"o_{c}") for c in ("block", "lo", "hi", "l0", "l1")])
-    meet = node.join(other, "t").where("block <= o_block AND NOT (l0 = l1 AND o_l0 = o_l1 AND l0 = o_l0)") \
-        .where((F.col("hi") * 100 >= F.col("o_lo") * percent) & (F.col("o_hi") * 100 >= F.col("lo") * percent)).select("t", "block", "o_block")
-    meet = staged(meet, "minhash-meet")
-    ends = F.explode(F.when(F.col("block") == F.col("o_block"), F.array(F.struct(F.col("block").alias("at"), F.lit(2).alias("side")))).otherwise(
-        F.array(F.struct(F.col("block").alias("at"), F.lit(0).alias("side")), F.struct(F.col("o_block").alias("at"), F.lit(1).alias("side")))))
-    places = meet.select("t", F.col("block").alias("p"), F.col("o_block").alias("q"), ends.alias("e")).select("t", "p", "q", F.col("e.at").alias("block"), F.col("e.side").alias("side"))
-    dealt = rows.join(places, ["t", "block"]).join(reps.select("rid", "sig"), "rid").select("t", "p", "q", "side", "rid", "n", "label", "sig")
+def _block_pairs(rows: DataFrame, key: str, percent: int) -> DataFrame:
+    """``rows`` (key, block, rid, n, label) dealt to the pairs of blocks (p, q) of a key that may
+    hold pairs of different classes and fitting sizes; side 0 meets side 1, 2 meets itself."""
+    node = rows.groupBy(key, "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("label").alias("l0"), F.max("label").alias("l1"))
+    other = node.select(key, *[F.col(c).alias(f"o_{c}") for c in ("block", "lo", "hi", "l0", "l1")])
+    meet = node.join(other, key).where("block <= o_block AND NOT (l0 = l1 AND o_l0 = o_l1 AND l0 = o_l0)") \
+        .where((F.col("hi") * 100 >= F.col("o_lo") * percent) & (F.col("o_hi") * 100 >= F.col("lo") * percent)).select(key, "block", "o_block")
+    end = lambda at, side: F.struct(F.col(at).alias("at"), F.lit(side).alias("side"))
+    ends = F.explode(F.when(F.col("block") == F.col("o_block"), F.array(end("block", 2))).otherwise(F.array(end("block", 0), end("o_block", 1))))
+    places = staged(meet, "minhash-meet").select(key, F.col("block").alias("p"), F.col("o_block").alias("q"), ends.alias("e"))
+    return rows.join(places.select(key, "p", "q", F.col("e.at").alias("block"), F.col("e.side").alias("side")), [key, "block"])
+
+
+def _in_blocks(rows: DataFrame, key: str, weight, most: int) -> DataFrame:
+    """``rows`` with a block of about ``most`` of the summed ``weight``, within the key.  Neighbouring
+    sizes lie together, and the key's largest class lies apart, so that most pairs of blocks of a
+    large key cannot fit or are within that class."""
+    per = rows.groupBy(key, "label").agg(F.sum(weight).alias("w")).groupBy(key).agg(
+        F.sum("w").alias("all"), F.max(F.struct("w", "label"))["label"].alias("major"))
+    blocks = F.ceil(F.col("all") / most)
+    cut = F.xxhash64(F.floor(F.log(F.col("n").cast("double")) * 16), F.pmod(F.xxhash64("rid"), blocks), F.col("label") == F.col("major"))
+    return rows.join(per, key).withColumn("block", F.when(blocks <= 1, F.lit(0).cast("long")).otherwise(cut)).drop("all", "major")
+
+
+def _grouped(dealt: DataFrame, keys: list, fn, schema: str) -> DataFrame:
+    """``fn`` (frame -> frames) over the rows of each key, whose blocks are bounded."""
     parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(parts, "t", "p", "q").sortWithinPartitions("t", "p", "q")
 
-    def pairs(batches):
+    def run(batches):
         held, key = [], None
         for pdf in batches:
-            for k, part in pdf.groupby(["t", "p", "q"], sort=False):
+            for k, part in pdf.groupby(keys, sort=False):
                 if k != key and held:
-                    yield from compared(held)
+                    yield from fn(pd.concat(held))
                     held = []
                 key = k
                 held.append(part)
         if held:
-            yield from compared(held)
+            yield from fn(pd.concat(held))
 
-    def compared(held):
-        pdf = pd.concat(held) if len(held) > 1 else held[0]
+    return dealt.repartition(parts, *keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+
+
+def _near(sig: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndarray, percent: int):
+    """For each row of the left side: it, and the rows of the right side within the reach that are
+    of another class and a fitting size, with their distances."""
+    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    for i in left:
+        j = right[label[right] != label[i]]
+        j = j[100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])]
+        d = (sig[i] != sig[j]).sum(1)
+        yield i, j[d <= REACH], d[d <= REACH]
+
+
+def reach_groups(members: DataFrame, reps: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """rid, n, label, g: the sets that pairs of different classes within the reach still join,
+    with their group.  A task hands on a spanning forest of the pairs it finds, not the pairs."""
+    rows = members.join(reps.select("rid", "n").join(known, "rid", "left").select("rid", "n", F.coalesce("label", "rid").alias("label")), "rid")
+    rows = staged(rows, "minhash-labelled")
+    mixed = rows.groupBy("t").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("t")
+    rows = staged(rows.join(mixed, "t", "left_semi"), "minhash-mixed")
+    rows = staged(_in_blocks(rows, "t", F.lit(1), BLOCK), "minhash-blocks")
+    dealt = _block_pairs(rows, "t", percent).join(reps.select("rid", "sig"), "rid")
+
+    def forest(pdf):
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(-1, SYMBOLS)
         rid, n, label, side = (pdf[c].to_numpy() for c in ("rid", "n", "label", "side"))
-        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-        for s in range(0, len(left), 64):
-            i = left[s:s + 64]
-            ok = (label[i][:, None] != label[right][None]) & (100 * np.minimum(n[i][:, None], n[right][None]) >= percent * np.maximum(n[i][:, None], n[right][None]))
-            u, v = np.nonzero(ok)
-            near = np.concatenate([(sig[i[u[z:z + 65536]]] != sig[right[v[z:z + 65536]]]).sum(1) for z in range(0, len(u), 65536)] or [np.zeros(0, int)]) <= REACH
-            a, b = rid[i[u[near]]], rid[right[v[near]]]
-            if len(a):
-                yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+        tree, a, b = np.arange(len(rid)), [], []
+        for i, j, _ in _near(sig, n, label, side, percent):
+            t, at = np.unique(tree[j], return_index=True)
+            new = t != tree[i]
+            a += [rid[i]] * int(new.sum())
+            b += rid[j[at[new]]].tolist()
+            if new.any():
+                tree[np.isin(tree, t)] = tree[i]
+        if a:
+            yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
+
+    edges = staged(_grouped(dealt.select("t", "p", "q", "side", "rid", "n", "label", "sig"), ["t", "p", "q"], forest, "a long, b long"), "minhash-forest")
+    group = components(edges).select(F.col("node").alias("rid"), F.col("label").alias("g"))
+    labelled = reps.select("rid", "n").join(known, "rid", "left").select("rid", "n", F.coalesce("label", "rid").alias("label"))
+    return staged(group.join(labelled, "rid"), "minhash-groups")
+
+
+def links_within(groups: DataFrame, docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
+    """a, b: links that join the classes of a group exactly as all its links would.
+
+    The sets are hashed from the texts again (a fixed-size bitmap of the wanted ones drops the
+    others) and dealt in blocks of bounded size; a task compares pairs of different classes
+    within the reach, nearest first, and joins classes as it goes."""
+    wanted = docs.sparkSession.sparkContext.broadcast(_filter_bits(groups.join(reps.select("rid", "h1"), "rid"), "h1"))
+
+    def tokens(batches):
+        bits = np.frombuffer(wanted.value, np.uint8)
+        for pdf in slices(batches):
+            rows = [(*_set_hash(s), s.tobytes()) for s in shingle_sets(pdf["text"], words) if len(s)]
+            out = pd.DataFrame(rows, columns=["h1", "h2", "tokens"])
+            yield out[_may_hold(bits, out["h1"].to_numpy(dtype=np.int64))]
+
+    placed = staged(_in_blocks(groups, "g", F.col("n"), TOKENS), "minhash-placed")
+    found = docs.select("text").mapInPandas(tokens, "h1 long, h2 long, tokens binary").groupBy("h1", "h2").agg(F.first("tokens").alias("tokens"))
+    sets = found.join(reps.select("rid", "h1", "h2", "sig").join(placed.select("rid"), "rid"), ["h1", "h2"]).select("rid", "sig", "tokens")
+    dealt = _block_pairs(placed, "g", percent).join(sets, "rid").select("g", "p", "q", "side", "rid", "n", "label", "sig", "tokens")
+
+    def confirm(pdf):
+        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(-1, SYMBOLS)
+        rid, n, side = (pdf[c].to_numpy() for c in ("rid", "n", "side"))
+        label, full, out = pdf["label"].to_numpy().copy(), [np.frombuffer(x, np.uint64) for x in pdf["tokens"]], []
+        for i, j, d in _near(sig, n, label, side, percent):
+            for k in j[np.argsort(d, kind="stable")].tolist():
+                if label[k] != label[i] and similar(full[i], full[k], percent):
+                    out.append((int(rid[i]), int(rid[k])))
+                    label[label == label[k]] = label[i]
+        if out:
+            yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return staged(dealt.mapInPandas(pairs, "a long, b long").distinct(), "minhash-open")
+    return staged(_grouped(dealt, ["g", "p", "q"], confirm, "a long, b long"), "minhash-links")
 
 
 def near_duplicate_classes(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
@@ -185,8 +256,9 @@ def near_duplicate_classes(docs: DataFrame, words: int = 3, percent: int = 85) -
     members = buckets(reps)
     links = verified(stars(members, reps, percent), texts, reps, words, percent)
     known = components(links).withColumnRenamed("node", "rid")
-    more = open_pairs(members, reps, known, percent)
-    links = links.unionByName(verified(more, texts, reps, words, percent))
+    groups = reach_groups(members, reps, known, percent)
+    if groups.limit(1).count():
+        links = links.unionByName(links_within(groups, texts, reps, words, percent))
     final = components(links).withColumnRenamed("node", "rid")
     classes = reps.select("rid", "h1", "h2", "n", "doc", "copies").join(final, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
     classes = staged(classes, "minhash-classes")

@@ -56,9 +56,10 @@ def texts(seed, groups=12, copies=9):
     return out
 
 
-@pytest.mark.parametrize("block", [1024, 4])
-def test_classes_equal_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, tokens", [(1024, 1 << 19), (4, 300)])
+def test_classes_equal_brute_force(spark, monkeypatch, block, tokens):
     monkeypatch.setattr(M, "BLOCK", block)
+    monkeypatch.setattr(M, "TOKENS", tokens)
     t = texts(1) + [None, "", " \n", "a", "A", "a b", "a  B", "a b c", "x" * 70_000, "word " * 20_000, "é É", "é É"]
     t += ["the same words again and again in this text"] * 40
     rows = list(enumerate(t, 3)) + [(3, t[0]), (3, t[5]), (None, t[0]), (None, "all alone here in the dark"), (-5, t[9])]
