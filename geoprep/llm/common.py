@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import threading
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from geoprep.session import scratch_dir
@@ -11,14 +14,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+_scopes = threading.local()
+
+
+def staged(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back: later
-    steps read columns of it, and a lost executor costs a re-read."""
+    steps read columns of it, and a lost executor costs a re-read.  Inside ``scratch()`` the
+    folder goes when that ends, unless ``keep``."""
     path = scratch_dir(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
+    for open_ in getattr(_scopes, "open", [])[-1:]:
+        if not keep:
+            open_.append((df.sparkSession, path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch():
+    """Tables staged inside, but for those to keep, are removed at the end: what leaves the
+    block may only read kept ones."""
+    stack = _scopes.__dict__.setdefault("open", [])
+    stack.append([])
+    try:
+        yield
+    finally:
+        for spark, path in stack.pop():
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def slices(batches, column: str = "text", chars: int = 1 << 21):
     """The frames of ``batches`` in runs of rows with about ``chars`` characters in
     ``column`` (one row at least), so that what a task holds is bounded by that and its

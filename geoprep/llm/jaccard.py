@@ -6,9 +6,10 @@ Sets are hashed shingles (64 bits).  Equal sets are one from the start.
    (65,536 counts), then by hash.  Two sets similar enough share one of the first
    ``n - ceil(t n) + 1`` shingles of their order, so each such shingle roots a tree over the
    sets that have it there; trees over the same sets are kept once.
-2. Stars.  Every member is compared with its tree's most central member (the one in most
-   trees) and with its smallest; the links found are contracted to classes.  Trees whose members are all in one class are done: this settles
-   groups of copies without forming their pairs.
+2. Stars.  Every member is compared with one other: of the most central members of its trees
+   (those in most trees), the one it shares most trees with.  The links found are contracted
+   to classes, and trees whose members are all in one class are done: this settles groups of
+   copies without forming their pairs.
 3. Dual traversal of the rest.  A node holds the OR of its members' token bitmaps, the range
    of their sizes, the most tokens any member loses to bitmap collisions, and the range of
    its classes.  For two nodes, common bits plus that loss bound any overlap of their
@@ -34,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, small_side, staged
+from .common import scratch, slices, staged
 from .components import components
 
 BUCKETS = 1 << 16
@@ -42,7 +43,8 @@ BLOCK = 2048                    # members of a block of a large tree
 FAN = 16                        # children of a node inside a task
 GROUP = 512                     # partners compared with one set in one group
 FILTER_BITS = 1 << 27           # bits of a broadcast filter (16 MB whatever the input)
-PIECE = 1 << 22                 # bytes hashed at once
+PIECE = 1 << 20                 # bytes hashed at once
+CHARS = 1 << 19                 # characters of texts held as arrays at once
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -118,31 +120,40 @@ def needed_overlap(a, b, percent: int):
     return (percent * (a + b) + 99 + percent) // (100 + percent)
 
 
-def bucket_counts(docs: DataFrame, words: int) -> np.ndarray:
-    """How many (document, shingle) pairs fall into each bucket, over all documents."""
-    def count(batches):
+def hashed_rows(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
+    """(rows, load): doc_id, h1, h2, n (0 for an empty set) and the columns of ``docs`` other than
+    text for every document, staged; and how many (document, shingle) pairs fall into each
+    hash bucket, over all documents.  One pass over the texts gives both."""
+    other = [c for c in docs.columns if c not in ("doc_id", "text")]
+    schema = "doc_id string, h1 long, h2 long, n long, bucket int, load long" + "".join(f", {c} long" for c in other)
+
+    def run(batches):
         total = np.zeros(BUCKETS, np.int64)
-        for pdf in slices(batches):
-            every = np.concatenate(shingle_sets(pdf["text"], words))
-            total += np.bincount((every >> _U(48)).astype(np.int64), minlength=BUCKETS)
+        for pdf in slices(batches, chars=CHARS):
+            sets = shingle_sets(pdf["text"], words)
+            total += np.bincount((np.concatenate(sets) >> _U(48)).astype(np.int64), minlength=BUCKETS)
+            out = pd.DataFrame([(*_set_hash(s), len(s)) for s in sets], columns=["h1", "h2", "n"])
+            yield out.assign(doc_id=pdf["doc_id"].to_numpy(), bucket=None, load=None, **{c: pdf[c].to_numpy() for c in other})[
+                ["doc_id", "h1", "h2", "n", "bucket", "load", *other]]
         used = np.flatnonzero(total)
-        yield pd.DataFrame({"bucket": used, "n": total[used]})
+        yield pd.DataFrame({"doc_id": None, "h1": 0, "h2": 0, "n": 0, "bucket": used, "load": total[used]} | {c: 0 for c in other})
 
-    out = np.zeros(BUCKETS, np.int64)
-    for r in docs.select("text").mapInPandas(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        out[r["bucket"]] = r["n"]
-    return out
+    kind = dict(docs.dtypes)["doc_id"]
+    every = staged(docs.withColumn("doc_id", F.col("doc_id").cast("string")).select("doc_id", "text", *other).mapInPandas(run, schema), "jaccard-rows", keep=True)
+    load = np.zeros(BUCKETS, np.int64)
+    for r in every.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("load").alias("load")).collect():
+        load[r["bucket"]] = r["load"]
+    return every.where("bucket IS NULL").select(F.col("doc_id").cast(kind).alias("doc_id"), "h1", "h2", "n", *other), load
 
 
-def distinct_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
+def distinct_sets(docs: DataFrame, load: np.ndarray, words: int, percent: int) -> DataFrame:
     """rid, h1, h2, n, doc (the smallest doc_id), prefix (the shingles whose trees the set
     joins) and bits (its token bitmap): one row per different set that is not empty."""
-    spark = docs.sparkSession
-    rank = spark.sparkContext.broadcast(bucket_counts(docs, words))
+    rank = docs.sparkSession.sparkContext.broadcast(load)
 
     def sets(batches):
         load = rank.value
-        for pdf in slices(batches):
+        for pdf in slices(batches, chars=CHARS):
             rows = []
             for doc, s in zip(pdf["doc_id"], shingle_sets(pdf["text"], words)):
                 if len(s):
@@ -155,7 +166,7 @@ def distinct_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     found = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text") \
         .mapInPandas(sets, "doc_id string, h1 long, h2 long, n long, prefix array<long>, bits binary")
     found = found.groupBy("h1", "h2", "n").agg(F.min(F.col("doc_id").cast(kind)).alias("doc"), F.first("prefix").alias("prefix"),
-                                               F.first("bits").alias("bits"))
+                                               F.first("bits").alias("bits"), F.count(F.lit(1)).alias("copies"))
     return staged(found.withColumn("rid", F.monotonically_increasing_id()), "jaccard-reps")
 
 
@@ -196,15 +207,15 @@ def shared_trees(reps: DataFrame) -> DataFrame:
 
 
 def stars(members: DataFrame) -> DataFrame:
-    """a, b: every member with two pivots of its tree.  An original among its altered copies
-    shares more shingles with them than they do with each other, so the member of most trees
-    is the best centre."""
+    """a, b: every member with one pivot.  An original among its altered copies shares more
+    shingles with them than they do with each other, so the member of most trees is the best
+    centre of a tree; a member goes to that centre with which it shares most trees."""
     degree = members.groupBy("rid").agg(F.count(F.lit(1)).alias("d"))
     best = members.join(degree, "rid").groupBy("t").agg(F.max(F.struct("d", (-F.col("rid")).alias("r"))).alias("m")) \
-        .select("t", (-F.col("m.r")).alias("centre"))
-    both = members.join(best, "t").select("rid", F.explode(F.array("lo", "centre")).alias("a")).where("rid <> a")
-    return both.select(F.least("a", "rid").alias("x"), F.greatest("a", "rid").alias("y"), "a", "rid").groupBy("x", "y").agg(
-        F.min("a").alias("a"), F.min(F.struct("a", "rid"))["rid"].alias("b")).select("a", "b")
+        .select("t", (-F.col("m.r")).alias("a"))
+    shared = members.join(best, "t").where("rid <> a").groupBy("rid", "a").agg(F.count(F.lit(1)).alias("k"))
+    one = shared.groupBy("rid").agg(F.max(F.struct("k", (-F.col("a")).alias("r"))).alias("m")).select((-F.col("m.r")).alias("a"), F.col("rid").alias("b"))
+    return one.groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
 
 
 def possible(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
@@ -248,7 +259,7 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, per
 
     def tokens(batches):
         bits = np.frombuffer(wanted.value, np.uint8)
-        for pdf in slices(batches):
+        for pdf in slices(batches, chars=CHARS):
             rows = []
             for s in shingle_sets(pdf["text"], words):
                 if len(s):
@@ -373,8 +384,8 @@ def candidate_pairs(members: DataFrame, signed: DataFrame, known: DataFrame, per
     out.  ``members``: t, rid, c; ``signed``: rid, n, bits; ``known``: rid, label."""
     sized = signed.select("rid", "n").join(known, "rid", "left").select("rid", "n", F.coalesce("label", "rid").alias("label"))
     rows = staged(members.select("t", "rid", "c").join(sized, "rid"), "jaccard-labelled")
-    mixed = rows.groupBy("t").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.max("c").alias("c")) \
-        .where("l0 <> l1 AND c > 2").select("t")               # of two members, both were compared
+    mixed = rows.groupBy("t").agg(F.min("label").alias("l0"), F.max("label").alias("l1")) \
+        .where("l0 <> l1").select("t")
     rows = staged(rows.join(mixed, "t", "left_semi"), "jaccard-mixed")
     per_class = rows.groupBy("t", "label").agg(F.count(F.lit(1)).alias("cl"))
     # blocks: a large class is cut by itself, small ones are dealt together
@@ -421,51 +432,61 @@ def candidate_pairs(members: DataFrame, signed: DataFrame, known: DataFrame, per
     return dealt.mapInPandas(pairs, "a long, b long").distinct()
 
 
-def similarity_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
+def similarity_classes(docs: DataFrame, words: int = 4, percent: int = 85, carry: tuple = ()) -> DataFrame:
     """doc_id, h1, h2, label (of the class; null for an empty set), n_shingles and component_id
-    for every document."""
-    texts = docs.select("doc_id", "text")
-    reps = distinct_sets(texts, words, percent)
-    members = shared_trees(reps)
-    signed = reps.select("rid", "n", "bits")
-    links = verified(possible(stars(members), signed, percent), texts, reps, words, percent)
-    label = F.coalesce("label", "rid").alias("label")
-    known = components(links).withColumnRenamed("node", "rid")
-    more = staged(candidate_pairs(members, signed, known, percent), "jaccard-candidates")
-    links = links.unionByName(verified(more, texts, reps, words, percent))
-    final = components(links).withColumnRenamed("node", "rid")
-    classes = staged(reps.select("h1", "h2", "n", "doc", "rid").join(final, "rid", "left").select("h1", "h2", "n", "doc", label),
-                     "jaccard-classes")
-    named = classes.groupBy("label").agg(F.min("doc").alias("component"))
-    classes = staged(classes.join(named, "label").select("h1", "h2", "n", "label", "component"), "jaccard-named")
-    rows = texts.select("doc_id", set_key(words)("text").alias("k")).select("doc_id", "k.*")
-    return rows.join(classes, ["h1", "h2", "n"], "left").select(
-        "doc_id", "h1", "h2", "label", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
-
-
-def set_key(words: int):
-    """A column function: text -> struct<h1, h2, n>, the identity of its set."""
-    @F.pandas_udf("h1 long, h2 long, n long")
-    def key(text: pd.Series) -> pd.DataFrame:
-        rows = [(*_set_hash(s), len(s)) for pdf in slices([text.to_frame("text")]) for s in shingle_sets(pdf["text"], words)]
-        return pd.DataFrame(rows, columns=["h1", "h2", "n"]).astype("int64")
-
-    return key
+    for every document, and its columns ``carry`` (longs)."""
+    with scratch():
+        texts = docs.select("doc_id", "text")
+        rows, load = hashed_rows(docs.select("doc_id", "text", *carry), words)
+        reps = distinct_sets(texts, load, words, percent)
+        members = shared_trees(reps)
+        signed = reps.select("rid", "n", "bits")
+        links = verified(possible(stars(members), signed, percent), texts, reps, words, percent)
+        label = F.coalesce("label", "rid").alias("label")
+        known = components(links).withColumnRenamed("node", "rid")
+        more = staged(candidate_pairs(members, signed, known, percent), "jaccard-candidates")
+        links = links.unionByName(verified(more, texts, reps, words, percent))
+        final = components(links).withColumnRenamed("node", "rid")
+        classes = staged(reps.select("h1", "h2", "n", "doc", "copies", "rid").join(final, "rid", "left").select("h1", "h2", "n", "doc", "copies", label),
+                         "jaccard-classes")
+        named = classes.groupBy("label").agg(F.min("doc").alias("component"))
+        classes = classes.join(named, "label").select("h1", "h2", "n", "copies", "label", "component")
+        found = with_classes(rows, classes)
+    return found.select("doc_id", "h1", "h2", "label", F.col("n").alias("n_shingles"),
+                                              F.coalesce("component", "doc_id").alias("component_id"), *carry)
+
+
+def with_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rows`` (h1, h2, n, ...) with the label and component of their set (null for n = 0).
+
+    A set that holds over a thousandth of all rows is one of less than a thousand, so those are
+    broadcast and no task holds the rows of such a set; the others meet by a shuffle."""
+    key = ["h1", "h2", "n"]
+    classes = staged(classes, "classes-named", keep=True)
+    total = rows.count()
+    hot = F.broadcast(classes.where(F.col("copies") * 1000 > total).select(*key, F.col("label").alias("__l"), F.col("component").alias("__c"), F.lit(True).alias("__hot")))
+    split = rows.join(hot, key, "left")
+    none = split.where("__hot IS NULL AND n = 0")
+    few = split.where("__hot IS NULL AND n > 0").drop("__l", "__c", "__hot").join(classes.drop("copies"), key, "left")
+    done = [d.drop("__hot").withColumnsRenamed({"__l": "label", "__c": "component"}) for d in (none, split.where("__hot"))]
+    return few.unionByName(done[0]).unionByName(done[1])
 
 
 def one_of_each_class(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of every class: the one with the smallest doc_id (a null id
     only if there is no other; of rows that repeat it, the one whose set hashes lowest; of
-    equal rows, any).  Rows with empty sets are linked with nothing and all stay."""
-    found = similarity_classes(docs, words, percent).where("n_shingles > 0")
-    found = staged(found.select("doc_id", "h1", "h2", "label"), "jaccard-rows")
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h1", "h2")
-    kept = staged(found.groupBy("label").agg(F.min(order).alias("f")).select(
-        F.col("f.doc_id").alias("__id"), F.col("f.h1").alias("__h1"), F.col("f.h2").alias("__h2")), "jaccard-kept")
-    repeated = found.groupBy("doc_id", "h1", "h2").count().where("count > 1").limit(1).count() > 0
-    rows = docs.withColumn("__k", set_key(words)("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__k.h1") == F.col("__h1")) & (F.col("__k.h2") == F.col("__h2"))
-    chosen = rows.where("__k.n > 0").join(kept, same, "left_semi")
-    if repeated:
-        chosen = chosen.withColumns({"__h1": F.col("__k.h1"), "__h2": F.col("__k.h2")}).dropDuplicates(["doc_id", "__h1", "__h2"])
-    return chosen.select(*docs.columns).unionByName(rows.where("__k.n = 0").select(*docs.columns))
+    equal rows, any).  Rows with empty sets are linked with nothing and all stay.
+
+    Texts are not shuffled for it: a list of ids is.  Where ids repeat or are null, the rows
+    are staged with a number of their own first."""
+    if not docs.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").limit(1).count():
+        gone = similarity_classes(docs, words, percent).where("n_shingles > 0 AND doc_id <> component_id").select(F.col("doc_id").alias("__gone"))
+        return docs.join(staged(gone, "jaccard-gone"), F.col("doc_id") == F.col("__gone"), "left_anti")
+    number = "__row"
+    while number in docs.columns:
+        number += "_"
+    rows = staged(docs.withColumn(number, F.monotonically_increasing_id()), "jaccard-numbered")
+    found = staged(similarity_classes(rows, words, percent, (number,)).where("n_shingles > 0").select("doc_id", "h1", "h2", "label", number), "jaccard-found")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h1", "h2", number)
+    kept = found.groupBy("label").agg(F.min(order)[number].alias(number))
+    return rows.join(staged(found.select(number).join(kept, number, "left_anti"), "jaccard-gone"), number, "left_anti").select(*docs.columns)

@@ -30,14 +30,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, small_side, staged
+from .common import scratch, slices, staged
 from .components import components
-from .jaccard import _filter_bits, _may_hold, _mix, _set_hash, shingle_sets, similar, verified
+from .jaccard import CHARS, _filter_bits, _may_hold, _mix, _set_hash, shingle_sets, similar, verified, with_classes
 
 SYMBOLS = 64
 CHUNKS = 13
 REACH = 2 * CHUNKS - 1
-BLOCK = 1024                    # members of a bucket compared at once
+BLOCK = 4096                    # members of a bucket compared at once
 TOKENS = 1 << 19                # shingles of a group compared at once (4 MB)
 _U = np.uint64
 _TURN = np.random.default_rng(12).integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) * _U(2) + _U(1)
@@ -71,7 +71,7 @@ def chunk_keys(sig: np.ndarray) -> np.ndarray:
 def signed_rows(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, h1, h2, n and sig of every row; n is 0 for an empty set."""
     def sign(batches):
-        for pdf in slices(batches):
+        for pdf in slices(batches, chars=CHARS):
             sets = shingle_sets(pdf["text"], words)
             full = [s for s in sets if len(s)]
             sig = iter(signatures(full) if full else [])
@@ -80,7 +80,7 @@ def signed_rows(docs: DataFrame, words: int) -> DataFrame:
 
     kind = dict(docs.dtypes)["doc_id"]
     found = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(sign, "doc_id string, h1 long, h2 long, n long, sig binary")
-    return staged(found.withColumn("doc_id", F.col("doc_id").cast(kind)), "minhash-rows")
+    return staged(found.withColumn("doc_id", F.col("doc_id").cast(kind)), "minhash-rows", keep=True)
 
 
 def buckets(reps: DataFrame) -> DataFrame:
@@ -222,7 +222,7 @@ def links_within(groups: DataFrame, docs: DataFrame, reps: DataFrame, words: int
 
     def tokens(batches):
         bits = np.frombuffer(wanted.value, np.uint8)
-        for pdf in slices(batches):
+        for pdf in slices(batches, chars=CHARS):
             rows = [(*_set_hash(s), s.tobytes()) for s in shingle_sets(pdf["text"], words) if len(s)]
             out = pd.DataFrame(rows, columns=["h1", "h2", "tokens"])
             yield out[_may_hold(bits, out["h1"].to_numpy(dtype=np.int64))]
@@ -249,26 +249,24 @@ def links_within(groups: DataFrame, docs: DataFrame, reps: DataFrame, words: int
 
 def near_duplicate_classes(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every document."""
-    texts = docs.select("doc_id", "text")
-    rows = signed_rows(texts, words)
-    sets = rows.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("doc"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("copies"))
-    reps = staged(sets.withColumn("rid", F.monotonically_increasing_id()), "minhash-reps")
-    members = buckets(reps)
-    links = verified(stars(members, reps, percent), texts, reps, words, percent)
-    known = components(links).withColumnRenamed("node", "rid")
-    groups = reach_groups(members, reps, known, percent)
-    if groups.limit(1).count():
-        links = links.unionByName(links_within(groups, texts, reps, words, percent))
-    final = components(links).withColumnRenamed("node", "rid")
-    classes = reps.select("rid", "h1", "h2", "n", "doc", "copies").join(final, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
-    classes = staged(classes, "minhash-classes")
-    named = classes.groupBy("label").agg(F.min("doc").alias("component"))
-    classes = staged(classes.join(named, "label").select("h1", "h2", "n", "component", "copies"), "minhash-named")
-    # a set with over a thousandth of all rows: at most a thousand of them, broadcast, so that its rows are not one task's
-    total = rows.count()
-    hot = small_side(staged(classes.where(F.col("copies") * 1000 > total).select("h1", "h2", "n", F.col("component").alias("hot")), "minhash-hot"), 1000)
-    many = rows.select("doc_id", "h1", "h2", "n").join(hot, ["h1", "h2", "n"], "left")
-    few = many.where("hot IS NULL").drop("hot").join(classes.select("h1", "h2", "n", "component"), ["h1", "h2", "n"], "left")
-    out = few.unionByName(many.where("hot IS NOT NULL").withColumnRenamed("hot", "component"))
+    with scratch():
+        texts = docs.select("doc_id", "text")
+        rows = signed_rows(texts, words)
+        sets = rows.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("doc"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("copies"))
+        reps = staged(sets.withColumn("rid", F.monotonically_increasing_id()), "minhash-reps")
+        members = buckets(reps)
+        links = verified(stars(members, reps, percent), texts, reps, words, percent)
+        known = components(links).withColumnRenamed("node", "rid")
+        groups = reach_groups(members, reps, known, percent)
+        if groups.limit(1).count():
+            links = links.unionByName(links_within(groups, texts, reps, words, percent))
+        final = components(links).withColumnRenamed("node", "rid")
+        classes = reps.select("rid", "h1", "h2", "n", "doc", "copies").join(final, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
+        classes = staged(classes, "minhash-classes")
+        named = classes.groupBy("label").agg(F.min("doc").alias("component"))
+        classes = classes.join(named, "label").select("h1", "h2", "n", "copies", "label", "component")
+        found = with_classes(rows.select("doc_id", "h1", "h2", "n"), classes)
     component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.col("n") == 0, F.lit(False)).alias("kept"))
+    return found.select(
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+        F.coalesce(F.col("doc_id") == component, F.col("n") == 0, F.lit(False)).alias("kept"))
