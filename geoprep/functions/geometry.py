@@ -23,6 +23,9 @@ GEOM = T.StructType([T.StructField("kind", T.StringType()), T.StructField("parts
 POINT, MULTIPOINT, LINESTRING = "Point", "MultiPoint", "LineString"
 MULTILINESTRING, POLYGON, MULTIPOLYGON = "MultiLineString", "Polygon", "MultiPolygon"
 AREAL = (POLYGON, MULTIPOLYGON)
+#: The kind of a collection names the kind of each of its parts: ``GeometryCollection:Point,Polygon``.
+COLLECTION = "GeometryCollection"
+COLLECTION_DEPTH = 4          # collections inside collections; deeper ones fail like an unknown type
 
 
 def _col(c) -> Column:
@@ -79,6 +82,21 @@ def bbox(geom) -> Column:
                     F.array_max(xv).alias("xmax"), F.array_max(yv).alias("ymax"))
 
 
+def areal_part(geom, i: Column) -> Column:
+    """Whether part ``i`` of a geometry has an inside."""
+    kind = _col(geom)["kind"]
+    return F.when(is_collection(kind), F.get(part_kinds(kind), i) == POLYGON).otherwise(kind.isin(*AREAL))
+
+
+def is_collection(kind: Column) -> Column:
+    return kind.startswith(COLLECTION)
+
+
+def part_kinds(kind: Column) -> Column:
+    """The kinds of a collection's parts."""
+    return F.split(F.substring(kind, len(COLLECTION) + 2, 1 << 30), ",")
+
+
 def point_x(geom) -> Column:
     """x of the first vertex (lon of a point) (X11)."""
     return _col(geom)["parts"][0][0][0]["x"]
@@ -137,25 +155,56 @@ def _raw_parts(kind: Column, text: Column) -> Column:
     return branches
 
 
-def geometry_from_geojson(kind, coordinates_text) -> Column:
-    """GeoJSON geometry (type + coordinates as JSON text) -> geometry; unknown type -> null.
+_MEMBER_SCHEMA = "type string, coordinates string, geometries array<string>"
+_SINGLE = {POINT: POINT, MULTIPOINT: POINT, LINESTRING: LINESTRING, MULTILINESTRING: LINESTRING, POLYGON: POLYGON, MULTIPOLYGON: POLYGON}
+
+
+def _collected(members: Column) -> Column:
+    """GeoJSON texts of a collection's members -> struct<kind, parts>, null when one of them
+    does not convert.  Collections inside it are opened level by level, and the members of a
+    multi-geometry stand as parts of their own."""
+    def opened(t):
+        m = F.from_json(t, _MEMBER_SCHEMA)
+        return F.when(m["type"] == COLLECTION, F.coalesce(m["geometries"], F.array(F.lit(None).cast("string")))).otherwise(F.array(t))
+
+    for _ in range(COLLECTION_DEPTH):
+        members = F.flatten(F.transform(members, opened))
+
+    def leaf(t):
+        m = F.from_json(t, _MEMBER_SCHEMA)
+        single = F.create_map(*[F.lit(x) for kv in _SINGLE.items() for x in kv])
+        return F.struct(F.try_element_at(single, m["type"]).alias("kind"), _raw_parts(m["type"], m["coordinates"]).alias("parts"))
+
+    leaves = F.transform(members, leaf)
+    kinds = F.flatten(F.transform(leaves, lambda x: F.transform(x["parts"], lambda _: x["kind"])))
+    return F.struct(F.concat(F.lit(COLLECTION + ":"), F.array_join(kinds, ",")).alias("kind"),
+                    F.flatten(F.transform(leaves, lambda x: x["parts"])).alias("parts"))
+
+
+def geometry_from_geojson(kind, coordinates_text, geometries=None) -> Column:
+    """GeoJSON geometry (type + coordinates as JSON text, or the member texts of a collection)
+    -> geometry; unknown type -> null.
 
     Only the branch of the matching type is evaluated for a row.  (In a DataFrame prefer
     ``parse_gazetteer``, which keeps each step in its own projection.)
     """
     kind, text = _col(kind), _col(coordinates_text)
     parts = _valid_parts(_raw_parts(kind, text))
-    return F.when(parts.isNotNull(), F.struct(kind.alias("kind"), parts.alias("parts")))
+    simple = F.when(parts.isNotNull(), F.struct(kind.alias("kind"), parts.alias("parts")))
+    if geometries is None:
+        return simple
+    both = _collected(_col(geometries))
+    return F.when(kind == COLLECTION, F.when(_valid_parts(both["parts"]).isNotNull(), both)).otherwise(simple)
 
 
-GAZETTEER_BODY_SCHEMA = "geometry struct<type:string, coordinates:string>, properties map<string,string>"
+GAZETTEER_BODY_SCHEMA = "geometry struct<type:string, coordinates:string, geometries:array<string>>, properties map<string,string>"
 
 
 def parse_gazetteer_body(body) -> Column:
     """One JSON parse of a gazetteer body as a single Column (X6, X7, X13); see
     ``parse_gazetteer`` for the DataFrame form used by the jobs."""
     p = F.from_json(_col(body), GAZETTEER_BODY_SCHEMA)
-    geom = geometry_from_geojson(p["geometry"]["type"], p["geometry"]["coordinates"])
+    geom = geometry_from_geojson(p["geometry"]["type"], p["geometry"]["coordinates"], p["geometry"]["geometries"])
     ok = geom.isNotNull() & p["properties"].isNotNull()
     props = p["properties"]
     return F.when(ok, F.struct(
@@ -180,8 +229,9 @@ def _parse_exprs():
     hit = _PARSE_CACHE.get("exprs")
     if hit is None or hit[0] is not sc:
         hit = _PARSE_CACHE["exprs"] = (sc, _raw_parts(F.col("__gk"), F.col("__gz.geometry.coordinates")),
-                                       _valid_parts(F.col("__gp")))
-    return hit[1], hit[2]
+                                       _valid_parts(F.col("__gp")),
+                                       F.when(F.col("__gk") == COLLECTION, _collected(F.col("__gz.geometry.geometries"))))
+    return hit[1:]
 
 
 def parse_gazetteer(df, body_col: str):
@@ -193,10 +243,11 @@ def parse_gazetteer(df, body_col: str):
     Each step is its own projection, so no large expression is copied into several
     places of the plan.
     """
-    raw, valid = _parse_exprs()
+    raw, valid, collected = _parse_exprs()
     df = df.withColumn("__gz", F.from_json(F.col(body_col), GAZETTEER_BODY_SCHEMA))
     df = df.withColumn("__gk", F.col("__gz.geometry.type"))
-    df = df.withColumn("__gp", raw)
+    df = df.withColumns({"__gp": raw, "__gc": collected})
+    df = df.withColumns({"__gk": F.coalesce("__gc.kind", "__gk"), "__gp": F.coalesce("__gc.parts", "__gp")})
     df = df.withColumn("__gp", valid)
     ok = F.col("__gp").isNotNull() & F.col("__gz.properties").isNotNull()
     df = df.withColumn("__ok", ok)
@@ -207,7 +258,7 @@ def parse_gazetteer(df, body_col: str):
         "lat_text": F.when(F.col("__ok"), props.getItem("geom:latitude")),
         "lon_text": F.when(F.col("__ok"), props.getItem("geom:longitude")),
     })
-    return df.drop("__gz", "__gk", "__gp", "__ok")
+    return df.drop("__gz", "__gk", "__gp", "__gc", "__ok")
 
 
 def to_float_or_nan(text) -> Column:
@@ -248,7 +299,10 @@ def _wkt_expr(g: Column) -> Column:
             .when(kind.isin(MULTIPOINT, MULTILINESTRING), F.concat(F.lit("("), F.array_join(first_rings, ", "), F.lit(")")))
             .when(kind == MULTIPOLYGON, F.concat(F.lit("("), F.array_join(polys, ", "), F.lit(")"))))
     prefix = F.create_map(*[F.lit(x) for kv in _WKT_PREFIX.items() for x in kv])
-    return F.when(g.isNotNull(), F.concat(F.try_element_at(prefix, kind), body))
+    members = F.zip_with(part_kinds(kind), rings, lambda k, p: F.concat(F.try_element_at(prefix, k), F.when(
+        k == POLYGON, F.concat(F.lit("("), F.array_join(p, ", "), F.lit(")"))).otherwise(p[0])))
+    whole = F.concat(F.lit("GEOMETRYCOLLECTION ("), F.array_join(members, ", "), F.lit(")"))
+    return F.when(is_collection(kind), whole).when(g.isNotNull(), F.concat(F.try_element_at(prefix, kind), body))
 
 
 def to_wkt(geom) -> Column:

@@ -41,12 +41,8 @@ def parse_records(records: DataFrame, body_col: str = "geojson_data") -> DataFra
 
 
 def state_polygons(adm1: DataFrame) -> DataFrame:
-    """Only the name and the geometry of the state level, name as ``state`` (S6); the
-    feature id rides along (hidden) as the polygon key when the level has one."""
-    cols = [F.col("shapeName").alias("state"), "geometry"]
-    if "shapeID" in adm1.columns:
-        cols.append(F.col("shapeID").alias("__state_id"))
-    return adm1.select(*cols)
+    """Only the name and the geometry of the state level, name as ``state``."""
+    return adm1.select(F.col("shapeName").alias("state"), "geometry")
 
 
 def city_polygons(adm2: DataFrame) -> DataFrame:
@@ -56,7 +52,7 @@ def city_polygons(adm2: DataFrame) -> DataFrame:
 
 def enrich_postal(spr: DataFrame, geojson: DataFrame, adm1: DataFrame, adm2: DataFrame, *,
                   countries=POSTAL_COUNTRIES, crs: str = G.WGS84, boundary_crs: str = G.WGS84,
-                  stage_mode: str | None = "checkpoint", level_step: int = 2, edges_per_band: int = 32) -> DataFrame:
+                  stage_mode: str | None = "checkpoint", max_edges: int = 16) -> DataFrame:
     """The postal table: country, state, city, postal_code, lat, lon, wkt_geometry.
 
     * every place meets the states its geometry intersects (closed test): a place on a
@@ -66,58 +62,34 @@ def enrich_postal(spr: DataFrame, geojson: DataFrame, adm1: DataFrame, adm2: Dat
       polygon id);
     * spaces in country, state and city become ``_``.
 
-    The parsed records are staged once (``stage_mode``); the state and city matches are
-    both computed on their distinct geometries and joined back to them.
+    The parsed records are staged once (``stage_mode``); states and cities are matched in one
+    pass over the distinct geometries (an index of two layers) and joined back to them.
     """
     return enrich_records(gazetteer_records(spr, geojson, countries), adm1, adm2, crs=crs,
-                          boundary_crs=boundary_crs, stage_mode=stage_mode, level_step=level_step,
-                          edges_per_band=edges_per_band)
+                          boundary_crs=boundary_crs, stage_mode=stage_mode, max_edges=max_edges)
 
 
-def boundary_indexes(adm1: DataFrame, adm2: DataFrame, *, level_step: int = 2, edges_per_band: int = 32,
-                     stage_mode: str | None = "checkpoint") -> tuple:
-    """(state index, city index): the boundary polygons prepared once for many matches."""
-    kw = dict(level_step=level_step, edges_per_band=edges_per_band, stage_mode=stage_mode)
-    st, ct = state_polygons(adm1), city_polygons(adm2)
-    # feature ids may repeat or be null, so a hash of the whole row keys the polygons
-    with ThreadPoolExecutor(2) as pool:      # two independent staging jobs, run side by side
-        states = pool.submit(S.index_polygons, st, **kw)
-        cities = pool.submit(S.index_polygons, ct, **kw)
-        return states.result(), cities.result()
+def boundary_index(adm1: DataFrame, adm2: DataFrame, *, max_edges: int = 16, stage_mode: str | None = "checkpoint") -> S.PolygonIndex:
+    """States (layer 0) and cities (layer 1) prepared once, as one index, for many matches."""
+    return S.index_layers([state_polygons(adm1), city_polygons(adm2)], max_edges=max_edges, stage_mode=stage_mode)
 
 
 def enrich_records(records: DataFrame, adm1: DataFrame | None = None, adm2: DataFrame | None = None, *,
                    crs: str = G.WGS84, boundary_crs: str = G.WGS84, stage_mode: str | None = "checkpoint",
-                   level_step: int = 2, edges_per_band: int = 32, indexes: tuple | None = None) -> DataFrame:
+                   max_edges: int = 16, index: S.PolygonIndex | None = None) -> DataFrame:
     """``enrich_postal`` from already joined records (id, country, postal_code,
-    geojson_data) -- the body of one chunk of the incremental load.  ``indexes`` (from
-    ``boundary_indexes``) reuses prepared boundaries instead of preparing them again."""
+    geojson_data) -- the body of one chunk of the incremental load.  ``index`` (from
+    ``boundary_index``) reuses prepared boundaries instead of preparing them again."""
     parsed = parse_records(records)
     if crs.upper() != boundary_crs.upper():
         parsed = parsed.withColumn("geometry", G.to_crs(F.col("geometry"), crs, boundary_crs))
     with ThreadPoolExecutor(2) as pool:      # gazetteer staging and boundary indexing are independent
         staged = pool.submit(S._stage_left, parsed, "geometry", stage_mode)
-        if indexes is None:
-            indexes = pool.submit(boundary_indexes, adm1, adm2, level_step=level_step,
-                                  edges_per_band=edges_per_band, stage_mode=stage_mode).result()
+        if index is None:
+            index = pool.submit(boundary_index, adm1, adm2, max_edges=max_edges, stage_mode=stage_mode).result()
         parsed, has_shapes = staged.result()
-    state_idx, city_idx = indexes
-    # polygon places are prepared once per grid setting (once for both matches by default)
-    prepared = {}
-    if has_shapes:
-        for idx in (state_idx, city_idx):
-            grid = (idx.level_step, idx.edges_per_band)
-            if grid not in prepared:
-                prepared[grid] = S.prepare_left_shapes(parsed, level_step=grid[0], edges_per_band=grid[1],
-                                                       stage_mode=stage_mode)
-
-    def kw(idx):
-        return dict(stage_mode=stage_mode, has_shapes=has_shapes,
-                    left_shapes=prepared.get((idx.level_step, idx.edges_per_band)))
-
-    states = S.match_table(parsed, state_idx, **kw(state_idx))
-    cities = S.first_match_table(parsed, city_idx,
-                                 [F.isnull("__gadm_city"), F.col("__gadm_city"), F.col("__city_id")], **kw(city_idx))
+    states, cities = S.match_layers(parsed, index, has_shapes=has_shapes, stage_mode=stage_mode)
+    cities = S.first_of(cities, [F.isnull("__gadm_city"), F.col("__gadm_city"), F.col("__city_id")])
     keyed = S.with_match_keys(parsed)
     out = S.join_matches(S.join_matches(keyed, states), cities)
     out = out.withColumns({

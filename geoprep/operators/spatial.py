@@ -3,28 +3,20 @@
 No theta join appears in the plan: every step is an equi join that Spark can run as a
 shuffled or (when AQE measures a side as small) broadcast hash join.
 
-Point x polygon (the common case):
-
-1. Polygons are cut into edges; each polygon gets a bounding box and a grid *level*: the
-   smallest power of two (exponents in steps of ``level_step``) not below its extent, so
-   its box spans at most 2x2 cells of that level.  A huge polygon therefore never explodes into
-   many cells, and a tiny one never sits in a coarse cell.
-2. Points are keyed by their cell at every level that occurs (a handful of levels);
-   equi join on (level, cx, cy), then the box test -> candidate (point, polygon) pairs.
-3. Each polygon's edges are spread over horizontal bands, the band count chosen so a band
-   holds about ``edges_per_band`` edges; a point meets only the edges of its own band.
-4. Per (point, polygon): inside = odd number of edges crossing the ray to +x (holes and
-   multi-parts come for free), on boundary = on some edge.  Hit = inside or on boundary.
-
-Other left geometries (lines, polygons, multi-points): A meets B iff a representative
-vertex of a part of A lies in B, or an edge of A meets an edge of B, or (A areal) a
-representative vertex of a part of B lies in A.  The first test reuses the point path;
-the other two run on candidate pairs from the same grid, through the same bands.
-
-The polygon side is prepared once into a ``PolygonIndex`` (staged; its grid levels are
-gathered by the staging job) and can be reused across joins and chunks.  The left side is
-staged once too (it feeds several branches); a count of its non-point geometries, taken
-in the same job, lets point-only inputs skip the shape path entirely.
+Point x polygon (the common case): points meet the cells of the polygons' adaptive cover
+(``geoprep.operators.cover``) on (level, cx, cy); a candidate is decided in its row, from the
+few edges of its cell, so nothing is shuffled after that join, whatever the polygon's size.
+
+Other left geometries (lines, polygons, multi-points, collections): A meets B iff a
+representative vertex of a part of A lies in B, or an edge of A meets an edge of B, or
+(areal parts of A) a representative vertex of a part of B lies in A.  The first test reuses the
+point path; the other two run on the pairs whose boxes overlap, against the edges that the
+cells of B's cover hold.
+
+The polygon side is prepared once into a ``PolygonIndex`` (staged) and can be reused across
+joins and chunks; it may hold several layers, which are then matched in one pass.  The left
+side is staged once too (it feeds several branches); a count of its non-point geometries,
+taken in the same job, lets point-only inputs skip the shape path entirely.
 
 All arithmetic is division-free where a sign decides (ANSI mode raises on x/0, and the
 order of AND operands is not promised).
@@ -33,149 +25,93 @@ order of AND operands is not promised).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoprep.functions import geometry as G
-from geoprep.operators.stage import stage, stage_with_metrics
-
-E_MIN, E_MAX = -30, 40
-_EDGE_ARRAY = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
+from geoprep.operators import cover as C
+from geoprep.operators.stage import stage, stage_table, stage_with_metrics
 
 
 # ---------------------------------------------------------------------------------------
-# Building blocks
-
-
-def _edges_of(geom: Column) -> Column:
-    """array<struct<x1,y1,x2,y2>> over every ring of every part; open rings of areal kinds
-    are closed, lines stay as they are, empty rings and parts have no edges."""
-    areal = geom["kind"].isin(*G.AREAL)
-
-    def ring_edges(r):
-        n = F.size(r)
-        body = F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.struct(
-            r[i]["x"].alias("x1"), r[i]["y"].alias("y1"), r[i + 1]["x"].alias("x2"), r[i + 1]["y"].alias("y2")))
-        closing = F.when(areal & ((r[0]["x"] != r[n - 1]["x"]) | (r[0]["y"] != r[n - 1]["y"])), F.array(F.struct(
-            r[n - 1]["x"].alias("x1"), r[n - 1]["y"].alias("y1"), r[0]["x"].alias("x2"), r[0]["y"].alias("y2"))))
-        return F.when(n >= 2, F.concat(body, F.coalesce(closing, F.array().cast(_EDGE_ARRAY))))
-    per_ring = F.transform(geom["parts"], lambda p: F.transform(p, ring_edges))
-    flat = F.flatten(F.flatten(per_ring))
-    return F.filter(flat, lambda e: e.isNotNull())
-
-
-def _rep_vertices(geom: Column) -> Column:
-    """First vertex of every part."""
-    return F.filter(F.transform(geom["parts"], lambda p: F.get(F.get(p, F.lit(0)), F.lit(0))), lambda v: v.isNotNull())
-
-
-def _exponent(ext: Column, level_step: int) -> Column:
-    e = F.when(ext > 0, F.ceil(F.log2(ext))).otherwise(F.lit(E_MIN))
-    e = F.least(F.greatest(e, F.lit(E_MIN)), F.lit(E_MAX)).cast("int")
-    if level_step > 1:
-        e = (F.ceil(e / F.lit(float(level_step))) * F.lit(level_step)).cast("int")
-    return e
-
-
-def _cell(v: Column, level: Column) -> Column:
-    return F.floor(v / F.pow(F.lit(2.0), level))
-
+# The indexed side
 
-def _band(y: Column, ymin: Column, hb: Column, nb: Column) -> Column:
-    raw = F.floor((y - ymin) / F.when(hb > 0, hb).otherwise(F.lit(1.0)))
-    return F.when((nb <= 1) | (hb <= 0), F.lit(0).cast("long")).otherwise(
-        F.least(nb - 1, F.greatest(F.lit(0).cast("long"), raw)))
-
-
-def _orient(ax, ay, bx, by, cx, cy) -> Column:
-    return (bx - ax) * (cy - ay) - (by - ay) * (cx - ax)
-
-
-def _between(v, a, b) -> Column:
-    return (v >= F.least(a, b)) & (v <= F.greatest(a, b))
-
-
-def prepare_polygons(right: DataFrame, geom_col: str, rid_col: str, *, level_step: int = 2,
-                     edges_per_band: int = 32) -> DataFrame:
-    """Areal geometries -> one row per polygon with box, level, band grid and edges."""
-    g = F.col(geom_col)
-    areal = right.where(g.isNotNull() & g["kind"].isin(*G.AREAL)).select(F.col(rid_col).alias("rid"), g.alias("g"))
-    bb = G.bbox(F.col("g"))
-    df = areal.select("rid", "g", _edges_of(F.col("g")).alias("edges"), bb.alias("bb"))
-    df = df.select(
-        "rid", "g", "edges",
-        F.col("bb.xmin").alias("xmin"), F.col("bb.ymin").alias("ymin"),
-        F.col("bb.xmax").alias("xmax"), F.col("bb.ymax").alias("ymax"))
-    ext = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
-    nb = F.greatest(F.lit(1), F.ceil(F.size("edges") / F.lit(float(edges_per_band)))).cast("long")
-    return (df.withColumn("lvl", _exponent(ext, level_step))
-              .withColumn("nb", nb)
-              .withColumn("hb", (F.col("ymax") - F.col("ymin")) / F.col("nb")))
-
-
-def _cells(df: DataFrame, level: Column, xmin="xmin", ymin="ymin", xmax="xmax", ymax="ymax") -> DataFrame:
-    """Explode a box into the cells of ``level`` it touches (at most 2x2 at its own level)."""
-    return (df.withColumn("cx", F.explode(F.sequence(_cell(F.col(xmin), level), _cell(F.col(xmax), level))))
-              .withColumn("cy", F.explode(F.sequence(_cell(F.col(ymin), level), _cell(F.col(ymax), level)))))
 
+@dataclass
+class PolygonIndex:
+    """Right sides prepared for joins: polygons (pid, box, representative vertices), the cells of
+    their covers, the grid levels of the cells and of the polygons, and per layer the right rows' other columns
+    keyed by ``__mrid``, all staged.  Build it once with ``index_polygons`` or
+    ``index_layers`` and reuse it, e.g. for every chunk of an incremental load."""
 
-def _edge_bands(polys: DataFrame) -> DataFrame:
-    """(rid, band, x1, y1, x2, y2): every edge in every band its y-range touches."""
-    e = polys.select("rid", "ymin", "hb", "nb", F.explode("edges").alias("e")).select(
-        "rid", "ymin", "hb", "nb", "e.*")
-    lo = _band(F.least("y1", "y2"), F.col("ymin"), F.col("hb"), F.col("nb"))
-    hi = _band(F.greatest("y1", "y2"), F.col("ymin"), F.col("hb"), F.col("nb"))
-    return e.select("rid", F.explode(F.sequence(lo, hi)).alias("band"), "x1", "y1", "x2", "y2")
+    polys: DataFrame
+    cells: DataFrame
+    levels: list
+    own_levels: list
+    layers: list                        # (attrs, columns); a pid is row number * layers + layer
+    max_edges: int
+
+    def layer_and_row(self, pid: str = "pid") -> list:
+        return [F.expr(f"cast({pid} % {len(self.layers)} as int)").alias("layer"), F.expr(f"{pid} div {len(self.layers)}").alias("__mrid")]
+
+    @property
+    def attrs(self) -> DataFrame:
+        return self.layers[0][0]
+
+    @property
+    def columns(self) -> list:
+        return self.layers[0][1]
+
+
+def index_layers(rights: list, *, right_geom: str = "geometry", max_edges: int = 16,
+                 stage_mode: str | None = "checkpoint") -> PolygonIndex:
+    """One index over the polygons of several right sides, told apart by their layer (0, 1, ...).
+
+    A right row's key is a number given while it is staged, so rows need no unique column and
+    equal rows each match.  ``max_edges`` bounds the edges a point is tested against; it does
+    not change results."""
+    shapes, layers = [], []
+    for k, right in enumerate(rights):
+        cols = [c for c in right.columns if c != right_geom]
+        rows = stage_table(right.select(F.monotonically_increasing_id().alias("__mrid"), F.col(right_geom).alias("__g"), *cols), "layer")
+        layers.append((rows.drop("__g"), cols))
+        areal = F.col("__g").isNotNull() & F.col("__g")["kind"].isin(*G.AREAL)
+        shapes.append(rows.where(areal).select((F.col("__mrid") * len(rights) + k).alias("pid"), "__g"))
+    parts = int(rights[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    polys = C.boxed(reduce(DataFrame.unionByName, shapes).repartition(parts, "pid"), "__g", "pid").withColumn("reps", C.rep_vertices(F.col("g"))).drop("g")
+    polys, m = stage_with_metrics(polys, stage_mode, {"most": F.max(F.size("edges")), "levels": F.collect_set("lvl")})
+    cells = C.build_cover(polys, max_edges=max_edges, stage_mode=stage_mode, most_edges=m["most"] or 0)
+    cells, c = stage_with_metrics(cells, stage_mode, {"levels": F.collect_set("lvl")})
+    return PolygonIndex(polys, cells, sorted(c["levels"] or []), sorted(m["levels"] or []), layers, max_edges)
+
+
+def index_polygons(right: DataFrame, *, right_geom: str = "geometry", max_edges: int = 16,
+                   stage_mode: str | None = "checkpoint") -> PolygonIndex:
+    """Prepare one polygon side (``index_layers``)."""
+    return index_layers([right], right_geom=right_geom, max_edges=max_edges, stage_mode=stage_mode)
 
 
 # ---------------------------------------------------------------------------------------
 # Point in polygon
 
 
-def points_in_polygons(points: DataFrame, polys: DataFrame, levels: list) -> DataFrame:
-    """Distinct points (px, py) x prepared polygons -> hits (px, py, rid), closed test."""
-    if not levels:
-        return points.sparkSession.createDataFrame([], "px double, py double, rid string")
-    lv = F.explode(F.array(*[F.lit(int(x)) for x in levels])).alias("lvl")
-    keyed = points.select("px", "py", lv)
-    keyed = keyed.withColumns({"cx": _cell(F.col("px"), F.col("lvl")), "cy": _cell(F.col("py"), F.col("lvl"))})
-    cells = _cells(polys.select("rid", "lvl", "xmin", "ymin", "xmax", "ymax", "nb", "hb"), F.col("lvl"))
-    cand = keyed.join(cells, ["lvl", "cx", "cy"]).where(
-        (F.col("px") >= F.col("xmin")) & (F.col("px") <= F.col("xmax")) &
-        (F.col("py") >= F.col("ymin")) & (F.col("py") <= F.col("ymax")))
-    cand = cand.select("px", "py", "rid", _band(F.col("py"), F.col("ymin"), F.col("hb"), F.col("nb")).alias("band"))
-    eb = _edge_bands(polys)
-    j = cand.join(eb, ["rid", "band"])
-    px, py = F.col("px"), F.col("py")
-    x1, y1, x2, y2 = F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")
-    cross = (x2 - x1) * (py - y1) - (px - x1) * (y2 - y1)
-    crossing = ((y1 > py) != (y2 > py)) & ((cross > 0) == (y2 > y1))
-    on_edge = (cross == 0) & _between(px, x1, x2) & _between(py, y1, y2)
-    agg = j.groupBy("px", "py", "rid").agg(
-        F.sum(crossing.cast("int")).alias("n"), F.max(on_edge).alias("on"))
-    return agg.where(((F.col("n") % 2) == 1) | F.col("on")).select("px", "py", "rid")
+def points_in_polygons(points: DataFrame, index: PolygonIndex) -> DataFrame:
+    """Points (px, py, ...) x indexed polygons -> hits (the columns of ``points``, pid), closed test."""
+    at = F.explode(F.array(*[F.lit(int(x)) for x in index.levels]).cast("array<int>")).alias("lvl")
+    keyed = points.select("*", at)
+    keyed = keyed.withColumns({"cx": C.cell_of(F.col("px"), F.col("lvl")), "cy": C.cell_of(F.col("py"), F.col("lvl"))})
+    met = keyed.join(index.cells, ["lvl", "cx", "cy"]).withColumn("x0", F.col("cx") * F.pow(F.lit(2.0), F.col("lvl")))
+    return met.where(C.in_cell(F.col("px"), F.col("py"), F.col("x0"))).select(*points.columns, "pid")
 
 
 # ---------------------------------------------------------------------------------------
 # Non-point left geometries
 
 
-def _prepare_left_shapes(shapes: DataFrame, level_step: int, edges_per_band: int) -> DataFrame:
-    """Distinct non-point left geometries (gk) -> box, level, band grid, edges."""
-    bb = G.bbox(F.col("gk"))
-    df = shapes.select("gk", _edges_of(F.col("gk")).alias("edges"), bb.alias("bb")).select(
-        "gk", "edges", F.col("bb.xmin").alias("xmin"), F.col("bb.ymin").alias("ymin"),
-        F.col("bb.xmax").alias("xmax"), F.col("bb.ymax").alias("ymax"))
-    ext = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
-    nb = F.greatest(F.lit(1), F.ceil(F.size("edges") / F.lit(float(edges_per_band)))).cast("long")
-    return (df.withColumn("lvl", _exponent(ext, level_step)).withColumn("nb", nb)
-              .withColumn("hb", (F.col("ymax") - F.col("ymin")) / F.col("nb"))
-              .withColumn("areal", F.col("gk")["kind"].isin(*G.AREAL)))
-
-
-def _candidate_pairs(a: DataFrame, b: DataFrame, b_levels: list, level_step: int = 1) -> DataFrame:
-    """Box-overlap pairs (gk, rid) between left shapes ``a`` and polygons ``b``.
+def _candidate_pairs(a: DataFrame, b: DataFrame, b_levels: list) -> DataFrame:
+    """Box-overlap pairs (gid, pid) between left shapes ``a`` and polygons ``b``.
 
     A pair is found at exactly one level, max(level a, level b), in two equi joins:
     (1) A keyed at every coarser level that B uses meets B at B's own level;
@@ -188,123 +124,55 @@ def _candidate_pairs(a: DataFrame, b: DataFrame, b_levels: list, level_step: int
                                                               for c in ("xmin", "ymin", "xmax", "ymax")])
 
     def cells(df, prefix, level):
-        return _cells(df.withColumn("L", level), level, f"{prefix}xmin", f"{prefix}ymin", f"{prefix}xmax", f"{prefix}ymax")
+        return C.explode_cells(df.withColumn("L", level), level, f"{prefix}xmin", f"{prefix}ymin", f"{prefix}xmax", f"{prefix}ymax")
 
-    ab, bb = boxes(a, "gk", "a"), boxes(b, "rid", "b")
-    coarser = F.explode(F.array(*[F.lit(int(x)) for x in b_levels])) if b_levels else F.explode(F.array().cast("array<int>"))
+    ab, bb = boxes(a, "gid", "a"), boxes(b, "pid", "b")
+    coarser = F.explode(F.array(*[F.lit(int(x)) for x in b_levels]).cast("array<int>"))
     a_up = cells(ab.withColumn("__L", coarser).where(F.col("__L") > F.col("la")), "a", F.col("__L")).drop("__L")
     b_own = cells(bb, "b", F.col("lb"))
     j1 = a_up.join(b_own, ["L", "cx", "cy"])
     a_own = cells(ab, "a", F.col("la"))
-    top = level_step * -(-E_MAX // level_step)          # levels are multiples of level_step
-    b_up = cells(bb.withColumn("__L", F.explode(F.sequence(F.col("lb"), F.lit(top), F.lit(level_step)))),
+    top = C.STEP * -(-C.E_MAX // C.STEP)
+    b_up = cells(bb.withColumn("__L", F.explode(F.sequence(F.col("lb"), F.lit(top), F.lit(C.STEP)))),
                  "b", F.col("__L")).drop("__L")
     j2 = a_own.join(b_up, ["L", "cx", "cy"])
     j = j1.unionByName(j2)
     j = j.where((F.col("axmin") <= F.col("bxmax")) & (F.col("bxmin") <= F.col("axmax")) &
                 (F.col("aymin") <= F.col("bymax")) & (F.col("bymin") <= F.col("aymax")))
     rx, ry = F.greatest("axmin", "bxmin"), F.greatest("aymin", "bymin")
-    j = j.where((_cell(rx, F.col("L")) == F.col("cx")) & (_cell(ry, F.col("L")) == F.col("cy")))
-    return j.select("gk", "rid")
-
-
-def _edge_hits(pairs: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
-    """Candidate pairs with some edge of A meeting some edge of B (closed segments)."""
-    ae = a.select("gk", F.explode("edges").alias("e")).select(
-        "gk", F.col("e.x1").alias("ax1"), F.col("e.y1").alias("ay1"), F.col("e.x2").alias("ax2"), F.col("e.y2").alias("ay2"))
-    grid = b.select("rid", "ymin", "ymax", "hb", "nb")
-    pe = pairs.join(ae, "gk").join(grid, "rid")
-    pe = pe.where((F.greatest("ay1", "ay2") >= F.col("ymin")) & (F.least("ay1", "ay2") <= F.col("ymax")))
-    lo = _band(F.greatest(F.least("ay1", "ay2"), F.col("ymin")), F.col("ymin"), F.col("hb"), F.col("nb"))
-    hi = _band(F.least(F.greatest("ay1", "ay2"), F.col("ymax")), F.col("ymin"), F.col("hb"), F.col("nb"))
-    pe = pe.select("gk", "rid", "ax1", "ay1", "ax2", "ay2", F.explode(F.sequence(lo, hi)).alias("band"))
-    j = pe.join(_edge_bands(b), ["rid", "band"])
-    ax1, ay1, ax2, ay2 = F.col("ax1"), F.col("ay1"), F.col("ax2"), F.col("ay2")
-    bx1, by1, bx2, by2 = F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")
-    d1 = _orient(bx1, by1, bx2, by2, ax1, ay1)
-    d2 = _orient(bx1, by1, bx2, by2, ax2, ay2)
-    d3 = _orient(ax1, ay1, ax2, ay2, bx1, by1)
-    d4 = _orient(ax1, ay1, ax2, ay2, bx2, by2)
-    proper = (F.signum(d1) * F.signum(d2) < 0) & (F.signum(d3) * F.signum(d4) < 0)
-    touch = (((d1 == 0) & _between(ax1, bx1, bx2) & _between(ay1, by1, by2)) |
-             ((d2 == 0) & _between(ax2, bx1, bx2) & _between(ay2, by1, by2)) |
-             ((d3 == 0) & _between(bx1, ax1, ax2) & _between(by1, ay1, ay2)) |
-             ((d4 == 0) & _between(bx2, ax1, ax2) & _between(by2, ay1, ay2)))
-    return j.where(proper | touch).select("gk", "rid").distinct()
-
-
-def _reverse_hits(pairs: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
-    """Candidate pairs where a representative vertex of a part of B lies in areal A."""
-    reps = b.select("rid", F.explode(_rep_vertices(F.col("g"))).alias("v")).select(
-        "rid", F.col("v.x").alias("px"), F.col("v.y").alias("py"))
-    grid = a.where("areal").select("gk", "xmin", "ymin", "xmax", "ymax", "hb", "nb")
-    c = pairs.join(grid, "gk").join(reps, "rid").where(
-        (F.col("px") >= F.col("xmin")) & (F.col("px") <= F.col("xmax")) &
-        (F.col("py") >= F.col("ymin")) & (F.col("py") <= F.col("ymax")))
-    c = c.select("gk", "rid", "px", "py", _band(F.col("py"), F.col("ymin"), F.col("hb"), F.col("nb")).alias("band"))
-    ae = a.where("areal").select("gk", "ymin", "hb", "nb", F.explode("edges").alias("e")).select(
-        "gk", "ymin", "hb", "nb", "e.*")
-    lo = _band(F.least("y1", "y2"), F.col("ymin"), F.col("hb"), F.col("nb"))
-    hi = _band(F.greatest("y1", "y2"), F.col("ymin"), F.col("hb"), F.col("nb"))
-    aeb = ae.select("gk", F.explode(F.sequence(lo, hi)).alias("band"), "x1", "y1", "x2", "y2")
-    j = c.join(aeb, ["gk", "band"])
-    px, py = F.col("px"), F.col("py")
-    x1, y1, x2, y2 = F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")
-    cross = (x2 - x1) * (py - y1) - (px - x1) * (y2 - y1)
-    crossing = ((y1 > py) != (y2 > py)) & ((cross > 0) == (y2 > y1))
-    on_edge = (cross == 0) & _between(px, x1, x2) & _between(py, y1, y2)
-    agg = j.groupBy("gk", "rid", "px", "py").agg(F.sum(crossing.cast("int")).alias("n"), F.max(on_edge).alias("on"))
-    return agg.where(((F.col("n") % 2) == 1) | F.col("on")).select("gk", "rid").distinct()
-
-
-# ---------------------------------------------------------------------------------------
-# The operator
-
-
-@dataclass
-class PolygonIndex:
-    """A right side prepared for joins: polygons with box, level, bands and edges (staged),
-    the grid levels in use, and the right rows' other columns keyed by ``__mrid``
-    (staged).  Build it once with ``index_polygons`` and reuse it, e.g. for every chunk of
-    an incremental load."""
-
-    polys: DataFrame
-    levels: list
-    attrs: DataFrame
-    columns: list
-    level_step: int
-    edges_per_band: int
-
-
-def _with_rid(right: DataFrame, right_id: str | None) -> DataFrame:
-    if right_id is None:
-        return right.withColumn("__rid", F.sha2(F.to_json(F.struct(*[F.col(c) for c in right.columns])), 256))
-    return right.withColumn("__rid", F.col(right_id).cast("string"))
-
-
-def index_polygons(right: DataFrame, *, right_geom: str = "geometry", right_id: str | None = None,
-                   level_step: int = 2, edges_per_band: int = 32,
-                   stage_mode: str | None = "checkpoint") -> PolygonIndex:
-    """Prepare the polygon side once.  ``right_id`` names a unique key of ``right``;
-    without one a SHA-256 of the whole row is the key, identical rows share it (their
-    polygon is indexed once) and each of them still matches."""
-    r = _with_rid(right, right_id)
-    prepared = prepare_polygons(r, right_geom, "__rid", level_step=level_step, edges_per_band=edges_per_band)
-    if right_id is None:
-        prepared = prepared.dropDuplicates(["rid"])
-    polys, m = stage_with_metrics(prepared, stage_mode, {"levels": F.collect_set("lvl")})
-    cols = [c for c in right.columns if c != right_geom]
-    attrs = stage(r.select(F.col("__rid").alias("__mrid"), *cols), stage_mode)
-    return PolygonIndex(polys, sorted(m["levels"] or []), attrs, cols, level_step, edges_per_band)
-
-
-def prepare_left_shapes(left: DataFrame, *, left_geom: str = "geometry", level_step: int = 2,
-                        edges_per_band: int = 32, stage_mode: str | None = "checkpoint") -> DataFrame:
-    """The distinct non-point geometries of ``left`` with box, level, bands and edges,
-    staged once; pass it as ``left_shapes`` to reuse it across several matches."""
+    j = j.where((C.cell_of(rx, F.col("L")) == F.col("cx")) & (C.cell_of(ry, F.col("L")) == F.col("cy")))
+    return j.select("gid", "pid")
+
+
+def _shape_hits(pairs: DataFrame, a: DataFrame, index: PolygonIndex) -> DataFrame:
+    """The pairs with some edge of A meeting some edge of B, or a representative vertex of a
+    part of B in an areal part of A.  B comes as the edges of its cells and as one row of vertices."""
+    s = F.pow(F.lit(2.0), F.col("lvl"))
+    held = F.flatten(F.transform("parts", lambda p: F.transform(p["edges"], lambda e: F.struct(e["x1"].alias("x1"), e["y1"].alias("y1"), e["x2"].alias("x2"), e["y2"].alias("y2")))))
+    reps = index.polys.select("pid", "reps")
+    borders = index.cells.where(F.size("parts") > 0).select(
+        "pid", (F.col("cx") * s).alias("bx0"), (F.col("cy") * s).alias("by0"), ((F.col("cx") + 1) * s).alias("bx1"), ((F.col("cy") + 1) * s).alias("by1"),
+        held.alias("be"), F.lit(None).cast(reps.schema["reps"].dataType).alias("reps"))
+    whole = index.polys.select("pid", F.col("xmin").alias("bx0"), F.col("ymin").alias("by0"), F.col("xmax").alias("bx1"), F.col("ymax").alias("by1"),
+                               F.lit(None).cast(borders.schema["be"].dataType).alias("be"), "reps")
+    j = pairs.join(a.select("gid", "edges", "inner", "xmin", "ymin", "xmax", "ymax"), "gid").join(borders.unionByName(whole), "pid")
+    j = j.where((F.col("xmin") <= F.col("bx1")) & (F.col("bx0") <= F.col("xmax")) & (F.col("ymin") <= F.col("by1")) & (F.col("by0") <= F.col("ymax")))
+    near = F.filter("edges", lambda e: (F.least(e["x1"], e["x2"]) <= F.col("bx1")) & (F.greatest(e["x1"], e["x2"]) >= F.col("bx0")) &
+                    (F.least(e["y1"], e["y2"]) <= F.col("by1")) & (F.greatest(e["y1"], e["y2"]) >= F.col("by0")))
+    crossing = F.exists(near, lambda e: F.exists("be", lambda f: C.edges_meet(e, f)))
+    inside = F.exists("reps", lambda v: (v["x"] >= F.col("xmin")) & (v["x"] <= F.col("xmax")) & (v["y"] >= F.col("ymin")) & (v["y"] <= F.col("ymax")) &
+                      C.in_shape(v["x"], v["y"], F.col("inner")))
+    return j.where(F.when(F.col("be").isNotNull(), crossing).otherwise(inside)).select("gid", "pid")
+
+
+def prepare_left_shapes(left: DataFrame, *, left_geom: str = "geometry", stage_mode: str | None = "checkpoint") -> DataFrame:
+    """The distinct non-point geometries of ``left`` with a number, box, level and edges, staged
+    once; pass it as ``left_shapes`` to reuse it across several matches."""
     g = F.col(left_geom)
     shapes = left.where(g.isNotNull() & (g["kind"] != G.POINT)).select(g.alias("gk")).distinct()
-    return stage(_prepare_left_shapes(shapes, level_step, edges_per_band), stage_mode)
+    shapes = C.boxed(shapes.withColumn("gid", F.monotonically_increasing_id()), "gk", "gid")
+    areal = F.filter(F.transform("pe", lambda p, i: F.when(G.areal_part(F.col("g"), i), p)), lambda p: p.isNotNull())
+    return stage_table(shapes.select("gid", F.col("g").alias("gk"), "edges", areal.alias("inner"), "xmin", "ymin", "xmax", "ymax", "lvl"), "left-shapes")
 
 
 def intersecting_pairs(left: DataFrame, index: PolygonIndex, *, left_geom: str = "geometry",
@@ -312,31 +180,25 @@ def intersecting_pairs(left: DataFrame, index: PolygonIndex, *, left_geom: str =
                        stage_mode: str | None = "checkpoint"):
     """Matches between the distinct geometries of ``left`` and the indexed polygons.
 
-    Returns (point_pairs, shape_pairs): point_pairs(px, py, rid) for left points and
-    shape_pairs(gk, rid) for other left geometries (gk = the geometry itself), or None
-    when the left side has no other geometries (``has_shapes``; found out when not
-    given).
+    Returns (point_pairs, shape_pairs): point_pairs(px, py, pid) for left points and
+    shape_pairs(gk, pid) for other left geometries (gk = the geometry itself), or None
+    when the left side has no other geometries (``has_shapes``; found out when not given).
     """
-    polys, b_levels = index.polys, index.levels
     g = F.col(left_geom)
     pts = left.where(g.isNotNull() & (g["kind"] == G.POINT)).select(
         G.point_x(g).alias("px"), G.point_y(g).alias("py"))
     if has_shapes is None:
         has_shapes = not left.where(g.isNotNull() & (g["kind"] != G.POINT)).isEmpty()
+    pts = pts.where(F.col("px").isNotNull() & F.col("py").isNotNull())
+    hits = points_in_polygons(pts.distinct(), index)
     if not has_shapes:
-        probes = pts.where(F.col("px").isNotNull() & F.col("py").isNotNull()).distinct()
-        return points_in_polygons(probes, polys, b_levels), None
-    a = left_shapes if left_shapes is not None else prepare_left_shapes(
-        left, left_geom=left_geom, level_step=index.level_step, edges_per_band=index.edges_per_band,
-        stage_mode=stage_mode)
-    reps = a.select("gk", F.explode(_rep_vertices(F.col("gk"))).alias("v")).select(
-        "gk", F.col("v.x").alias("px"), F.col("v.y").alias("py"))
-    probes = pts.unionByName(reps.select("px", "py")).where(F.col("px").isNotNull() & F.col("py").isNotNull()).distinct()
-    hits = points_in_polygons(probes, polys, b_levels)
-    rep_pairs = reps.join(hits, ["px", "py"]).select("gk", "rid")
-    cand = stage(_candidate_pairs(a, polys, b_levels, index.level_step), stage_mode)   # read by two tests
-    shape_pairs = (rep_pairs.unionByName(_edge_hits(cand, a, polys))
-                   .unionByName(_reverse_hits(cand, a, polys)).distinct())
+        return hits, None
+    a = left_shapes if left_shapes is not None else prepare_left_shapes(left, left_geom=left_geom, stage_mode=stage_mode)
+    # a shape's vertices carry its number through the point path: no join back on coordinates
+    reps = a.select("gid", F.explode(C.rep_vertices(F.col("gk"))).alias("v")).select("gid", F.col("v.x").alias("px"), F.col("v.y").alias("py"))
+    inside = points_in_polygons(reps, index).select("gid", "pid")
+    cand = _candidate_pairs(a, index.polys, index.own_levels)
+    shape_pairs = inside.unionByName(_shape_hits(cand, a, index)).distinct().join(a.select("gid", "gk"), "gid").select("gk", "pid")
     return hits, shape_pairs
 
 
@@ -362,16 +224,17 @@ def _match_keys(left: DataFrame, left_geom: str) -> DataFrame:
 
 def _pairs(left: DataFrame, index: PolygonIndex, left_geom: str, has_shapes=None, left_shapes=None,
            stage_mode="checkpoint") -> DataFrame:
-    """(__qx, __qy, __qg, __mrid): one row per (distinct left geometry, polygon) hit."""
+    """(__qx, __qy, __qg, layer, __mrid): one row per (distinct left geometry, polygon) hit."""
     point_pairs, shape_pairs = intersecting_pairs(left, index, left_geom=left_geom, has_shapes=has_shapes,
                                                   left_shapes=left_shapes, stage_mode=stage_mode)
+    place = index.layer_and_row()
     pairs = point_pairs.select(F.col("px").alias("__qx"), F.col("py").alias("__qy"),
-                               F.lit(None).cast(G.GEOM).alias("__qg"), F.col("rid").alias("__mrid"))
+                               F.lit(None).cast(G.GEOM).alias("__qg"), *place)
     if shape_pairs is None:
         return pairs
     return pairs.unionByName(shape_pairs.select(
         F.lit(None).cast("double").alias("__qx"), F.lit(None).cast("double").alias("__qy"),
-        F.col("gk").alias("__qg"), F.col("rid").alias("__mrid")))
+        F.col("gk").alias("__qg"), *place))
 
 
 def _join_back(lk: DataFrame, pairs: DataFrame, how: str) -> DataFrame:
@@ -380,11 +243,10 @@ def _join_back(lk: DataFrame, pairs: DataFrame, how: str) -> DataFrame:
     return lk.join(pairs, cond, how).drop("__px", "__py", "__gk", "__qx", "__qy", "__qg")
 
 
-def _index_of(right, right_geom, right_id, level_step, edges_per_band, stage_mode) -> PolygonIndex:
+def _index_of(right, right_geom, max_edges, stage_mode) -> PolygonIndex:
     if isinstance(right, PolygonIndex):
         return right
-    return index_polygons(right, right_geom=right_geom, right_id=right_id, level_step=level_step,
-                          edges_per_band=edges_per_band, stage_mode=stage_mode)
+    return index_polygons(right, right_geom=right_geom, max_edges=max_edges, stage_mode=stage_mode)
 
 
 def _check(left, index: PolygonIndex, how, predicate):
@@ -398,8 +260,8 @@ def _check(left, index: PolygonIndex, how, predicate):
 
 
 def spatial_join(left: DataFrame, right, *, how: str = "left", predicate: str = "intersects",
-                 left_geom: str = "geometry", right_geom: str = "geometry", right_id: str | None = None,
-                 level_step: int = 2, edges_per_band: int = 32, stage_mode: str | None = "checkpoint") -> DataFrame:
+                 left_geom: str = "geometry", right_geom: str = "geometry", max_edges: int = 16,
+                 stage_mode: str | None = "checkpoint") -> DataFrame:
     """``left`` rows with the columns of every ``right`` row whose polygon meets their geometry.
 
     A left row meeting n right rows gives n rows; with ``how="left"`` a row meeting none
@@ -408,18 +270,15 @@ def spatial_join(left: DataFrame, right, *, how: str = "left", predicate: str =
     side feeds three branches (points, other shapes, the join back), so it is staged once
     (``stage_mode``, see ``geoprep.operators.stage``).
     """
-    index = _index_of(right, right_geom, right_id, level_step, edges_per_band, stage_mode)
+    index = _index_of(right, right_geom, max_edges, stage_mode)
     _check(left, index, how, predicate)
     left, shapes = _stage_left(left, left_geom, stage_mode)
-    pairs = _pairs(left, index, left_geom, shapes, stage_mode=stage_mode)
-    joined = _join_back(_match_keys(left, left_geom), pairs, how)
-    out = joined.join(index.attrs, "__mrid", "left" if how == "left" else "inner")
-    return out.select(*left.columns, *index.columns)
+    pairs = _pairs(left, index, left_geom, shapes, stage_mode=stage_mode).drop("layer").join(index.attrs, "__mrid").drop("__mrid")
+    return _join_back(_match_keys(left, left_geom), pairs, how).select(*left.columns, *index.columns)
 
 
 def first_match(left: DataFrame, right, order, *, how: str = "left", left_geom: str = "geometry",
-                right_geom: str = "geometry", right_id: str | None = None, level_step: int = 2,
-                edges_per_band: int = 32, stage_mode: str | None = "checkpoint") -> DataFrame:
+                right_geom: str = "geometry", max_edges: int = 16, stage_mode: str | None = "checkpoint") -> DataFrame:
     """``left`` rows with the columns of ONE matching ``right`` row per distinct geometry:
     the first by ``order`` (columns of ``right``, ascending, nulls first -- wrap a column
     in ``F.isnull`` first to put nulls last).  Left rows never multiply (A4 + J4).
@@ -427,7 +286,7 @@ def first_match(left: DataFrame, right, order, *, how: str = "left", left_geom:
     The pick is an aggregate (``min`` of a struct) per distinct geometry, so it combines
     map-side and does not sort a geometry's matches inside one task.
     """
-    index = _index_of(right, right_geom, right_id, level_step, edges_per_band, stage_mode)
+    index = _index_of(right, right_geom, max_edges, stage_mode)
     _check(left, index, how, "intersects")
     left, shapes = _stage_left(left, left_geom, stage_mode)
     best = _best(_pairs(left, index, left_geom, shapes, stage_mode=stage_mode).join(index.attrs, "__mrid"),
@@ -443,25 +302,36 @@ def _best(table: DataFrame, rcols: list, order) -> DataFrame:
 
 
 def match_table(left: DataFrame, right, *, left_geom: str = "geometry", right_geom: str = "geometry",
-                right_id: str | None = None, level_step: int = 2, edges_per_band: int = 32,
-                stage_mode: str | None = "checkpoint", has_shapes: bool | None = None,
+                max_edges: int = 16, stage_mode: str | None = "checkpoint", has_shapes: bool | None = None,
                 left_shapes: DataFrame | None = None) -> DataFrame:
     """All (distinct left geometry, right row) hits as (__qx, __qy, __qg, <right columns>);
     join it to ``with_match_keys(left)`` with ``join_matches``.  ``right`` is a DataFrame
     or a ``PolygonIndex``; ``has_shapes`` says whether the left side has non-point
     geometries (found out when not given)."""
-    index = _index_of(right, right_geom, right_id, level_step, edges_per_band, stage_mode)
+    index = _index_of(right, right_geom, max_edges, stage_mode)
     if has_shapes is None:
         left, has_shapes = _stage_left(left, left_geom, stage_mode)
     else:
         left = stage(left, stage_mode)
     return (_pairs(left, index, left_geom, has_shapes, left_shapes, stage_mode)
-            .join(index.attrs, "__mrid").drop("__mrid"))
+            .drop("layer").join(index.attrs, "__mrid").drop("__mrid"))
+
+
+def match_layers(left: DataFrame, index: PolygonIndex, *, left_geom: str = "geometry", has_shapes: bool | None = None,
+                 stage_mode: str | None = "checkpoint") -> list:
+    """``match_table`` for every layer of an index, from one pass over the geometries: the hits
+    of all layers are staged together (keys and a number) and split at the end."""
+    hits = stage_table(_pairs(left, index, left_geom, has_shapes, stage_mode=stage_mode), "layer-hits")
+    return [hits.where(F.col("layer") == k).drop("layer").join(attrs, "__mrid").drop("__mrid") for k, (attrs, _) in enumerate(index.layers)]
 
 
 def first_match_table(left: DataFrame, right, order, **kw) -> DataFrame:
     """One right row per distinct left geometry, the first by ``order`` (see ``first_match``)."""
-    t = match_table(left, right, **kw)
+    return first_of(match_table(left, right, **kw), order)
+
+
+def first_of(t: DataFrame, order) -> DataFrame:
+    """The first row by ``order`` per distinct left geometry of a match table."""
     rcols = [c for c in t.columns if c not in ("__qx", "__qy", "__qg")]
     return _best(t, rcols, order)
 
@@ -476,7 +346,3 @@ def join_matches(keyed_left: DataFrame, table: DataFrame, how: str = "left") ->
     cond = [keyed_left["__px"].eqNullSafe(table["__qx"]), keyed_left["__py"].eqNullSafe(table["__qy"]),
             keyed_left["__gk"].eqNullSafe(table["__qg"])]
     return keyed_left.join(table, cond, how).drop("__qx", "__qy", "__qg")
-
-
-def drop_match_keys(df: DataFrame) -> DataFrame:
-    return df.drop("__px", "__py", "__gk")

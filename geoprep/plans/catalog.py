@@ -47,7 +47,7 @@ FROM places p LEFT JOIN st_hits h ON h.wkt = p.wkt LEFT JOIN adm1_raw a ON a.sha
 def j2_spatial_state(spark, d):
     places = _places(spark, d).select("id", "geometry")
     states = FX.adm1(spark, d).select(F.col("shapeID").alias("state_id"), F.col("shapeName").alias("state"), "geometry")
-    return spatial_join(places, states, how="left", right_id="state_id").select("id", "state_id", "state")
+    return spatial_join(places, states, how="left").select("id", "state_id", "state")
 
 
 @register("j3_spatial_city", lambda: O.with_ctes(
@@ -57,7 +57,7 @@ FROM places p LEFT JOIN ct_hits h ON h.wkt = p.wkt LEFT JOIN adm2_raw a ON a.sha
 def j3_spatial_city(spark, d):
     geoms = _places(spark, d).select("geometry").distinct()
     cities = FX.adm2(spark, d).select(F.col("shapeID").alias("city_id"), F.col("shapeName").alias("city"), "geometry")
-    out = spatial_join(geoms, cities, how="left", right_id="city_id")
+    out = spatial_join(geoms, cities, how="left")
     return out.select(G.to_wkt("geometry").alias("wkt_geometry"), "city_id", "city")
 
 
@@ -72,7 +72,7 @@ FROM (SELECT DISTINCT wkt FROM places WHERE wkt IS NOT NULL) g LEFT JOIN (
 def a4_city_first_per_geometry(spark, d):
     geoms = _places(spark, d).where(F.col("geometry").isNotNull()).select("geometry").distinct()
     cities = FX.adm2(spark, d).select(F.col("shapeID").alias("city_id"), F.col("shapeName").alias("city"), "geometry")
-    out = first_match(geoms, cities, [F.isnull("city"), F.col("city"), F.col("city_id")], right_id="city_id")
+    out = first_match(geoms, cities, [F.isnull("city"), F.col("city"), F.col("city_id")])
     return out.select(G.to_wkt("geometry").alias("wkt_geometry"), "city_id", "city")
 
 
@@ -805,6 +805,23 @@ def x7_geojson_geometry(spark, d):
     return _places(spark, d).select("id", G.to_wkt("geometry").alias("wkt_geometry"))
 
 
+_COLLECTIONS = """, coll AS (
+  SELECT id, lon AS x, lat AS y FROM place_base WHERE id % 5 = 0)"""
+
+
+@register("x7b_geometry_collection", _sql(FIX, body=_COLLECTIONS + """
+SELECT id, 'GEOMETRYCOLLECTION (POINT (' || {x} || ' ' || {y} || '), LINESTRING (' || {x4} || ' ' || {y} || ', ' || {x45} || ' ' || {y25}
+       || '), POLYGON ((' || {x} || ' ' || {y4} || ', ' || {x5} || ' ' || {y4} || ', ' || {x5} || ' ' || {y45} || ', ' || {x} || ' ' || {y45}
+       || ', ' || {x} || ' ' || {y4} || ')))' AS wkt_geometry, 'Town ' || CAST(id % 9 AS VARCHAR) AS city, y AS lat, x AS lon FROM coll""".format(
+    **{k: O.fmt(v) for k, v in {"x": "x", "y": "y", "x4": "(x + 4)", "x45": "(x + 4.5)", "x5": "(x + 0.5)", "y25": "(y + 0.25)",
+                                "y4": "(y + 4)", "y45": "(y + 4.5)"}.items()})))
+def x7b_geometry_collection(spark, d):
+    """Bodies that hold a collection, half of them with a collection inside it: geometry, city
+    and coordinates are kept (X7)."""
+    out = P.parse_records(FX.collections(spark, d))
+    return out.select("id", G.to_wkt("geometry").alias("wkt_geometry"), "city", "lat", "lon")
+
+
 @register("x8_geometry_wkt", lambda: _sql(FIX, O.polygon_ctes("w1", "adm1_raw"), body="""
 SELECT a.shapeID, w.wkt AS wkt FROM adm1_raw a LEFT JOIN w1_wkt w ON w.rid = a.shapeID"""))
 def x8_geometry_wkt(spark, d):

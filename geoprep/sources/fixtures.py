@@ -156,6 +156,29 @@ def geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "customer").where(c % 10 != 9).select(c.alias("id"), body.alias("body"))
 
 
+def collections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gazetteer records (id, geojson_data) whose geometry is a collection: a point, a line and a
+    polygon, the last two inside a collection of their own for every second record."""
+    c = F.col("c_custkey").cast("long")
+    _, x, y = _place_columns(c)
+
+    def at(dx, dy):
+        return F.concat(F.lit("["), _str(x + dx), F.lit(","), _str(y + dy), F.lit("]"))
+
+    def path(*steps):
+        return F.concat_ws(",", *[at(dx, dy) for dx, dy in steps])
+
+    one = F.concat(F.lit('{"type":"Point","coordinates":'), at(0, 0), F.lit("}"))
+    line = F.concat(F.lit('{"type":"LineString","coordinates":['), path((4, 0), (4.5, 0.25)), F.lit("]}"))
+    square = F.concat(F.lit('{"type":"MultiPolygon","coordinates":[[['), path((0, 4), (0.5, 4), (0.5, 4.5), (0, 4.5), (0, 4)), F.lit("]]]}"))
+    rest = F.concat_ws(",", line, square)
+    nested = F.concat(F.lit('{"type":"GeometryCollection","geometries":['), rest, F.lit("]}"))
+    members = F.concat_ws(",", one, F.when(c % 2 == 0, nested).otherwise(rest))
+    body = F.concat(F.lit('{"geometry":{"type":"GeometryCollection","geometries":['), members, F.lit(']},"properties":{"mz:postal_locality":"Town '),
+                    _str(c % 9), F.lit('","geom:latitude":'), _str(y), F.lit(',"geom:longitude":'), _str(x), F.lit("}}"))
+    return read(spark, sf_dir, "customer").where(c % 5 == 0).select(c.alias("id"), body.alias("geojson_data"))
+
+
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quote-like rows from ``events``: stock_id, symbol, price (float), timestamp."""
     return read(spark, sf_dir, "events").select(

@@ -33,7 +33,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from geoprep.operators.postal import boundary_indexes, enrich_records
+from geoprep.operators.postal import boundary_index, enrich_records
 from geoprep.session import ensure_checkpoint_dir
 from geoprep.sources.tables import path_exists, write_table
 from geoprep.spec import POSTAL_CHUNK_ROWS, POSTAL_PARTITIONS
@@ -72,7 +72,7 @@ def chunked_load(spark: SparkSession, records_path: str, adm1: DataFrame, adm2:
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_chunk)
               .parquet(records_path))
     stats = {"chunks": 0, "rows": 0}
-    indexes = boundary_indexes(adm1, adm2, stage_mode=stage_mode)   # static side: prepared once
+    index = boundary_index(adm1, adm2, stage_mode=stage_mode)   # static side: prepared once
 
     def per_chunk(batch: DataFrame, batch_id: int) -> None:
         named = batch.withColumn("__file", F.element_at(F.split(F.input_file_name(), "/"), -1))
@@ -84,7 +84,7 @@ def chunked_load(spark: SparkSession, records_path: str, adm1: DataFrame, adm2:
             return
         if max_chunks is not None and stats["chunks"] >= max_chunks:
             raise _Enough("max_chunks reached")
-        out = enrich_records(named.where(F.col("__file").isin(*files)).drop("__file"), stage_mode=stage_mode, indexes=indexes)
+        out = enrich_records(named.where(F.col("__file").isin(*files)).drop("__file"), stage_mode=stage_mode, index=index)
         obs = Observation(f"chunk_{batch_id}_{uuid.uuid4().hex[:8]}")
         write_table(out, target, mode="append", partition_by=partition_by,
                     observe=(obs, [F.count(F.lit(1)).alias("rows")]))

@@ -42,9 +42,8 @@ def _on_edge(px, py, ring):
 
 
 def _brute(px, py, parts):
-    rings = [r for p in parts for r in p]
-    parity = sum(_point_in_ring(px, py, r) for r in rings) % 2 == 1
-    return parity or any(_on_edge(px, py, r) for r in rings)
+    inside = any(sum(_point_in_ring(px, py, r) for r in p) % 2 == 1 for p in parts)      # parts do not cancel
+    return inside or any(_on_edge(px, py, r) for p in parts for r in p)
 
 
 POLYS = [
@@ -66,11 +65,11 @@ def test_point_in_polygon_matches_brute_force(spark):
                                                              (-100, -75), (21.5, 3), (3, 5)])]
     left = spark.createDataFrame(pts, "id long, x double, y double").select("id", G.point("x", "y").alias("geometry"))
     right = _poly_df(spark, POLYS)
-    got = {(r["id"], r["pid"]) for r in spatial_join(left, right, right_id="pid").collect() if r["pid"]}
+    got = {(r["id"], r["pid"]) for r in spatial_join(left, right).collect() if r["pid"]}
     parts = {pid: p for pid, _, kind, p in POLYS}
     want = {(i, pid) for i, x, y in pts for pid, p in parts.items() if _brute(x, y, p)}
     assert got == want
-    unmatched = spatial_join(left, right, right_id="pid").where(F.col("pid").isNull()).count()
+    unmatched = spatial_join(left, right).where(F.col("pid").isNull()).count()
     assert unmatched == len({i for i, _, _ in pts} - {i for i, _ in want})
 
 
@@ -82,7 +81,7 @@ def test_grid_parameters_do_not_change_the_result(spark):
     results = []
     for step, epb in [(1, 32), (2, 2), (3, 1)]:
         results.append(sorted((r["id"], r["pid"]) for r in spatial_join(
-            left, right, right_id="pid", level_step=step, edges_per_band=epb).collect()))
+            left, right, max_edges=epb).collect()))
     assert results[0] == results[1] == results[2]
 
 
@@ -104,7 +103,7 @@ def test_polygon_left_geometries(spark):
     left = G.parse_gazetteer(spark.createDataFrame(rows, "sid string, gj string").withColumn(
         "body", F.concat(F.lit('{"geometry":'), "gj", F.lit(',"properties":{}}'))), "body").select("sid", "geometry")
     right = _poly_df(spark, POLYS)
-    got = {(r["sid"], r["pid"]) for r in spatial_join(left, right, right_id="pid").collect() if r["pid"]}
+    got = {(r["sid"], r["pid"]) for r in spatial_join(left, right).collect() if r["pid"]}
     want = {("p1", "A"), ("p2", "A"), ("p2", "B"), ("p2", "C"), ("p2", "D"), ("p3", "B"), ("p3", "D"),
             ("p2", "E"),                  # p2's right edge x=10 touches E's vertex (10, 0)
             ("p5", "A"), ("p5", "C"),     # the line x=3 crosses A and runs along C's edge x=3
@@ -119,7 +118,7 @@ def test_first_match_keeps_rows_and_picks_by_order(spark):
         .select("id", G.point("x", "y").alias("geometry"))
     right = _poly_df(spark, [("z", "zeta", "Polygon", POLYS[0][3]), ("a", "alpha", "Polygon", POLYS[0][3]),
                              ("n", None, "Polygon", POLYS[0][3])])
-    out = first_match(left, right, [F.isnull("name"), F.col("name"), F.col("pid")], right_id="pid")
+    out = first_match(left, right, [F.isnull("name"), F.col("name"), F.col("pid")])
     got = {r["id"]: r["name"] for r in out.collect()}
     assert got == {1: "alpha", 2: "alpha", 3: None}
 
@@ -128,7 +127,7 @@ def test_plan_has_no_cartesian_or_nested_loop(spark):
     left = spark.createDataFrame([(1, 1.0, 1.0)], "id long, x double, y double").select(
         "id", G.point("x", "y").alias("geometry"))
     right = _poly_df(spark, POLYS)
-    plan = spatial_join(left, right, right_id="pid")._jdf.queryExecution().executedPlan().toString()
+    plan = spatial_join(left, right)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
@@ -145,7 +144,7 @@ def test_fixture_state_join_agrees_with_jts(spark):
     places = P.parse_records(P.gazetteer_records(FX.spr(spark, SF01), FX.geojson(spark, SF01)))
     places = places.where(F.col("geometry").isNotNull()).orderBy("id").limit(300)
     states = FX.adm1(spark, SF01).select(F.col("shapeID").alias("sid"), "geometry")
-    got = {(r["id"], r["sid"]) for r in spatial_join(places.select("id", "geometry"), states, right_id="sid").collect()
+    got = {(r["id"], r["sid"]) for r in spatial_join(places.select("id", "geometry"), states).collect()
            if r["sid"]}
     pw = [(r["id"], r["wkt"]) for r in places.select("id", G.to_wkt("geometry").alias("wkt")).collect()]
     sw = [(r["sid"], r["wkt"]) for r in states.select("sid", G.to_wkt("geometry").alias("wkt")).collect()]
@@ -168,7 +167,7 @@ def test_hot_point_copies_keep_exact_multiplicity(spark):
     pts = hot + rest
     left = spark.createDataFrame(pts, "id long, x double, y double").select("id", G.point("x", "y").alias("geometry"))
     right = _poly_df(spark, POLYS)
-    got = spatial_join(left, right, right_id="pid").where(F.col("pid").isNotNull()).groupBy("pid").count()
+    got = spatial_join(left, right).where(F.col("pid").isNotNull()).groupBy("pid").count()
     got = {r["pid"]: r["count"] for r in got.collect()}
     parts = {pid: p for pid, _, kind, p in POLYS}
     want = {}
@@ -195,7 +194,7 @@ def test_random_polygons_agree_with_jts(spark):
     left = G.parse_gazetteer(spark.createDataFrame(shapes, "sid string, gj string").withColumn(
         "body", F.concat(F.lit('{"geometry":'), "gj", F.lit(',"properties":{}}'))), "body").select("sid", "geometry")
     right = _poly_df(spark, POLYS)
-    got = {(r["sid"], r["pid"]) for r in spatial_join(left, right, right_id="pid").collect() if r["pid"]}
+    got = {(r["sid"], r["pid"]) for r in spatial_join(left, right).collect() if r["pid"]}
     reader = spark.sparkContext._jvm.org.locationtech.jts.io.WKTReader()
     lw = [(r["sid"], reader.read(r["w"])) for r in left.select("sid", G.to_wkt("geometry").alias("w")).collect()]
     rw = [(r["pid"], reader.read(r["w"])) for r in right.select("pid", G.to_wkt("geometry").alias("w")).collect()]
@@ -219,8 +218,8 @@ def test_without_staging_the_result_is_the_same(spark):
     right = spark.createDataFrame([("A",), ("B",)], "pid string").select(
         "pid", F.when(F.col("pid") == "A", lit_geom("Polygon", rparts["A"])).otherwise(lit_geom("Polygon", rparts["B"]))
         .alias("geometry"))
-    a = sorted(map(tuple, spatial_join(left, right, right_id="pid").select("id", "pid").collect()), key=str)
-    b = sorted(map(tuple, spatial_join(left, right, right_id="pid", stage_mode=None).select("id", "pid").collect()),
+    a = sorted(map(tuple, spatial_join(left, right).select("id", "pid").collect()), key=str)
+    b = sorted(map(tuple, spatial_join(left, right, stage_mode=None).select("id", "pid").collect()),
                key=str)
     assert a == b == sorted([(1, "A"), (2, "A"), (2, "B"), (3, None)], key=str)
 
