@@ -76,10 +76,11 @@ def boundary_index(adm1: DataFrame, adm2: DataFrame, *, max_edges: int = 16, sta
 
 def enrich_records(records: DataFrame, adm1: DataFrame | None = None, adm2: DataFrame | None = None, *,
                    crs: str = G.WGS84, boundary_crs: str = G.WGS84, stage_mode: str | None = "checkpoint",
-                   max_edges: int = 16, index: S.PolygonIndex | None = None) -> DataFrame:
+                   max_edges: int = 16, index: S.PolygonIndex | None = None, keep: tuple = ()) -> DataFrame:
     """``enrich_postal`` from already joined records (id, country, postal_code,
     geojson_data) -- the body of one chunk of the incremental load.  ``index`` (from
-    ``boundary_index``) reuses prepared boundaries instead of preparing them again."""
+    ``boundary_index``) reuses prepared boundaries instead of preparing them again; ``keep``
+    names columns of the records to return as well."""
     parsed = parse_records(records)
     if crs.upper() != boundary_crs.upper():
         parsed = parsed.withColumn("geometry", G.to_crs(F.col("geometry"), crs, boundary_crs))
@@ -96,7 +97,7 @@ def enrich_records(records: DataFrame, adm1: DataFrame | None = None, adm2: Data
         "city": F.coalesce(F.col("city"), F.col("__gadm_city")),
         "wkt_geometry": G.to_wkt(F.col("geometry")),
     })
-    out = out.select(*POSTAL_COLUMNS)
+    out = out.select(*POSTAL_COLUMNS, *keep)
     return out.withColumns({c: underscore(c) for c in ("country", "state", "city")})
 
 

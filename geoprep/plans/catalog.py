@@ -1012,6 +1012,45 @@ def w5_serve_postal(spark, d):
     return table.select(*POSTAL_COLUMNS)
 
 
+@register("w5b_serve_twice", POSTAL_CTES + """
+, served AS (SELECT *, 1 AS b FROM postal WHERE CAST(postal_code AS INTEGER) % 3 > 0
+             UNION ALL SELECT *, 2 AS b FROM postal WHERE CAST(postal_code AS INTEGER) % 2 = 0)
+SELECT country, state, city, postal_code, lat, lon, wkt_geometry FROM (
+  SELECT *, row_number() OVER (PARTITION BY country, state, city, postal_code ORDER BY b DESC, wkt_geometry DESC, lat DESC, lon DESC) AS rn
+  FROM served WHERE country IS NOT NULL AND state IS NOT NULL AND city IS NOT NULL AND postal_code IS NOT NULL) WHERE rn = 1""")
+def w5b_serve_twice(spark, d):
+    """Two overlapping batches served one after the other into the stored table, the second one
+    twice: it ends as after one pass of each."""
+    from geoprep.plans.jobs import store_postal
+    from geoprep.sources.tables import read_stored
+    from geoprep.spec import POSTAL_COLUMNS
+    postal, out = _postal(spark, d), _scratch(spark, "served")
+    code = F.col("postal_code").cast("int")
+    for name, part in (("a", code % 3 > 0), ("b", code % 2 == 0), ("b", None)):
+        src = f"{out}-{name}"
+        if part is not None:
+            postal.where(part).write.mode("overwrite").parquet(src)
+        store_postal(spark, src, out)
+    return read_stored(spark, f"{out}/wof_data", postal, ["country"]).select(*POSTAL_COLUMNS)
+
+
+@register("w1_store_state_table", _sql(FIX, body="""
+SELECT country_code, state, shapeID, gadm_level FROM (
+  SELECT shapeGroup AS country_code, replace(shapeName, ' ', '_') AS state, a.shapeID, shapeType AS gadm_level,
+         row_number() OVER (PARTITION BY shapeGroup, replace(shapeName, ' ', '_') ORDER BY a.shapeID DESC) AS rn
+  FROM adm1_raw a WHERE shapeName IS NOT NULL AND shapeGroup IS NOT NULL) WHERE rn = 1"""))
+def w1_store_state_table(spark, d):
+    """The whole of the boundary job for the states (W1): prepared, written, and its rows
+    upserted into the keyed state table, twice."""
+    from geoprep.plans.jobs import run_level
+    from geoprep.sources.tables import read_stored
+    out, store = _scratch(spark, "boundaries"), _scratch(spark, "stored")
+    for _ in range(2):
+        rep = run_level(spark, FX.adm1(spark, d), "ADM1", out, store_root=store)
+    like = spark.createDataFrame([], "country_code string")
+    return read_stored(spark, rep["stored"], like, ["country_code"]).select("country_code", "state", "shapeID", "gadm_level")
+
+
 @register("w6_parallel_jobs", POSTAL_CTES + """
 SELECT 'postal' AS product, CAST(count(*) AS BIGINT) AS rows FROM postal
 UNION ALL SELECT 'boundaries', CAST(count(*) AS BIGINT) FROM adm1_raw WHERE shapeName IS NOT NULL""")

@@ -7,16 +7,18 @@ an observation on the write, so it costs no second pass over the data.
 
 from __future__ import annotations
 
+import hashlib
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from geoprep.operators.boundary import prepare_level
 from geoprep.operators.keyed import split_rejects, upsert
 from geoprep.operators.profile import load_report, profile_metrics
-from geoprep.sources.tables import path_exists, read_back, read_table, replace_table, write_table
+from geoprep.sources.tables import merge_table, path_exists, read_back, read_table, write_table
 from geoprep.spec import LEVELS, POSTAL_COLUMNS, POSTAL_KEY
 
 
@@ -51,8 +53,9 @@ def _has_feature_files(path: str) -> bool:
 
 
 def run_level(spark: SparkSession, raw: DataFrame | None, level: str, out_root: str, *, fmt: str = "parquet",
-              **prepare_kw) -> dict:
-    """Prepare one level, write it partitioned per its spec, report rows/MB/seconds.
+              store_root: str | None = None, **prepare_kw) -> dict:
+    """Prepare one level, write it partitioned per its spec, report rows/MB/seconds, and
+    with ``store_root`` upsert the written rows into the level's keyed table there.
     A missing source (``raw is None``) is skipped with a report line (S2)."""
     spec = LEVELS[level]
     path = f"{out_root.rstrip('/')}/{spec.table}"
@@ -67,6 +70,8 @@ def run_level(spark: SparkSession, raw: DataFrame | None, level: str, out_root:
     m = obs.get
     rep = load_report(level, m["rows"], m["bytes"], time.perf_counter() - t)
     rep.update({"table": spec.table, "path": path, "status": "written"})
+    if store_root is not None:
+        rep.update(store_level(spark, read_back(spark, path, df, fmt), level, store_root, fmt=fmt))
     return rep
 
 
@@ -85,13 +90,29 @@ def serve_postal(spark: SparkSession, postal_path: str, target: DataFrame | None
 
 def store_postal(spark: SparkSession, postal_path: str, out_root: str, *, fmt: str = "parquet") -> None:
     """W5 on stored tables: the postal rows are upserted into ``wof_data`` as it stands (a
-    second batch adds to the first), the rejects are appended to ``wof_data_rejects``."""
+    second batch adds to the first); only the countries that occur in them are rewritten.  The
+    rejects go to ``wof_data_rejects`` under the name of their batch, once however often it is run."""
     path = f"{out_root.rstrip('/')}/wof_data"
-    like = read_table(spark, postal_path).select(*POSTAL_COLUMNS)
-    target = read_back(spark, path, like, fmt) if path_exists(spark, path) else None
-    table, rejected = serve_postal(spark, postal_path, target)
-    replace_table(spark, table, path, partition_by=("country",), fmt=fmt)
-    write_table(rejected, f"{path}_rejects", mode="append", fmt=fmt)
+    rows = read_table(spark, postal_path).select(*POSTAL_COLUMNS)
+    rejected = merge_table(spark, rows, path, list(POSTAL_KEY), ["wkt_geometry", "lat", "lon"], partition_by=("country",), fmt=fmt)
+    _keep_rejects(rejected, rows, f"{path}_rejects", fmt)
+
+
+def _keep_rejects(rejected: DataFrame, batch: DataFrame, path: str, fmt: str) -> None:
+    """Rejected rows under ``batch=<name>``, where the name comes from the batch's files."""
+    name = hashlib.sha256("\n".join(sorted(batch.inputFiles())).encode()).hexdigest()[:16]
+    write_table(rejected.withColumn("batch", F.lit(name)), path, replace_partitions=True, partition_by=("batch",), fmt=fmt, skip_empty=True)
+
+
+def store_level(spark: SparkSession, prepared: DataFrame, level: str, store_root: str, *, fmt: str = "parquet") -> dict:
+    """The store step of W1: the prepared rows of a level upserted into its keyed table, the
+    row last by shapeID winning; rows with a null key part go to the rejects."""
+    spec = LEVELS[level]
+    path = f"{store_root.rstrip('/')}/{spec.table}"
+    columns = [c for c in prepared.columns if c != "geometry"]
+    rejected = merge_table(spark, prepared.select(*columns), path, list(spec.key), ["shapeID"], partition_by=("country_code",), fmt=fmt)
+    _keep_rejects(rejected, prepared, f"{path}_rejects", fmt)
+    return {"level": level, "stored": path, "rejected": rejected.count()}
 
 
 def run_parallel(jobs: dict, max_workers: int | None = None) -> dict:
@@ -107,4 +128,4 @@ def run_parallel(jobs: dict, max_workers: int | None = None) -> dict:
         return {name: f.result() for name, f in futures.items()}
 
 
-__all__ = ["load_boundaries", "run_level", "run_all_levels", "serve_postal", "store_postal", "run_parallel", "split_rejects"]
+__all__ = ["load_boundaries", "run_level", "run_all_levels", "serve_postal", "store_postal", "store_level", "run_parallel", "split_rejects"]

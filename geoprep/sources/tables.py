@@ -7,10 +7,16 @@ resolved through the Hadoop file system of the session.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geoprep.functions.text import empty_to_null
+from geoprep.operators.keyed import split_rejects, upsert
+from geoprep.operators.stage import stage, stage_table
 
 WRITE_MODES = ("overwrite", "append")
 
@@ -39,16 +45,21 @@ def read_table(spark: SparkSession, path: str, *, fmt: str = "parquet", columns=
 
 
 def load_or_skip(spark: SparkSession, path: str, **kw):
-    """(DataFrame or None, report row): a missing or unreadable source is skipped with a
-    reason instead of failing the job (S2)."""
+    """(DataFrame or None, report row): a source that is missing or is no table of its format
+    is skipped with a reason instead of failing the job (S2).  Other faults (permissions, the
+    network, a bad option) are raised."""
+    if not path_exists(spark, path):
+        return None, {"path": path, "status": "skipped", "reason": "not found"}
     try:
-        if not path_exists(spark, path):
-            return None, {"path": path, "status": "skipped", "reason": "not found"}
         df = read_table(spark, path, **kw)
         df.schema  # resolve now: unreadable files fail here, not in a later stage
-        return df, {"path": path, "status": "loaded", "reason": None}
-    except Exception as e:  # noqa: BLE001 - the report carries the error text
-        return None, {"path": path, "status": "skipped", "reason": f"unreadable: {type(e).__name__}"}
+    except AnalysisException as e:
+        return None, {"path": path, "status": "skipped", "reason": f"unreadable: {e.getCondition()}"}
+    except Exception as e:
+        if "CANNOT_READ_FILE_FOOTER" not in str(e) and "is not a Parquet file" not in str(e):
+            raise
+        return None, {"path": path, "status": "skipped", "reason": "unreadable: not a table of its format"}
+    return df, {"path": path, "status": "loaded", "reason": None}
 
 
 def prepare_for_write(df: DataFrame, partition_by=(), *, partitions: int | None = None,
@@ -72,21 +83,27 @@ def prepare_for_write(df: DataFrame, partition_by=(), *, partitions: int | None
 
 def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_by=(), fmt: str = "parquet",
                 skip_empty: bool = False, spread_by=(), partitions: int | None = None,
-                options: dict | None = None, observe: tuple | None = None) -> bool:
+                options: dict | None = None, observe: tuple | None = None, replace_partitions: bool = False) -> bool:
     """Write a (partitioned) table (K1, K2, K3).  ``mode`` must be 'overwrite' or 'append'
     (anything else raises, as the studied writer does); overwrite replaces the table
     (static partition overwrite, Spark's default).  Errors are raised, not swallowed
     (Q21).  With ``skip_empty`` an empty frame writes nothing (K14).  Returns whether
-    anything was written.  ``observe`` = (Observation, [metric columns]) is attached after
+    anything was written.  ``replace_partitions`` overwrites only the partitions that ``df`` has
+    rows for (dynamic partition overwrite): the same write repeated changes nothing, and the
+    files of other partitions stay as they are.  ``observe`` = (Observation, [metric columns]) is attached after
     the range partitioning, so the partitioner's sampling pass is not counted."""
     if mode not in WRITE_MODES:
         raise ValueError(f"unknown write mode {mode!r}; known: {', '.join(sorted(WRITE_MODES))}")
+    if replace_partitions and not partition_by:
+        raise ValueError("replace_partitions needs partition columns")
     if skip_empty and df.isEmpty():
         return False
     out = prepare_for_write(df, partition_by, spread_by=spread_by, partitions=partitions)
     if observe is not None:
         out = out.observe(observe[0], *observe[1])
-    w = out.write.format(fmt).mode(mode).options(**(options or {}))
+    w = out.write.format(fmt).mode("overwrite" if replace_partitions else mode).options(**(options or {}))
+    if replace_partitions:
+        w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
@@ -104,18 +121,42 @@ def read_back(spark: SparkSession, path: str, like: DataFrame, fmt: str = "parqu
     return spark.read.format(fmt).schema(like.schema).load(path).select(*like.columns)
 
 
-def replace_table(spark: SparkSession, df: DataFrame, path: str, **kw) -> None:
-    """Write ``df``, which may read the table at ``path``, beside it, then swap the folders:
-    readers see the old table or the new one, and a failed write leaves the old one."""
-    import uuid
-
-    fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:8]}"
-    write_table(df, fresh, **kw)
-    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    new, now, old = (fs_path(p) for p in (fresh, path, fresh.replace(".new-", ".old-")))
-    fs = now.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(now) and not fs.rename(now, old):
-        raise OSError(f"cannot move {path} aside")
-    if not fs.rename(new, now):
-        raise OSError(f"cannot move {fresh} into place")
-    fs.delete(old, True)
+def read_stored(spark: SparkSession, path: str, partition_types: DataFrame, partition_by, fmt: str = "parquet") -> DataFrame:
+    """A stored table with all columns it has; partition columns get their type from
+    ``partition_types`` instead of being guessed from directory names."""
+    found = spark.read.format(fmt).load(path).schema
+    types = {f.name: f.dataType for f in partition_types.schema.fields}
+    schema = T.StructType([T.StructField(f.name, types[f.name] if f.name in partition_by else f.dataType) for f in found.fields])
+    return spark.read.format(fmt).schema(schema).load(path)
+
+
+def merge_table(spark: SparkSession, batch: DataFrame, path: str, keys, order_by, *, partition_by, fmt: str = "parquet") -> DataFrame:
+    """Upsert ``batch`` into the stored table at ``path``, touching only the partitions it has
+    rows for (K5, K6, W5); returns the rejects (null key parts).
+
+    The partition columns must belong to the key, so a row cannot leave its partition.  The
+    batch's partition values (at most the table's directories) prune the scan of the target;
+    the merged partitions are staged and then replace the old ones.  A crash before that leaves
+    the table as it was, one during it leaves some partitions old and some new, and the same
+    batch again completes it: an upsert repeated changes nothing.  A table that is not there
+    yet, and one whose folder holds no files, is created."""
+    keys, partition_by = list(keys), list(partition_by)
+    if not set(partition_by) <= set(keys):
+        raise ValueError("partition columns must be part of the key")
+    batch = stage(batch, "checkpoint")                        # the key check, the values and the merge read it
+    accepted, rejected = split_rejects(batch, keys)
+    target = accepted.limit(0)
+    if path_exists(spark, path) and _holds_files(spark, path):
+        touched = [[r[c] for r in accepted.select(c).distinct().collect()] for c in partition_by]
+        stored = read_stored(spark, path, batch, partition_by, fmt)
+        # values per column prune directories; the semi join keeps the combinations that occur
+        pruned = reduce(lambda a, b: a & b, [F.col(c).isin(v) for c, v in zip(partition_by, touched)])
+        target = stored.where(pruned).join(accepted.select(*partition_by).distinct(), partition_by, "left_semi").select(*stored.columns)
+    table, _ = upsert(target, accepted, keys, order_by)
+    write_table(stage_table(table, "merged"), path, replace_partitions=True, partition_by=partition_by, fmt=fmt)
+    return rejected
+
+
+def _holds_files(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(place, True).hasNext()

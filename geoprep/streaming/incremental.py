@@ -11,15 +11,15 @@ first empty chunk (or after the first in test mode).  Here:
    when the files are used up (T3), and its checkpoint (in the shared checkpoint folder)
    lets a failed run resume at the first unfinished chunk, which the studied loader
    cannot;
-3. ``foreachBatch`` enriches the chunk with the same code as the one-shot job and
-   appends it (K3).  ``max_chunks`` limits the run to the first chunks (T2).
-4. ``foreachBatch`` is at-least-once: after a chunk's append commits, a marker with the
-   names of its files is written under ``_chunks/<load id>`` in the table folder, and files
-   that stand in a marker are not appended again.  The load id is derived from the staged
-   file names, which are new with every staging: another load into the same table has its
-   own markers and checkpoint, and the same load resumes.  The remaining window is a
-   failure between the append's job commit and the marker write.  Readers ignore
-   ``_``-prefixed folders.
+3. ``foreachBatch`` enriches the chunk with the same code as the one-shot job and writes it
+   (K3).  ``max_chunks`` limits the run to the first chunks (T2).
+4. ``foreachBatch`` is at-least-once, so the write is one that may be repeated: the table's
+   first partition column, ``load_chunk``, names the staged file a row came from, and a chunk
+   replaces its own partitions (dynamic partition overwrite).  A run killed anywhere, after the
+   write too, leaves each chunk once when it is run again.  File names hold the id of the
+   staging job, so another load adds to the table.  A marker under ``_chunks/<load id>``, written
+   after the chunk, only spares a complete chunk the work; nothing rests on it.  Readers
+   ignore ``_``-prefixed folders.
 5. ``max_chunks`` stops the run by failing the next micro-batch before it is committed, so
    a later run goes on with that chunk.
 """
@@ -60,10 +60,13 @@ def load_identity(spark: SparkSession, records_path: str) -> str:
     return hashlib.sha256("\n".join(names).encode()).hexdigest()[:16]
 
 
+CHUNK_COLUMN = "load_chunk"
+
+
 def chunked_load(spark: SparkSession, records_path: str, adm1: DataFrame, adm2: DataFrame, target: str, *,
                  files_per_chunk: int = 1, max_chunks: int | None = None, checkpoint: str | None = None,
                  load_id: str | None = None, partition_by=POSTAL_PARTITIONS, stage_mode: str | None = "checkpoint") -> dict:
-    """Run the incremental load; returns {'chunks': n, 'rows': appended rows}."""
+    """Run the incremental load; returns {'chunks': n, 'rows': written rows}."""
     load_id = load_id or load_identity(spark, records_path)
     place = hashlib.sha256(f"{target.rstrip('/')}|{load_id}".encode()).hexdigest()[:16]
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/postal-load-{place}"
@@ -77,16 +80,17 @@ def chunked_load(spark: SparkSession, records_path: str, adm1: DataFrame, adm2:
     def per_chunk(batch: DataFrame, batch_id: int) -> None:
         named = batch.withColumn("__file", F.element_at(F.split(F.input_file_name(), "/"), -1))
         files = {r[0] for r in named.select("__file").distinct().collect()}     # files_per_chunk names
-        if path_exists(spark, markers):       # replayed files that were already appended
+        if path_exists(spark, markers):       # replayed files that are complete
             done = spark.read.schema("file string").json(f"{markers}/*").where(F.col("file").isin(*files))
             files -= {r[0] for r in done.distinct().collect()}
         if not files:
             return
         if max_chunks is not None and stats["chunks"] >= max_chunks:
             raise _Enough("max_chunks reached")
-        out = enrich_records(named.where(F.col("__file").isin(*files)).drop("__file"), stage_mode=stage_mode, index=index)
+        chunk = named.where(F.col("__file").isin(*files)).withColumnRenamed("__file", CHUNK_COLUMN)
+        out = enrich_records(chunk, stage_mode=stage_mode, index=index, keep=(CHUNK_COLUMN,))
         obs = Observation(f"chunk_{batch_id}_{uuid.uuid4().hex[:8]}")
-        write_table(out, target, mode="append", partition_by=partition_by,
+        write_table(out, target, replace_partitions=True, partition_by=(CHUNK_COLUMN, *partition_by),
                     observe=(obs, [F.count(F.lit(1)).alias("rows")]))
         spark.createDataFrame([(f,) for f in sorted(files)], "file string").coalesce(1) \
             .write.mode("overwrite").json(f"{markers}/{uuid.uuid4().hex}")

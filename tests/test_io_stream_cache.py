@@ -130,3 +130,79 @@ def test_combined_needs_every_level(spark):
     from geoprep.operators.boundary import combine_levels
     with pytest.raises(ValueError, match="ADM0"):
         combine_levels({"ADM1": FX.adm1(spark, SF001), "ADM2": FX.adm2(spark, SF001), "ADM0": None})
+
+
+def test_a_load_killed_after_its_write_holds_each_chunk_once(spark, tmp_dir, monkeypatch):
+    from geoprep.operators.postal import gazetteer_records
+    from geoprep.streaming import incremental as I
+    adm1, adm2 = FX.adm1(spark, SF001), FX.adm2(spark, SF001)
+    recs = I.stage_records(gazetteer_records(FX.spr(spark, SF001), FX.geojson(spark, SF001)), f"{tmp_dir}/r", chunk_rows=60)
+    write = I.write_table
+    calls = []
+
+    def dies_after_the_second_write(*a, **kw):
+        write(*a, **kw)
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("killed")                     # after the commit, before the marker
+
+    monkeypatch.setattr(I, "write_table", dies_after_the_second_write)
+    with pytest.raises(Exception, match="killed"):
+        I.chunked_load(spark, recs, adm1, adm2, f"{tmp_dir}/t")
+    monkeypatch.setattr(I, "write_table", write)
+    I.chunked_load(spark, recs, adm1, adm2, f"{tmp_dir}/t")
+    whole = I.chunked_load(spark, I.stage_records(spark.read.parquet(recs), f"{tmp_dir}/r2", chunk_rows=100_000), adm1, adm2, f"{tmp_dir}/u")
+    a, b = (spark.read.parquet(f"{tmp_dir}/{x}").drop(I.CHUNK_COLUMN) for x in "tu")
+    assert a.count() == b.count() == whole["rows"] and a.exceptAll(b).count() == 0
+    chunks = spark.read.parquet(f"{tmp_dir}/t").select(I.CHUNK_COLUMN).distinct().count()
+    assert chunks == len(spark.read.parquet(recs).inputFiles())
+
+
+def _files(path):
+    import glob
+    return {f: open(f, "rb").read() for f in glob.glob(f"{path}/**/*.parquet", recursive=True)}
+
+
+def test_merge_rewrites_only_the_partitions_of_the_batch(spark, tmp_dir):
+    from geoprep.sources.tables import merge_table, read_stored
+    schema = "p string, k long, v long, note string"
+    path = f"{tmp_dir}/t"
+    first = spark.createDataFrame([("a", 1, 1, "x"), ("b", 1, 1, "x"), ("007", 1, 1, "x"), (None, 9, 9, "x")], schema)
+    rejected = merge_table(spark, first, path, ["p", "k"], ["v"], partition_by=["p"])
+    assert [r["reject_reason"] for r in rejected.collect()] == ["null key column p"]
+    before = _files(path)
+    batch = spark.createDataFrame([("b", 1, 5), ("b", 2, 1), ("b", 2, 7), ("c", 1, 1)], "p string, k long, v long")     # lacks a column
+    for _ in range(2):
+        merge_table(spark, batch, path, ["p", "k"], ["v"], partition_by=["p"])
+    after = _files(path)
+    kept = {f for f in before if "p=a" in f or "p=007" in f}
+    assert len(kept) == 2 and all(after.get(f) == before[f] for f in kept)             # untouched files keep their names
+    got = sorted(tuple(r) for r in read_stored(spark, path, first, ["p"]).select("p", "k", "v", "note").collect())
+    assert got == [("007", 1, 1, "x"), ("a", 1, 1, "x"), ("b", 1, 5, None), ("b", 2, 7, None), ("c", 1, 1, None)]
+    plan = read_stored(spark, path, first, ["p"]).where(F.col("p").isin(["b", "c"]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    with pytest.raises(ValueError, match="part of the key"):
+        merge_table(spark, first, path, ["k"], ["v"], partition_by=["p"])
+    merge_table(spark, first.limit(0), path, ["p", "k"], ["v"], partition_by=["p"])    # an empty batch changes nothing
+    assert read_stored(spark, path, first, ["p"]).count() == 5
+
+
+def test_rejects_of_a_batch_are_kept_once(spark, tmp_dir):
+    from geoprep.plans.jobs import store_postal
+    from geoprep.spec import POSTAL_SCHEMA
+    spark.createDataFrame([("USA", None, "C", "1", 1.0, 0.0, "POINT (0 0)"), ("USA", "S", "C", "2", 1.0, 0.0, "POINT (0 0)")],
+                          POSTAL_SCHEMA).write.parquet(f"{tmp_dir}/p")
+    for _ in range(3):
+        store_postal(spark, f"{tmp_dir}/p", tmp_dir)
+    assert spark.read.parquet(f"{tmp_dir}/wof_data").count() == 1 and spark.read.parquet(f"{tmp_dir}/wof_data_rejects").count() == 1
+
+
+def test_unreadable_source_is_skipped_and_other_faults_raise(spark, tmp_dir):
+    import os
+    os.makedirs(f"{tmp_dir}/empty")
+    assert load_or_skip(spark, f"{tmp_dir}/empty")[1]["status"] == "skipped"
+    with open(f"{tmp_dir}/no.parquet", "w") as f:
+        f.write("this is no table")
+    assert load_or_skip(spark, f"{tmp_dir}/no.parquet")[1]["status"] == "skipped"
+    with pytest.raises(Exception):
+        load_or_skip(spark, "nofs://host/table")
