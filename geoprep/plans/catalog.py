@@ -173,6 +173,20 @@ def s1_gpkg_boundary_scan(spark, d):
     return B.prepare_level(raw, "ADM1")
 
 
+@register("s1b_gpkg_box_scan", _sql(FIX, body="""
+, ext AS (SELECT kind, min(x) AS w, max(x) AS e, min(y) AS s, max(y) AS n FROM shape_tpl GROUP BY kind)
+SELECT a.shapeID, a.shapeName FROM adm2_raw a JOIN ext USING (kind)
+WHERE x0 + w <= 3.5 AND x0 + e >= -2 AND y0 + s <= 1.25 AND y0 + n >= -6 AND shapeName IS NOT NULL"""))
+def s1b_gpkg_box_scan(spark, d):
+    """The city polygons of GeoPackage files whose boxes meet a box: the files' R-tree tables say
+    which rows are read."""
+    from geoprep.sources.sqlite import read_features, write_feature_files
+    folder = _scratch(spark, "adm2-gpkg")
+    write_feature_files(FX.adm2(spark, d), folder, "adm2").collect()
+    return read_features(spark, folder, table="adm2", columns=["shapeID", "shapeName"], rows_per_partition=500,
+                         box=(-2, -6, 3.5, 1.25)).where("shapeName IS NOT NULL")
+
+
 @register("s3_sqlite_table_scan", _sql(FIX, body="""
 SELECT s.id, s.country, s.name AS postal_code, g.body AS geojson_data
 FROM spr s JOIN geojson g ON s.id = g.id WHERE s.country IN ('USA', 'US')"""))
