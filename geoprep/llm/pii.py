@@ -23,7 +23,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import small_side, staged
@@ -38,27 +38,36 @@ PATTERNS = {
 }
 CANDIDATE = r"(?<!\S)[^\s0-9]*+[0-9][^\s0-9]*+[0-9][^\s0-9]*+[0-9]\S*+"
 ATOM = r"(?:\([0-9]++\)|[0-9]++)"
-RUN = rf"(?<![^\s\[{{\"'<*#:=(])(?=\S*+\x20[+(]?[0-9])\+?+{ATOM}(?:[\x20.-]{{0,2}}{ATOM})*+\S*+"
+RUN = rf"(?<![^\s\[{{\"'<*#:=(])\+?+{ATOM}(?:(?:[.-]?\x20[.-]?|[.-]{{0,2}}){ATOM})*+\S*+"
 AT, DOT = (rf"(?:\x20(?i:{w})\x20|\x20?[(\[](?i:{w})[)\]]\x20?)" for w in ("at", "dot"))
 MAIL = (r"(?<!\S)[^\s@]++(?:(?<![A-Za-z0-9._%+-])@|@(?![A-Za-z0-9-]++\.[A-Za-z0-9-]))\S++"
         rf"|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++{AT}[A-Za-z0-9-]++(?:(?:{DOT}|\.)[A-Za-z0-9-]++)++(?<=[A-Za-z])")
 EDGES = "([{\"'<*#$%&!|.,:;?)]}>`~=_-/\\"
-PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+PART = r"(?=[0-9])0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]|[1-9])?"
 BLOCK = 256
 CONTEXT_CHARS = 64
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once: a name inside ``use``, not a copy in each place."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def running_sums(xs: Column) -> Column:
     """Prefix sums of an int array, in blocks so that the work stays near linear."""
     def sums(ys: Column) -> Column:
         return F.aggregate(ys, F.array().cast("array<int>"), lambda a, y: F.concat(
             a, F.array(F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0)) + y)))
 
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / BLOCK).cast("int")),
-                         lambda b: F.slice(xs, b * BLOCK + 1, F.lit(BLOCK)))
-    totals = sums(F.transform(blocks, lambda ys: F.aggregate(ys, F.lit(0), lambda a, y: a + y)))
-    return F.flatten(F.transform(blocks, lambda ys, b: F.transform(
-        sums(ys), lambda s: s + F.when(b > 0, F.element_at(totals, F.greatest(b, F.lit(1)))).otherwise(0))))
+    def cut(ys: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(ys) - 1) / BLOCK).cast("int")), lambda b: F.slice(ys, b * BLOCK + 1, F.lit(BLOCK)))
+
+    def joined(blocks: Column) -> Column:
+        totals = sums(F.transform(blocks, lambda ys: F.aggregate(ys, F.lit(0), lambda a, y: a + y)))
+        return _bound(totals, lambda t: F.flatten(F.transform(blocks, lambda ys, b: _bound(
+            F.when(b > 0, F.element_at(t, F.greatest(b, F.lit(1)))).otherwise(0), lambda before: F.transform(sums(ys), lambda s: s + before)))))
+
+    return _bound(xs, lambda ys: _bound(cut(ys), joined))
 
 
 def _contexts(before: Column, after: Column) -> Column:
@@ -128,7 +137,8 @@ def _spans(found: str, gaps: str, kind: int) -> Column:
 
 
 def base_and_candidates(rows: DataFrame, text: str = "text") -> DataFrame:
-    """``rows`` with ``base`` (valid base spans, by kind and start) and ``cands`` in place of ``text``."""
+    """``rows`` with ``base`` (valid base spans, by kind and start) and ``cands`` (whatever they
+    overlap) in place of ``text``."""
     rest = [c for c in rows.columns if c != text]
     step = rows.withColumn(text, F.coalesce(text, F.lit("")))
     names = {k: PATTERNS[k] for k in KINDS} | {"cand": CANDIDATE, "run": RUN, "mail": MAIL}
@@ -150,16 +160,39 @@ def base_and_candidates(rows: DataFrame, text: str = "text") -> DataFrame:
         return F.struct(x["k"].alias("k"), start.alias("s"), (start + F.length(both)).alias("e"),
                         x["ctx"].alias("ctx"), both.alias("inst"))
 
-    def apart(x: Column, others: str) -> Column:
-        return (F.length(x["inst"]) >= 3) & (F.size(x["ctx"]) > 0) & ~F.exists(others, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
-
     def a_run(x: Column) -> Column:                     # longer ones are several numbers: their tokens stand alone
         return x["inst"].contains(" ") & F.length(F.regexp_replace(x["inst"], "[^0-9]", "")).between(3, 19)
 
-    step = step.withColumn("run", F.filter(F.filter(F.transform("run", lambda x: trimmed(x, " ")), a_run), lambda x: apart(x, "base"))) \
-        .withColumn("mail", F.filter(F.transform("mail", lambda x: trimmed(x, EDGES)), lambda x: apart(x, "base"))) \
-        .withColumn("cand", F.filter(F.transform("cand", lambda x: trimmed(x, EDGES)), lambda x: apart(x, "base") & apart(x, "run")))
-    return step.select(*rest, "base", F.concat("cand", "run", "mail").alias("cands"))
+    def wanted(x: Column) -> Column:
+        return (F.length(x["inst"]) >= 3) & (F.size(x["ctx"]) > 0)
+
+    def of(kind: int, xs: Column) -> Column:
+        return F.transform(F.filter(xs, wanted), lambda x: x.withField("k", F.lit(kind)))
+
+    cands = F.concat(of(TOKEN, F.transform("cand", lambda x: trimmed(x, EDGES))), of(DIGITS, F.filter(F.transform("run", lambda x: trimmed(x, " ")), a_run)),
+                     of(ADDRESS, F.transform("mail", lambda x: trimmed(x, EDGES))))
+    return step.select(*rest, "base", cands.alias("cands"))
+
+
+TOKEN, DIGITS, ADDRESS = -1, -2, -3          # what a candidate was found as, in place of its kind
+
+
+def _free_of(rows: DataFrame, blocks: Column) -> DataFrame:
+    """The rows (rid, s, e, ...) that no row with ``blocks`` overlaps, and those rows, by two
+    running extremes along each text: the ends of those that start before, the starts of those after."""
+    up, down = (Window.partitionBy("rid").orderBy(o).rangeBetween(Window.unboundedPreceding, Window.currentRow) for o in (F.col("s"), F.desc("s")))
+    rows = rows.withColumns({"__end": F.max(F.when(blocks, F.col("e"))).over(up), "__start": F.min(F.when(blocks, F.col("s"))).over(down)})
+    clear = (F.coalesce("__end", F.lit(0)) <= F.col("s")) & F.coalesce(F.col("__start") >= F.col("e"), F.lit(True))
+    return rows.where(blocks | clear).drop("__end", "__start")
+
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """rid, s, e, x: the candidates that overlap no base span; tokens also no run of digits kept."""
+    found = rows.where(F.size("cands") > 0)
+    every = found.select("rid", F.explode("cands").alias("x")).unionByName(
+        found.select("rid", F.explode("base").alias("x"))).select("rid", "x.s", "x.e", "x")
+    kept = _free_of(every, F.col("x.k") >= 0).where("x.k < 0")
+    return _free_of(kept.where(F.col("x.k") != ADDRESS), F.col("x.k") == DIGITS).unionByName(kept.where(F.col("x.k") == ADDRESS))
 
 
 def score_graph(found: DataFrame, support: int = 3, confident: float = 0.75, rounds: int = 3) -> DataFrame:
@@ -194,14 +227,16 @@ def extract(docs: DataFrame, *, support: int = 3, confident: float = 0.75, round
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("rid"), "text")
     rows = staged(base_and_candidates(rows), "pii-rows")
     seeds = rows.select(F.explode("base").alias("x")).select(F.explode("x.ctx").alias("ctx"), "x.k", "x.inst")
-    cands = rows.select("rid", F.explode("cands").alias("x")).select("rid", "x", F.explode("x.ctx").alias("c"))
-    found = score_graph(seeds.unionByName(cands.select(F.col("c").alias("ctx"), "x.k", "x.inst")), support, confident, rounds)
+    cands = staged(candidates(rows), "pii-candidates").select("rid", "x", F.explode("x.ctx").alias("c"))
+    found = score_graph(seeds.unionByName(cands.select(F.col("c").alias("ctx"), F.lit(-1).alias("k"), "x.inst")), support, confident, rounds)
     new = cands.join(small_side(found), (F.col("c") == F.col("ctx")) & (F.col("x.inst") == F.col("inst"))) \
         .groupBy("rid", F.col("k").alias("k"), F.col("x.s").alias("s"), F.col("x.e").alias("e")) \
         .agg(F.min("x.ctx").alias("ctx"), F.min("x.inst").alias("inst"))
+    # of nested ones the longest: nothing that starts before reaches as far, nothing that starts there further
+    before = F.max("e").over(Window.partitionBy("rid").orderBy("s").rangeBetween(Window.unboundedPreceding, -1))
+    here = F.max("e").over(Window.partitionBy("rid", "s"))
+    new = new.withColumns({"__b": before, "__h": here}).where((F.coalesce("__b", F.lit(0)) < F.col("e")) & (F.col("__h") <= F.col("e")))
     new = new.groupBy("rid").agg(F.collect_list(F.struct("k", "s", "e", "ctx", "inst")).alias("new"))
-    new = new.withColumn("new", F.filter("new", lambda x: ~F.exists("new", lambda y: (y["s"] <= x["s"]) & (
-        y["e"] >= x["e"]) & (y["e"] - y["s"] > x["e"] - x["s"]))))
     return rows.join(new, "rid", "left").select(
         "doc_id", F.array_sort("base").alias("base"),
         F.array_sort(F.when(F.col("new").isNull(), F.col("base")).otherwise(F.concat("base", "new"))).alias("spans"))

@@ -301,3 +301,23 @@ def test_pipeline(spark):
     good = labels[labels.quality == 1].doc_id
     assert len(ids & set(labels[labels.quality == 0].doc_id)) <= 1 and pd.Series(sorted(set(good))).isin(ids).mean() > 0.5
     assert [n for n, _ in C.STAGES] == ["quality", "near_duplicates", "decontamination", "personal_data", "sentencepiece"]
+
+
+def test_pii_addresses_with_zero_parts(spark):
+    texts = ["host 10.0.0.1 and 192.168.0.1 and 8.8.8.8 and 127.0.0.1", "0.0.0.0", "000.1.2.3", "1.2.3.256 1.2.3.00255", "0.0.0.0.0 1..2.3.4", "256.0.0.1"]
+    docs = docs_of(spark, texts)
+    pattern = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    want = {i: [(m.start(), m.end()) for m in pattern.finditer(t) if all(int(p) <= 255 for p in m.group().split("."))] for i, t in enumerate(texts)}
+    got = {r["doc_id"]: [(x["s"], x["e"]) for x in r["base"] if x["k"] == 1] for r in pii.extract(docs).collect()}
+    assert got == want and len(want[0]) == 4
+    assert "0.1" not in pii.redact(docs).where("doc_id = 0").first()["text"]
+
+
+def test_pii_long_rulers_and_many_identifiers_in_one_text(spark):
+    import time
+    pii.extract(docs_of(spark, ["warm 1.2.3.4 up"])).collect()
+    for text in ("=" * 1_000_000, "(" * 300_000, "1=" * 300_000, "11.22.33.44 id 12345 " * 10_000, "+1 " * 100_000, "a@" * 200_000):
+        start = time.time()
+        row = pii.extract(docs_of(spark, [text])).select(F.size("base").alias("n"), F.size("spans").alias("m")).first()
+        assert time.time() - start < 40, text[:20]
+        assert row["n"] == (10_000 if text.startswith("11.22") else 0) and row["m"] >= row["n"]
