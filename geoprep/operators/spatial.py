@@ -214,11 +214,14 @@ def _stage_left(left: DataFrame, left_geom: str, stage_mode):
 
 
 def _match_keys(left: DataFrame, left_geom: str) -> DataFrame:
-    """Left rows with their join keys: (__px, __py) for points, __gk for other geometries."""
+    """Left rows with their join keys: (__px, __py) for points, __gk for other geometries.  A
+    row without a geometry gets a key of its own that no match has (no y is NaN), so such rows
+    are spread over the tasks instead of sharing one key."""
     g = F.col(left_geom)
     is_pt = g.isNotNull() & (g["kind"] == G.POINT)
     return left.withColumns({
-        "__px": F.when(is_pt, G.point_x(g)), "__py": F.when(is_pt, G.point_y(g)),
+        "__px": F.when(is_pt, G.point_x(g)).when(g.isNull(), F.monotonically_increasing_id().cast("double")),
+        "__py": F.when(is_pt, G.point_y(g)).when(g.isNull(), F.lit(float("nan"))),
         "__gk": F.when(g.isNotNull() & ~is_pt, g)})
 
 

@@ -206,3 +206,37 @@ def test_unreadable_source_is_skipped_and_other_faults_raise(spark, tmp_dir):
     assert load_or_skip(spark, f"{tmp_dir}/no.parquet")[1]["status"] == "skipped"
     with pytest.raises(Exception):
         load_or_skip(spark, "nofs://host/table")
+
+
+def test_a_write_computes_its_input_once_and_cuts_a_hot_value(spark, tmp_dir):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    df = spark.range(0, 60_000, 1, 8).selectExpr("if(id % 3 = 0, 'hot', concat('k', id % 50)) AS p", "id", "sha2(string(id), 512) AS s")
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k", "spark.sql.files.maxRecordsPerFile": "0"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        write_table(df.mapInPandas(count, df.schema), f"{tmp_dir}/t", partition_by=["p"])
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert seen.value == 60_000
+    assert len(_files(f"{tmp_dir}/t/p=hot")) > 2 and spark.read.parquet(f"{tmp_dir}/t").count() == 60_000
+
+
+def test_rows_without_a_geometry_are_spread(spark):
+    from geoprep.functions import geometry as G
+    from geoprep.operators.spatial import spatial_join, with_match_keys
+    left = spark.range(0, 3000, 1, 4).select("id", G.point(F.when(F.col("id") % 3 > 0, F.col("id") % 10), F.lit(1)).alias("geometry"))
+    keyed = with_match_keys(left).where("geometry IS NULL")
+    sizes = [r["count"] for r in keyed.repartition(16, "__px", "__py", "__gk").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 1000 / 16
+    square = F.struct(F.lit("Polygon").alias("kind"), G.literal_parts([[[(0, 0), (5, 0), (5, 5), (0, 5), (0, 0)]]]).alias("parts"))
+    out = spatial_join(left, spark.range(1).select(F.lit("a").alias("pid"), square.alias("geometry")))
+    assert out.count() == 3000 and out.where("geometry IS NULL AND pid IS NOT NULL").count() == 0
