@@ -205,7 +205,7 @@ def decode_ids(ids, table: list[bytes]) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
-def encode_documents(docs: DataFrame, model: str, cache_size: int = 1 << 17, decode: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, model: str, cache_size: int = 1 << 16, decode: bool = False) -> DataFrame:
     """doc_id, text, ids (array<int>) for every document.  With ``decode``, the ids are also decoded
     (column decoded) in the same pass, so a task needs one worker and ids and text cross over once."""
     uni, *rest = load_model(model)
@@ -214,7 +214,7 @@ def encode_documents(docs: DataFrame, model: str, cache_size: int = 1 << 17, dec
     def encode(batches):
         uni, table = shared.value
         cache = _WORKER.setdefault(model, {})
-        for pdf in slices(batches):
+        for pdf in slices(batches, chars=1 << 19):
             if len(cache) > cache_size:
                 cache.clear()
             words = [pre_tokens(t) if isinstance(t, str) else [] for t in pdf["text"]]
