@@ -5,14 +5,21 @@ Every paragraph passes points (for its length and its commas, less the share of
 is link text) to its parent in full, its grandparent by half, and less to further
 ancestors; the container whose points, discounted by its link density, are highest wins.
 If it lies in an ``article`` that whole article is taken, and if most of its text is in
-one article, that article.  Siblings with a fair share of the winner's points are kept too.
+one article, that article.  Siblings with a fair share of the winner's points are kept too;
+beside an article these are the articles of a quarter of its text or more, few links in it.
 
 Left out wherever they stand: scripts, styles, menus, page headers and footers, sidebars,
 notices, adverts, forms and reader comments, told by element, ``role``, ``hidden`` or a word
 of ``class`` or ``id``.  A form, or a block told by a word alone, stays (with fewer points) if
-it holds a ``main``, the page's only articles or most of the page's points; ``no-sidebar`` and
-the like say nothing.  A header inside an article keeps its headings.  Inside the chosen
-container, lists and boxes that are mostly links go, unless it is an article.
+it holds a ``main``, the page's only articles or most of the page's points, or, inside an
+article, if it has a quarter of the page's points, few links, and the word is only part of a name
+(``related-work``).  Comments inside an article go however long they are; ``no-sidebar`` and the like say nothing.  A header
+inside an article keeps its headings and its paragraphs of prose (``PROSE`` characters or more,
+ended as a sentence, few links).  Inside the chosen container, lists and boxes that are mostly
+links go, unless it is an article.
+
+Elements are opened and closed in constant time, so a page costs time in its length, however deep
+its mark-up or wrong its closing tags.
 
 A block's text has character references decoded, each run of white space (``br`` counts as
 such) as one space, and no space at its ends; blocks are joined in page order by a newline.
@@ -61,13 +68,16 @@ CLOSES = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dd", {"dl"}), "dd": ("dt",
 START = {"article": 25.0, "main": 25.0, "div": 5.0, "section": 5.0, "blockquote": 3.0, "pre": 3.0, "td": 3.0,
          "ul": -3.0, "ol": -3.0, "dl": -3.0, "li": -3.0}
 LEVELS = 5              # ancestors a paragraph passes points to
-KEEP, DROP, HEADINGS_ONLY, DOUBTFUL = 0, 1, 2, 3
+KEEP, DROP, HEADINGS_ONLY, DOUBTFUL, HARDLY, COMMENTS = 0, 1, 2, 3, 4, 5
 READERS = set("comment comments commentlist disqus respond reply replies".split())
+PROSE, FEW_LINKS, SHARE = 80, 0.2, 0.25
+SENTENCE = re.compile(r"[.!?\u2026\u3002][\"'\u2019\u201d)\]]*$")
 STATUS = re.compile(r"(?<!\S)(?:(?:no|has|with|without|hide)[-_]\S+|\S+[-_](?:closed|open|off|disabled))(?!\S)", re.I)
 
 
 def _judge(tag: str, attrs: str, known: dict) -> tuple[int, float]:
-    """(0 keep, 1 drop, 2 header-like, 3 dropped unless it holds the text; points the element starts with)."""
+    """(0 keep, 1 drop, 2 header-like, 3 dropped unless it holds the text, 4 or a good part of an
+    article, 5 the same as 3 but for comments; points the element starts with)."""
     got = known.get((tag, attrs))
     if got is not None:
         return got
@@ -86,7 +96,8 @@ def _judge(tag: str, attrs: str, known: dict) -> tuple[int, float]:
         elif tag not in ("article", "main") or words & {"comment", "comments"}:
             if words & UNLIKELY:
                 sure = state == DROP or tag not in BLOCKS or tag in ("article", "main") or whole & READERS
-                state, points = DROP if sure else DOUBTFUL, points - 25.0
+                part = state == KEEP and not words & READERS and not whole & UNLIKELY
+                state, points = DROP if sure else HARDLY if part else COMMENTS if words & READERS else DOUBTFUL, points - 25.0
             elif words & HEADER_LIKE and tag not in HEADINGS:
                 state = HEADINGS_ONLY if state in (KEEP, HEADINGS_ONLY) else state
         points += 25.0 if words & LIKELY else 0.0
@@ -103,7 +114,12 @@ class _Page:
         self.parent, self.tag, self.state, self.points = [-1], ["#page"], [KEEP], [0.0]
         self.in_article = [False]
         self.doubtful: list[int] = []
+        self.parts: set[int] = set()                      # doubtful ones that a good part of an article may be
+        self.said: set[int] = set()                       # comments inside an article, by part of their name
+        self.leads: set[int] = set()                      # paragraphs of an article's header
         self.stack = [0]
+        self.open: dict[str, list[int]] = {}              # places in the stack by tag
+        self.boxes = [0]                                  # and those of block elements other than p
         self.blocks: list[tuple[int, str, int]] = []      # element, text, link characters
         self.buffer: list[str] = []
         self.links = self.in_link = 0
@@ -112,7 +128,7 @@ class _Page:
         if self.buffer:
             text = " ".join("".join(self.buffer).split())
             if text:
-                block = next((n for n in reversed(self.stack) if self.tag[n] in BLOCKS), 0)
+                block = self.stack[max(self.boxes[-1], self.last("p"))]
                 self.blocks.append((block, text, min(self.links, len(text))))
             self.buffer.clear()
         self.links = 0
@@ -125,22 +141,26 @@ class _Page:
             if self.in_link:
                 self.links += len(s)
 
+    def last(self, tag: str) -> int:
+        """The place of the innermost open element of that tag, 0 if none is open."""
+        places = self.open.get(tag)
+        return places[-1] if places else 0
+
     def pop_to(self, k: int) -> None:
         """Close the elements from place ``k`` of the stack on."""
-        if any(self.tag[n] in BLOCKS for n in self.stack[k:]):
+        if max(self.boxes[-1], self.last("p")) >= k:
             self.flush()
-        for n in self.stack[k:]:
+        for n in reversed(self.stack[k:]):
+            self.open[self.tag[n]].pop()
+            if self.tag[n] in BLOCKS and self.tag[n] != "p":
+                self.boxes.pop()
             self.in_link -= self.tag[n] == "a"
         del self.stack[k:]
 
-    def find(self, tag: str, stop) -> int:
-        for k in range(len(self.stack) - 1, 0, -1):
-            t = self.tag[self.stack[k]]
-            if t == tag:
-                return k
-            if t in stop:
-                break
-        return 0
+    def find(self, tag: str, fence: int = 0) -> int:
+        """The place of the innermost open ``tag``, 0 if there is none after the place ``fence``."""
+        k = self.last(tag)
+        return k if k > fence else 0
 
     def start(self, tag: str, attrs: str) -> None:
         if tag == "br":
@@ -148,12 +168,12 @@ class _Page:
             return
         if tag in BLOCKS:
             self.flush()
-            k = self.find("p", BLOCKS - {"p"})
+            k = self.find("p", self.boxes[-1])
             if k:
                 self.pop_to(k)
             if tag in CLOSES:
                 for other in {tag, CLOSES[tag][0]}:
-                    k = self.find(other, CLOSES[tag][1])
+                    k = self.find(other, max(map(self.last, CLOSES[tag][1])))
                     if k:
                         self.pop_to(k)
         if tag in VOID:
@@ -163,27 +183,36 @@ class _Page:
         article = self.in_article[up] or tag in ("article", "main")
         if state == HEADINGS_ONLY and not self.in_article[up]:
             state = DROP
-        if self.state[up] == DROP or state == DROP or (state == DOUBTFUL and self.state[up] == HEADINGS_ONLY):
+        if self.state[up] == DROP or state == DROP or (state >= DOUBTFUL and self.state[up] == HEADINGS_ONLY):
             state = DROP
-        elif state == DOUBTFUL:
+        elif state >= DOUBTFUL:
             self.doubtful.append(len(self.tag))
+            if state == HARDLY and self.in_article[up]:
+                self.parts.add(len(self.tag))
+            if state == COMMENTS and self.in_article[up]:
+                self.said.add(len(self.tag))
             state = KEEP
         elif self.state[up] == HEADINGS_ONLY:
-            state = KEEP if tag in HEADINGS else HEADINGS_ONLY
+            if tag == "p":
+                self.leads.add(len(self.tag))
+            state = KEEP if tag in HEADINGS or tag == "p" else HEADINGS_ONLY
         self.parent.append(up)
         self.tag.append(tag)
         self.state.append(state)
         self.points.append(points)
         self.in_article.append(article)
+        self.open.setdefault(tag, []).append(len(self.stack))
+        if tag in BLOCKS and tag != "p":
+            self.boxes.append(len(self.stack))
         self.stack.append(len(self.tag) - 1)
         self.in_link += tag == "a"
 
     def end(self, tag: str) -> None:
         if tag in BLOCKS:
             self.flush()
-            k = self.find(tag, ())
+            k = self.find(tag)
         else:
-            k = self.find(tag, BLOCKS)
+            k = self.find(tag, max(self.boxes[-1], self.last("p")))
         if k:
             self.pop_to(k)
 
@@ -218,6 +247,7 @@ def _settle(p: _Page) -> None:
     """Drop the doubtful elements, but for those that hold the page's text."""
     n = len(p.tag)
     held, holds = [0.0] * n, [0] * n                  # points; articles, or a main
+    size, links = [0] * n, [0] * n
     doubted = [False] * n
     for k in p.doubtful:
         doubted[k] = True
@@ -229,6 +259,8 @@ def _settle(p: _Page) -> None:
     mains = [k for k in range(n) if holds[k] and p.tag[k] == "main"]
     outside = any(holds[k] and not under[k] for k in range(n))
     for node, text, linked in p.blocks:
+        size[node] += len(text)
+        links[node] += linked
         if p.tag[node] not in HEADINGS:
             held[node] += _worth(text, linked)
     around = set()
@@ -239,10 +271,13 @@ def _settle(p: _Page) -> None:
     for k in range(n - 1, 0, -1):
         held[p.parent[k]] += held[k]
         holds[p.parent[k]] += holds[k]
+        size[p.parent[k]] += size[k]
+        links[p.parent[k]] += links[k]
     for k in range(1, n):
         if p.state[p.parent[k]] == DROP:
             p.state[k] = DROP
-        elif doubted[k] and not (2 * held[k] > held[0] or k in around or (holds[k] and not outside and holds[k] == holds[0])):
+        elif doubted[k] and not ((2 * held[k] > held[0] and k not in p.said) or k in around or (holds[k] and not outside and holds[k] == holds[0])
+                                 or (k in p.parts and held[k] >= SHARE * held[0] and links[k] <= FEW_LINKS * size[k])):
             p.state[k] = DROP
     p.blocks = [b for b in p.blocks if p.state[b[0]] != DROP]
 
@@ -253,6 +288,9 @@ def main_text(page: str | None, known: dict | None = None) -> str:
         return ""
     p = _Page({} if known is None else known)
     p.read(page)
+    if p.leads:
+        p.blocks = [(node, text, linked) for node, text, linked in p.blocks
+                    if node not in p.leads or (len(text) >= PROSE and linked <= FEW_LINKS * len(text) and SENTENCE.search(text))]
     if p.doubtful:
         _settle(p)
     blocks = p.blocks
@@ -284,7 +322,11 @@ def main_text(page: str | None, known: dict | None = None) -> str:
         best = 0
     best = _article(p, best, size)
     chosen = {best}
-    if p.tag[best] not in ("article", "main") and best:
+    if p.tag[best] == "article":
+        least = SHARE * size[best]
+        chosen |= {k for k in range(n) if p.parent[k] == p.parent[best] and p.tag[k] == "article" and p.state[k] == KEEP
+                   and size[k] >= least and dense[k] <= FEW_LINKS}
+    elif p.tag[best] != "main" and best:
         least = max(10.0, 0.2 * final[best])
         chosen |= {k for k in range(n) if p.parent[k] == p.parent[best] and final[k] >= least}
     keep, mostly_links = [False] * n, p.tag[best] not in ("article", "main")

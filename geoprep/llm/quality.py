@@ -7,8 +7,8 @@ layer, and gets a gated attention weight: softmax over the bag of
 logistic unit scores it.  All layers are learned together from document labels alone
 (full-batch Adam on the driver).
 
-Only the fit is bounded: at most ``bound`` labelled rows that are not held out, and of each
-at most ``bag`` passages, spread evenly over it.  Scoring reads every passage of every text.
+Only the fit is bounded: at most ``bound`` labelled rows that are not held out, each with all its
+passages (136 bytes for 64 words reach the driver).  Scoring reads every passage of every text.
 Labels, language, source and id are no inputs of a score.
 
 A null or empty text is a bag of one empty passage and gets a score like any other; if the
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import slices
 from .labelled import held_out, training_rows
 
-WORDS, SAMPLE, BAG = 64, 4000, 128
+WORDS, SAMPLE = 64, 4000
 _KINDS = 10
 _CLASS = np.full(256, 9, np.int64)                      # other symbols
 for _i, _chars in enumerate([b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" ",
@@ -57,11 +57,8 @@ def measure(ws: list[str]) -> np.ndarray:
     return out
 
 
-def bag_of(text: str | None, most: int | None = None) -> np.ndarray:
-    ps = passages(text)
-    if most and len(ps) > most:
-        ps = [ps[i] for i in np.linspace(0, len(ps) - 1, most).astype(int)]
-    return np.stack([measure(p) for p in ps])
+def bag_of(text: str | None) -> np.ndarray:
+    return np.stack([measure(p) for p in passages(text)])
 
 
 class Attention:
@@ -123,11 +120,11 @@ class Attention:
         return self._forward(x, np.repeat(np.arange(len(bags)), sizes), np.concatenate([[0], np.cumsum(sizes)[:-1]]))[-1]
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, modulus: int = 3, rest: int = 1, bound: int = SAMPLE, bag: int = BAG) -> Attention:
+def fit_quality(docs: DataFrame, labels: DataFrame, modulus: int = 3, rest: int = 1, bound: int = SAMPLE) -> Attention:
     """The classifier learned from a bounded sample of the rows that are not held out."""
     def bags(batches):
         for pdf in slices(batches):
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "bag": [bag_of(t, bag).tobytes() for t in pdf["text"]]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "bag": [bag_of(t).tobytes() for t in pdf["text"]]})
 
     rows = training_rows(docs, labels, "quality", modulus, rest, bound) \
         .select(F.col("doc_id").cast("string").alias("doc_id"), "text", "y") \

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from geoprep.llm import html_text, jaccard, phrases, pii, quality, topk, toxicity, unigram
+from geoprep.llm.labelled import training_rows
 from geoprep.llm.hash_tree import default_tree, shard_documents
 from geoprep.llm.pieces import MARK, pre_tokens
 from geoprep.llm.queries import tokenizer_path
@@ -134,6 +135,47 @@ def test_main_text_in_a_wrapper_of_unlikely_words(wrap):
     assert html_text.main_text(page) == "\n".join(re.findall("<p>(.*?)</p>", body))
 
 
+def paras(n, word):
+    return "".join(f"<p>Paragraph {i} about {word}, with commas, and enough words to be a main text.</p>" for i in range(n))
+
+
+def test_main_text_keeps_sibling_articles_and_sections_named_by_part_of_a_word():
+    def plain(body):
+        return "\n".join(re.findall("<p[^>]*>(.*?)</p>", body))
+
+    first, second, teaser = paras(6, "one"), paras(4, "two"), '<article><h3><a href="/x">More to read</a></h3><p>Soon.</p></article>'
+    page = f"<body><main><article>{first}</article><article>{second}</article>{teaser}</main></body>"
+    assert html_text.main_text(page) == plain(first + second)
+    section = f'<section class="related-work">{paras(6, "work")}</section>'
+    assert html_text.main_text(f"<body><article>{first}{section}</article></body>") == plain(first + section)
+    short = '<div class="related-links"><p>One more, perhaps.</p></div>'
+    comments = f'<section class="comments-list">{paras(9, "comments")}</section>'
+    assert html_text.main_text(f"<body><article>{first}{short}{comments}</article></body>") == plain(first)
+    lead = "<p>A lead of one long sentence, with commas, that tells what the whole article is going to be about.</p>"
+    page = f"<body><article><header><h1>Title</h1><p>By A. Writer, 3 May</p>{lead}</header>{first}</article></body>"
+    assert html_text.main_text(page) == "Title\n" + plain(lead + first)
+
+
+@pytest.mark.parametrize("page", ["<b>" * 40_000 + "x</i>" * 40_000, "<i><div>" + "<b>" * 40_000 + "x</i>" * 40_000,
+                                  "<b>" * 40_000 + "<hr>x" * 40_000, "<li>" * 40_000 + "x</ul>" * 40_000], ids=range(4))
+def test_main_text_of_wrong_closing_tags_in_linear_time(page):
+    import time
+    t = time.process_time()
+    assert html_text.main_text(page).count("x") == 40_000
+    assert time.process_time() - t < 10
+
+
+def test_training_rows_are_bounded_by_row(spark):
+    docs = docs_of(spark, [f"t{i}" for i in range(50)]).unionByName(docs_of(spark, [f"copy {i}" for i in range(200)]).withColumn("doc_id", F.lit(3).cast("long")))
+    docs = docs.unionByName(docs_of(spark, [None, None], 60).withColumn("doc_id", F.lit(60).cast("long")))
+    labels = spark.createDataFrame([(i, i % 2, "x") for i in range(70)] + [(3, 1, "y"), (None, 1, "z"), (4, None, "z")], "doc_id long, quality int, text string")
+    got = training_rows(docs, labels, "quality", 3, 1, 1000).collect()
+    ids = [r["doc_id"] for r in got]
+    assert len(ids) == len(set(ids)) and set(ids) == {i for i in [*range(50), 60] if zlib.crc32(str(i).encode()) % 3 != 1}
+    assert all(r["y"] == r["doc_id"] % 2 for r in got) and all(r["text"] is None for r in got if r["doc_id"] == 60)
+    assert training_rows(docs, labels, "quality", 3, 1, 7).count() <= 7 and training_rows(docs.where("false"), labels, "quality", 3, 1, 7).count() == 0
+
+
 def test_classifiers_on_held_out_rows(spark, documents):
     big = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
