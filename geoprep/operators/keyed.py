@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,12 +38,16 @@ def align(df: DataFrame, schema) -> DataFrame:
     return df.select(*[(F.col(n).cast(t) if n in have else F.lit(None).cast(t)).alias(n) for n, t in fields])
 
 
+def reject_reason(keys) -> Column:
+    """Why a row is refused: the first null key column by name, null if the key is whole."""
+    return F.coalesce(F.lit(None).cast("string"), *[F.when(F.col(k).isNull(), F.lit(f"null key column {k}")) for k in keys])
+
+
 def split_rejects(df: DataFrame, keys) -> tuple:
     """(accepted, rejected): rows with a null key part are refused with a reason naming the
     first null key column; they are kept, not dropped (Q10)."""
     keys = list(keys)
-    reason = F.coalesce(*[F.when(F.col(k).isNull(), F.lit(f"null key column {k}")) for k in keys])
-    tagged = df.withColumn("__reason", reason)
+    tagged = df.withColumn("__reason", reject_reason(keys))
     accepted = tagged.where(F.col("__reason").isNull()).drop("__reason")
     rejected = tagged.where(F.col("__reason").isNotNull()).withColumnRenamed("__reason", "reject_reason")
     return accepted, rejected
@@ -109,13 +113,13 @@ def insert_absent(target: DataFrame, new: DataFrame, keys, order_by=None) -> Dat
 # K11 write report, K15 clustering order
 
 
-def write_report(table: str, accepted: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Outcome counts of one write: (table, outcome, reason, rows)."""
-    ok = accepted.select(F.lit(table).alias("table"), F.lit("written").alias("outcome"),
-                         F.lit(None).cast("string").alias("reason"))
-    bad = rejected.select(F.lit(table).alias("table"), F.lit("rejected").alias("outcome"),
-                          F.col("reject_reason").alias("reason"))
-    return ok.unionByName(bad).groupBy("table", "outcome", "reason").agg(F.count(F.lit(1)).alias("rows"))
+def write_report(table: str, df: DataFrame, keys) -> DataFrame:
+    """Outcome counts of writing ``df`` to a table with that key: (table, outcome, reason, rows)
+    (K11).  One pass over ``df`` with partial counts before the shuffle; an empty frame has no rows."""
+    reason = reject_reason(keys)
+    outcome = F.when(reason.isNull(), F.lit("written")).otherwise(F.lit("rejected"))
+    return df.groupBy(outcome.alias("outcome"), reason.alias("reason")).agg(F.count(F.lit(1)).alias("rows")) \
+        .select(F.lit(table).alias("table"), "outcome", "reason", "rows")
 
 
 def cluster_order(df: DataFrame, cluster_key, descending_col: str, partitions: int | None = None) -> DataFrame:

@@ -3,6 +3,7 @@ matching DuckDB oracle SQL.  Keys are ``<id>_<slug>`` after the operator invento
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from geoprep.functions import geometry as G
@@ -425,10 +426,10 @@ def k8b_values_unchanged(spark, d):
 
 @register("k10_parallel_write", ADM2_SQL)
 def k10_parallel_write(spark, d):
-    from geoprep.sources.tables import read_back
+    from geoprep.sources.tables import read_back, write_table
     gadm2 = B.prepare_level(FX.adm2(spark, d), "ADM2")
     path = _scratch(spark, "gadm2-par")
-    gadm2.repartition(8, "country_code", "city").write.mode("overwrite").parquet(path)
+    write_table(gadm2, path, partitions=8)
     return read_back(spark, path, gadm2)
 
 
@@ -440,10 +441,26 @@ SELECT 'wof_data' AS "table",
        CAST(count(*) AS BIGINT) AS rows
 FROM postal GROUP BY ALL""")
 def k11_write_report(spark, d):
-    from geoprep.operators.keyed import split_rejects, write_report
+    from geoprep.sources.tables import write_keyed
     from geoprep.spec import POSTAL_KEY
-    ok, bad = split_rejects(_postal(spark, d), list(POSTAL_KEY))
-    return write_report("wof_data", ok, bad)
+    return write_keyed(_postal(spark, d), _scratch(spark, "postal-keyed"), list(POSTAL_KEY), table="wof_data",
+                       rejects_path=_scratch(spark, "postal-rejects"), partition_by=["country"])
+
+
+@register("k11b_written_and_rejected", """
+SELECT lang, CAST(c_acctbal AS DOUBLE) AS balance, outcome, reason FROM (
+  SELECT CASE WHEN c_custkey % 5 > 0 THEN c_mktsegment END AS lang, CASE WHEN c_custkey % 3 > 0 THEN c_acctbal END AS c_acctbal,
+         CASE WHEN c_custkey % 5 = 0 THEN 'null key column lang' WHEN c_custkey % 3 = 0 THEN 'null key column balance' END AS reason,
+         CASE WHEN c_custkey % 5 = 0 OR c_custkey % 3 = 0 THEN 'rejected' ELSE 'written' END AS outcome FROM customer)""")
+def k11b_written_and_rejected(spark, d):
+    """Both tables of a keyed write as they stand on disk: accepted rows, and rejects with their reason."""
+    from geoprep.sources.tables import write_keyed
+    rows = FX.read(spark, d, "customer").selectExpr("CASE WHEN c_custkey % 5 > 0 THEN c_mktsegment END AS lang",
+                                                    "CAST(CASE WHEN c_custkey % 3 > 0 THEN c_acctbal END AS DOUBLE) AS balance")
+    path, bad = _scratch(spark, "keyed-table"), _scratch(spark, "keyed-rejects")
+    write_keyed(rows, path, ["lang", "balance"], table="balances", rejects_path=bad, partition_by=["lang"])
+    return spark.read.parquet(path).select("lang", "balance", F.lit("written").alias("outcome"), F.lit(None).cast("string").alias("reason")) \
+        .unionByName(spark.read.parquet(bad).select("lang", "balance", F.lit("rejected").alias("outcome"), F.col("reject_reason").alias("reason")))
 
 
 @register("k12_align_to_table", _sql(FIX, body="""
@@ -491,11 +508,16 @@ SELECT event_type AS symbol, ts AS timestamp,
 def k15_clustering_order(spark, d):
     from geoprep.operators.keyed import cluster_order
     laid = cluster_order(FX.quotes(spark, d), "symbol", "timestamp")
-    # position inside the layout: partitions are ranges of (symbol, timestamp desc), so the
-    # position is the within-partition rank plus the rows of the symbol in earlier partitions
-    from geoprep.operators.keyed import sequence_within
-    return sequence_within(laid.select("symbol", "timestamp"), ["symbol"], [F.col("timestamp").desc()]).select(
-        "symbol", "timestamp", F.col("seq").alias("pos"))
+    # where the layout put a row, without sorting again: its place in its partition after the
+    # symbol's first row there, plus the symbol's rows in earlier partitions
+    from geoprep.operators.stage import stage_table
+    placed = stage_table(laid.select("symbol", "timestamp", F.spark_partition_id().alias("part"),
+                                     F.monotonically_increasing_id().alias("place")), "k15-layout")
+    runs = placed.groupBy("symbol", "part").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("rows"))
+    earlier = Window.partitionBy("symbol").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))     # one row a symbol and partition
+    return placed.join(runs, ["symbol", "part"]).select(
+        "symbol", "timestamp", (F.col("place") - F.col("first") + 1 + F.col("before")).alias("pos"))
 
 
 # =======================================================================================

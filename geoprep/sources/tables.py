@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geoprep.functions.text import empty_to_null
-from geoprep.operators.keyed import split_rejects, upsert
+from geoprep.operators.keyed import split_rejects, upsert, write_report
 from geoprep.operators.stage import stage, stage_table
 
 WRITE_MODES = ("overwrite", "append")
@@ -69,10 +69,11 @@ def prepare_for_write(df: DataFrame, partition_by=(), *, partitions: int | None
 
     Without ``partitions`` the tasks are cut and merged by their measured sizes (a rebalance:
     a partition value holding a third of all rows becomes several tasks and files, small ones
-    share a task); with it, a hash of the row spreads every value over that many."""
+    share a task); with it, a hash of the row spreads every value over that many tasks (K10), and a
+    table without partition columns is dealt evenly over them."""
     partition_by = list(partition_by)
     if not partition_by:
-        return df
+        return df.repartition(partitions) if partitions else df
     df = df.withColumns({c: empty_to_null(c) for c in partition_by if dict(df.dtypes)[c] == "string"})
     cols = [F.col(c) for c in partition_by]
     if partitions:
@@ -108,6 +109,21 @@ def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_
     return True
 
 
+def write_keyed(df: DataFrame, path: str, keys, *, table: str, rejects_path: str | None = None, **write) -> DataFrame:
+    """Write the rows of ``df`` whose key is whole, those with a null key part to ``rejects_path``
+    (if given, with their reason), and return the report (table, outcome, reason, rows) (K11).
+
+    ``df`` is computed once, into the shared checkpoint folder; both writes and the counts read
+    that copy.  Counts taken during a write would count a task twice that runs again after a lost
+    executor.  ``write`` goes to ``write_table`` (mode, partition_by, partitions, ...)."""
+    rows = stage(df, "checkpoint")
+    accepted, rejected = split_rejects(rows, keys)
+    write_table(accepted, path, **write)
+    if rejects_path is not None:
+        write_table(rejected, rejects_path, mode=write.get("mode", "overwrite"), fmt=write.get("fmt", "parquet"))
+    return write_report(table, rows, keys)
+
+
 def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite", sep: str = ",") -> None:
     """Plain-text dump with a header (K4)."""
     df.write.mode(mode).option("header", True).option("sep", sep).csv(path)

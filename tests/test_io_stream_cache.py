@@ -5,11 +5,24 @@ from pyspark.sql import functions as F
 from geoprep.operators.boundary import prepare_level
 from geoprep.operators.cache import FrameCache
 from geoprep.sources import fixtures as FX
-from geoprep.sources.tables import load_or_skip, read_back, write_table
+from geoprep.sources.tables import load_or_skip, read_back, write_keyed, write_table
 
 from conftest import SF001
 
 
+def test_keyed_write_reports_and_parallel_write_tasks(spark, tmp_dir):
+    import glob
+    df = spark.createDataFrame([("a", 1, "x"), (None, 2, "x"), ("b", None, None), (None, None, "y"), ("a", 1, "x")], "k string, n int, lang string")
+    report = write_keyed(df, f"{tmp_dir}/keyed", ["k", "n"], table="t", rejects_path=f"{tmp_dir}/bad", partition_by=["k"])
+    assert {tuple(r) for r in report.collect()} == {("t", "written", None, 2), ("t", "rejected", "null key column k", 2),
+                                                    ("t", "rejected", "null key column n", 1)}
+    assert spark.read.parquet(f"{tmp_dir}/keyed").count() == 2 and spark.read.parquet(f"{tmp_dir}/bad").count() == 3
+    assert write_keyed(df.where("false"), f"{tmp_dir}/none", ["k"], table="t").count() == 0
+    wide = spark.range(1000).select("id", (F.col("id") % 3).alias("k"))
+    write_table(wide, f"{tmp_dir}/spread", partitions=5)
+    assert len(glob.glob(f"{tmp_dir}/spread/part-*")) == 5 and spark.read.parquet(f"{tmp_dir}/spread").count() == 1000
+
+
 def test_write_modes_and_guard(spark, tmp_dir):
     df = prepare_level(FX.adm1(spark, SF001), "ADM1")
     path = f"{tmp_dir}/gadm1"
