@@ -65,7 +65,8 @@ def main(argv=None) -> None:
                 recs = stage_records(gazetteer_records(spr, bodies), recs or scratch_dir(spark, "records"), a.chunk_rows)
             print(json.dumps(chunked_load(spark, recs, adm1, adm2, a.out, load_id=a.load_id, max_chunks=a.max_chunks)))
         else:
-            write_table(enrich_postal(spr, bodies, adm1, adm2), a.out, mode="append", partition_by=POSTAL_PARTITIONS)
+            write_table(enrich_postal(spr, bodies, adm1, adm2), a.out, mode="append", partition_by=POSTAL_PARTITIONS,
+                        deal_by=POSTAL_PARTITIONS[:-1])
     elif a.job == "serve":
         jobs.store_postal(spark, a.postal, a.out, fmt=a.format)
 

@@ -278,7 +278,7 @@ def k3_append_postal_partitioned(spark, d):
     from geoprep.spec import POSTAL_PARTITIONS
     out = _postal(spark, d)
     path = _scratch(spark, "postal")
-    write_table(out, path, mode="append", partition_by=POSTAL_PARTITIONS)
+    write_table(out, path, mode="append", partition_by=POSTAL_PARTITIONS, deal_by=POSTAL_PARTITIONS[:-1])
     return read_back(spark, path, out)
 
 

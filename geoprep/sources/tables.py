@@ -7,6 +7,7 @@ resolved through the Hadoop file system of the session.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -62,7 +63,7 @@ def load_or_skip(spark: SparkSession, path: str, **kw):
     return df, {"path": path, "status": "loaded", "reason": None}
 
 
-def prepare_for_write(df: DataFrame, partition_by=(), *, partitions: int | None = None) -> DataFrame:
+def prepare_for_write(df: DataFrame, partition_by=(), *, partitions: int | None = None, deal_by=None) -> DataFrame:
     """Partition values: '' -> null (both land in the default partition and read back as
     null -- made explicit).  Rows are dealt by a hash of the partition columns, so each task
     writes few directories; the input is computed once (no sampling for range bounds).
@@ -70,12 +71,15 @@ def prepare_for_write(df: DataFrame, partition_by=(), *, partitions: int | None
     Without ``partitions`` the tasks are cut and merged by their measured sizes (a rebalance:
     a partition value holding a third of all rows becomes several tasks and files, small ones
     share a task); with it, a hash of the row spreads every value over that many tasks (K10), and a
-    table without partition columns is dealt evenly over them."""
+    table without partition columns is dealt evenly over them.  ``deal_by`` names the leading
+    partition columns to deal by, so that one task makes all folders below a value of theirs."""
     partition_by = list(partition_by)
+    if not set(deal_by or ()) <= set(partition_by):
+        raise ValueError("deal_by must name partition columns")
     if not partition_by:
         return df.repartition(partitions) if partitions else df
     df = df.withColumns({c: empty_to_null(c) for c in partition_by if dict(df.dtypes)[c] == "string"})
-    cols = [F.col(c) for c in partition_by]
+    cols = [F.col(c) for c in deal_by or partition_by]
     if partitions:
         return df.repartition(partitions, *cols, F.pmod(F.xxhash64(*df.columns), F.lit(partitions)))
     return df.hint("rebalance", *cols)
@@ -83,21 +87,22 @@ def prepare_for_write(df: DataFrame, partition_by=(), *, partitions: int | None
 
 def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_by=(), fmt: str = "parquet",
                 skip_empty: bool = False, partitions: int | None = None,
-                options: dict | None = None, observe: tuple | None = None, replace_partitions: bool = False) -> bool:
+                options: dict | None = None, observe: tuple | None = None, replace_partitions: bool = False, deal_by=None) -> bool:
     """Write a (partitioned) table (K1, K2, K3).  ``mode`` must be 'overwrite' or 'append'
     (anything else raises, as the studied writer does); overwrite replaces the table
     (static partition overwrite, Spark's default).  Errors are raised, not swallowed
     (Q21).  With ``skip_empty`` an empty frame writes nothing (K14).  Returns whether
     anything was written.  ``replace_partitions`` overwrites only the partitions that ``df`` has
     rows for (dynamic partition overwrite): the same write repeated changes nothing, and the
-    files of other partitions stay as they are.  ``observe`` = (Observation, [metric columns]) counts what is written."""
+    files of other partitions stay as they are.  ``observe`` = (Observation, [metric columns]) counts what is written.
+    ``deal_by``: see ``prepare_for_write``."""
     if mode not in WRITE_MODES:
         raise ValueError(f"unknown write mode {mode!r}; known: {', '.join(sorted(WRITE_MODES))}")
     if replace_partitions and not partition_by:
         raise ValueError("replace_partitions needs partition columns")
     if skip_empty and df.isEmpty():
         return False
-    out = prepare_for_write(df, partition_by, partitions=partitions)
+    out = prepare_for_write(df, partition_by, partitions=partitions, deal_by=deal_by)
     if observe is not None:
         out = out.observe(observe[0], *observe[1])
     w = out.write.format(fmt).mode("overwrite" if replace_partitions else mode).options(**(options or {}))
@@ -105,10 +110,46 @@ def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_
         w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    with _all_cores(df.sparkSession):
+        w.save(path)
     return True
 
 
+@contextmanager
+def _all_cores(spark: SparkSession):
+    """While a partitioned table is written its rebalance merges tasks down to one per core, not
+    by size alone: what a small file costs is its creation, so a few MB in thousands of
+    partition values must not end up in one or two tasks."""
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "16k")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def publish_partitions(spark: SparkSession, staged: str, path: str) -> int:
+    """Move the top partition folders of the table at ``staged`` (same file system) to the table at
+    ``path``, each in place of its namesake and by one rename; removes ``staged``.  Returns how many.
+
+    Repeating a write and its publication changes nothing, whatever was there of it before."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    src = folder(staged)
+    fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    moved = 0
+    for status in fs.listStatus(src):
+        part = status.getPath()
+        if status.isDirectory() and not part.getName().startswith(("_", ".")):
+            to = folder(path, part.getName())
+            fs.delete(to, True)
+            if not fs.rename(part, to):
+                raise OSError(f"cannot move {part.toString()} to {to.toString()}")
+            moved += 1
+    fs.delete(src, True)
+    return moved
+
+
 def write_keyed(df: DataFrame, path: str, keys, *, table: str, rejects_path: str | None = None, **write) -> DataFrame:
     """Write the rows of ``df`` whose key is whole, those with a null key part to ``rejects_path``
     (if given, with their reason), and return the report (table, outcome, reason, rows) (K11).
