@@ -253,3 +253,32 @@ def test_rows_without_a_geometry_are_spread(spark):
     square = F.struct(F.lit("Polygon").alias("kind"), G.literal_parts([[[(0, 0), (5, 0), (5, 5), (0, 5), (0, 0)]]]).alias("parts"))
     out = spatial_join(left, spark.range(1).select(F.lit("a").alias("pid"), square.alias("geometry")))
     assert out.count() == 3000 and out.where("geometry IS NULL AND pid IS NOT NULL").count() == 0
+
+
+def test_small_folders_are_written_by_many_tasks(spark, tmp_dir):
+    df = spark.range(0, 6000, 1, 4).selectExpr("concat('a', id % 100) AS a", "concat('b', id % 300) AS b", "id")
+    write_table(df, f"{tmp_dir}/t", partition_by=["a", "b"], deal_by=["a"])
+    files = _files(f"{tmp_dir}/t/a=*/b=*")
+    tasks = {(f.split("/a=")[1].split("/")[0], f.rsplit("part-", 1)[1][:5]) for f in files}
+    assert len(files) == 300 and len(tasks) == 100            # the folders of one a come from one task
+    assert len({t for _, t in tasks}) > 2                     # not merged by size alone
+    assert spark.read.parquet(f"{tmp_dir}/t").count() == 6000
+    with pytest.raises(ValueError, match="deal_by"):
+        write_table(df, f"{tmp_dir}/u", partition_by=["a"], deal_by=["b"])
+
+
+def test_many_chunks_share_a_few_micro_batches(spark, tmp_dir, monkeypatch):
+    from geoprep.operators.postal import gazetteer_records
+    from geoprep.streaming import incremental as I
+    adm1, adm2 = FX.adm1(spark, SF001), FX.adm2(spark, SF001)
+    recs = I.stage_records(gazetteer_records(FX.spr(spark, SF001), FX.geojson(spark, SF001)), f"{tmp_dir}/r", chunk_rows=12)
+    n = len(I.staged_files(spark, recs))
+    write, calls = I.write_table, []
+    monkeypatch.setattr(I, "write_table", lambda *a, **kw: calls.append(1) or write(*a, **kw))
+    first = I.chunked_load(spark, recs, adm1, adm2, f"{tmp_dir}/t", max_chunks=4)
+    assert first["chunks"] == 4 and spark.read.parquet(f"{tmp_dir}/t").select(I.CHUNK_COLUMN).distinct().count() == 4
+    rest = I.chunked_load(spark, recs, adm1, adm2, f"{tmp_dir}/t")
+    assert first["chunks"] + rest["chunks"] == n >= 7
+    assert len(calls) <= 2 + I.MICRO_BATCHES < n
+    got = spark.read.parquet(f"{tmp_dir}/t")
+    assert got.select(I.CHUNK_COLUMN).distinct().count() == n and got.count() == first["rows"] + rest["rows"]
