@@ -170,20 +170,44 @@ def _finished(rows: DataFrame) -> DataFrame:
 
 
 def _cover_in_row(polys: DataFrame) -> DataFrame:
-    """The cover of polygons of so few edges that no cell needs a split: without any shuffle."""
-    rows = explode_cells(polys.select("pid", "lvl", "xmin", "ymin", "xmax", "ymax", "pe"), F.col("lvl"))
+    """The cover of polygons of so few edges that no cell needs a split: without any shuffle.
+    What an edge needs in every cell is computed once a polygon."""
+    def terms(e):
+        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+        return F.struct(*[e[k].alias(k) for k in ENDS], dx.alias("dx"), dy.alias("dy"), (F.abs(dx) + F.abs(dy)).alias("reach"),
+                        F.least(e["x1"], e["x2"]).alias("xl"), F.greatest(e["x1"], e["x2"]).alias("xh"),
+                        F.least(e["y1"], e["y2"]).alias("yl"), F.greatest(e["y1"], e["y2"]).alias("yh"),
+                        ((dy < 0) | ((dy == 0) & (dx > 0))).alias("tie"))
+
+    polys = polys.select("pid", "lvl", "xmin", "ymin", "xmax", "ymax", F.transform("pe", lambda p: F.transform(p, terms)).alias("pe"))
+    rows = explode_cells(polys, F.col("lvl"))
     x0, y0, s = (F.col(c) for c in ("__x", "__y", "__s"))
     rows = rows.withColumns(dict(zip(("__x", "__y", "__s"), _corner()))).withColumns({"__u": x0 + s, "__v": y0 + s})
 
-    def touches(e):
-        near = (F.least(e["x1"], e["x2"]) <= F.col("__u")) & (F.greatest(e["x1"], e["x2"]) >= x0) & \
-               (F.least(e["y1"], e["y2"]) <= F.col("__v")) & (F.greatest(e["y1"], e["y2"]) >= y0)
-        return near & _crosses(e, x0, y0, s)
+    def near(e):
+        return (e["xl"] <= F.col("__u")) & (e["xh"] >= x0) & (e["yl"] <= F.col("__v")) & (e["yh"] >= y0)
+
+    def at_corner(e):
+        return e["dx"] * (y0 - e["y1"]) - e["dy"] * (x0 - e["x1"])
+
+    def crosses(m):                              # as _crosses, with its terms at hand
+        zero, e, hair = F.lit(0.0), m["e"], m["e"]["reach"] * s * F.lit(1e-9)
+        return (m["base"] + F.least(zero, e["dx"] * s) + F.least(zero, -e["dy"] * s) <= hair) & \
+               (m["base"] + F.greatest(zero, e["dx"] * s) + F.greatest(zero, -e["dy"] * s) >= -hair)
+
+    def local(m):
+        e, base = m["e"], m["base"]
+        return F.struct(*[e[k].alias(k) for k in ENDS], e["tie"].alias("tie"),
+                        ((base > 0) | ((base == 0) & e["tie"])).alias("left"), ((e["x1"] > x0) != (e["x2"] > x0)).alias("over"))
+
+    def right(e):                                # as _right_of
+        side = at_corner(e)
+        return ((e["y1"] > y0) != (e["y2"] > y0)) & F.when(e["y2"] > e["y1"], side > 0).otherwise(side < 0)
 
     def part(p):
-        corner = F.size(F.filter(p, lambda e: _right_of(e, x0, y0))) % 2 == 1
-        edges = F.transform(F.filter(p, touches), lambda e: _local_edge(e["x1"], e["y1"], e["x2"], e["y2"], x0, y0))
-        return F.struct(corner.alias("corner"), edges.alias("edges"))
+        corner = F.size(F.filter(p, right)) % 2 == 1
+        met = F.transform(F.filter(p, near), lambda e: F.struct(e.alias("e"), at_corner(e).alias("base")))
+        return F.struct(corner.alias("corner"), F.transform(F.filter(met, crosses), local).alias("edges"))
 
     return _finished(rows.select(*CELL, F.transform("pe", part).alias("parts")))
 

@@ -102,3 +102,17 @@ def test_layers_are_matched_in_one_pass(spark):
     assert sorted((r["__qx"], r["bid"]) for r in second.collect()) == [(3.0, "b1"), (5.0, "b1")]
     empty = index_layers([a.limit(0), b.limit(0)])
     assert [t.count() for t in match_layers(left, empty)] == [0, 0] and S.spatial_join(left, empty, how="left").count() == 4
+
+
+def test_cover_in_row_prepares_edges_once_a_polygon(spark):
+    from geoprep.functions import geometry as G
+    from geoprep.operators import cover as C
+    ring = [(0, 0), (3, 0), (4, 1), (3, 4), (0, 3), (0, 0)]
+    shape = F.struct(F.lit("Polygon").alias("kind"), G.literal_parts([[ring]]).alias("parts"))
+    polys = C.boxed(spark.range(3).select(F.col("id").alias("pid"), shape.alias("geom")), "geom", "pid")
+    cover = C._cover_in_row(polys)
+    per_cell, per_polygon = cover._jdf.queryExecution().optimizedPlan().toString().split("Generate", 1)
+    assert ".x2 - " not in per_cell and ".x2 - " in per_polygon
+    got = {(r["cx"], r["cy"]): r for r in cover.where("pid = 1").collect()}
+    edges = got[(0, 0)]["parts"][0]["edges"]
+    assert {(e["x1"], e["y1"], e["x2"], e["y2"]) for e in edges} == {(*a, *b) for a, b in zip(ring, ring[1:])}
