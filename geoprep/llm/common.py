@@ -59,6 +59,19 @@ def slices(batches, column: str = "text", chars: int = 1 << 21):
             yield pdf.iloc[start:]
 
 
+#: Bytes of rows that go to a Python worker at once.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the bytes of an Arrow batch in this session to ``BATCH_BYTES``: both the JVM and
+    the Python worker hold whole batches of each task, and texts make large ones."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(key, None)
+    if held is None or not held.rstrip("b").isdigit() or int(held.rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 #: Rows of a side that may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 50_000
 

@@ -3,13 +3,14 @@
 Sets are hashed shingles (64 bits).  Equal sets are one from the start.
 
 1. Forest.  Shingles are ordered by how full their hash bucket is over the whole corpus
-   (65,536 counts), then by hash.  Two sets similar enough share one of the first
+   (4,194,304 counts), then by hash.  Two sets similar enough share one of the first
    ``n - ceil(t n) + 1`` shingles of their order, so each such shingle roots a tree over the
    sets that have it there; trees over the same sets are kept once.
 2. Stars.  Every member is compared with one other: of the most central members of its trees
    (those in most trees), the one it shares most trees with.  The links found are contracted
    to classes, and trees whose members are all in one class are done: this settles groups of
-   copies without forming their pairs.
+   copies without forming their pairs.  A member of a tree whose neighbours by size are too
+   small and too large for it leaves the tree: most of those that share a shingle by chance.
 3. Dual traversal of the rest.  A node holds the OR of its members' token bitmaps, the range
    of their sizes, the most tokens any member loses to bitmap collisions, and the range of
    its classes.  For two nodes, common bits plus that loss bound any overlap of their
@@ -30,15 +31,18 @@ told apart by their bytes, as UTF-8.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import scratch, slices, staged
+from .common import bounded_batches, scratch, slices, staged
 from .components import components
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 22
+PAGE = 1 << 16                  # bucket counts in a row
 BLOCK = 2048                    # members of a block of a large tree
 FAN = 16                        # children of a node inside a task
 GROUP = 512                     # partners compared with one set in one group
@@ -120,30 +124,56 @@ def needed_overlap(a, b, percent: int):
     return (percent * (a + b) + 99 + percent) // (100 + percent)
 
 
+def _bucket(s: np.ndarray) -> np.ndarray:
+    return (s >> _U(65 - BUCKETS.bit_length())).astype(np.int64)
+
+
+def _level(counts: np.ndarray) -> np.ndarray:
+    """Counts as bytes in the same order: exact below 32, then eight steps to a doubling."""
+    steps = 32 + 8 * (np.log2(np.maximum(counts, 32)) - 5)
+    return np.where(counts < 32, counts, np.minimum(steps, 255)).astype(np.uint8)
+
+
 def hashed_rows(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
     """(rows, load): doc_id, h1, h2, n (0 for an empty set) and the columns of ``docs`` other than
-    text for every document, staged; and how many (document, shingle) pairs fall into each
-    hash bucket, over all documents.  One pass over the texts gives both."""
+    text for every document, staged; and the level of how many (document, shingle) pairs fall
+    into each hash bucket, over all documents.  One pass over the texts gives both: a task
+    hands on its counts in compressed pages, and those of a page are added up in a stream."""
     other = [c for c in docs.columns if c not in ("doc_id", "text")]
-    schema = "doc_id string, h1 long, h2 long, n long, bucket int, load long" + "".join(f", {c} long" for c in other)
+    schema = "doc_id string, h1 long, h2 long, n long, page int, load binary" + "".join(f", {c} long" for c in other)
 
     def run(batches):
-        total = np.zeros(BUCKETS, np.int64)
+        total = np.zeros(BUCKETS, np.uint32)
         for pdf in slices(batches, chars=CHARS):
             sets = shingle_sets(pdf["text"], words)
-            total += np.bincount((np.concatenate(sets) >> _U(48)).astype(np.int64), minlength=BUCKETS)
+            np.add.at(total, _bucket(np.concatenate(sets)), np.uint32(1))
             out = pd.DataFrame([(*_set_hash(s), len(s)) for s in sets], columns=["h1", "h2", "n"])
-            yield out.assign(doc_id=pdf["doc_id"].to_numpy(), bucket=None, load=None, **{c: pdf[c].to_numpy() for c in other})[
-                ["doc_id", "h1", "h2", "n", "bucket", "load", *other]]
-        used = np.flatnonzero(total)
-        yield pd.DataFrame({"doc_id": None, "h1": 0, "h2": 0, "n": 0, "bucket": used, "load": total[used]} | {c: 0 for c in other})
+            yield out.assign(doc_id=pdf["doc_id"].to_numpy(), page=None, load=None, **{c: pdf[c].to_numpy() for c in other})[
+                ["doc_id", "h1", "h2", "n", "page", "load", *other]]
+        pages = total.reshape(-1, PAGE)
+        used = np.flatnonzero(pages.any(axis=1))
+        load = [zlib.compress(np.minimum(pages[k], 65535).astype(np.uint16).tobytes(), 1) for k in used]
+        yield pd.DataFrame({"doc_id": None, "h1": 0, "h2": 0, "n": 0, "page": used, "load": load} | {c: 0 for c in other})
+
+    def added(batches):
+        now = total = None
+        for pdf in batches:
+            for page, raw in zip(pdf["page"], pdf["load"]):
+                if page != now:
+                    if now is not None:
+                        yield pd.DataFrame({"page": [now], "level": [_level(total).tobytes()]})
+                    now, total = page, np.zeros(PAGE, np.int64)
+                total += np.frombuffer(zlib.decompress(raw), np.uint16)
+        if now is not None:
+            yield pd.DataFrame({"page": [now], "level": [_level(total).tobytes()]})
 
     kind = dict(docs.dtypes)["doc_id"]
     every = staged(docs.withColumn("doc_id", F.col("doc_id").cast("string")).select("doc_id", "text", *other).mapInPandas(run, schema), "jaccard-rows", keep=True)
-    load = np.zeros(BUCKETS, np.int64)
-    for r in every.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("load").alias("load")).collect():
-        load[r["bucket"]] = r["load"]
-    return every.where("bucket IS NULL").select(F.col("doc_id").cast(kind).alias("doc_id"), "h1", "h2", "n", *other), load
+    load = np.zeros(BUCKETS, np.uint8)
+    pages = every.where("page IS NOT NULL").select("page", "load").repartition("page").sortWithinPartitions("page")
+    for r in pages.mapInPandas(added, "page int, level binary").collect():
+        load[r["page"] * PAGE:(r["page"] + 1) * PAGE] = np.frombuffer(r["level"], np.uint8)
+    return every.where("page IS NULL").select(F.col("doc_id").cast(kind).alias("doc_id"), "h1", "h2", "n", *other), load
 
 
 def distinct_sets(docs: DataFrame, load: np.ndarray, words: int, percent: int) -> DataFrame:
@@ -158,7 +188,7 @@ def distinct_sets(docs: DataFrame, load: np.ndarray, words: int, percent: int) -
             for doc, s in zip(pdf["doc_id"], shingle_sets(pdf["text"], words)):
                 if len(s):
                     p = len(s) - (percent * len(s) + 99) // 100 + 1
-                    order = np.argsort(load[(s >> _U(48)).astype(np.int64)], kind="stable")    # ties: by hash
+                    order = np.argsort(load[_bucket(s)], kind="stable")    # ties: by hash
                     rows.append((doc, *_set_hash(s), len(s), s[order[:p]].view(np.int64), _bitmap(s).tobytes()))
             yield pd.DataFrame(rows, columns=["doc_id", "h1", "h2", "n", "prefix", "bits"])
 
@@ -379,14 +409,26 @@ def _tree_pairs(rid, size, label, bits, side, percent: int):
                 yield rid[a[ok]], rid[b[ok]]
 
 
+def open_members(rows: DataFrame, percent: int) -> DataFrame:
+    """``rows`` (t, rid, c, n, label) of trees with several classes.  In a tree of one block a
+    row also needs another one of a fitting size, which is then next to it by size."""
+    small, large = rows.where(F.col("c") <= BLOCK), rows.where(F.col("c") > BLOCK)
+    tree = Window.partitionBy("t")
+    by_size = tree.orderBy("n", "rid")
+    fits = (F.lag("n").over(by_size) * 100 >= F.col("n") * percent) | (F.col("n") * 100 >= F.lead("n").over(by_size) * percent)
+    small = small.withColumn("fits", fits).withColumns({"l0": F.min("label").over(tree), "l1": F.max("label").over(tree)}) \
+        .where("fits AND l0 <> l1").select(*rows.columns)
+    mixed = large.groupBy("t").agg(F.min("label").alias("l0"), F.max("label").alias("l1")) \
+        .where("l0 <> l1").select("t")
+    return small.unionByName(large.join(mixed, "t", "left_semi"))
+
+
 def candidate_pairs(members: DataFrame, signed: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """a, b: pairs of different classes within a tree that no bound of the traversal rules
     out.  ``members``: t, rid, c; ``signed``: rid, n, bits; ``known``: rid, label."""
     sized = signed.select("rid", "n").join(known, "rid", "left").select("rid", "n", F.coalesce("label", "rid").alias("label"))
     rows = staged(members.select("t", "rid", "c").join(sized, "rid"), "jaccard-labelled")
-    mixed = rows.groupBy("t").agg(F.min("label").alias("l0"), F.max("label").alias("l1")) \
-        .where("l0 <> l1").select("t")
-    rows = staged(rows.join(mixed, "t", "left_semi"), "jaccard-mixed")
+    rows = staged(open_members(rows, percent), "jaccard-mixed")
     per_class = rows.groupBy("t", "label").agg(F.count(F.lit(1)).alias("cl"))
     # blocks: a large class is cut by itself, small ones are dealt together
     blocks = F.ceil(F.col("c") / BLOCK)
@@ -435,6 +477,7 @@ def candidate_pairs(members: DataFrame, signed: DataFrame, known: DataFrame, per
 def similarity_classes(docs: DataFrame, words: int = 4, percent: int = 85, carry: tuple = ()) -> DataFrame:
     """doc_id, h1, h2, label (of the class; null for an empty set), n_shingles and component_id
     for every document, and its columns ``carry`` (longs)."""
+    bounded_batches(docs.sparkSession)
     with scratch():
         texts = docs.select("doc_id", "text")
         rows, load = hashed_rows(docs.select("doc_id", "text", *carry), words)

@@ -252,6 +252,48 @@ def test_tree_blocks_and_bounds_lose_nothing():
     assert all(jaccard._possible(size[i], size[j], bits[i], bits[j], 60) for i, j in links)
 
 
+def test_sets_of_rare_shingles_join_few_trees(spark):
+    r = np.random.default_rng(8)
+    texts = [" ".join([f"own{i}x{k}" for k in range(60)] + [f"shared{k}" for k in r.integers(0, 40_000, 40)]) for i in range(2000)]
+    docs = docs_of(spark, texts).select("doc_id", "text")
+    load = jaccard.hashed_rows(docs, 1)[1]
+    members = jaccard.shared_trees(jaccard.distinct_sets(docs, load, 1, 80))
+    assert members.count() < 500                        # 21 of the 60 words of its own are a prefix
+
+
+def test_levels_of_counts_keep_their_order():
+    counts = np.unique(np.concatenate([np.arange(100), 2 ** np.arange(40, dtype=np.int64)]))
+    level = jaccard._level(counts).astype(int)
+    assert level[:32].tolist() == list(range(32)) and (np.diff(level) >= 0).all() and level[-1] == 255
+
+
+def test_open_members_lose_no_pair_and_drop_lone_sizes(spark):
+    r = np.random.default_rng(9)
+    rows = []
+    for t in range(300):
+        c = int(r.integers(2, 6))
+        rows += [(t, t * 10 + k, c, int(r.integers(1, 200)), int(r.integers(0, 3))) for k in range(c)]
+    rows += [(1000, k, jaccard.BLOCK + 1, 1 + 50 * k, k) for k in range(3)] + [(1001, k, jaccard.BLOCK + 1, 5, 1) for k in range(3)]
+    found = jaccard.open_members(spark.createDataFrame(rows, "t long, rid long, c long, n long, label long"), 80)
+    got = {(x["t"], x["rid"]) for x in found.collect()}
+    fits = lambda x, y: 100 * min(x[3], y[3]) >= 80 * max(x[3], y[3])
+    others = lambda x: [y for y in rows if y[0] == x[0] and y[1] != x[1]]
+    assert {x[:2] for x in rows if any(x[4] != y[4] and fits(x, y) for y in others(x))} <= got
+    assert not got & {x[:2] for x in rows if x[0] < 1000 and not any(fits(x, y) for y in others(x))}
+    assert {t for t, _ in got if t >= 1000} == {1000}
+
+
+def test_batches_of_texts_are_bounded(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    jaccard.similarity_classes(docs_of(spark, ["a b c d e"])).count()
+    assert int(spark.conf.get(key).rstrip("b")) == 4 << 20
+    spark.conf.set(key, "1000000")                      # a smaller one of the caller's stays
+    jaccard.similarity_classes(docs_of(spark, ["a b c d e"])).count()
+    assert int(spark.conf.get(key).rstrip("b")) == 1_000_000
+    spark.conf.unset(key)
+
+
 def test_phrases_equal_brute_force(spark):
     bench = spark.createDataFrame([(2, "Alpha beta, gamma delta epsilon zeta eta theta iota kappa lambda mu"), (10, "short item"),
                                    (3, None), (4, " .,"), (10, "short item"), (5, "É b c d e f g h i j")], "item_id long, text string")
