@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoprep.llm import pii
-from geoprep.llm.common import staged, table
+from geoprep.llm.common import bounded_batches, staged, table
 from geoprep.llm.jaccard import one_of_each_class
 from geoprep.llm.phrases import decontaminate
 from geoprep.llm.quality import keep_good
@@ -18,6 +18,7 @@ from geoprep.llm.unigram import encode_documents
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
+    bounded_batches(spark)
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
@@ -38,6 +39,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids and whether they decode to the text."""
+    bounded_batches(spark)
     done = encode_documents(docs, tokenizer_path(), decode=True)
     same = F.col("decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit("\u2581"), F.lit(" "))
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
