@@ -17,10 +17,13 @@ Sets are hashed shingles (64 bits).  Equal sets are one from the start.
    members; a pair of nodes goes if the bound or the sizes rule out the similarity, or if
    both are within one class.  The top level (blocks of a large tree) is a join of node
    summaries; the levels below run inside a task on at most two blocks.
-4. What survives is compared exactly, and the links are contracted again.
+4. The pairs that survive make groups: a task hands on a spanning forest of its pairs, so no
+   list of pairs is formed and what leaves a task is linear in the rows it holds.  The sets of
+   a group are dealt once more in blocks, where those of different classes that share a rare
+   shingle are compared exactly until classes join, and the links are contracted again.
 
 A class is exact: every linked pair is compared, or already lies in one class.  Nothing is
-capped: a tree of any size is cut into blocks of bounded size.
+capped: a tree or group of any size is cut into blocks of bounded size.
 
 A null, empty or blank text is an empty set and linked with nothing.  A text with fewer
 words than a shingle is one shingle.  Rows with equal sets, repeated ids among them, share a
@@ -38,6 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .blocks import block_pairs, grouped, in_blocks
 from .common import bounded_batches, scratch, slices, staged
 from .components import components
 
@@ -45,6 +49,7 @@ BUCKETS = 1 << 22
 PAGE = 1 << 16                  # bucket counts in a row
 BLOCK = 2048                    # members of a block of a large tree
 FAN = 16                        # children of a node inside a task
+TOKENS = 1 << 19                # shingles of a group compared at once (4 MB)
 GROUP = 512                     # partners compared with one set in one group
 FILTER_BITS = 1 << 27           # bits of a broadcast filter (16 MB whatever the input)
 PIECE = 1 << 20                 # bytes hashed at once
@@ -269,12 +274,32 @@ def _possible(n: int, m: int, x: bytes, y: bytes, percent: int) -> bool:
     return min(n, m, common + lost) >= needed_overlap(n, m, percent)
 
 
+def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """h1, h2, tokens (sorted): every different set of ``docs`` with an h1 of ``wanted``, and a
+    few others.  The sets are hashed from the texts again; a fixed-size bitmap of the wanted
+    ones drops most others at once."""
+    kept = docs.sparkSession.sparkContext.broadcast(_filter_bits(wanted, "h1"))
+
+    def tokens(batches):
+        bits = np.frombuffer(kept.value, np.uint8)
+        for pdf in slices(batches, chars=CHARS):
+            rows = []
+            for s in shingle_sets(pdf["text"], words):
+                if len(s):
+                    h1, h2 = _set_hash(s)
+                    if _may_hold(bits, np.array([h1]))[0]:
+                        rows.append((h1, h2, s.tobytes()))
+            yield pd.DataFrame(rows, columns=["h1", "h2", "tokens"])
+
+    found = docs.select("text").mapInPandas(tokens, "h1 long, h2 long, tokens binary")
+    return found.groupBy("h1", "h2").agg(F.first("tokens").alias("tokens"))
+
+
 def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) that are similar enough, by their whole sets.
 
-    The sets are hashed from the texts again (a fixed-size bitmap of the wanted ones drops
-    most others at once) and dealt to the pairs' groups: a, cut so that a group has at most
-    about ``GROUP`` partners.  A task streams a group: first a's shingles, then each partner.
+    The sets are dealt to the pairs' groups: a, cut so that a group has at most about
+    ``GROUP`` partners.  A task streams a group: first a's shingles, then each partner.
     """
     if not pairs.limit(1).count():
         return pairs
@@ -285,21 +310,7 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, per
                                         F.lit(1).alias("role"))
     places = first.unionByName(rest).join(reps.select("rid", "h1", "h2"), "rid")
     places = staged(places, "jaccard-places")
-    wanted = docs.sparkSession.sparkContext.broadcast(_filter_bits(places, "h1"))
-
-    def tokens(batches):
-        bits = np.frombuffer(wanted.value, np.uint8)
-        for pdf in slices(batches, chars=CHARS):
-            rows = []
-            for s in shingle_sets(pdf["text"], words):
-                if len(s):
-                    h1, h2 = _set_hash(s)
-                    if _may_hold(bits, np.array([h1]))[0]:
-                        rows.append((h1, h2, s.tobytes()))
-            yield pd.DataFrame(rows, columns=["h1", "h2", "tokens"])
-
-    found = docs.select("text").mapInPandas(tokens, "h1 long, h2 long, tokens binary")
-    found = found.groupBy("h1", "h2").agg(F.first("tokens").alias("tokens"))
+    found = full_sets(docs, places, words)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = found.join(places, ["h1", "h2"]).select("a", "salt", "role", "rid", "tokens") \
         .repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", "role")
@@ -423,9 +434,30 @@ def open_members(rows: DataFrame, percent: int) -> DataFrame:
     return small.unionByName(large.join(mixed, "t", "left_semi"))
 
 
-def candidate_pairs(members: DataFrame, signed: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs of different classes within a tree that no bound of the traversal rules
-    out.  ``members``: t, rid, c; ``signed``: rid, n, bits; ``known``: rid, label."""
+def _forest(rid: np.ndarray, pairs):
+    """A spanning forest of the ``pairs`` (arrays of ends in ``rid``, as they come): a, b of
+    those that join what was not joined, one fewer than ``rid`` at most."""
+    ids = np.unique(rid)
+    root = np.arange(len(ids))
+    for a, b in pairs:
+        i, j = np.searchsorted(ids, a), np.searchsorted(ids, b)
+        order = np.argsort(i, kind="stable")
+        i, j = i[order], j[order]
+        cuts = np.flatnonzero(np.diff(i, prepend=-1, append=-1)).tolist() if len(i) else []
+        for start, end in zip(cuts, cuts[1:]):
+            at, to = i[start], j[start:end]
+            roots, first = np.unique(root[to], return_index=True)
+            new = roots != root[at]
+            if new.any():
+                yield np.repeat(ids[at], new.sum()), ids[to[first[new]]]
+                root[np.isin(root, roots)] = root[at]
+
+
+def candidate_groups(members: DataFrame, signed: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """rid, n, label, g: the sets that pairs of different classes within a tree, not ruled out
+    by a bound of the traversal, still join, and their group.  A task hands on a spanning
+    forest of the pairs it finds, not the pairs.  ``members``: t, rid, c; ``signed``: rid, n,
+    bits; ``known``: rid, label."""
     sized = signed.select("rid", "n").join(known, "rid", "left").select("rid", "n", F.coalesce("label", "rid").alias("label"))
     rows = staged(members.select("t", "rid", "c").join(sized, "rid"), "jaccard-labelled")
     rows = staged(open_members(rows, percent), "jaccard-mixed")
@@ -449,29 +481,64 @@ def candidate_pairs(members: DataFrame, signed: DataFrame, known: DataFrame, per
                                                 F.col("o_block").alias("q"), F.lit(1).alias("side"))
     dealt = rows.join(one.unionByName(two), ["t", "block"]).select("t", "p", "q", "side", "rid", "n", "label")
     dealt = dealt.join(signed.select("rid", "bits"), "rid")
-    parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(parts, "t", "p", "q").sortWithinPartitions("t", "p", "q")
 
-    def pairs(batches):
-        held, key = [], None
-        for pdf in batches:
-            for k, part in pdf.groupby(["t", "p", "q"], sort=False):
-                if key is not None and k != key:
-                    yield from emit(held)
-                    held = []
-                key = k
-                held.append(part)
-        if held:
-            yield from emit(held)
-
-    def emit(held):
-        pdf = pd.concat(held) if len(held) > 1 else held[0]
+    def forest(pdf):
         cols = [pdf[c].to_numpy() for c in ("rid", "n", "label")]
-        for a, b in _tree_pairs(*cols, pdf["bits"].tolist(), pdf["side"].to_numpy(), percent):
-            if len(a):
-                yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    return dealt.mapInPandas(pairs, "a long, b long").distinct()
+        found = list(_forest(cols[0], _tree_pairs(*cols, pdf["bits"].tolist(), pdf["side"].to_numpy(), percent)))
+        if found:
+            yield pd.DataFrame({"a": np.concatenate([a for a, _ in found]), "b": np.concatenate([b for _, b in found])})
+
+    edges = staged(grouped(dealt, ["t", "p", "q"], forest, "a long, b long"), "jaccard-forest")
+    group = components(edges).select(F.col("node").alias("rid"), F.col("label").alias("g"))
+    return staged(group.join(sized, "rid"), "jaccard-groups")
+
+
+def _joining(label: np.ndarray, side: np.ndarray, sets: list, percent: int):
+    """Links (i, j) from side 0 to side 1 (2: on both) that join the classes as all links would.
+
+    Every link shares one of the first shingles of both sets, rarest here first; only those
+    that do are compared, and only where their classes are not yet joined."""
+    label, size = label.copy(), np.array([len(s) for s in sets])
+    row, begin = np.repeat(np.arange(len(sets)), size), np.concatenate([[0], np.cumsum(size)])
+    kinds, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    ids = ids[np.lexsort((ids, np.bincount(ids)[ids], row))]
+    first = size - (percent * size + 99) // 100 + 1
+    posted = (np.arange(len(ids)) - begin[row] < first[row]) & (side[row] != 0)
+    order = np.argsort(ids[posted], kind="stable")
+    post, cut = row[posted][order], np.searchsorted(ids[posted][order], np.arange(len(kinds) + 1))
+    have = np.zeros(len(kinds), np.int64)
+    for i in np.flatnonzero(side != 1).tolist():
+        mine = ids[begin[i]:begin[i + 1]]
+        j = np.unique(np.concatenate([post[cut[k]:cut[k + 1]] for k in mine[:first[i]].tolist()]))
+        j = j[(label[j] != label[i]) & (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j]))]
+        if not len(j):
+            continue
+        have[mine] = 1
+        starts = np.cumsum(size[j]) - size[j]
+        every = ids[np.arange(size[j].sum()) + np.repeat(begin[j] - starts, size[j])]
+        both = np.add.reduceat(have[every], starts)
+        have[mine] = 0
+        for k in j[100 * both >= percent * (size[i] + size[j] - both)].tolist():
+            if label[k] != label[i]:
+                yield i, k
+                label[label == label[k]] = label[i]
+
+
+def links_within(groups: DataFrame, docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
+    """a, b: links that join the classes of a group exactly as all its links would.  The sets
+    of a group are dealt in blocks of bounded size, and two blocks are compared in a task."""
+    placed = staged(in_blocks(groups, "g", F.col("n"), TOKENS), "jaccard-placed")
+    named = reps.select("rid", "h1", "h2").join(placed.select("rid"), "rid")
+    sets = full_sets(docs, named, words).join(named, ["h1", "h2"]).select("rid", "tokens")
+    dealt = block_pairs(placed, "g", percent).join(sets, "rid").select("g", "p", "q", "side", "rid", "label", "tokens")
+
+    def confirm(pdf):
+        rid, side, label = (pdf[c].to_numpy() for c in ("rid", "side", "label"))
+        out = [(int(rid[i]), int(rid[k])) for i, k in _joining(label, side, [np.frombuffer(x, np.uint64) for x in pdf["tokens"]], percent)]
+        if out:
+            yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return staged(grouped(dealt, ["g", "p", "q"], confirm, "a long, b long"), "jaccard-joins")
 
 
 def similarity_classes(docs: DataFrame, words: int = 4, percent: int = 85, carry: tuple = ()) -> DataFrame:
@@ -487,8 +554,9 @@ def similarity_classes(docs: DataFrame, words: int = 4, percent: int = 85, carry
         links = verified(possible(stars(members), signed, percent), texts, reps, words, percent)
         label = F.coalesce("label", "rid").alias("label")
         known = components(links).withColumnRenamed("node", "rid")
-        more = staged(candidate_pairs(members, signed, known, percent), "jaccard-candidates")
-        links = links.unionByName(verified(more, texts, reps, words, percent))
+        groups = candidate_groups(members, signed, known, percent)
+        if groups.limit(1).count():
+            links = links.unionByName(links_within(groups, texts, reps, words, percent))
         final = components(links).withColumnRenamed("node", "rid")
         classes = staged(reps.select("h1", "h2", "n", "doc", "copies", "rid").join(final, "rid", "left").select("h1", "h2", "n", "doc", "copies", label),
                          "jaccard-classes")

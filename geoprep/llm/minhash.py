@@ -30,6 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import block_pairs, grouped, in_blocks
 from .common import scratch, slices, staged
 from .components import components
 from .jaccard import CHARS, _filter_bits, _may_hold, _mix, _set_hash, shingle_sets, similar, verified, with_classes
@@ -128,49 +129,6 @@ def stars(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
         F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b"), "minhash-stars")
 
 
-def _block_pairs(rows: DataFrame, key: str, percent: int) -> DataFrame:
-    """``rows`` (key, block, rid, n, label) dealt to the pairs of blocks (p, q) of a key that may
-    hold pairs of different classes and fitting sizes; side 0 meets side 1, 2 meets itself."""
-    node = rows.groupBy(key, "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("label").alias("l0"), F.max("label").alias("l1"))
-    other = node.select(key, *[F.col(c).alias(f"o_{c}") for c in ("block", "lo", "hi", "l0", "l1")])
-    meet = node.join(other, key).where("block <= o_block AND NOT (l0 = l1 AND o_l0 = o_l1 AND l0 = o_l0)") \
-        .where((F.col("hi") * 100 >= F.col("o_lo") * percent) & (F.col("o_hi") * 100 >= F.col("lo") * percent)).select(key, "block", "o_block")
-    end = lambda at, side: F.struct(F.col(at).alias("at"), F.lit(side).alias("side"))
-    ends = F.explode(F.when(F.col("block") == F.col("o_block"), F.array(end("block", 2))).otherwise(F.array(end("block", 0), end("o_block", 1))))
-    places = staged(meet, "minhash-meet").select(key, F.col("block").alias("p"), F.col("o_block").alias("q"), ends.alias("e"))
-    return rows.join(places.select(key, "p", "q", F.col("e.at").alias("block"), F.col("e.side").alias("side")), [key, "block"])
-
-
-def _in_blocks(rows: DataFrame, key: str, weight, most: int) -> DataFrame:
-    """``rows`` with a block of about ``most`` of the summed ``weight``, within the key.  Neighbouring
-    sizes lie together, and the key's largest class lies apart, so that most pairs of blocks of a
-    large key cannot fit or are within that class."""
-    per = rows.groupBy(key, "label").agg(F.sum(weight).alias("w")).groupBy(key).agg(
-        F.sum("w").alias("all"), F.max(F.struct("w", "label"))["label"].alias("major"))
-    blocks = F.ceil(F.col("all") / most)
-    cut = F.xxhash64(F.floor(F.log(F.col("n").cast("double")) * 16), F.pmod(F.xxhash64("rid"), blocks), F.col("label") == F.col("major"))
-    return rows.join(per, key).withColumn("block", F.when(blocks <= 1, F.lit(0).cast("long")).otherwise(cut)).drop("all", "major")
-
-
-def _grouped(dealt: DataFrame, keys: list, fn, schema: str) -> DataFrame:
-    """``fn`` (frame -> frames) over the rows of each key, whose blocks are bounded."""
-    parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def run(batches):
-        held, key = [], None
-        for pdf in batches:
-            for k, part in pdf.groupby(keys, sort=False):
-                if k != key and held:
-                    yield from fn(pd.concat(held))
-                    held = []
-                key = k
-                held.append(part)
-        if held:
-            yield from fn(pd.concat(held))
-
-    return dealt.repartition(parts, *keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
-
-
 def _near(sig: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndarray, percent: int):
     """For each row of the left side: it, and the rows of the right side within the reach that are
     of another class and a fitting size, with their distances."""
@@ -189,8 +147,8 @@ def reach_groups(members: DataFrame, reps: DataFrame, known: DataFrame, percent:
     rows = staged(rows, "minhash-labelled")
     mixed = rows.groupBy("t").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("t")
     rows = staged(rows.join(mixed, "t", "left_semi"), "minhash-mixed")
-    rows = staged(_in_blocks(rows, "t", F.lit(1), BLOCK), "minhash-blocks")
-    dealt = _block_pairs(rows, "t", percent).join(reps.select("rid", "sig"), "rid")
+    rows = staged(in_blocks(rows, "t", F.lit(1), BLOCK), "minhash-blocks")
+    dealt = block_pairs(rows, "t", percent).join(reps.select("rid", "sig"), "rid")
 
     def forest(pdf):
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(-1, SYMBOLS)
@@ -206,7 +164,7 @@ def reach_groups(members: DataFrame, reps: DataFrame, known: DataFrame, percent:
         if a:
             yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
 
-    edges = staged(_grouped(dealt.select("t", "p", "q", "side", "rid", "n", "label", "sig"), ["t", "p", "q"], forest, "a long, b long"), "minhash-forest")
+    edges = staged(grouped(dealt.select("t", "p", "q", "side", "rid", "n", "label", "sig"), ["t", "p", "q"], forest, "a long, b long"), "minhash-forest")
     group = components(edges).select(F.col("node").alias("rid"), F.col("label").alias("g"))
     labelled = reps.select("rid", "n").join(known, "rid", "left").select("rid", "n", F.coalesce("label", "rid").alias("label"))
     return staged(group.join(labelled, "rid"), "minhash-groups")
@@ -227,10 +185,10 @@ def links_within(groups: DataFrame, docs: DataFrame, reps: DataFrame, words: int
             out = pd.DataFrame(rows, columns=["h1", "h2", "tokens"])
             yield out[_may_hold(bits, out["h1"].to_numpy(dtype=np.int64))]
 
-    placed = staged(_in_blocks(groups, "g", F.col("n"), TOKENS), "minhash-placed")
+    placed = staged(in_blocks(groups, "g", F.col("n"), TOKENS), "minhash-placed")
     found = docs.select("text").mapInPandas(tokens, "h1 long, h2 long, tokens binary").groupBy("h1", "h2").agg(F.first("tokens").alias("tokens"))
     sets = found.join(reps.select("rid", "h1", "h2", "sig").join(placed.select("rid"), "rid"), ["h1", "h2"]).select("rid", "sig", "tokens")
-    dealt = _block_pairs(placed, "g", percent).join(sets, "rid").select("g", "p", "q", "side", "rid", "n", "label", "sig", "tokens")
+    dealt = block_pairs(placed, "g", percent).join(sets, "rid").select("g", "p", "q", "side", "rid", "n", "label", "sig", "tokens")
 
     def confirm(pdf):
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(-1, SYMBOLS)
@@ -244,7 +202,7 @@ def links_within(groups: DataFrame, docs: DataFrame, reps: DataFrame, words: int
         if out:
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return staged(_grouped(dealt, ["g", "p", "q"], confirm, "a long, b long"), "minhash-links")
+    return staged(grouped(dealt, ["g", "p", "q"], confirm, "a long, b long"), "minhash-links")
 
 
 def near_duplicate_classes(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
