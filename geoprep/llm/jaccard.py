@@ -524,10 +524,11 @@ def _joining(label: np.ndarray, side: np.ndarray, sets: list, percent: int):
                 label[label == label[k]] = label[i]
 
 
-def links_within(groups: DataFrame, docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
+def links_within(groups: DataFrame, docs: DataFrame, reps: DataFrame, words: int, percent: int, tokens: int | None = None) -> DataFrame:
     """a, b: links that join the classes of a group exactly as all its links would.  The sets
-    of a group are dealt in blocks of bounded size, and two blocks are compared in a task."""
-    placed = staged(in_blocks(groups, "g", F.col("n"), TOKENS), "jaccard-placed")
+    of a group are dealt in blocks of about ``tokens`` shingles (``TOKENS``), and two blocks are
+    compared in a task."""
+    placed = staged(in_blocks(groups, "g", F.col("n"), tokens or TOKENS), "jaccard-placed")
     named = reps.select("rid", "h1", "h2").join(placed.select("rid"), "rid")
     sets = full_sets(docs, named, words).join(named, ["h1", "h2"]).select("rid", "tokens")
     dealt = block_pairs(placed, "g", percent).join(sets, "rid").select("g", "p", "q", "side", "rid", "label", "tokens")

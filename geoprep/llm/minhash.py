@@ -11,7 +11,9 @@
 4. Rest.  In buckets that still hold several classes, blocks of bounded size are compared by
    signature inside a task.  The pairs of different classes within the reach make groups (a
    task hands on a spanning forest of its pairs); each group's sets are dealt once more in
-   blocks, where those pairs are confirmed on full sets, nearest first, until classes join.
+   blocks, where links are confirmed on full sets until classes join.  Only sets that share
+   one of their rarest shingles there are compared: most pairs within the reach are no links,
+   and in a large group of loose copies nearly all of them.
    No list of pairs is formed: what leaves a task is linear in the rows it holds.
 
 The join is exact for the signature distance.  A pair at similarity 0.85 is beyond the reach
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from .blocks import block_pairs, grouped, in_blocks
 from .common import scratch, slices, staged
 from .components import components
-from .jaccard import CHARS, _filter_bits, _may_hold, _mix, _set_hash, shingle_sets, similar, verified, with_classes
+from .jaccard import CHARS, _filter_bits, _may_hold, _mix, _set_hash, links_within, shingle_sets, verified, with_classes
 
 SYMBOLS = 64
 CHUNKS = 13
@@ -131,13 +133,13 @@ def stars(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
 def _near(sig: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndarray, percent: int):
     """For each row of the left side: it, and the rows of the right side within the reach that are
-    of another class and a fitting size, with their distances."""
+    of another class and a fitting size."""
     left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
     for i in left:
         j = right[label[right] != label[i]]
         j = j[100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])]
         d = (sig[i] != sig[j]).sum(1)
-        yield i, j[d <= REACH], d[d <= REACH]
+        yield i, j[d <= REACH]
 
 
 def reach_groups(members: DataFrame, reps: DataFrame, known: DataFrame, percent: int) -> DataFrame:
@@ -154,7 +156,7 @@ def reach_groups(members: DataFrame, reps: DataFrame, known: DataFrame, percent:
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(-1, SYMBOLS)
         rid, n, label, side = (pdf[c].to_numpy() for c in ("rid", "n", "label", "side"))
         tree, a, b = np.arange(len(rid)), [], []
-        for i, j, _ in _near(sig, n, label, side, percent):
+        for i, j in _near(sig, n, label, side, percent):
             t, at = np.unique(tree[j], return_index=True)
             new = t != tree[i]
             a += [rid[i]] * int(new.sum())
@@ -170,41 +172,6 @@ def reach_groups(members: DataFrame, reps: DataFrame, known: DataFrame, percent:
     return staged(group.join(labelled, "rid"), "minhash-groups")
 
 
-def links_within(groups: DataFrame, docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
-    """a, b: links that join the classes of a group exactly as all its links would.
-
-    The sets are hashed from the texts again (a fixed-size bitmap of the wanted ones drops the
-    others) and dealt in blocks of bounded size; a task compares pairs of different classes
-    within the reach, nearest first, and joins classes as it goes."""
-    wanted = docs.sparkSession.sparkContext.broadcast(_filter_bits(groups.join(reps.select("rid", "h1"), "rid"), "h1"))
-
-    def tokens(batches):
-        bits = np.frombuffer(wanted.value, np.uint8)
-        for pdf in slices(batches, chars=CHARS):
-            rows = [(*_set_hash(s), s.tobytes()) for s in shingle_sets(pdf["text"], words) if len(s)]
-            out = pd.DataFrame(rows, columns=["h1", "h2", "tokens"])
-            yield out[_may_hold(bits, out["h1"].to_numpy(dtype=np.int64))]
-
-    placed = staged(in_blocks(groups, "g", F.col("n"), TOKENS), "minhash-placed")
-    found = docs.select("text").mapInPandas(tokens, "h1 long, h2 long, tokens binary").groupBy("h1", "h2").agg(F.first("tokens").alias("tokens"))
-    sets = found.join(reps.select("rid", "h1", "h2", "sig").join(placed.select("rid"), "rid"), ["h1", "h2"]).select("rid", "sig", "tokens")
-    dealt = block_pairs(placed, "g", percent).join(sets, "rid").select("g", "p", "q", "side", "rid", "n", "label", "sig", "tokens")
-
-    def confirm(pdf):
-        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(-1, SYMBOLS)
-        rid, n, side = (pdf[c].to_numpy() for c in ("rid", "n", "side"))
-        label, full, out = pdf["label"].to_numpy().copy(), [np.frombuffer(x, np.uint64) for x in pdf["tokens"]], []
-        for i, j, d in _near(sig, n, label, side, percent):
-            for k in j[np.argsort(d, kind="stable")].tolist():
-                if label[k] != label[i] and similar(full[i], full[k], percent):
-                    out.append((int(rid[i]), int(rid[k])))
-                    label[label == label[k]] = label[i]
-        if out:
-            yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return staged(grouped(dealt, ["g", "p", "q"], confirm, "a long, b long"), "minhash-links")
-
-
 def near_duplicate_classes(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every document."""
     with scratch():
@@ -217,7 +184,7 @@ def near_duplicate_classes(docs: DataFrame, words: int = 3, percent: int = 85) -
         known = components(links).withColumnRenamed("node", "rid")
         groups = reach_groups(members, reps, known, percent)
         if groups.limit(1).count():
-            links = links.unionByName(links_within(groups, texts, reps, words, percent))
+            links = links.unionByName(links_within(groups, texts, reps, words, percent, TOKENS))
         final = components(links).withColumnRenamed("node", "rid")
         classes = reps.select("rid", "h1", "h2", "n", "doc", "copies").join(final, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
         classes = staged(classes, "minhash-classes")

@@ -1,11 +1,13 @@
 """MinHash near-duplicate classes against brute force."""
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 
 from geoprep.llm import jaccard, minhash as M
+from geoprep.llm.components import components
 
 DOC = "doc_id long, text string, n long, sig string, rid int, label string, t int"       # with clashing extra columns
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -108,3 +110,36 @@ def test_words_that_only_a_weak_hash_confuses_are_told_apart(spark):
     rows = [(1, f"{a} {b} {a} {a}"), (2, f"{b} {a} {b} {b}")]
     assert {r["component_id"] for r in M.near_duplicate_classes(frame(spark, rows)).collect()} == {1, 2}
     assert {r["component_id"] for r in jaccard.similarity_classes(frame(spark, rows)).collect()} == {1, 2}
+
+
+def test_a_large_group_of_loose_copies_is_not_compared_pair_by_pair(spark):
+    rnd, base, rows = random.Random(9), [f"b{k}" for k in range(60)], []
+    for i in range(2400):                                                  # each far nearer to all others than chance, but linked with one
+        w = list(base)
+        for k in range(0, 60, 12):
+            w[k + rnd.randrange(2)] = f"x{i // 2}-{k}"
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w + ["end"]))] if i % 2 == 0 else [(2 * i, " ".join(w))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = M.signed_rows(docs, 1).where("n > 0")
+    reps = table.select(table["doc_id"].alias("rid"), "h1", "h2", "n", "sig")
+    groups = reps.selectExpr("rid", "n", "rid AS label", "0L AS g")
+    began = time.time()
+    links = M.links_within(groups, docs, reps, 1, 85)
+    assert time.time() - began < 50                                        # pair by pair, 6.5 million comparisons took longer
+    got = {r["node"]: r["label"] for r in components(links).collect()}
+    assert all(got[2 * i] == got[2 * i + 1] for i in range(0, 2400, 2))
+
+
+def test_a_round_of_components_writes_files_for_its_rows_not_for_the_partitions(spark):
+    keys = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    held = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        links = spark.createDataFrame([(i, i + 1) for i in range(1, 400) if i % 7], "a long, b long")
+        got = components(links)
+        assert {r["node"]: r["label"] for r in got.collect()} == {k: k - (k - 1) % 7 for k in range(1, 400)}
+        assert len(got.inputFiles()) <= spark.sparkContext.defaultParallelism
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
