@@ -279,7 +279,7 @@ def k3_append_postal_partitioned(spark, d):
     out = _postal(spark, d)
     path = _scratch(spark, "postal")
     write_table(out, path, mode="append", partition_by=POSTAL_PARTITIONS, deal_by=POSTAL_PARTITIONS[:-1])
-    return read_back(spark, path, out)
+    return read_back(spark, path, out, partition_by=POSTAL_PARTITIONS)
 
 
 @register("k4_csv_dump", ADM2_SQL)

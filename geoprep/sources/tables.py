@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from geoprep.functions.text import empty_to_null
 from geoprep.operators.keyed import split_rejects, upsert, write_report
 from geoprep.operators.stage import stage, stage_table
+from geoprep.sources.folders import can_write, read_folders, write_folders
 
 WRITE_MODES = ("overwrite", "append")
 
@@ -37,7 +38,8 @@ def read_table(spark: SparkSession, path: str, *, fmt: str = "parquet", columns=
     reader = spark.read.format(fmt).options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.load(path)
+    with _few_listing_tasks(spark):
+        df = reader.load(path)
     if where is not None:
         df = df.where(where)
     if columns is not None:
@@ -95,7 +97,8 @@ def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_
     anything was written.  ``replace_partitions`` overwrites only the partitions that ``df`` has
     rows for (dynamic partition overwrite): the same write repeated changes nothing, and the
     files of other partitions stay as they are.  ``observe`` = (Observation, [metric columns]) counts what is written.
-    ``deal_by``: see ``prepare_for_write``."""
+    ``deal_by``: see ``prepare_for_write``; it marks a table of very many small folders, which is
+    written by ``geoprep.sources.folders`` where that can."""
     if mode not in WRITE_MODES:
         raise ValueError(f"unknown write mode {mode!r}; known: {', '.join(sorted(WRITE_MODES))}")
     if replace_partitions and not partition_by:
@@ -105,6 +108,10 @@ def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_
     out = prepare_for_write(df, partition_by, partitions=partitions, deal_by=deal_by)
     if observe is not None:
         out = out.observe(observe[0], *observe[1])
+    if deal_by and fmt == "parquet" and not (options or replace_partitions) and can_write(out, path, partition_by):
+        with _all_cores(df.sparkSession):
+            write_folders(out, path, partition_by, mode=mode)
+        return True
     w = out.write.format(fmt).mode("overwrite" if replace_partitions else mode).options(**(options or {}))
     if replace_partitions:
         w = w.option("partitionOverwriteMode", "dynamic")
@@ -115,14 +122,24 @@ def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_
     return True
 
 
-@contextmanager
 def _all_cores(spark: SparkSession):
     """While a partitioned table is written its rebalance merges tasks down to one per core, not
     by size alone: what a small file costs is its creation, so a few MB in thousands of
     partition values must not end up in one or two tasks."""
-    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    return _setting(spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
+
+
+def _few_listing_tasks(spark: SparkSession):
+    """While a table is opened its folders are listed by a few tasks a core, not by one task a
+    folder (up to 10,000), which costs more than the listing."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    return _setting(spark, key, str(min(int(spark.conf.get(key, "10000")), 4 * spark.sparkContext.defaultParallelism)))
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
     before = spark.conf.get(key, None)
-    spark.conf.set(key, "16k")
+    spark.conf.set(key, value)
     try:
         yield
     finally:
@@ -170,10 +187,15 @@ def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite", sep: str = "
     df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
 
 
-def read_back(spark: SparkSession, path: str, like: DataFrame, fmt: str = "parquet") -> DataFrame:
+def read_back(spark: SparkSession, path: str, like: DataFrame, fmt: str = "parquet", partition_by=None) -> DataFrame:
     """Read a written table with the writer's schema (partition columns keep their type
-    instead of being inferred from directory names), columns in the writer's order."""
-    return spark.read.format(fmt).schema(like.schema).load(path).select(*like.columns)
+    instead of being inferred from directory names), columns in the writer's order.
+    ``partition_by``, for a table of very many folders, takes those columns from the file paths
+    (``read_folders``)."""
+    if partition_by:
+        with _few_listing_tasks(spark):
+            return read_folders(spark, path, like.schema, partition_by, fmt)
+    return read_table(spark, path, fmt=fmt, schema=like.schema, columns=like.columns)
 
 
 def read_stored(spark: SparkSession, path: str, partition_types: DataFrame, partition_by, fmt: str = "parquet") -> DataFrame:

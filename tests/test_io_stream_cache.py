@@ -1,4 +1,6 @@
 """Sinks, incremental load and the cache."""
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -282,3 +284,73 @@ def test_many_chunks_share_a_few_micro_batches(spark, tmp_dir, monkeypatch):
     assert len(calls) <= 2 + I.MICRO_BATCHES < n
     got = spark.read.parquet(f"{tmp_dir}/t")
     assert got.select(I.CHUNK_COLUMN).distinct().count() == n and got.count() == first["rows"] + rest["rows"]
+
+
+def _odd_folders(spark):
+    rows = [("a'b", "x/y=%", 1, float("nan")), (None, "", 2, 3.0), ("é +%2B ü", "z%20+ 日\n", 3, None), ("p=1/q=2", " lead", 4, 4.0),
+            ("é +%2B ü", "z%20+ 日\n", 5, 1.0)]
+    return spark.createDataFrame(rows, "p string, q string, n long, v double")
+
+
+def _folders(path):
+    return {os.path.relpath(at, path) for at, _, files in os.walk(path) if any(f.endswith(".parquet") for f in files)}
+
+
+def test_many_folders_are_written_as_by_spark_and_read_without_discovery(spark, tmp_dir):
+    """``deal_by`` tables: Spark's folders, types and rows, no checksum files (each one a process started)."""
+    df, here = _odd_folders(spark), f"{tmp_dir}/p=7"                # a folder above the table is no value
+    write_table(df, f"{here}/spark", partition_by=["p", "q"])
+    write_table(df, f"{here}/many", partition_by=["p", "q"], deal_by=["p"])
+    assert _folders(f"{here}/many") == _folders(f"{here}/spark") and len(_folders(f"{here}/many")) == 4
+    assert not [f for _, _, files in os.walk(f"{here}/many") for f in files if f.endswith(".crc")]
+    want = sorted(map(str, read_back(spark, f"{here}/spark", df).collect()))
+    for name in ("spark", "many"):
+        assert sorted(map(str, read_back(spark, f"{here}/{name}", df).collect())) == want
+        got = read_back(spark, f"{here}/{name}", df, partition_by=["p", "q"])
+        assert got.schema == df.schema and sorted(map(str, got.collect())) == want
+        assert got.where("v > 5").count() == 1 and got.where("p is null").count() == 1     # NaN is above all
+    assert spark.read.parquet(f"{here}/many").schema == spark.read.parquet(f"{here}/spark").schema
+    write_table(df, f"{here}/many", mode="append", partition_by=["p", "q"], deal_by=["p"])
+    assert read_back(spark, f"{here}/many", df, partition_by=["p", "q"]).count() == 10
+    write_table(df.where("n = 1"), f"{here}/many", partition_by=["p", "q"], deal_by=["p"])
+    assert [r.n for r in read_back(spark, f"{here}/many", df, partition_by=["p", "q"]).collect()] == [1]
+
+
+def test_many_folders_keep_types_and_typed_partitions(spark, tmp_dir):
+    df = spark.sql("""SELECT CAST(id % 3 AS INT) AS k, DATE'2020-01-01' + CAST(id % 2 AS INT) AS d, CAST(id % 100 AS TINYINT) AS t, CAST(id AS FLOAT) AS f,
+        id % 2 = 0 AS b, TIMESTAMP'1500-01-01 00:00:01' AS ts, TIMESTAMP_NTZ'2020-01-01 00:00:01' AS tn, DATE'1400-02-03' AS old,
+        CAST('x' AS BINARY) AS bin, IF(id = 1, NULL, CAST(id AS STRING)) AS s FROM range(25000)""")
+    write_table(df, f"{tmp_dir}/t", partition_by=["k", "d"], deal_by=["k"])
+    got = read_back(spark, f"{tmp_dir}/t", df, partition_by=["k", "d"])
+    assert len(_folders(f"{tmp_dir}/t")) == 6 and dict(got.dtypes) == dict(df.dtypes)
+    assert got.exceptAll(df).isEmpty() and df.exceptAll(got).isEmpty()
+    with_list = df.withColumn("l", F.array("s"))                     # not flat: Spark's writer
+    write_table(with_list, f"{tmp_dir}/l", partition_by=["k", "d"], deal_by=["k"])
+    assert read_back(spark, f"{tmp_dir}/l", with_list, partition_by=["k", "d"]).exceptAll(with_list).isEmpty()
+
+
+def test_many_folders_failed_write_leaves_the_table(spark, tmp_dir):
+    df = _odd_folders(spark)
+    write_table(df, f"{tmp_dir}/t", partition_by=["p", "q"], deal_by=["p"])
+    bad = df.withColumn("v", F.when(F.col("n") == 4, F.raise_error(F.lit("no"))).otherwise(F.col("v")).cast("double"))
+    for mode in ("append", "overwrite"):
+        with pytest.raises(Exception, match="no"):
+            write_table(bad, f"{tmp_dir}/t", mode=mode, partition_by=["p", "q"], deal_by=["p"])
+        assert read_back(spark, f"{tmp_dir}/t", df, partition_by=["p", "q"]).count() == 5
+        assert not [n for n in os.listdir(f"{tmp_dir}/t") if n.startswith("_temp")]
+
+
+def test_folders_are_listed_by_a_few_tasks(spark, tmp_dir):
+    df = spark.range(300).select(F.col("id").cast("string").alias("p"), "id")
+    write_table(df, f"{tmp_dir}/t", partition_by=["p"], deal_by=["p"])
+    before = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    for kw in ({}, {"partition_by": ["p"]}):
+        group = f"listing-{len(kw)}-{tmp_dir}"
+        spark.sparkContext.setJobGroup(group, "listing")
+        got = read_back(spark, f"{tmp_dir}/t", df, **kw)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        status = spark.sparkContext.statusTracker()
+        tasks = [status.getStageInfo(s).numTasks for j in status.getJobIdsForGroup(group) for s in status.getJobInfo(j).stageIds]
+        assert tasks and max(tasks) <= 4 * spark.sparkContext.defaultParallelism < 300
+        assert got.count() == 300
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == before
