@@ -916,14 +916,18 @@ def _records_dir(spark, d):
                          chunk_rows=300)
 
 
+def _incremental(spark, target):
+    from geoprep.sources.tables import read_back
+    from geoprep.spec import POSTAL_PARTITIONS, POSTAL_SCHEMA
+    return read_back(spark, target, spark.createDataFrame([], POSTAL_SCHEMA), partition_by=POSTAL_PARTITIONS)
+
+
 @register("t1_chunked_incremental_load", POSTAL_CTES + "SELECT * FROM postal")
 def t1_chunked_incremental_load(spark, d):
-    from geoprep.sources.tables import read_back
     from geoprep.streaming.incremental import chunked_load
     target = _scratch(spark, "postal-incremental")
     chunked_load(spark, _records_dir(spark, d), FX.adm1(spark, d), FX.adm2(spark, d), target, files_per_chunk=1)
-    from geoprep.spec import POSTAL_SCHEMA
-    return read_back(spark, target, spark.createDataFrame([], POSTAL_SCHEMA))
+    return _incremental(spark, target)
 
 
 @register("t1b_two_loads", POSTAL_CTES + "SELECT * FROM postal")
