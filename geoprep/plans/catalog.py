@@ -970,7 +970,7 @@ def t3_stop_when_exhausted(spark, d):
     target = _scratch(spark, "postal-incremental")
     stats = chunked_load(spark, _records_dir(spark, d), FX.adm1(spark, d), FX.adm2(spark, d), target,
                          files_per_chunk=2)
-    return spark.read.parquet(target).agg(F.count(F.lit(1)).alias("rows_appended")).where(
+    return _incremental(spark, target).agg(F.count(F.lit(1)).alias("rows_appended")).where(
         F.lit(stats["chunks"]) > 0)
 
 
